@@ -66,14 +66,14 @@ def mode_cte(name: str, column: str, where: str) -> str:
 )"""
 
 
-USER_360 = SILVER_TX + "," + ",".join([
+GOLD_USERS = ",".join([
     mode_cte("m_merchant", "merchant", "ok"), mode_cte("m_category", "category", "ok"),
     mode_cte("m_channel", "channel", "TRUE"), mode_cte("m_device", "device", "TRUE"),
 ]) + f""",
 firsts AS (
   SELECT * FROM (
     SELECT user_id, user_name, user_email, user_age, user_segment, location_city AS city,
-           ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM silver
+           ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts NULLS LAST, event_id NULLS FIRST) AS rn FROM silver
   ) WHERE rn = 1
 ),
 counts AS (
@@ -83,15 +83,15 @@ counts AS (
 ),
 tx AS (
   SELECT user_id, COUNT(event_id) AS total_transactions,
-         {rnd(fsum('amount_cop'), 2)} AS total_amount_cop,
-         {rnd(fsum('amount_usd'), 2)} AS total_amount_usd,
+         {rnd('COALESCE(' + fsum('amount_cop') + ', 0.0)', 2)} AS total_amount_cop,
+         {rnd('COALESCE(' + fsum('amount_usd') + ', 0.0)', 2)} AS total_amount_usd,
          {rnd(favg('amount_cop'), 2)} AS avg_ticket,
          MAX(ts) AS last_transaction_date
   FROM silver WHERE ok GROUP BY user_id
 ),
 lasts AS (
   SELECT user_id, {rnd('balance_after', 2)} AS balance_current FROM (
-    SELECT user_id, balance_after, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
+    SELECT user_id, balance_after, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS FIRST, event_id DESC NULLS LAST) AS rn
     FROM silver WHERE ok AND balance_after IS NOT NULL
   ) WHERE rn = 1
 ),
@@ -110,38 +110,37 @@ gold_user_360 AS (
 )
 """
 
-DAILY = SILVER_TX + f""",
+GOLD_DAILY = f"""
 gold_daily_metrics AS (
   SELECT date, COUNT(event_id) AS total_events, COUNT(*) FILTER (WHERE is_transactional) AS total_transactions,
          {rnd('COALESCE(' + fsum('amount_cop') + ', 0.0)', 2)} AS total_amount_cop,
          COUNT(*) FILTER (WHERE is_failed) AS failed_count, COUNT(DISTINCT user_id) AS unique_users
-  FROM silver GROUP BY date
+  FROM silver WHERE date IS NOT NULL GROUP BY date
 )
 """
 
-EVENTS = SILVER_TX + f""",
+GOLD_EVENTS = f"""
 gold_event_summary AS (
   SELECT event, COUNT(event_id) AS count, COUNT(*) FILTER (WHERE NOT is_failed) AS success_count,
          COUNT(*) FILTER (WHERE is_failed) AS failed_count,
-         {rnd('COUNT(event_id) * 100.0::DOUBLE / (SELECT COUNT(*) FROM silver)', 2)} AS pct_of_total
-  FROM silver GROUP BY event
+         {rnd('COUNT(event_id) * 100.0::DOUBLE / (SELECT COUNT(event_id) FROM silver WHERE event IS NOT NULL)', 2)} AS pct_of_total
+  FROM silver WHERE event IS NOT NULL GROUP BY event
 )
 """
 
 
 def users(select: str) -> str:
-    return f"WITH {USER_360} {select}"
+    return f"WITH {SILVER_TX}, {GOLD_USERS} {select}"
 
 
 def daily(select: str) -> str:
-    return f"WITH {DAILY} {select}"
+    return f"WITH {SILVER_TX}, {GOLD_DAILY} {select}"
 
 
 def events(select: str) -> str:
-    return f"WITH {EVENTS} {select}"
+    return f"WITH {SILVER_TX}, {GOLD_EVENTS} {select}"
 
 
 def all_gold(ctes: str, select: str) -> str:
     """User and day tables together, plus further expressions."""
-    more = DAILY[len(SILVER_TX):] + EVENTS[len(SILVER_TX):]
-    return f"WITH {USER_360} {more} {ctes} {select}"
+    return f"WITH {SILVER_TX}, {GOLD_USERS}, {GOLD_DAILY}, {GOLD_EVENTS} {ctes} {select}"

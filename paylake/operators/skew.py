@@ -63,3 +63,15 @@ def lookup(
     copies = F.when(F.col("_heavy"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     right = table.join(F.broadcast(heavy), key, "left").withColumn("_salt", F.explode(copies)).drop("_heavy")
     return left.drop("_heavy").join(right, [key, "_salt"], "left").drop("_salt")
+
+
+def keep_matching(rows: DataFrame, keys: DataFrame, key: str, salt_on: list[str], **skew) -> DataFrame:
+    """Rows whose key is in ``keys`` (one row per key), balanced like ``lookup``."""
+    marked = lookup(rows, keys.select(key, F.lit(True).alias("_hit")), key, salt_on, **skew)
+    return marked.filter(F.col("_hit")).drop("_hit").select(*rows.columns)
+
+
+def drop_matching(rows: DataFrame, keys: DataFrame, key: str, salt_on: list[str], **skew) -> DataFrame:
+    """Rows whose key is not in ``keys``; rows without a key stay."""
+    marked = lookup(rows, keys.select(key, F.lit(True).alias("_hit")), key, salt_on, **skew)
+    return marked.filter(F.col("_hit").isNull()).drop("_hit").select(*rows.columns)

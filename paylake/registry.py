@@ -186,7 +186,7 @@ def alert_queries() -> dict[str, Query]:
     }
 
 
-def all_queries() -> dict[str, Query]:
+def gold_queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     for part in (builder_queries, business_queries, metric_queries, report_queries, alert_queries):
         out.update(part())

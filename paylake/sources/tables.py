@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from paylake.config import Settings
-from paylake.operators.silver import add_usd, event_flags
+from paylake.operators.bronze import add_metadata, first_seen, flag_duplicates, flatten
+from paylake.operators.silver import add_usd, build_silver, event_flags
 from paylake.operators.skew import lookup
+from paylake.schemas import IP_GEO
 
 TABLES_SETTINGS = Settings(as_of=dt.date(2001, 8, 2))
 
@@ -77,3 +79,155 @@ def silver_tx(
         columns += ["user_name", "user_email", "user_age", "user_segment", "location_city", "balance_after",
                     "merchant", "category"]
     return events.select(*columns)
+
+
+# --- Raw events from the event table ---------------------------------------------------------
+
+RAW_ORDER = ["seq"]  # unique row order inside a batch
+BATCHES = {
+    1: ("b1", dt.datetime(2024, 2, 1, tzinfo=dt.timezone.utc), "events_1.json"),
+    2: ("b2", dt.datetime(2024, 2, 2, tzinfo=dt.timezone.utc), "events_2.json"),
+}
+
+
+def _text(c: Column) -> Column:
+    return c.cast("string")
+
+
+def raw_events(spark: SparkSession, folder: str, batch: int = 1) -> DataFrame:
+    """Nested events with the faults the layers must handle: padded, missing and repeated ids, bad
+    dates and amounts, private, public and absent addresses. Batch 2 repeats a part of batch 1.
+    """
+    events = table(spark, folder, "events").withColumnRenamed("user_id", "c_custkey")
+    events = lookup(events, table(spark, folder, "customer"), "c_custkey", salt_on=["event_id"])
+    nations = table(spark, folder, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
+    events = lookup(events, nations, "c_nationkey", salt_on=["event_id"])
+    n = F.col("event_id")
+    if batch == 2:
+        copies = F.when((n % 50 == 0) | (n % 90 == 7), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+        events = events.filter((n % 10 == 0) | (n % 30 == 7)).withColumn("copy", F.explode(copies))
+        name, seq = F.when(n % 30 == 7, F.concat(F.lit("late-"), _text(n))), n * 2 + F.col("copy")
+    else:
+        name, seq = F.lit(None).cast("string"), n
+    kind, user = F.col("event_type"), _text(F.col("c_custkey"))
+    k = F.get_json_object("props", "$.k").cast("int")
+    event = (
+        F.when(kind == "signup", "USER_REGISTERED").when(kind == "purchase", "PURCHASE_MADE")
+        .when(kind == "click", "PAYMENT_MADE").when(kind == "view", "TRANSFER_SENT")
+        .when(kind == "error", "PAYMENT_FAILED")
+    )
+    registered = kind == "signup"
+    amount = F.round(F.col("value") * 1000).cast("long")
+    plain_id = F.coalesce(name, F.concat(F.lit("evt-"), _text(n)))
+    payload = F.struct(
+        F.concat(F.lit("user_"), user).alias("userId"),
+        F.col("c_name").alias("name"),
+        (F.col("c_custkey") % 60 + 18).cast("int").alias("age"),
+        F.concat(F.lit(" C"), user, F.lit("@Mail.Test ")).alias("email"),
+        F.when(n % 7 != 0, F.col("n_name")).alias("city"),
+        F.col("c_mktsegment").alias("segment"),
+        F.when(n % 101 == 0, "not-a-date")
+        .otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")).alias("timestamp"),
+        F.concat(F.lit("acc_"), user).alias("accountId"),
+        F.when(registered, F.lit(None)).when(n % 103 == 0, "n/a").otherwise(_text(amount)).alias("amount"),
+        F.lit("COP").alias("currency"),
+        F.when(~registered, F.concat(F.lit("merchant_"), _text(k % 12))).alias("merchant"),
+        F.when(~registered, F.concat(F.lit("category_"), _text(k % 5))).alias("category"),
+        F.when(n % 2 == 0, "card").otherwise("cash").alias("paymentMethod"),
+        F.when(n % 4 == 0, F.lit(None)).when(n % 107 == 0, "x").otherwise(_text(n % 12 + 1)).alias("installments"),
+        _text(F.round(F.col("c_acctbal") * 1000).cast("long")).alias("balanceBefore"),
+        _text(F.round(F.col("c_acctbal") * 1000).cast("long") - amount).alias("balanceAfter"),
+        F.when(registered, "0").alias("initialBalance"),
+        F.when(registered, "ACTIVE").alias("status"),
+        F.lit(None).cast("string").alias("source"),
+        F.struct(
+            F.when(n % 3 != 0, F.col("n_name")).alias("city"),
+            F.when(n % 11 != 0, F.concat(F.lit("country_"), _text(F.col("c_nationkey") % 3))).alias("country"),
+        ).alias("location"),
+        F.struct(
+            F.lit(None).cast("string").alias("city"), F.lit(None).cast("string").alias("segment"),
+        ).alias("updatedFields"),
+    )
+    metadata = F.struct(
+        F.when(n % 4 == 0, "mobile").when(n % 4 == 1, "web").when(n % 4 == 2, "tablet").alias("device"),
+        F.lit("os").alias("os"),
+        F.when(n % 5 == 0, F.concat(F.lit("192.168.1."), _text(n % 250))).when(n % 5 == 1, "8.8.8.8")
+        .when(n % 5 == 3, "172.20.0.9").when(n % 5 == 4, "1.1.1.1").alias("ip"),
+        F.when(n % 3 == 0, "app").when(n % 3 == 1, "web").otherwise("api").alias("channel"),
+    )
+    detail = F.struct(
+        F.when(n % 97 == 0, F.lit(None)).when(n % 13 == 0, F.concat(F.lit("  "), plain_id, F.lit(" ")))
+        .otherwise(plain_id).alias("id"),
+        event.alias("event"),
+        F.lit("1.0").alias("version"),
+        F.lit("business").alias("eventType"),
+        kind.alias("transactionType"),
+        F.lit("user").alias("eventEntity"),
+        F.when(n % 89 == 0, F.lit(None)).when(kind == "error", "FAILED").otherwise("SUCCESS").alias("eventStatus"),
+        payload.alias("payload"),
+        metadata.alias("metadata"),
+    )
+    return events.select(
+        F.lit("fintech.app").alias("source"), F.lit("transaction").alias("detailType"), detail.alias("detail"),
+        seq.alias("seq"),
+    )
+
+
+def ip_geo(spark: SparkSession) -> DataFrame:
+    """Lookup result for public addresses; an empty part does not override."""
+    return spark.createDataFrame(
+        [("8.8.8.8", "Mountain View", "United States"), ("1.1.1.1", "", "Australia")], IP_GEO
+    )
+
+
+def bronze_batch(spark: SparkSession, folder: str, batch: int) -> DataFrame:
+    """One stamped, unflagged Bronze batch; ``seq`` and ``bronze_file`` stand for its place in storage."""
+    batch_id, at, source = BATCHES[batch]
+    flat = flatten(raw_events(spark, folder, batch), keep=("seq",))
+    return add_metadata(flat, source, batch_id, at).withColumn("bronze_file", F.lit(f"batch_{batch_id}.parquet"))
+
+
+def bronze_all(spark: SparkSession, folder: str) -> DataFrame:
+    """Both batches as stored: the second flagged against the first."""
+    one, two = bronze_batch(spark, folder, 1), bronze_batch(spark, folder, 2)
+    place = ["bronze_file", "seq"]
+    flagged = flag_duplicates(two, first_seen(one, place), RAW_ORDER)
+    return flag_duplicates(one, None, RAW_ORDER).unionByName(flagged)
+
+
+def silver_events(spark: SparkSession, folder: str, settings: Settings = TABLES_SETTINGS) -> DataFrame:
+    """Silver built from both batches through every step."""
+    bronze = bronze_all(spark, folder)
+    return build_silver(bronze, settings, ["bronze_file", "seq"], ip_geo(spark)).drop("bronze_file", "seq")
+
+
+def messages(spark: SparkSession, folder: str) -> DataFrame:
+    """Envelopes and legacy events mixed, one per event row; nested parts are JSON text."""
+    raw = raw_events(spark, folder).select("seq", F.to_json("detail").alias("legacy"))
+    events = table(spark, folder, "events").select(
+        F.col("event_id").alias("seq"), "ts", "event_type", "props", F.col("value").alias("v")
+    )
+    n = F.col("seq")
+    data = F.concat(
+        F.lit('{"name":"'), F.col("event_type"), F.lit('","value":'), _text(F.round(F.col("v") * 100).cast("long")),
+        F.lit(',"nested":'), F.col("props"), F.lit(',"flag":true,"note":null,"list":[1,2]'),
+        F.when(n % 8 == 1, F.lit(',"a":1,"b":2,"c":3,"d":4,"e":5,"f":6')).otherwise(F.lit("")), F.lit("}"),
+    )
+    kind = (
+        F.when(n % 4 == 0, F.lit(None)).when(n % 41 == 0, "bogus").when(n % 43 == 0, F.lit(None))
+        .when(n % 4 == 1, "metric").when(n % 4 == 2, F.when(n % 8 == 2, "log").otherwise("alert"))
+        .otherwise(F.when(n % 8 == 3, "event").otherwise("record"))
+    )
+    legacy = n % 4 == 0
+    return events.join(raw, "seq").select(
+        "seq",
+        kind.cast("string").alias("msg_type"),
+        F.when(~legacy, "bench").alias("source"),
+        F.when(n % 6 == 1, "2.0").alias("schema_version"),
+        F.when(~legacy & (n % 9 != 1), F.concat(F.lit("msg-"), _text(n))).alias("message_id"),
+        F.when(n % 10 != 3, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")).alias("timestamp"),
+        F.when(~legacy, data).alias("data"),
+        F.when(n % 7 == 0, '{"device":"d"}').alias("metadata"),
+        F.lit(None).cast("string").alias("detailType"),
+        F.when(legacy, F.col("legacy")).alias("detail"),
+    )
