@@ -35,7 +35,7 @@ def compare(daily: DataFrame, days: int = 7) -> DataFrame:
         F.sum("failed_count").alias("fallos"),
         pct(F.sum("failed_count"), F.sum("total_transactions"), 2).alias("tasa_fallo_pct"),
     )
-    labels = daily.sparkSession.createDataFrame([(CURRENT,), (PRIOR,)], "periodo string")
+    labels = daily.sparkSession.sql(f"SELECT * FROM VALUES ('{CURRENT}'), ('{PRIOR}') AS periods(periodo)")
     return labels.join(measured, "periodo", "left").withColumn("dias_datos", F.coalesce("dias_datos", F.lit(0)))
 
 

@@ -18,7 +18,8 @@ RAW_EVENT = f"source string, detailType string, detail {DETAIL}"
 MESSAGE = """msg_type string, source string, schema_version string, message_id string, timestamp string,
     data string, metadata string, detailType string, detail string"""
 
-IP_GEO = "ip string, city string, country string"
+# What duplicate detection needs of stored Bronze.
+BRONZE_IDS = "event_id string, batch_id string, ingestion_timestamp string, source_file string"
 
 # Bronze column <- path below ``detail``; order is the Bronze column order.
 FLAT_PATHS = {

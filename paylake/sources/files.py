@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from paylake import fixed_values as fv
 from paylake.operators.bronze import duplicate_log
-from paylake.schemas import RAW_EVENT
+from paylake.schemas import BRONZE_IDS, RAW_EVENT
 from paylake.sources.storage import has_files
 
 RAW_ORDER = ["raw_file", "raw_block", "raw_row"]
@@ -35,19 +35,31 @@ def write_bronze(batch: DataFrame, root: str) -> str:
     return root
 
 
-def read_bronze(spark: SparkSession, root: str, without_batch: str | None = None) -> DataFrame:
+def read_bronze(spark: SparkSession, root: str) -> DataFrame:
     """All Bronze rows with their file and row number; files may differ in columns, damaged ones are skipped."""
     if not has_files(spark, root):
         raise FileNotFoundError(f"no Bronze files in {root}")
     reader = spark.read.option("mergeSchema", True).option("ignoreCorruptFiles", True)
-    rows = reader.parquet(root).select(
+    return reader.parquet(root).select(
         "*",
         F.col("_metadata.file_path").alias("bronze_file"),
         F.col("_metadata.row_index").alias("bronze_row"),
+    ).drop(*_PLACE)
+
+
+def read_bronze_ids(spark: SparkSession, root: str, without_batch: str | None = None) -> DataFrame:
+    """Only what duplicate detection needs, with a fixed schema: no footer is read to plan it.
+
+    A file without an event_id column reads as rows without an id, which no lookup can match.
+    """
+    schema = f"{BRONZE_IDS}, in_batch string"
+    rows = spark.read.schema(schema).option("ignoreCorruptFiles", True).parquet(root)
+    if without_batch is not None:
+        rows = rows.filter(F.col("in_batch") != without_batch)
+    return rows.select(
+        "event_id", "batch_id", "ingestion_timestamp", "source_file",
+        F.col("_metadata.file_path").alias("bronze_file"), F.col("_metadata.row_index").alias("bronze_row"),
     )
-    if without_batch is not None:  # prunes that batch's folder
-        rows = rows.filter(F.col("in_batch").cast("string") != without_batch)
-    return rows.drop(*_PLACE)
 
 
 def write_silver(silver: DataFrame, root: str) -> str:

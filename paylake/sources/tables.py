@@ -10,7 +10,6 @@ from paylake.config import Settings
 from paylake.operators.bronze import add_metadata, first_seen, flag_duplicates, flatten
 from paylake.operators.silver import add_usd, build_silver, event_flags
 from paylake.operators.skew import lookup
-from paylake.schemas import IP_GEO
 
 TABLES_SETTINGS = Settings(as_of=dt.date(2001, 8, 2))
 
@@ -175,9 +174,8 @@ def raw_events(spark: SparkSession, folder: str, batch: int = 1) -> DataFrame:
 
 def ip_geo(spark: SparkSession) -> DataFrame:
     """Lookup result for public addresses; an empty part does not override."""
-    return spark.createDataFrame(
-        [("8.8.8.8", "Mountain View", "United States"), ("1.1.1.1", "", "Australia")], IP_GEO
-    )
+    return spark.sql("""SELECT * FROM VALUES ('8.8.8.8', 'Mountain View', 'United States'),
+        ('1.1.1.1', '', 'Australia') AS ip_geo(ip, city, country)""")
 
 
 def bronze_batch(spark: SparkSession, folder: str, batch: int) -> DataFrame:

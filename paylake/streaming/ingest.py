@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from paylake import fixed_values as fv
 from paylake.operators import bronze, messages
 from paylake.schemas import DETAIL, MESSAGE
-from paylake.sources.files import BRONZE_ORDER, read_bronze, write_bronze
+from paylake.sources.files import BRONZE_ORDER, read_bronze_ids, write_bronze
 from paylake.sources.storage import has_files
 
 # A micro-batch up to this many rows has its ids broadcast against history; a larger one is joined.
@@ -88,7 +88,7 @@ def _store_events(classified: DataFrame, batch_id: str, root: str, size: int, sp
     flat = _stamp(bronze.flatten(raw, keep=("received_at", *STREAM_ORDER)), "bus_stream", batch_id)
     known = None
     if has_files(spark, root):
-        history = read_bronze(spark, root, without_batch=batch_id)
+        history = read_bronze_ids(spark, root, without_batch=batch_id)
         small = flat if size <= BROADCAST_BATCH_ROWS else None
         known = bronze.first_seen(history, BRONZE_ORDER, small)
     flagged = bronze.flag_duplicates(flat, known, STREAM_ORDER)
