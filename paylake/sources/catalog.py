@@ -22,7 +22,7 @@ def publish_table(df: DataFrame, name: str, path: str | None = None) -> None:
 
 def readiness(spark: SparkSession, names: dict[str, str]) -> DataFrame:
     """Per required Gold table: present, row count, missing columns. ``names`` maps it to a catalog name."""
-    found = {t.name.lower() for t in spark.catalog.listTables()}
+    found = {t.name.lower() for t in spark.catalog.listTables() if not t.isTemporary}
     required = spark.createDataFrame(
         [(t, names.get(t, t)) for t in fv.GOLD_TABLES], "required string, catalog_name string"
     )

@@ -35,12 +35,17 @@ def write_bronze(batch: DataFrame, root: str) -> str:
     return root
 
 
-def read_bronze(spark: SparkSession, root: str) -> DataFrame:
-    """All Bronze rows with their file and row number; files may differ in columns, damaged ones are skipped."""
+def read_bronze(spark: SparkSession, root: str, batch_id: str | None = None) -> DataFrame:
+    """Bronze rows with their file and row number; files may differ in columns, damaged ones are skipped.
+
+    ``batch_id`` reads that batch's folders only.
+    """
     if not has_files(spark, root):
         raise FileNotFoundError(f"no Bronze files in {root}")
-    reader = spark.read.option("mergeSchema", True).option("ignoreCorruptFiles", True)
-    return reader.parquet(root).select(
+    stored = spark.read.option("mergeSchema", True).option("ignoreCorruptFiles", True).parquet(root)
+    if batch_id is not None:
+        stored = stored.filter(F.col("in_batch").cast("string") == batch_id)
+    return stored.select(
         "*",
         F.col("_metadata.file_path").alias("bronze_file"),
         F.col("_metadata.row_index").alias("bronze_row"),

@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+import datetime as dt
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from paylake.config import Settings
-from paylake.functions.scalars import event_key
+from paylake.functions.scalars import event_key, rows
 from paylake.operators import gold
 from paylake.operators.silver import build_silver
 from paylake.operators.skew import drop_matching, keep_matching
-from paylake.session import work_dir
 from paylake.sources import files, snapshots
+from paylake.sources.storage import delete, exists
 
 STORED_ORDER = files.BRONZE_ORDER
+MAX_LISTED_DAYS = 10_000
 # Spreads rows that share a missing or hot key; any columns that differ between such rows do.
 _SPREAD = ["timestamp", "event_id", "user_id"]
 
@@ -55,31 +59,6 @@ def _event_keys(events: DataFrame) -> DataFrame:
     return events.select(event_key().alias("_id")).filter(F.col("_id").isNotNull()).distinct()
 
 
-def touched_silver(
-    bronze: DataFrame, new_batch: DataFrame, settings: Settings, order_by: list[str], ip_geo: DataFrame | None = None
-) -> DataFrame:
-    """Silver rows of every event the new batch has a copy of, rebuilt from all their copies.
-
-    Rows of the batch without an id cannot have copies elsewhere and are taken as they are.
-    """
-    keyed = bronze.withColumn("_id", event_key())
-    copies = keep_matching(keyed, _event_keys(new_batch), "_id", order_by).drop("_id")
-    orphans = new_batch.filter(event_key().isNull())
-    return build_silver(copies.unionByName(orphans), settings, order_by, ip_geo)
-
-
-def merge_silver(old: DataFrame, rebuilt: DataFrame) -> DataFrame:
-    """Old Silver with the rebuilt events put in place of their earlier rows."""
-    keyed = old.withColumn("_id", event_key())
-    return drop_matching(keyed, _event_keys(rebuilt), "_id", _SPREAD).drop("_id").unionByName(rebuilt)
-
-
-def replaced_rows(old: DataFrame, rebuilt: DataFrame) -> DataFrame:
-    """Old Silver rows that the rebuilt events stand for."""
-    keyed = old.withColumn("_id", event_key())
-    return keep_matching(keyed, _event_keys(rebuilt), "_id", _SPREAD).drop("_id")
-
-
 def touched_keys(old_rows: DataFrame, new_rows: DataFrame, key: str) -> DataFrame:
     """Keys of the rows that went away or came in, once each."""
     both = old_rows.select(key).unionByName(new_rows.select(key))
@@ -94,31 +73,19 @@ def merge_users(old: DataFrame, silver: DataFrame, touched: DataFrame, settings:
     return kept.select(*fresh.columns).unionByName(fresh)
 
 
-def merge_days(old: DataFrame, silver: DataFrame, touched: DataFrame) -> DataFrame:
-    """Recompute only touched dates. Silver is laid out by date: a small list prunes the others' files."""
-    dated = silver.filter(F.col("date").isNotNull())
-    fresh = gold.daily_metrics(keep_matching(dated, touched, "date", _SPREAD))
-    return old.join(touched, "date", "left_anti").select(*fresh.columns).unionByName(fresh)
+def merge_days(old: DataFrame, silver: DataFrame, touched: list[dt.date] | None) -> DataFrame:
+    """Recompute only touched dates, reading only their folders; None means all."""
+    if touched is None:
+        return gold.daily_metrics(silver)
+    fresh = gold.daily_metrics(silver.filter(F.col("date").isin(touched)))
+    return old.filter(~F.col("date").isin(touched)).select(*fresh.columns).unionByName(fresh)
 
 
-def refresh(
-    old_silver: DataFrame, old_gold: dict[str, DataFrame], rebuilt: DataFrame, settings: Settings
-) -> tuple[DataFrame, dict[str, DataFrame]]:
-    """Silver and Gold after ``rebuilt`` events arrived, equal to a full rebuild.
-
-    The event table is recounted: one map-side combined count per event type.
-    """
-    replaced = replaced_rows(old_silver, rebuilt)
-    silver = merge_silver(old_silver, rebuilt)
-    return silver, {
-        "gold_user_360": merge_users(
-            old_gold["gold_user_360"], silver, touched_keys(replaced, rebuilt, "user_id"), settings
-        ),
-        "gold_daily_metrics": merge_days(
-            old_gold["gold_daily_metrics"], silver, touched_keys(replaced, rebuilt, "date")
-        ),
-        "gold_event_summary": gold.event_summary(silver),
-    }
+def touched_days(*parts: DataFrame) -> list[dt.date | None] | None:
+    """Distinct dates, as a list that prunes folders; None when there are too many to list."""
+    days = reduce(DataFrame.unionByName, [p.select("date") for p in parts]).distinct()
+    listed = [row.date for row in days.limit(MAX_LISTED_DAYS + 1).collect()]
+    return listed if len(listed) <= MAX_LISTED_DAYS else None
 
 
 def refresh_published(
@@ -127,32 +94,74 @@ def refresh_published(
 ) -> dict[str, str]:
     """Bring stored Silver and published Gold up to date with one new Bronze batch.
 
-    The rebuilt events and then the new contents of the touched dates are written tables, so each
-    step reads stored data. Only folders of touched dates are replaced in ``silver_root``; a run
-    that stops half way is repaired by running it again.
+    What changes is first written beside Silver: the rebuilt events, the rows they replace, and the
+    new contents of the touched dates. Only then are those dates' folders replaced and Gold is
+    published, and the staged tables go last. A run that stopped is finished by running it again.
     """
-    stored = files.read_bronze(spark, bronze_root)
-    new_batch = stored.filter(F.col("batch_id") == batch_id)
-    rebuilt = touched_silver(stored, new_batch, settings, STORED_ORDER, ip_geo).drop(*STORED_ORDER)
-    stage = work_dir(spark, "refresh")
-    rebuilt.write.parquet(f"{stage}/rebuilt")
-    rebuilt = spark.read.parquet(f"{stage}/rebuilt")
-
-    old_silver, old_gold = files.read_silver(spark, silver_root), read_published_gold(spark, gold_root)
-    replaced = replaced_rows(old_silver, rebuilt)
-    replaced.write.parquet(f"{stage}/replaced")
-    replaced = spark.read.parquet(f"{stage}/replaced")
-    users, days = (touched_keys(replaced, rebuilt, key) for key in ("user_id", "date"))
-
-    day = F.coalesce(F.col("date").cast("string"), F.lit(""))
-    dates = replaced.select(day.alias("_day")).unionByName(rebuilt.select(day.alias("_day"))).distinct()
-    merged = merge_silver(old_silver, rebuilt).withColumn("_day", day)
-    keep_matching(merged, dates, "_day", _SPREAD).drop("_day").write.parquet(f"{stage}/dates")
-    files.replace_silver_dates(spark.read.parquet(f"{stage}/dates"), silver_root)
-
-    silver = files.read_silver(spark, silver_root)
+    staging = f"{silver_root.rstrip('/')}_staging"
+    stage = f"{staging}/{batch_id}"
+    if exists(spark, staging) and not exists(spark, stage):
+        raise RuntimeError(f"finish the refresh staged in {staging} first")
+    if not exists(spark, f"{stage}/dates/_SUCCESS"):
+        _stage(spark, bronze_root, batch_id, silver_root, stage, settings, ip_geo)
+    rebuilt, replaced, dates = (spark.read.parquet(f"{stage}/{t}") for t in ("rebuilt", "replaced", "dates"))
+    files.replace_silver_dates(dates, silver_root)
+
+    silver, old_gold = files.read_silver(spark, silver_root), read_published_gold(spark, gold_root)
+    users, days = touched_keys(replaced, rebuilt, "user_id"), touched_days(replaced, rebuilt)
     paths = files.gold_paths(gold_root)
     snapshots.publish(merge_users(old_gold["gold_user_360"], silver, users, settings), paths["gold_user_360"])
-    snapshots.publish(merge_days(old_gold["gold_daily_metrics"], silver, days), paths["gold_daily_metrics"])
+    snapshots.publish(merge_days(old_gold["gold_daily_metrics"], silver, days and [d for d in days if d]), paths["gold_daily_metrics"])
     snapshots.publish(gold.event_summary(silver), paths["gold_event_summary"])
+    delete(spark, staging)
     return paths
+
+
+def _stage(
+    spark: SparkSession, bronze_root: str, batch_id: str, silver_root: str, stage: str, settings: Settings,
+    ip_geo: DataFrame | None,
+) -> None:
+    """What the batch changes in Silver. Reads the batch, the ids in Bronze, the ids and dates in Silver,
+    and all columns only of the touched dates. Staged tables have a known size, so the batch's
+    ids are broadcast exactly when they are few.
+    """
+    def write(df: DataFrame, name: str) -> DataFrame:
+        df.write.mode("overwrite").parquet(f"{stage}/{name}")
+        return spark.read.parquet(f"{stage}/{name}")
+
+    batch = files.read_bronze(spark, bronze_root, batch_id)
+    new = write(build_silver(batch, settings, STORED_ORDER, ip_geo).drop(*STORED_ORDER), "new")
+    ids = write(_event_keys(new), "ids")
+    old = files.read_silver(spark, silver_root).withColumn("_id", event_key())
+    known = old.filter(F.col("_id").isNotNull()).select("_id", "date", *_SPREAD)
+    days = touched_days(keep_matching(known, ids, "_id", _SPREAD), new)
+    if days is not None:
+        listed = F.col("date").isin([d for d in days if d is not None])
+        old = old.filter(listed | F.col("date").isNull() if None in days else listed)
+    # Rows without an id are known by their batch alone: a refresh that runs again replaces them.
+    again = F.col("_id").isNull() & F.col("batch_id").eqNullSafe(batch_id)
+    matched = keep_matching(old.filter(F.col("_id").isNotNull()), ids, "_id", _SPREAD)
+    replaced = write(matched.unionByName(old.filter(again)).drop("_id"), "replaced")
+    rebuilt = write(_rebuilt(new, replaced, files.read_bronze_ids(spark, bronze_root), ids), "rebuilt")
+    kept = drop_matching(old.filter(~again), ids, "_id", _SPREAD).drop("_id")
+    write(kept.unionByName(rebuilt), "dates")
+
+
+def _rebuilt(new: DataFrame, replaced: DataFrame, stored_ids: DataFrame, ids: DataFrame) -> DataFrame:
+    """Silver rows of the batch's events: the earlier canonical row stays unless the batch has a better
+    one, with the number of copies counted again over Bronze.
+    """
+    columns = [c for c in new.columns if c != "bronze_duplicate_count"]
+    at = F.col("ingestion_timestamp").try_cast("timestamp")
+    order = F.struct(F.coalesce("bronze_is_duplicate", F.lit(False)), at.isNull(), at, "_late")
+    both = replaced.withColumn("_late", F.lit(0)).unionByName(new.withColumn("_late", F.lit(1)))
+    best = (
+        both.withColumn("_id", event_key()).filter(F.col("_id").isNotNull()).groupBy("_id")
+        .agg(F.min_by(F.struct(*columns), order).alias("_row"))
+    )
+    copies = (
+        keep_matching(stored_ids.withColumn("_id", event_key()), ids, "_id", STORED_ORDER)
+        .groupBy("_id").agg(rows().alias("bronze_duplicate_count"))
+    )
+    with_id = best.join(copies, "_id", "left").select("_row.*", "bronze_duplicate_count")
+    return with_id.unionByName(new.filter(event_key().isNull()))
