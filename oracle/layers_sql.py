@@ -216,9 +216,9 @@ msg AS (
   SELECT n AS seq,
     CASE WHEN n % 4 = 0 OR n % 43 = 0 AND n % 41 <> 0 THEN NULL WHEN n % 41 = 0 THEN 'bogus' WHEN n % 4 = 1 THEN 'metric'
       WHEN n % 8 = 2 THEN 'log' WHEN n % 4 = 2 THEN 'alert' WHEN n % 8 = 3 THEN 'event' ELSE 'record' END AS msg_type,
-    n % 4 = 0 AS legacy, CASE WHEN n % 6 = 1 THEN '2.0' ELSE '1.0' END AS schema_version,
+    n % 4 = 0 AS legacy, CASE WHEN n % 4 <> 0 AND n % 6 = 1 THEN '2.0' ELSE '1.0' END AS schema_version,
     CASE WHEN n % 4 <> 0 AND n % 9 <> 1 THEN 'msg-' || n END AS message_id,
-    CASE WHEN n % 10 <> 3 THEN strftime(ts, '%Y-%m-%dT%H:%M:%SZ') END AS timestamp,
+    CASE WHEN n % 4 <> 0 AND n % 10 <> 3 THEN strftime(ts, '%Y-%m-%dT%H:%M:%SZ') END AS timestamp,
     event_type, CAST(CAST(ROUND(value * 100) AS BIGINT) AS VARCHAR) AS v, props
   FROM ev
 )"""
@@ -231,7 +231,7 @@ def message_queries() -> dict[str, str]:
     return {
         "envelope_validate": f"""WITH {MESSAGES} SELECT seq, msg_type, schema_version,
             COALESCE(message_id, 'filled') AS message_id, COALESCE(timestamp, '2024-03-01T00:00:00Z') AS timestamp,
-            CASE WHEN seq % 7 = 0 THEN '{{"device":"d"}}' ELSE '{{}}' END AS metadata,
+            CASE WHEN NOT legacy AND seq % 7 = 0 THEN '{{"device":"d"}}' ELSE '{{}}' END AS metadata,
             legacy OR COALESCE(msg_type IN ('event', 'metric', 'record', 'log', 'alert'), FALSE) AS is_valid FROM msg""",
         "message_classify": f"WITH {MESSAGES} SELECT seq, {kind} AS msg_kind, {route} AS msg_route FROM msg",
         "message_stats": f"WITH {MESSAGES} SELECT {kind} AS msg_kind, COUNT(*) AS n FROM msg GROUP BY 1",

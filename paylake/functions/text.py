@@ -36,13 +36,11 @@ def tokens(normalized: Column) -> Column:
     return F.regexp_extract_all(normalized, F.lit(r"([a-z0-9_]+)"), F.lit(1))
 
 
-def is_data_question(normalized: Column) -> Column:
-    return when_any(normalized, fv.DATA_QUESTION_WORDS) | F.array_contains(
-        tokens(normalized), fv.DATA_QUESTION_TOKEN
-    )
+def is_data_question(normalized: Column, toks: Column) -> Column:
+    return when_any(normalized, fv.DATA_QUESTION_WORDS) | F.array_contains(toks, fv.DATA_QUESTION_TOKEN)
 
 
-def intent(normalized: Column) -> Column:
+def intent(normalized: Column, toks: Column) -> Column:
     """First matching business rule; summary questions and the rest have none."""
     chosen = F.when(when_any(normalized, fv.SUMMARY_WORDS), F.lit(None).cast("string"))
     for name, any_of, and_any_of, whole_words in fv.INTENT_RULES:
@@ -50,7 +48,7 @@ def intent(normalized: Column) -> Column:
         if and_any_of:
             hit = hit & when_any(normalized, and_any_of)
         for word in whole_words:
-            hit = hit | F.array_contains(tokens(normalized), word)
+            hit = hit | F.array_contains(toks, word)
         if name == "city":
             by_failure = when_any(normalized, fv.CITY_FAILURE_WORDS)
             chosen = chosen.when(hit & by_failure, "city_by_failure")
@@ -58,44 +56,45 @@ def intent(normalized: Column) -> Column:
     return chosen
 
 
-def _word_map(words: dict[str, tuple[str, ...]]) -> Column:
-    pairs = [(w, key) for key, spellings in words.items() for w in spellings]
-    return F.create_map(*(F.lit(x) for pair in pairs for x in pair))
-
-
 def _keys_in_order(words: dict[str, tuple[str, ...]], toks: Column) -> Column:
-    table = _word_map(words)
-    return F.filter(F.transform(toks, lambda t: F.try_element_at(table, t)), lambda k: k.isNotNull())
+    """Keys of the known tokens, by first appearance. A hash intersection leaves the few known ones."""
+    spelled = [(w, key) for key, spellings in words.items() for w in spellings]
+    known = F.array_intersect(toks, F.array(*(F.lit(w) for w, _ in spelled)))
+    table = F.create_map(*(F.lit(x) for pair in spelled for x in pair))
+    return F.transform(known, lambda t: F.element_at(table, t))
 
 
-def dimension(normalized: Column) -> Column:
-    """Dimension of the first token that names one."""
-    return F.get(_keys_in_order(fv.DIMENSION_WORDS, tokens(normalized)), 0)
-
-
-def metric(normalized: Column) -> Column:
+def _metric(normalized: Column, found: Column, has_dimension: Column) -> Column:
     """Phrases first, then the first specific token, then the generic user count."""
-    found = _keys_in_order(fv.METRIC_WORDS, tokens(normalized))
     specific = F.filter(found, lambda k: k != fv.GENERIC_METRIC)
-    by_token = F.coalesce(F.get(specific, 0), F.get(found, 0))
     phrases = None
     for phrase, key in fv.METRIC_PHRASES:
         test = normalized.contains(phrase)
         phrases = F.when(test, key) if phrases is None else phrases.when(test, key)
-    default = F.when(dimension(normalized).isNotNull(), fv.GENERIC_METRIC)
-    return F.coalesce(phrases, by_token, default)
+    default = F.when(has_dimension, fv.GENERIC_METRIC)
+    return F.coalesce(phrases, F.get(specific, 0), F.get(found, 0), default)
 
 
 def tag_questions(questions: DataFrame, text: str = "text") -> DataFrame:
-    """Add the normalised text and every tag."""
-    return questions.withColumn("_q", normalize(text)).withColumns({
-        "is_data_question": is_data_question(F.col("_q")),
-        "intent": intent(F.col("_q")),
-        "dimension": dimension(F.col("_q")),
-        "metric": metric(F.col("_q")),
-    }).drop("_q")
+    """Add every tag: data question, intent, dimension of the first token that names one, metric.
+
+    Normalised text, tokens and metric words are columns of their own, so each is computed once.
+    """
+    q, toks, found = F.col("_q"), F.col("_tokens"), F.col("_metrics")
+    prepared = (
+        questions.withColumn("_q", normalize(text)).withColumn("_tokens", tokens(q))
+        .withColumns({
+            "dimension": F.get(_keys_in_order(fv.DIMENSION_WORDS, toks), 0),
+            "_metrics": _keys_in_order(fv.METRIC_WORDS, toks),
+        })
+    )
+    return prepared.withColumns({
+        "is_data_question": is_data_question(q, toks),
+        "intent": intent(q, toks),
+        "metric": _metric(q, found, F.col("dimension").isNotNull()),
+    }).drop("_q", "_tokens", "_metrics")
 
 
 def intent_counts(questions: DataFrame, text: str = "text") -> DataFrame:
-    tagged = questions.select(intent(normalize(text)).alias("intent"))
-    return tagged.groupBy("intent").agg(rows().alias("n"))
+    q = questions.select(normalize(text).alias("_q")).withColumn("_tokens", tokens(F.col("_q")))
+    return q.groupBy(intent(F.col("_q"), F.col("_tokens")).alias("intent")).agg(rows().alias("n"))

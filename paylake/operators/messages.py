@@ -44,15 +44,17 @@ def flatten_generic(messages: DataFrame, keep: tuple[str, ...] = ()) -> DataFram
 
     A map has room for any key; ``promote`` turns chosen keys into columns.
     """
-    data = F.from_json("data", "map<string, variant>")
-    first = F.slice(F.map_keys(data), 1, fv.PROMOTED_KEYS)
+    # One parse per message: the map and its first keys are columns of their own.
+    parsed = messages.withColumn("_data", F.from_json("data", "map<string, variant>")).withColumn(
+        "_first", F.slice(F.map_keys("_data"), 1, fv.PROMOTED_KEYS)
+    )
     scalars = F.map_filter(
-        data,
-        lambda key, value: F.array_contains(first, key)
+        F.col("_data"),
+        lambda key, value: F.array_contains("_first", key)
         & ~F.coalesce(F.schema_of_variant(value).rlike("^(OBJECT|ARRAY)"), F.lit(False)),
     )
     unknown = F.lit(fv.UNKNOWN_MESSAGE)
-    return messages.select(
+    return parsed.select(
         F.coalesce("msg_type", unknown).alias("msg_type"),
         F.coalesce("source", unknown).alias("source"),
         F.coalesce("schema_version", F.lit(fv.DEFAULT_SCHEMA_VERSION)).alias("schema_version"),

@@ -37,8 +37,9 @@ def deduplicate(events: DataFrame, order_by: list[str]) -> DataFrame:
     """One canonical row per event id, with the number of copies; rows without an id all stay.
 
     Canonical: not flagged before flagged, then earliest ingestion (unknown last), then
-    ``order_by``. Done as an aggregate, so copies of one id collapse inside each map task and
-    never meet in one sort. A row without an id is a group of its own.
+    ``order_by``, the row's place in Bronze, which must be unique. Done as an aggregate, so copies of
+    one id collapse inside each map task and never meet in one sort. A row without an id is a group
+    of its own, keyed by its place: a recomputed task sends it to the same partition.
     """
     if "event_id" not in events.columns:
         raise ValueError("cannot deduplicate: no event_id column")
@@ -53,8 +54,8 @@ def deduplicate(events: DataFrame, order_by: list[str]) -> DataFrame:
         F.struct(*events.columns).alias("_row"),
         order.alias("_order"),
         event_key().alias("_id"),
-        F.monotonically_increasing_id().alias("_n"),
-    ).withColumn("_orphan", F.when(F.col("_id").isNull(), F.col("_n")))
+        F.when(event_key().isNull(), F.struct(*order_by)).alias("_orphan"),
+    )
     return (
         keyed.groupBy("_id", "_orphan")
         .agg(F.min_by("_row", "_order").alias("_row"), rows().alias("bronze_duplicate_count"))

@@ -42,9 +42,10 @@ def lookup(
     partitions and only those keys' table rows are copied; rows without a key spread as well
     (they match nothing). Every other key holds at most 1/HEAVY_KEYS of the rows. The salt is a
     hash of ``salt_on``, so a recomputed task sends each row to the same place.
-    ``weight`` names a column of ``table`` with the row count per key, when it is known.
+    ``weight`` names a column of ``table`` with the row count per key, when it is known; such a
+    table was computed, so its size is known only at run time and adaptive execution decides.
     """
-    if allow_broadcast and fits_broadcast(table):
+    if allow_broadcast and weight is None and fits_broadcast(table):
         return rows.join(F.broadcast(table), key, "left")
     if weight:
         counts = table.select(key, F.col(weight).alias("_n"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from paylake import fixed_values as fv
+from paylake.operators.guard import check, drop_pii
 from paylake.sources.files import null_tokens_to_null
 
 REQUIRED_COLUMNS = {
@@ -20,6 +21,11 @@ def publish_table(df: DataFrame, name: str, path: str | None = None) -> None:
     (writer.option("path", path) if path else writer).saveAsTable(name)
 
 
+def query(spark: SparkSession, sql: str, max_rows: int = fv.WAREHOUSE_ROW_CAP) -> DataFrame:
+    """Read-only SQL over catalog tables, without personal columns, at most ``max_rows`` rows."""
+    return drop_pii(spark.sql(check(sql))).limit(max_rows)
+
+
 def readiness(spark: SparkSession, names: dict[str, str]) -> DataFrame:
     """Per required Gold table: present, row count, missing columns. ``names`` maps it to a catalog name."""
     found = {t.name.lower() for t in spark.catalog.listTables() if not t.isTemporary}

@@ -201,31 +201,29 @@ def silver_events(spark: SparkSession, folder: str, settings: Settings = TABLES_
 
 def messages(spark: SparkSession, folder: str) -> DataFrame:
     """Envelopes and legacy events mixed, one per event row; nested parts are JSON text."""
-    raw = raw_events(spark, folder).select("seq", F.to_json("detail").alias("legacy"))
-    events = table(spark, folder, "events").select(
-        F.col("event_id").alias("seq"), "ts", "event_type", "props", F.col("value").alias("v")
+    n, none = F.col("seq"), F.lit(None).cast("string")
+    legacy = raw_events(spark, folder).filter(n % 4 == 0).select(
+        "seq", none.alias("msg_type"), "source", none.alias("schema_version"), none.alias("message_id"),
+        none.alias("timestamp"), none.alias("data"), none.alias("metadata"), "detailType",
+        F.to_json("detail").alias("detail"),
     )
-    n = F.col("seq")
+    events = table(spark, folder, "events").withColumnRenamed("event_id", "seq").filter(n % 4 != 0)
     data = F.concat(
-        F.lit('{"name":"'), F.col("event_type"), F.lit('","value":'), _text(F.round(F.col("v") * 100).cast("long")),
+        F.lit('{"name":"'), F.col("event_type"), F.lit('","value":'),
+        _text(F.round(F.col("value") * 100).cast("long")),
         F.lit(',"nested":'), F.col("props"), F.lit(',"flag":true,"note":null,"list":[1,2]'),
         F.when(n % 8 == 1, F.lit(',"a":1,"b":2,"c":3,"d":4,"e":5,"f":6')).otherwise(F.lit("")), F.lit("}"),
     )
     kind = (
-        F.when(n % 4 == 0, F.lit(None)).when(n % 41 == 0, "bogus").when(n % 43 == 0, F.lit(None))
-        .when(n % 4 == 1, "metric").when(n % 4 == 2, F.when(n % 8 == 2, "log").otherwise("alert"))
-        .otherwise(F.when(n % 8 == 3, "event").otherwise("record"))
+        F.when(n % 41 == 0, "bogus").when(n % 43 == 0, none).when(n % 4 == 1, "metric")
+        .when(n % 8 == 2, "log").when(n % 4 == 2, "alert").when(n % 8 == 3, "event").otherwise("record")
     )
-    legacy = n % 4 == 0
-    return events.join(raw, "seq").select(
-        "seq",
-        kind.cast("string").alias("msg_type"),
-        F.when(~legacy, "bench").alias("source"),
+    generic = events.select(
+        "seq", kind.alias("msg_type"), F.lit("bench").alias("source"),
         F.when(n % 6 == 1, "2.0").alias("schema_version"),
-        F.when(~legacy & (n % 9 != 1), F.concat(F.lit("msg-"), _text(n))).alias("message_id"),
+        F.when(n % 9 != 1, F.concat(F.lit("msg-"), _text(n))).alias("message_id"),
         F.when(n % 10 != 3, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")).alias("timestamp"),
-        F.when(~legacy, data).alias("data"),
-        F.when(n % 7 == 0, '{"device":"d"}').alias("metadata"),
-        F.lit(None).cast("string").alias("detailType"),
-        F.when(legacy, F.col("legacy")).alias("detail"),
+        data.alias("data"), F.when(n % 7 == 0, '{"device":"d"}').alias("metadata"), none.alias("detailType"),
+        none.alias("detail"),
     )
+    return generic.unionByName(legacy)

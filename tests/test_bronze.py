@@ -98,21 +98,19 @@ def test_end_to_end(spark, folder):
     """Four raw events, one a copy: three Silver rows, two users, one day, three event types."""
     import datetime as dt
 
+    from paylake import batch
     from paylake.config import Settings
-    from paylake.streaming import refresh
+    from paylake.plans.answers import for_chart, for_intent
+    from paylake.sources.snapshots import read_latest
 
     write_raw(f"{folder}/raw.json")
-    flat = bronze.flatten(files.read_raw(spark, f"{folder}/raw.json"), keep=tuple(files.RAW_ORDER))
-    flagged = bronze.flag_duplicates(bronze.add_metadata(flat, "raw.json"), None, files.RAW_ORDER)
-    files.write_bronze(flagged.drop(*files.RAW_ORDER), f"{folder}/bronze")
-    stored = files.read_bronze(spark, f"{folder}/bronze").drop(*files.BRONZE_ORDER)
-    assert len(stored.columns) == 44 and stored.count() == 4
     settings = Settings(as_of=dt.date(2026, 1, 11), fx_rate=0.00025)
-    refresh.rebuild(spark, f"{folder}/bronze", f"{folder}/silver", f"{folder}/gold", settings)
-    from paylake.sources.snapshots import read_latest
-
-    silver = read_latest(spark, f"{folder}/silver")
-    gold = refresh.read_published_gold(spark, f"{folder}/gold")
+    gold = batch.run(spark, folder, settings, f"{folder}/raw.json")
+    stored = files.read_bronze(spark, f"{folder}/bronze/events").drop(*files.BRONZE_ORDER)
+    silver = read_latest(spark, f"{folder}/silver/events")
+    log = spark.read.option("header", True).csv(f"{folder}/logs/duplicates")
+    assert len(stored.columns) == 44 and stored.count() == 4
+    assert [r.duplicate_reason for r in log.collect()] == ["repeated_in_batch"]
     assert len(silver.columns) == 40 and silver.count() == 3
     assert silver.select("event_id").distinct().count() == 3
     assert {n: t.count() for n, t in gold.items()} == {
@@ -120,3 +118,14 @@ def test_end_to_end(spark, folder):
     user = gold["gold_user_360"].filter("user_id = 'user_2'").first()
     assert (user.total_amount_cop, user.total_amount_usd, user.failure_rate, user.days_since_last_tx) == \
         (200000.0, 50.0, 0.5, 10)
+    assert spark.sql("SELECT count(*) FROM gold_user_360").first()[0] == 2
+    assert for_intent("segment", gold).first().usuarios == 2
+    assert for_intent("event", gold).count() == 3 and for_intent("daily", gold).count() == 1
+    assert for_intent(None, gold) is None and for_chart("ciudad", None, gold) is None
+    assert for_chart("ciudad", "usuarios", gold).first().usuarios == 2
+
+    again = batch.run(spark, folder, settings, f"{folder}/raw.json")  # the same file as a second batch
+    assert files.read_bronze(spark, f"{folder}/bronze/events").filter("duplicate_reason = 'seen_in_bronze'").count() == 4
+    assert sorted(map(str, again["gold_user_360"].collect())) == sorted(map(str, gold["gold_user_360"].collect()))
+    kept = batch.run(spark, folder, settings, f"{folder}/raw.json", from_silver=True)
+    assert kept["gold_user_360"].count() == 2 and files.read_bronze(spark, f"{folder}/bronze/events").count() == 8

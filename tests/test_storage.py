@@ -111,6 +111,7 @@ def test_null_tokens(spark):
 def test_catalog(spark, folder):
     catalog.publish_table(spark.createDataFrame([("nan",), ("x",)], "event string"), "t_events", f"{folder}/c")
     assert sorted(str(r.event) for r in spark.table("t_events").collect()) == ["None", "x"]
+    assert catalog.query(spark, "SELECT event FROM t_events", max_rows=1).count() == 1
     ready = {r.table: r for r in catalog.readiness(spark, {"gold_event_summary": "t_events"}).collect()}
     assert ready["gold_event_summary"].present and ready["gold_event_summary"].rows == 2
     assert ready["gold_event_summary"].missing_columns == "count,success_count,failed_count,pct_of_total"
