@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from paylake import fixed_values as fv
-from paylake.functions.scalars import exact_sum, half_up, pct, rows
+from paylake.functions.scalars import MONEY, half_up, pct, rows
 
 
 def column_roles(name: str, dtype: T.DataType) -> str:
@@ -27,41 +27,44 @@ def _is_day(dtype: T.DataType) -> bool:
 
 
 def profile_columns(df: DataFrame, table: str) -> DataFrame:
-    """One row per column: type, nulls, distinct values, numeric range and mean, date range.
+    """One row per column: type, roles, nulls, distinct values, numeric range and mean, date range.
 
-    Everything but the distinct counts comes from one pass. Distinct values are counted in a
-    second one over (column, value) pairs, which spreads over the cluster by value.
+    One pass over the table: its (column, value) pairs are counted, combined inside each task first,
+    and every figure follows from the counted pairs. No task holds the values of a column.
     """
-    fields = [f for f in df.schema.fields]
-
-    def stats(f: T.StructField) -> Column:
-        c, number, day = F.col(f"`{f.name}`"), isinstance(f.dataType, T.NumericType), _is_day(f.dataType)
-        none, no_day = F.lit(None).cast("double"), F.lit(None).cast("date")
-        return F.struct(
-            F.lit(f.name).alias("column"),
-            F.lit(f.dataType.simpleString()).alias("type"),
-            F.lit(column_roles(f.name, f.dataType)).alias("roles"),
-            rows().alias("rows"),
-            F.count_if(c.isNull()).alias("nulls"),
-            F.coalesce(pct(F.count_if(c.isNull()), rows(), 2), F.lit(0.0)).alias("nulls_pct"),
-            (F.min(c).cast("double") if number else none).alias("min"),
-            (F.max(c).cast("double") if number else none).alias("max"),
-            (half_up(F.try_divide(exact_sum(c), F.count(c)), 4) if number else none).alias("mean"),
-            (F.to_date(F.min(c)) if day else no_day).alias("min_date"),
-            (F.to_date(F.max(c)) if day else no_day).alias("max_date"),
-        )
-
-    one_row = df.agg(*(stats(f).alias(f"s{i}") for i, f in enumerate(fields)))
-    profile = one_row.select(F.explode(F.array(*(f"s{i}" for i in range(len(fields))))).alias("s")).select("s.*")
-    pairs = (
+    fields = df.schema.fields
+    numbers = [f.name for f in fields if isinstance(f.dataType, T.NumericType)]
+    days = [f.name for f in fields if _is_day(f.dataType)]
+    counted = (
         df.select(*(F.col(f"`{f.name}`").cast("string").alias(f.name) for f in fields))
         .unpivot([], [f.name for f in fields], "column", "value")
-        .filter(F.col("value").isNotNull()).groupBy("column", "value").agg(rows().alias("n"))
+        .groupBy("column", "value").agg(rows().alias("n"))
     )
-    distinct = pairs.groupBy("column").agg(rows().alias("distinct"))
-    return profile.join(F.broadcast(distinct), "column", "left").withColumns({  # one row per column
-        "distinct": F.coalesce("distinct", F.lit(0)), "table": F.lit(table),
-    })
+    n = F.col("n")
+    number = F.when(F.col("column").isin(numbers), F.col("value").try_cast("double"))
+    day = F.when(F.col("column").isin(days), F.to_date(F.col("value").try_cast("timestamp")))
+    known = F.when(number.isNotNull(), n)
+    total = F.sum(number.cast(MONEY) * n).cast("double")
+    figures = counted.groupBy("column").agg(
+        F.sum(n).alias("rows"),
+        F.coalesce(F.sum(F.when(F.col("value").isNull(), n)), F.lit(0)).alias("nulls"),
+        F.count("value").alias("distinct"),
+        F.min(number).alias("min"),
+        F.max(number).alias("max"),
+        half_up(F.try_divide(total, F.sum(known)), 4).alias("mean"),
+        F.min(day).alias("min_date"),
+        F.max(day).alias("max_date"),
+    )
+    columns = df.sparkSession.range(1).select(F.explode(F.array(*(
+        F.struct(
+            F.lit(table).alias("table"), F.lit(f.name).alias("column"), F.lit(f.dataType.simpleString()).alias("type"),
+            F.lit(column_roles(f.name, f.dataType)).alias("roles"),
+        ) for f in fields
+    ))).alias("c")).select("c.*")
+    zero = F.lit(0).cast("long")
+    return columns.join(figures, "column", "left").withColumns({
+        "rows": F.coalesce("rows", zero), "nulls": F.coalesce("nulls", zero), "distinct": F.coalesce("distinct", zero),
+    }).withColumn("nulls_pct", F.coalesce(pct(F.col("nulls"), F.col("rows"), 2), F.lit(0.0)))
 
 
 def profile_tables(tables: dict[str, DataFrame]) -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -136,8 +135,3 @@ def progress(query: StreamingQuery) -> dict[str, int]:
         "batches": sum(1 for p in recent if p["numInputRows"] > 0),
         "messages": sum(p["numInputRows"] for p in recent),
     }
-
-
-def refresh_due(last: dt.datetime | None, now: dt.datetime, minimum_seconds: int = 60, force: bool = False) -> bool:
-    """A refresh runs at most once per interval, measured from the last success, unless forced."""
-    return force or last is None or (now - last).total_seconds() >= minimum_seconds

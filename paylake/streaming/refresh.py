@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import logging
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -165,3 +167,40 @@ def _rebuilt(new: DataFrame, replaced: DataFrame, stored_ids: DataFrame, ids: Da
     )
     with_id = best.join(copies, "_id", "left").select("_row.*", "bronze_duplicate_count")
     return with_id.unionByName(new.filter(event_key().isNull()))
+
+
+def refresh_due(last: dt.datetime | None, now: dt.datetime, minimum_seconds: int = 60, force: bool = False) -> bool:
+    """A refresh runs at most once per interval, measured from the last success, unless forced."""
+    return force or last is None or (now - last).total_seconds() >= minimum_seconds
+
+
+@dataclass
+class Refresher:
+    """Rebuild Silver and Gold after micro-batches, as the stream's ``after_batch``.
+
+    It runs inside the batch, so two refreshes never overlap. A failed refresh is counted and does
+    not stop the stream; the next batch tries again.
+    """
+
+    bronze_root: str
+    silver_path: str
+    gold_root: str
+    settings: Settings
+    ip_geo: DataFrame | None = None
+    minimum_seconds: int = 60
+    last_run: dt.datetime | None = None
+    runs: int = 0
+    errors: int = 0
+
+    def __call__(self, spark: SparkSession, epoch: int | None = None, force: bool = False) -> bool:
+        now = dt.datetime.now(dt.timezone.utc)
+        if not refresh_due(self.last_run, now, self.minimum_seconds, force):
+            return False
+        try:
+            rebuild(spark, self.bronze_root, self.silver_path, self.gold_root, self.settings, self.ip_geo)
+        except Exception as error:
+            self.errors += 1
+            logging.getLogger(__name__).warning("refresh failed: %s", error)
+            return False
+        self.last_run, self.runs = now, self.runs + 1
+        return True

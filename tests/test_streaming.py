@@ -134,4 +134,24 @@ def test_late_rows_refresh_equals_rebuild(spark, folder, monkeypatch):
 def test_refresh_interval(seconds, force, due):
     now = dt.datetime(2026, 1, 1, 12)
     last = None if seconds is None else now - dt.timedelta(seconds=seconds)
-    assert ingest.refresh_due(last, now, 60, force) is due
+    assert refresh.refresh_due(last, now, 60, force) is due
+
+
+def test_refresh_after_batches(spark, folder):
+    """Two micro-batches inside the interval refresh once; the final forced one sees everything."""
+    root = ingest.bronze_roots(f"{folder}/bronze")["events"]
+    refresher = refresh.Refresher(root, f"{folder}/silver", f"{folder}/gold", SETTINGS)
+    send(f"{folder}/in", "a", [raw_event("e1", "u1")])
+    send(f"{folder}/in", "b", [raw_event("e2", "u2")])
+    ingest.start(ingest.read_messages(spark, f"{folder}/in", 1), f"{folder}/bronze", f"{folder}/checkpoint",
+                 "refreshed", after_batch=refresher).awaitTermination()
+    assert (refresher.runs, refresher.errors) == (1, 0)
+    assert refresh.read_published_gold(spark, f"{folder}/gold")["gold_user_360"].count() == 1
+    assert refresher(spark) is False and refresher(spark, force=True) is True
+    assert refresh.read_published_gold(spark, f"{folder}/gold")["gold_user_360"].count() == 2
+
+
+def test_failed_refresh_is_counted_and_tried_again(spark, folder):
+    refresher = refresh.Refresher(f"{folder}/none", f"{folder}/silver", f"{folder}/gold", SETTINGS)
+    assert refresher(spark) is False and refresher(spark) is False
+    assert (refresher.runs, refresher.errors, refresher.last_run) == (0, 2, None)
