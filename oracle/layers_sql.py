@@ -16,7 +16,7 @@ numbered AS (
   WHERE n % 10 = 0 OR n % 30 = 7
 ),
 flat AS (
-  SELECT batch, seq, n, 'fintech.app' AS source, 'transaction' AS detailType,
+  SELECT batch, seq, n, 'payments.app' AS source, 'transaction' AS detailType,
     CASE WHEN n % 97 = 0 THEN NULL WHEN n % 13 = 0 THEN '  ' || COALESCE(nm, 'evt-' || n) || ' '
          ELSE COALESCE(nm, 'evt-' || n) END AS event_id,
     CASE event_type WHEN 'signup' THEN 'USER_REGISTERED' WHEN 'purchase' THEN 'PURCHASE_MADE'

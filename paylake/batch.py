@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from paylake.config import Settings
 from paylake.operators import bronze
 from paylake.operators.skew import fits_broadcast
+from paylake.session import work_dir
 from paylake.sources import files
-from paylake.sources.storage import has_files
+from paylake.sources.storage import delete, has_files
 from paylake.streaming import refresh
 
 
@@ -21,20 +22,24 @@ def ingest(
 ) -> str:
     """Add one batch of raw events to Bronze, flagged against what is stored. Returns the batch id.
 
-    The duplicate log is taken from the stored batch, so raw input is parsed for the write only.
+    The flat batch is written to the shared folder first: JSON is parsed once, the id passes of the
+    duplicate test read one column, and the batch has a known size. Large inputs should be JSON
+    lines (``multi_line=False``), which can be split; one array is one task.
     """
     batch_id = batch_id or uuid.uuid4().hex[:8]
-    raw = files.read_raw(spark, raw_path, multi_line)
-    flat = bronze.flatten(raw, keep=tuple(files.RAW_ORDER))
-    stamped = bronze.add_metadata(flat, raw_path, batch_id, ingested_at)
+    stage = work_dir(spark, "ingest")
+    bronze.flatten(files.read_raw(spark, raw_path, multi_line), keep=tuple(files.RAW_ORDER)).write.parquet(stage)
+    staged = spark.read.parquet(stage)
     known = None
     if has_files(spark, bronze_root):
-        small = flat if fits_broadcast(raw) else None
+        small = staged if fits_broadcast(staged) else None
         known = bronze.first_seen(files.read_bronze_ids(spark, bronze_root, batch_id), files.BRONZE_ORDER, small)
+    stamped = bronze.add_metadata(staged, raw_path, batch_id, ingested_at)
     flagged = bronze.flag_duplicates(stamped, known, files.RAW_ORDER).drop(*files.RAW_ORDER)
     files.write_bronze(flagged, bronze_root)
     if log_path and has_files(spark, bronze_root):
         files.write_duplicate_log(files.read_bronze(spark, bronze_root, batch_id), log_path)
+    delete(spark, stage)
     return batch_id
 
 

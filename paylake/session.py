@@ -12,7 +12,6 @@ SQL_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Bronze history may hold a damaged file; it is skipped, as every reader of Bronze expects.
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }

@@ -167,7 +167,7 @@ def raw_events(spark: SparkSession, folder: str, batch: int = 1) -> DataFrame:
         metadata.alias("metadata"),
     )
     return events.select(
-        F.lit("fintech.app").alias("source"), F.lit("transaction").alias("detailType"), detail.alias("detail"),
+        F.lit("payments.app").alias("source"), F.lit("transaction").alias("detailType"), detail.alias("detail"),
         seq.alias("seq"),
     )
 

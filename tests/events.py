@@ -13,7 +13,7 @@ RAW_CASES = [  # id, user, event, status, amount: the end-to-end case
 def raw_event(event_id="evt-1", user="user_1", event="PAYMENT_MADE", status="SUCCESS", amount=100000.0,
               timestamp="2026-01-01T10:00:00Z", city="Bogota"):
     return {
-        "source": "fintech.app", "detailType": "event",
+        "source": "payments.app", "detailType": "event",
         "detail": {
             "id": event_id, "event": event, "version": "1.0", "eventType": "business", "transactionType": "debit",
             "eventEntity": "user", "eventStatus": status,
