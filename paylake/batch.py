@@ -38,7 +38,7 @@ def ingest(
     flagged = bronze.flag_duplicates(stamped, known, files.RAW_ORDER).drop(*files.RAW_ORDER)
     files.write_bronze(flagged, bronze_root)
     if log_path and has_files(spark, bronze_root):
-        files.write_duplicate_log(files.read_bronze(spark, bronze_root, batch_id), log_path)
+        files.write_duplicate_log(files.read_bronze(spark, bronze_root, [batch_id]), log_path)
     delete(spark, stage)
     return batch_id
 

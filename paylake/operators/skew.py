@@ -34,6 +34,7 @@ def lookup(
     heavy_rows: int = HEAVY_ROWS,
     salts: int = SALTS,
     allow_broadcast: bool = True,
+    bounded: bool = False,
 ) -> DataFrame:
     """Left join of ``rows`` to ``table``, which has one row per ``key``.
 
@@ -44,7 +45,10 @@ def lookup(
     hash of ``salt_on``, so a recomputed task sends each row to the same place.
     ``weight`` names a column of ``table`` with the row count per key, when it is known; such a
     table was computed, so its size is known only at run time and adaptive execution decides.
+    ``bounded`` says the caller counted the rows and one task can hold them all: a plain join.
     """
+    if bounded:
+        return rows.join(table, key, "left")
     if allow_broadcast and weight is None and fits_broadcast(table):
         return rows.join(F.broadcast(table), key, "left")
     if weight:

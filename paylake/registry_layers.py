@@ -240,12 +240,10 @@ def _late_data(spark: SparkSession, folder: str) -> DataFrame:
     one, two = (tables.bronze_batch(spark, folder, b).drop("bronze_file") for b in (1, 2))
     geo = tables.ip_geo(spark)
     files.write_bronze(bronze.flag_duplicates(one, None, tables.RAW_ORDER).drop("seq"), root)
-    first = silver.build_silver(files.read_bronze(spark, root), SETTINGS, files.BRONZE_ORDER, geo)
-    files.write_silver(first.drop(*files.BRONZE_ORDER), silver_root)
-    refresh.publish_gold(files.read_silver(spark, silver_root), gold_root, SETTINGS)
+    refresh.refresh_published(spark, root, silver_root, gold_root, SETTINGS, geo)
     known = bronze.first_seen(files.read_bronze_ids(spark, root), files.BRONZE_ORDER)
     files.write_bronze(bronze.flag_duplicates(two, known, tables.RAW_ORDER).drop("seq"), root)
-    refresh.refresh_published(spark, root, tables.BATCHES[2][0], silver_root, gold_root, SETTINGS, geo)
+    refresh.refresh_published(spark, root, silver_root, gold_root, SETTINGS, geo)
     return gold_rows(refresh.read_published_gold(spark, gold_root))
 
 

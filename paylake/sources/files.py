@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from paylake import fixed_values as fv
 from paylake.operators.bronze import duplicate_log
@@ -14,6 +14,16 @@ BRONZE_ORDER = ["bronze_file", "bronze_row"]
 _PLACE = ("in_day", "in_batch")  # folder columns of Bronze; the data columns stay in the files
 
 
+def _folder(batch_id: str | Column) -> Column:
+    """Folder value of a batch. The prefix keeps an id of digits from being read back as a number."""
+    return F.concat(F.lit("b_"), F.lit(batch_id) if isinstance(batch_id, str) else batch_id)
+
+
+def placed(batch: DataFrame) -> DataFrame:
+    """With the folder columns of its day and batch."""
+    return batch.withColumns({"in_day": F.col("ingestion_date"), "in_batch": _folder(F.col("batch_id"))})
+
+
 def read_raw(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """Nested events from JSON arrays (``multi_line``) or JSON lines, with their order in the input."""
     raw = spark.read.schema(RAW_EVENT).option("multiLine", multi_line).json(path)
@@ -27,25 +37,23 @@ def read_raw(spark: SparkSession, path: str, multi_line: bool = True) -> DataFra
 
 def write_bronze(batch: DataFrame, root: str) -> str:
     """Add one batch. A batch has a folder of its own below its day, so writing it again replaces it."""
-    placed = batch.withColumns({"in_day": F.col("ingestion_date"), "in_batch": F.col("batch_id")})
     (
-        placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        placed(batch).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .option("compression", "snappy").partitionBy(*_PLACE).parquet(root)
     )
     return root
 
 
-def read_bronze(spark: SparkSession, root: str, batch_id: str | None = None) -> DataFrame:
+def read_bronze(spark: SparkSession, root: str, batch_ids: list[str] | None = None) -> DataFrame:
     """Bronze rows with their file and row number; files may differ in columns, damaged ones are skipped.
 
-    ``batch_id`` reads that batch's folders only.
+    ``batch_ids`` lists and reads those batches' folders only.
     """
     if not has_files(spark, root):
         raise FileNotFoundError(f"no Bronze files in {root}")
-    stored = spark.read.option("mergeSchema", True).option("ignoreCorruptFiles", True).parquet(root)
-    if batch_id is not None:
-        stored = stored.filter(F.col("in_batch").cast("string") == batch_id)
-    return stored.select(
+    reader = spark.read.option("mergeSchema", True).option("ignoreCorruptFiles", True).option("basePath", root)
+    paths = [root] if batch_ids is None else [f"{root}/in_day=*/in_batch=b_{b}" for b in batch_ids]
+    return reader.parquet(*paths).select(
         "*",
         F.col("_metadata.file_path").alias("bronze_file"),
         F.col("_metadata.row_index").alias("bronze_row"),
@@ -60,13 +68,19 @@ def read_bronze_ids(spark: SparkSession, root: str, without_batch: str | None =
     schema = f"{BRONZE_IDS}, in_batch string"
     rows = spark.read.schema(schema).option("ignoreCorruptFiles", True).parquet(root)
     if without_batch is not None:
-        rows = rows.filter(F.col("in_batch") != without_batch)
+        rows = rows.filter(F.col("in_batch") != _folder(without_batch))
     return rows.select(
         "event_id", "batch_id", "ingestion_timestamp", "source_file",
         F.col("_metadata.file_path").alias("bronze_file"), F.col("_metadata.row_index").alias("bronze_row"),
     )
 
 
+def bronze_batches(spark: SparkSession, root: str) -> DataFrame:
+    """Ids of the stored batches, from the folder names."""
+    folders = spark.read.schema("in_batch string").parquet(root).select("in_batch").distinct()
+    return folders.select(F.substr("in_batch", F.lit(3)).alias("batch_id"))
+
+
 def write_silver(silver: DataFrame, root: str) -> str:
     """Silver by event date. The rebalance sizes files: small dates are merged, a hot date is split."""
     (

@@ -10,11 +10,12 @@ from pyspark.sql.streaming import StreamingQuery
 from paylake import fixed_values as fv
 from paylake.operators import bronze, messages
 from paylake.schemas import DETAIL, MESSAGE
-from paylake.sources.files import BRONZE_ORDER, read_bronze_ids, write_bronze
+from paylake.sources.files import BRONZE_ORDER, placed, read_bronze_ids, write_bronze
 from paylake.sources.storage import has_files
 
-# A micro-batch up to this many rows has its ids broadcast against history; a larger one is joined.
-BROADCAST_BATCH_ROWS = 2_000_000
+# A micro-batch up to this many rows has its ids broadcast against history, and no key in it is too
+# hot for one task. A larger one is joined with hot keys salted.
+SMALL_BATCH_ROWS = 1_000_000
 STREAM_ORDER = ["in_file", "in_block", "in_row"]
 
 
@@ -85,12 +86,11 @@ def _store_events(classified: DataFrame, batch_id: str, root: str, size: int, sp
         "source", "detailType", F.from_json("detail", DETAIL).alias("detail"), "received_at", *STREAM_ORDER
     )
     flat = _stamp(bronze.flatten(raw, keep=("received_at", *STREAM_ORDER)), "bus_stream", batch_id)
-    known = None
+    known, small = None, size <= SMALL_BATCH_ROWS
     if has_files(spark, root):
         history = read_bronze_ids(spark, root, without_batch=batch_id)
-        small = flat if size <= BROADCAST_BATCH_ROWS else None
-        known = bronze.first_seen(history, BRONZE_ORDER, small)
-    flagged = bronze.flag_duplicates(flat, known, STREAM_ORDER)
+        known = bronze.first_seen(history, BRONZE_ORDER, flat if small else None)
+    flagged = bronze.flag_duplicates(flat, known, STREAM_ORDER, bounded=small)
     write_bronze(flagged.drop(*STREAM_ORDER), root)
 
 
@@ -101,9 +101,8 @@ def _store_messages(classified: DataFrame, batch_id: str, root: str) -> None:
     valid = messages.validate(others, at)
     flat = messages.flatten_generic(valid, keep=("is_valid", "msg_route", "received_at"))
     stamped = _stamp(flat, F.concat(F.lit("bus_stream_"), F.col("msg_route")), batch_id)
-    placed = stamped.withColumns({"in_day": F.col("ingestion_date"), "in_batch": F.col("batch_id")})
     (
-        placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        placed(stamped).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy("msg_route", "in_day", "in_batch").parquet(root)
     )
 
@@ -114,14 +113,14 @@ def start(
     checkpoint: str,
     name: str = "bronze",
     every: str | None = None,
-    after_batch: Callable[[SparkSession, int], None] | None = None,
+    after_batch: Callable[[SparkSession], object] | None = None,
 ) -> StreamingQuery:
     """Run the stream into Bronze. ``every`` is a processing-time interval; None drains and stops."""
 
     def on_batch(batch: DataFrame, epoch: int) -> None:
         store_batch(batch, f"{name}-{epoch:08d}", root)
         if after_batch:
-            after_batch(batch.sparkSession, epoch)
+            after_batch(batch.sparkSession)
 
     writer = stream.writeStream.queryName(name).option("checkpointLocation", checkpoint).foreachBatch(on_batch)
     trigger = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)

@@ -15,7 +15,7 @@ from paylake.operators import gold
 from paylake.operators.silver import build_silver
 from paylake.operators.skew import drop_matching, keep_matching
 from paylake.sources import files, snapshots
-from paylake.sources.storage import delete, exists
+from paylake.sources.storage import delete, exists, has_files
 
 STORED_ORDER = files.BRONZE_ORDER
 MAX_LISTED_DAYS = 10_000
@@ -91,47 +91,72 @@ def touched_days(*parts: DataFrame) -> list[dt.date | None] | None:
 
 
 def refresh_published(
-    spark: SparkSession, bronze_root: str, batch_id: str, silver_root: str, gold_root: str, settings: Settings,
+    spark: SparkSession, bronze_root: str, silver_root: str, gold_root: str, settings: Settings,
     ip_geo: DataFrame | None = None,
-) -> dict[str, str]:
-    """Bring stored Silver and published Gold up to date with one new Bronze batch.
+) -> list[str]:
+    """Bring stored Silver and published Gold up to date with the Bronze batches not yet in them.
 
     What changes is first written beside Silver: the rebuilt events, the rows they replace, and the
     new contents of the touched dates. Only then are those dates' folders replaced and Gold is
-    published, and the staged tables go last. A run that stopped is finished by running it again.
+    published. A run that stopped is finished, or begun again if it had replaced nothing, by the next.
+    Returns the batches taken in. The first run builds everything.
     """
-    staging = f"{silver_root.rstrip('/')}_staging"
-    stage = f"{staging}/{batch_id}"
-    if exists(spark, staging) and not exists(spark, stage):
-        raise RuntimeError(f"finish the refresh staged in {staging} first")
-    if not exists(spark, f"{stage}/dates/_SUCCESS"):
-        _stage(spark, bronze_root, batch_id, silver_root, stage, settings, ip_geo)
-    rebuilt, replaced, dates = (spark.read.parquet(f"{stage}/{t}") for t in ("rebuilt", "replaced", "dates"))
+    staging, applied = f"{silver_root.rstrip('/')}_staging", f"{silver_root.rstrip('/')}_applied"
+    if not has_files(spark, silver_root):
+        batches = files.bronze_batches(spark, bronze_root)
+        silver = build_silver(files.read_bronze(spark, bronze_root), settings, STORED_ORDER, ip_geo)
+        files.write_silver(silver.drop(*STORED_ORDER), silver_root)
+        publish_gold(files.read_silver(spark, silver_root), gold_root, settings)
+        batches.write.mode("overwrite").json(applied)
+        return sorted(row.batch_id for row in batches.collect())
+    if exists(spark, f"{staging}/dates/_SUCCESS"):
+        _apply(spark, staging, applied, silver_root, gold_root, settings)
+    elif exists(spark, staging):
+        delete(spark, staging)
+    done = spark.read.schema("batch_id string").json(applied)
+    pending = files.bronze_batches(spark, bronze_root).join(done, "batch_id", "left_anti")
+    batch_ids = sorted(row.batch_id for row in pending.collect())  # batches since the last refresh
+    if batch_ids:
+        _stage(spark, bronze_root, batch_ids, silver_root, staging, settings, ip_geo)
+        _apply(spark, staging, applied, silver_root, gold_root, settings)
+    return batch_ids
+
+
+def _apply(
+    spark: SparkSession, stage: str, applied: str, silver_root: str, gold_root: str, settings: Settings
+) -> None:
+    """Replace the touched dates and publish Gold; doing it twice changes nothing more."""
+    rebuilt, replaced, dates, batches = (
+        spark.read.parquet(f"{stage}/{t}") for t in ("rebuilt", "replaced", "dates", "batches")
+    )
     files.replace_silver_dates(dates, silver_root)
-
     silver, old_gold = files.read_silver(spark, silver_root), read_published_gold(spark, gold_root)
     users, days = touched_keys(replaced, rebuilt, "user_id"), touched_days(replaced, rebuilt)
     paths = files.gold_paths(gold_root)
     snapshots.publish(merge_users(old_gold["gold_user_360"], silver, users, settings), paths["gold_user_360"])
-    snapshots.publish(merge_days(old_gold["gold_daily_metrics"], silver, days and [d for d in days if d]), paths["gold_daily_metrics"])
+    snapshots.publish(
+        merge_days(old_gold["gold_daily_metrics"], silver, days and [d for d in days if d]),
+        paths["gold_daily_metrics"],
+    )
     snapshots.publish(gold.event_summary(silver), paths["gold_event_summary"])
-    delete(spark, staging)
-    return paths
+    batches.write.mode("append").json(applied)
+    delete(spark, stage)
 
 
 def _stage(
-    spark: SparkSession, bronze_root: str, batch_id: str, silver_root: str, stage: str, settings: Settings,
+    spark: SparkSession, bronze_root: str, batch_ids: list[str], silver_root: str, stage: str, settings: Settings,
     ip_geo: DataFrame | None,
 ) -> None:
-    """What the batch changes in Silver. Reads the batch, the ids in Bronze, the ids and dates in Silver,
-    and all columns only of the touched dates. Staged tables have a known size, so the batch's
-    ids are broadcast exactly when they are few.
+    """What new batches change in Silver. Reads them, the ids in Bronze, the ids and dates in Silver, and
+    all columns only of the touched dates. Staged tables have a known size, so the new ids are
+    broadcast exactly when they are few.
     """
     def write(df: DataFrame, name: str) -> DataFrame:
         df.write.mode("overwrite").parquet(f"{stage}/{name}")
         return spark.read.parquet(f"{stage}/{name}")
 
-    batch = files.read_bronze(spark, bronze_root, batch_id)
+    write(spark.createDataFrame([(b,) for b in batch_ids], "batch_id string"), "batches")
+    batch = files.read_bronze(spark, bronze_root, batch_ids)
     new = write(build_silver(batch, settings, STORED_ORDER, ip_geo).drop(*STORED_ORDER), "new")
     ids = write(_event_keys(new), "ids")
     old = files.read_silver(spark, silver_root).withColumn("_id", event_key())
@@ -141,7 +166,7 @@ def _stage(
         listed = F.col("date").isin([d for d in days if d is not None])
         old = old.filter(listed | F.col("date").isNull() if None in days else listed)
     # Rows without an id are known by their batch alone: a refresh that runs again replaces them.
-    again = F.col("_id").isNull() & F.col("batch_id").eqNullSafe(batch_id)
+    again = F.col("_id").isNull() & F.coalesce(F.col("batch_id").isin(batch_ids), F.lit(False))
     matched = keep_matching(old.filter(F.col("_id").isNotNull()), ids, "_id", _SPREAD)
     replaced = write(matched.unionByName(old.filter(again)).drop("_id"), "replaced")
     rebuilt = write(_rebuilt(new, replaced, files.read_bronze_ids(spark, bronze_root), ids), "rebuilt")
@@ -150,8 +175,8 @@ def _stage(
 
 
 def _rebuilt(new: DataFrame, replaced: DataFrame, stored_ids: DataFrame, ids: DataFrame) -> DataFrame:
-    """Silver rows of the batch's events: the earlier canonical row stays unless the batch has a better
-    one, with the number of copies counted again over Bronze.
+    """Silver rows of the new batches' events: the earlier canonical row stays unless there is a better
+    one now, with the number of copies counted again over Bronze.
     """
     columns = [c for c in new.columns if c != "bronze_duplicate_count"]
     at = F.col("ingestion_timestamp").try_cast("timestamp")
@@ -176,14 +201,14 @@ def refresh_due(last: dt.datetime | None, now: dt.datetime, minimum_seconds: int
 
 @dataclass
 class Refresher:
-    """Rebuild Silver and Gold after micro-batches, as the stream's ``after_batch``.
+    """Bring Silver and Gold up to date after micro-batches, as the stream's ``after_batch``.
 
     It runs inside the batch, so two refreshes never overlap. A failed refresh is counted and does
     not stop the stream; the next batch tries again.
     """
 
     bronze_root: str
-    silver_path: str
+    silver_root: str
     gold_root: str
     settings: Settings
     ip_geo: DataFrame | None = None
@@ -192,12 +217,14 @@ class Refresher:
     runs: int = 0
     errors: int = 0
 
-    def __call__(self, spark: SparkSession, epoch: int | None = None, force: bool = False) -> bool:
+    def __call__(self, spark: SparkSession, force: bool = False) -> bool:
         now = dt.datetime.now(dt.timezone.utc)
         if not refresh_due(self.last_run, now, self.minimum_seconds, force):
             return False
         try:
-            rebuild(spark, self.bronze_root, self.silver_path, self.gold_root, self.settings, self.ip_geo)
+            refresh_published(
+                spark, self.bronze_root, self.silver_root, self.gold_root, self.settings, self.ip_geo
+            )
         except Exception as error:
             self.errors += 1
             logging.getLogger(__name__).warning("refresh failed: %s", error)

@@ -28,6 +28,14 @@ def test_writing_a_batch_again_replaces_it(spark, folder):
     assert [r.event_id for r in ids.collect()] == ["c"]
 
 
+def test_batch_ids_of_digits_stay_text(spark, folder):
+    for i, name in enumerate(("007", "7", "1e5")):
+        files.write_bronze(batch(spark, [f"e{i}"], name), f"{folder}/b")
+    assert sorted(r.batch_id for r in files.bronze_batches(spark, f"{folder}/b").collect()) == ["007", "1e5", "7"]
+    assert [r.event_id for r in files.read_bronze(spark, f"{folder}/b", ["007"]).collect()] == ["e0"]
+    assert files.read_bronze_ids(spark, f"{folder}/b", "7").count() == 2
+
+
 def test_no_bronze_is_an_error(spark, folder):
     with pytest.raises(FileNotFoundError):
         files.read_bronze(spark, f"{folder}/nothing")
@@ -36,9 +44,9 @@ def test_no_bronze_is_an_error(spark, folder):
 def test_first_seen_skips_damaged_files_and_files_without_ids(spark, folder):
     root = f"{folder}/b"
     files.write_bronze(batch(spark, ["a"]), root)
-    batch(spark, ["z"]).drop("event_id").write.parquet(f"{root}/in_day=2026-01-03/in_batch=x")
-    os.makedirs(f"{root}/in_day=2026-01-04/in_batch=y")
-    with open(f"{root}/in_day=2026-01-04/in_batch=y/bad.parquet", "w") as out:
+    batch(spark, ["z"]).drop("event_id").write.parquet(f"{root}/in_day=2026-01-03/in_batch=b_x")
+    os.makedirs(f"{root}/in_day=2026-01-04/in_batch=b_y")
+    with open(f"{root}/in_day=2026-01-04/in_batch=b_y/bad.parquet", "w") as out:
         out.write("not parquet")
     known = bronze.first_seen(files.read_bronze_ids(spark, root), files.BRONZE_ORDER)
     assert [(r.event_key, r.batch_id) for r in known.collect()] == [("a", "b1")]

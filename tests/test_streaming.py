@@ -88,6 +88,7 @@ def test_late_rows_refresh_equals_rebuild(spark, folder, monkeypatch):
     late = [raw_event("e1", "u1"), raw_event("e5", "u1", timestamp="2025-12-31T00:00:00Z", city="Cali"),
             raw_event(None, "u3"), raw_event("e6", "u5", timestamp="2026-01-02T05:00:00Z"),
             raw_event("e7", "u4", timestamp="bad")]
+    later = [raw_event("e5", "u1"), raw_event("e8", "u1", timestamp="2026-01-09T00:00:00Z")]
 
     def store(items, batch_id, day):
         send(f"{folder}/{batch_id}", "x", items)
@@ -100,22 +101,23 @@ def test_late_rows_refresh_equals_rebuild(spark, folder, monkeypatch):
         files.write_bronze(flagged.drop(*files.RAW_ORDER), root)
 
     store(first, "b1", dt.datetime(2026, 2, 1, tzinfo=dt.timezone.utc))
-    built = silver.build_silver(files.read_bronze(spark, root), SETTINGS, files.BRONZE_ORDER)
-    files.write_silver(built.drop(*files.BRONZE_ORDER), f"{folder}/silver")
-    refresh.publish_gold(files.read_silver(spark, f"{folder}/silver"), f"{folder}/gold", SETTINGS)
+    def run():
+        return refresh.refresh_published(spark, root, f"{folder}/silver", f"{folder}/gold", SETTINGS)
 
+    assert run() == ["b1"] and run() == []
     store(late, "b2", dt.datetime(2026, 2, 2, tzinfo=dt.timezone.utc))
-    def run(batch_id="b2"):
-        refresh.refresh_published(spark, root, batch_id, f"{folder}/silver", f"{folder}/gold", SETTINGS)
-
+    with monkeypatch.context() as broken:  # stops before anything is replaced
+        broken.setattr(refresh, "_rebuilt", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            run()
     with monkeypatch.context() as broken:  # Silver is replaced, then publishing Gold fails
         broken.setattr(refresh.snapshots, "publish", lambda *_: 1 / 0)
         with pytest.raises(ZeroDivisionError):
             run()
-    with pytest.raises(RuntimeError):
-        run("b3")
-    run()
-    run()  # once more finds everything in place
+    store(later, "b3", dt.datetime(2026, 2, 3, tzinfo=dt.timezone.utc))
+    assert run() == ["b3"]  # b2 is finished first
+    spark.createDataFrame([("b1",), ("b3",)], "batch_id string").write.mode("overwrite").json(f"{folder}/silver_applied")
+    assert run() == ["b2"]  # taken in once more, as if its record had been lost: nothing changes
     refreshed = refresh.read_published_gold(spark, f"{folder}/gold")
     stored_silver = files.read_silver(spark, f"{folder}/silver")
 
