@@ -335,7 +335,8 @@ def period_queries() -> dict[str, str]:
             WHEN tx_delta_pct < 0 AND volume_delta_pct < 0 THEN 'contraction' ELSE 'mixed' END AS trend FROM (
             SELECT {change('transacciones')} AS tx_delta_pct, {change('volumen_M_cop')} AS volume_delta_pct,
                    {rnd('a.tasa_fallo_pct - p.tasa_fallo_pct', 2)} AS failure_delta_points
-            FROM (SELECT * FROM both_ WHERE periodo = 'ACTUAL') a, (SELECT * FROM both_ WHERE periodo = 'ANTERIOR') p)"""),
+            FROM (SELECT * FROM both_ WHERE periodo = 'ACTUAL') a, (SELECT * FROM both_ WHERE periodo = 'ANTERIOR') p
+            WHERE COALESCE(p.transacciones <> 0, TRUE) AND COALESCE(p.volumen_M_cop <> 0, TRUE))"""),
     }
 
 

@@ -45,12 +45,12 @@ def ingest(
 
 def run(
     spark: SparkSession, root: str, settings: Settings, raw_path: str | None = None, ip_geo: DataFrame | None = None,
-    from_silver: bool = False,
+    from_silver: bool = False, multi_line: bool = True,
 ) -> dict[str, DataFrame]:
     """All layers below ``root``; ``from_silver`` leaves Bronze as it is. Returns the published Gold tables."""
     base = root.rstrip("/")
     if raw_path and not from_silver:
-        ingest(spark, raw_path, f"{base}/bronze/events", log_path=f"{base}/logs/duplicates")
+        ingest(spark, raw_path, f"{base}/bronze/events", multi_line, log_path=f"{base}/logs/duplicates")
     refresh.rebuild(spark, f"{base}/bronze/events", f"{base}/silver/events", f"{base}/gold", settings, ip_geo)
     gold = refresh.read_published_gold(spark, f"{base}/gold")
     files.register_gold(gold)

@@ -42,8 +42,13 @@ PROMOTED_KEYS = 10
 PII_COLUMNS = ("user_name", "user_email", "user_age")
 FORBIDDEN_SQL_WORDS = (
     "DROP", "DELETE", "UPDATE", "INSERT", "ALTER", "CREATE", "TRUNCATE", "EXEC", "EXECUTE",
-    "MERGE", "REPLACE", "GRANT", "REVOKE", "COPY", "PUT", "REMOVE",
 )
+WAREHOUSE_FORBIDDEN_WORDS = (
+    "DROP", "DELETE", "UPDATE", "INSERT", "ALTER", "CREATE", "TRUNCATE", "MERGE", "REPLACE", "GRANT",
+    "REVOKE", "COPY", "PUT", "REMOVE",
+)
+QUERY_STARTS = ("SELECT", "WITH")
+COMMAND_STARTS = ("SELECT", "WITH", "SHOW", "DESCRIBE", "DESC", "EXPLAIN")
 SQL_ROW_CAP = 100
 CHART_ROW_CAP = 50
 WAREHOUSE_ROW_CAP = 500

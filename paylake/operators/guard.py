@@ -8,23 +8,22 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from paylake import fixed_values as fv
 
-_FORBIDDEN = re.compile(r"\b(" + "|".join(fv.FORBIDDEN_SQL_WORDS) + r")\b|--|/\*", re.IGNORECASE)
-
-
 class UnsafeSQL(ValueError):
     """The text is not a single read-only query."""
 
 
-def check(sql: str) -> str:
-    """The text without a trailing semicolon, or UnsafeSQL."""
-    found = _FORBIDDEN.search(sql)
+def check(
+    sql: str, forbidden: tuple[str, ...] = fv.FORBIDDEN_SQL_WORDS, starts: tuple[str, ...] = fv.QUERY_STARTS
+) -> str:
+    """The text without a trailing semicolon, or UnsafeSQL: no comment, no forbidden word, one query."""
+    found = re.search(r"\b(" + "|".join(forbidden) + r")\b|--|/\*", sql, re.IGNORECASE)
     if found:
         raise UnsafeSQL(f"forbidden in a query: {found.group(0)}")
-    if not re.search(r"\bselect\b", sql, re.IGNORECASE):
-        raise UnsafeSQL("only SELECT queries are allowed")
     text = sql.strip().rstrip(";")
     if ";" in text:
         raise UnsafeSQL("only one statement is allowed")
+    if not re.match(r"\(*\s*(" + "|".join(starts) + r")\b", text, re.IGNORECASE):
+        raise UnsafeSQL(f"a query starts with one of {', '.join(starts)}")
     return text
 
 

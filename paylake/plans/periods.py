@@ -67,11 +67,18 @@ def deltas(daily: DataFrame, days: int = 7) -> DataFrame:
 
 
 def trend(daily: DataFrame, days: int = 7) -> DataFrame:
-    """Growth when transactions and volume both rose, contraction when both fell, else mixed."""
+    """Growth when transactions and volume both rose, contraction when both fell, else mixed.
+
+    No row against a prior of 0; an empty prior period is mixed.
+    """
     def change(m: str):
         return half_up(F.try_divide(F.col(f"{m}__a") - F.col(f"{m}__p"), F.col(f"{m}__p")) * 100, 1)
 
-    wide = _side_by_side(compare(daily, days)).select(
+    def not_zero(m: str):
+        return F.coalesce(F.col(f"{m}__p") != 0, F.lit(True))
+
+    pairs = _side_by_side(compare(daily, days)).filter(not_zero("transacciones") & not_zero("volumen_M_cop"))
+    wide = pairs.select(
         change("transacciones").alias("tx_delta_pct"),
         change("volumen_M_cop").alias("volume_delta_pct"),
         half_up(F.col("tasa_fallo_pct__a") - F.col("tasa_fallo_pct__p"), 2).alias("failure_delta_points"),

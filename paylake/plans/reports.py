@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from paylake import fixed_values as fv
-from paylake.functions.scalars import RATE, exact_avg, exact_sum, half_up, pct, rows
+from paylake.functions.scalars import exact_avg, exact_sum, half_up, pct, rows
 from paylake.plans.business import ranked, table_by
 from paylake.plans.metrics import failure_pct, inactive, mean_ticket, revenue_per_user, volume_millions
 
@@ -147,17 +147,13 @@ def dashboard_top_users(users: DataFrame, limit: int = 15) -> DataFrame:
 # --- Charts ----------------------------------------------------------------------------------
 
 
-def _fail_rate() -> Column:
-    return half_up(exact_avg("failure_rate", RATE) * 100, 1)
-
-
 def _balance() -> Column:
     return half_up(exact_avg("balance_current"), 0)
 
 
 # name -> (group column, only known values, order column, limit, measures)
 def user_charts() -> dict[str, tuple[str, bool, str, int | None, dict[str, Column]]]:
-    users, ticket, revenue, fails = rows(), mean_ticket(), revenue_per_user(), _fail_rate()
+    users, ticket, revenue, fails = rows(), mean_ticket(), revenue_per_user(), failure_pct()
     seg, shop = "user_segment", "top_merchant"
     return {
         "segment_users": (seg, False, "usuarios", None, {"usuarios": users}),

@@ -23,7 +23,12 @@ def publish_table(df: DataFrame, name: str, path: str | None = None) -> None:
 
 def query(spark: SparkSession, sql: str, max_rows: int = fv.WAREHOUSE_ROW_CAP) -> DataFrame:
     """Read-only SQL over catalog tables, without personal columns, at most ``max_rows`` rows."""
-    return drop_pii(spark.sql(check(sql))).limit(max_rows)
+    return drop_pii(spark.sql(check(sql, fv.WAREHOUSE_FORBIDDEN_WORDS))).limit(max_rows)
+
+
+def command(spark: SparkSession, sql: str, max_rows: int = fv.WAREHOUSE_ROW_CAP) -> DataFrame:
+    """Like ``query``, also for SHOW, DESCRIBE and EXPLAIN."""
+    return drop_pii(spark.sql(check(sql, fv.WAREHOUSE_FORBIDDEN_WORDS, fv.COMMAND_STARTS))).limit(max_rows)
 
 
 def readiness(spark: SparkSession, names: dict[str, str]) -> DataFrame:

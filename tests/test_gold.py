@@ -208,3 +208,7 @@ def test_empty_prior_period_is_a_row(spark):
 
 def test_period_length_is_held_in_range(spark):
     assert {r.dias_datos for r in periods.compare(days_frame(spark, range(1, 71)), 99).collect()} == {30}
+
+
+def test_no_trend_against_zero(spark):
+    assert periods.trend(days_frame(spark, [0] * 7 + [5] * 7)).count() == 0

@@ -6,7 +6,7 @@ from paylake.operators import guard
 @pytest.mark.parametrize("sql", [
     "DROP TABLE gold_user_360", "SELECT * FROM gold_user_360; DELETE FROM gold_user_360",
     "SELECT * FROM gold_user_360 -- note", "SELECT * FROM gold_user_360 /* note */", "SHOW TABLES",
-    "select 1; select 2", "create table x as select 1",
+    "select 1; select 2", "create table x as select 1", "CACHE TABLE t AS SELECT 1", "FROM t SELECT 1", "", "SELECTED",
 ])
 def test_blocked(sql):
     with pytest.raises(guard.UnsafeSQL):
@@ -15,6 +15,17 @@ def test_blocked(sql):
 
 def test_words_inside_names_are_allowed():
     assert guard.check("SELECT updated_at, created FROM t ;").endswith("t ")
+    assert guard.check("(with x as (select 1) select replace(a, 'b', 'c') from x)")
+
+
+def test_warehouse_reads(spark):
+    from paylake.sources import catalog
+
+    assert catalog.query(spark, "WITH x AS (SELECT 1 AS a, 'n' AS user_name) SELECT * FROM x").columns == ["a"]
+    assert catalog.command(spark, "SHOW TABLES").columns
+    for sql in ("SHOW TABLES", "MERGE INTO t USING s ON 1=1", "SELECT replace('a', 'b', 'c')"):
+        with pytest.raises(guard.UnsafeSQL):
+            catalog.query(spark, sql)
 
 
 @pytest.fixture

@@ -9,7 +9,7 @@ from tests import test_bronze, test_gold, test_guard, test_silver
 
 MUTANTS = [
     ("guard off", guard, "check", "if found:", "if False:",
-     lambda spark: test_guard.test_blocked("DROP TABLE gold_user_360 SELECT")),
+     lambda spark: test_guard.test_blocked("SELECT 1 FROM (DROP TABLE gold_user_360)")),
     ("cap inverted", guard, "run", ".limit(max_rows)", ".offset(max_rows)",
      lambda spark: _capped(spark)),
     ("missing id not flagged", bronze, "flag_duplicates",
