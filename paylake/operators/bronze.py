@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 import uuid
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -32,11 +33,18 @@ def add_metadata(
     return events.withColumns({
         "ingestion_timestamp": F.lit(at.isoformat()),
         "source_file": F.lit(source_file),
-        "batch_id": F.lit(batch_id or uuid.uuid4().hex[:8]),
+        "batch_id": F.lit(checked_batch_id(batch_id or uuid.uuid4().hex[:8])),
         "ingestion_date": F.lit(at.strftime("%Y-%m-%d")),
     })
 
 
+def checked_batch_id(batch_id: str) -> str:
+    """Batch ids name folders, so they are plain: letters, digits, dot, dash, underscore."""
+    if not re.fullmatch(r"[A-Za-z0-9._-]+", batch_id):
+        raise ValueError(f"not a plain batch id: {batch_id!r}")
+    return batch_id
+
+
 def normalized_ids(events: DataFrame) -> DataFrame:
     return events.select("event_id", event_key().alias("event_key"))
 

@@ -13,6 +13,7 @@ DETAIL = """struct<
     metadata: struct<device: string, os: string, ip: string, channel: string>>"""
 
 RAW_EVENT = f"source string, detailType string, detail {DETAIL}"
+CORRUPT = "_corrupt_record"  # text of a line that is not JSON
 
 # Any message as it arrives: nested parts are read as their JSON text.
 MESSAGE = """msg_type string, source string, schema_version string, message_id string, timestamp string,

@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from paylake import fixed_values as fv
 from paylake.operators.bronze import duplicate_log
-from paylake.schemas import BRONZE_IDS, RAW_EVENT
-from paylake.sources.storage import has_files
+from paylake.schemas import BRONZE_IDS, CORRUPT, RAW_EVENT
+from paylake.sources.storage import folder_names, has_files
 
 RAW_ORDER = ["raw_file", "raw_block", "raw_row"]
 BRONZE_ORDER = ["bronze_file", "bronze_row"]
@@ -25,10 +25,16 @@ def placed(batch: DataFrame) -> DataFrame:
 
 
 def read_raw(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """Nested events from JSON arrays (``multi_line``) or JSON lines, with their order in the input."""
-    raw = spark.read.schema(RAW_EVENT).option("multiLine", multi_line).json(path)
+    """Nested events from JSON arrays (``multi_line``) or JSON lines, with their order in the input.
+
+    Input that is no JSON is an error; a value of the wrong type reads as null.
+    """
+    raw = spark.read.schema(f"{RAW_EVENT}, {CORRUPT} string").option("multiLine", multi_line).json(path)
+    broken = F.col(CORRUPT).isNotNull() & F.col("detail").isNull() & F.col("source").isNull()
+    complaint = F.raise_error(F.concat(F.lit("not a JSON event: "), F.substring(CORRUPT, 1, 200)))
     return raw.select(
-        "*",
+        F.when(broken, complaint.cast("string")).otherwise(F.col("source")).alias("source"),
+        "detailType", "detail",
         F.col("_metadata.file_path").alias("raw_file"),
         F.col("_metadata.file_block_start").alias("raw_block"),
         F.monotonically_increasing_id().alias("raw_row"),
@@ -76,9 +82,10 @@ def read_bronze_ids(spark: SparkSession, root: str, without_batch: str | None =
 
 
 def bronze_batches(spark: SparkSession, root: str) -> DataFrame:
-    """Ids of the stored batches, from the folder names."""
-    folders = spark.read.schema("in_batch string").parquet(root).select("in_batch").distinct()
-    return folders.select(F.substr("in_batch", F.lit(3)).alias("batch_id"))
+    """Ids of the stored batches, from the folder names: no file is opened."""
+    prefix = "in_batch=b_"
+    names = {name[len(prefix):] for name in folder_names(spark, f"{root}/in_day=*/{prefix}*")}
+    return spark.createDataFrame([(name,) for name in sorted(names)], "batch_id string")
 
 
 def write_silver(silver: DataFrame, root: str) -> str:

@@ -31,3 +31,9 @@ def has_files(spark: SparkSession, path: str, suffix: str = ".parquet") -> bool:
 def delete(spark: SparkSession, path: str) -> None:
     fs, target = _path(spark, path)
     fs.delete(target, True)
+
+
+def folder_names(spark: SparkSession, pattern: str) -> list[str]:
+    """Last path part of every folder matching a glob; files are not listed."""
+    fs, target = _path(spark, pattern)
+    return [status.getPath().getName() for status in fs.globStatus(target) or []]

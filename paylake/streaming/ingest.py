@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from paylake import fixed_values as fv
 from paylake.operators import bronze, messages
-from paylake.schemas import DETAIL, MESSAGE
+from paylake.schemas import CORRUPT, DETAIL, MESSAGE
 from paylake.sources.files import BRONZE_ORDER, placed, read_bronze_ids, write_bronze
 from paylake.sources.storage import has_files
 
@@ -20,28 +20,43 @@ STREAM_ORDER = ["in_file", "in_block", "in_row"]
 
 
 def read_messages(
-    spark: SparkSession, path: str, files_per_trigger: int | None = None, source: str = "json", **options: str
+    spark: SparkSession, path: str | None = None, files_per_trigger: int | None = None, source: str = "json",
+    **options: str,
 ) -> DataFrame:
     """Streaming messages from JSON-lines files, or from Kafka (``source='kafka'`` and its options).
 
     The rate limits of the source are the backpressure; the backlog stays in the source.
     """
     if source == "kafka":
-        stream = spark.readStream.format("kafka").options(**options).load()
-        body = F.from_json(F.col("value").cast("string"), MESSAGE)
-        return stream.select(
-            body.alias("m"), F.concat_ws("-", "topic", "partition").alias("in_file"),
-            F.col("offset").alias("in_block"), F.current_timestamp().alias("received_at"),
-        ).select("m.*", "in_file", "in_block", "received_at")
-    reader = spark.readStream.schema(MESSAGE).options(**options)
+        records = spark.readStream.format("kafka").options(**options).load()
+        return parse_records(records).withColumn("received_at", F.current_timestamp())
+    reader = spark.readStream.schema(f"{MESSAGE}, {CORRUPT} string").options(**options)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.json(path).select(
+    return _keep_broken(reader.json(path).select(
         "*",
         F.col("_metadata.file_path").alias("in_file"),
         F.col("_metadata.file_block_start").alias("in_block"),
-        F.current_timestamp().alias("received_at"),  # one time per micro-batch, kept on replay
-    )
+    )).withColumn("received_at", F.current_timestamp())  # one time per micro-batch, kept on replay
+
+
+def parse_records(records: DataFrame) -> DataFrame:
+    """Messages from ``value``, ``topic``, ``partition`` and ``offset`` of a log."""
+    body = F.from_json(F.col("value").cast("string"), f"{MESSAGE}, {CORRUPT} string",
+                       {"columnNameOfCorruptRecord": CORRUPT})
+    return _keep_broken(records.select(
+        body.alias("m"), F.concat_ws("-", "topic", "partition").alias("in_file"), F.col("offset").alias("in_block"),
+    ).select("m.*", "in_file", "in_block"))
+
+
+def _keep_broken(messages: DataFrame) -> DataFrame:
+    """A line that is no JSON goes on as a message of unknown type with its whole text as data."""
+    whole = F.col(CORRUPT).isNull()
+    return messages.withColumns({
+        "msg_type": F.when(whole, F.col("msg_type")),
+        "detail": F.when(whole, F.col("detail")),
+        "data": F.coalesce(CORRUPT, "data"),
+    }).drop(CORRUPT)
 
 
 def _stamp(df: DataFrame, source_file: str | Column, batch_id: str) -> DataFrame:
@@ -116,6 +131,7 @@ def start(
     after_batch: Callable[[SparkSession], object] | None = None,
 ) -> StreamingQuery:
     """Run the stream into Bronze. ``every`` is a processing-time interval; None drains and stops."""
+    bronze.checked_batch_id(name)
 
     def on_batch(batch: DataFrame, epoch: int) -> None:
         store_batch(batch, f"{name}-{epoch:08d}", root)

@@ -92,6 +92,8 @@ def test_metadata_is_one_per_batch(spark):
     stamped = bronze.add_metadata(spark.range(5), "a.json")
     assert stamped.select("batch_id", "ingestion_timestamp", "source_file", "ingestion_date").distinct().count() == 1
     assert len(stamped.first().batch_id) == 8
+    with pytest.raises(ValueError):
+        bronze.add_metadata(spark.range(1), "a.json", "a/b")
 
 
 def test_end_to_end(spark, folder):

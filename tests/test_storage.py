@@ -130,3 +130,18 @@ def test_catalog(spark, folder):
 def test_work_dir_is_below_the_named_folder(spark):
     path = work_dir(spark, "x")
     assert path.startswith(spark.conf.get("spark.checkpoint.dir")) and path != work_dir(spark, "x")
+
+
+def test_raw_input_that_is_no_json_is_an_error(spark, folder):
+    from tests.events import raw_event
+
+    wrong_type = raw_event("e1")
+    wrong_type["detail"]["payload"]["age"] = "old"
+    with open(f"{folder}/raw.json", "w") as out:
+        out.write(json.dumps(wrong_type) + "\n")
+    flat = bronze.flatten(files.read_raw(spark, f"{folder}/raw.json", multi_line=False))
+    assert [(r.event_id, r.user_age, r.amount) for r in flat.collect()] == [("e1", None, "100000.0")]
+    with open(f"{folder}/raw.json", "a") as out:
+        out.write("{oops\n")
+    with pytest.raises(Exception, match="not a JSON event"):
+        bronze.flatten(files.read_raw(spark, f"{folder}/raw.json", multi_line=False)).collect()

@@ -157,3 +157,25 @@ def test_failed_refresh_is_counted_and_tried_again(spark, folder):
     refresher = refresh.Refresher(f"{folder}/none", f"{folder}/silver", f"{folder}/gold", SETTINGS)
     assert refresher(spark) is False and refresher(spark) is False
     assert (refresher.runs, refresher.errors, refresher.last_run) == (0, 2, None)
+
+
+def test_a_broken_line_is_kept_as_text(spark, folder):
+    send(f"{folder}/in", "a", [raw_event("e1")])
+    with open(f"{folder}/in/b.json", "w") as out:
+        out.write('{"msg_type": "log", "data": {"a"\nnot json\n')
+    drain(spark, folder, per_trigger=2)
+    roots = ingest.bronze_roots(f"{folder}/bronze")
+    assert files.read_bronze(spark, roots["events"]).count() == 1
+    kept = spark.read.parquet(roots["messages"])
+    assert sorted(r.raw_data for r in kept.collect()) == ["not json", '{"msg_type": "log", "data": {"a"']
+    assert {(r.msg_route, r.is_valid) for r in kept.collect()} == {("unknown", False)}
+
+
+def test_log_records_are_messages(spark):
+    value = json.dumps({"msg_type": "metric", "source": "job", "data": {"value": 1}})
+    legacy = json.dumps(raw_event("e1"))
+    records = spark.createDataFrame([(value.encode(), "t", 0, 5), (legacy.encode(), "t", 1, 6), (b"oops", "t", 1, 7)],
+                                    "value binary, topic string, partition int, offset long")
+    a, b, c = ingest.parse_records(records).orderBy("in_block").collect()
+    assert (a.msg_type, json.loads(a.data), a.in_file, a.in_block) == ("metric", {"value": 1}, "t-0", 5)
+    assert json.loads(b.detail)["id"] == "e1" and c.data == "oops"
