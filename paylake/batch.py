@@ -32,7 +32,7 @@ def ingest(
     staged = spark.read.parquet(stage)
     known = None
     if has_files(spark, bronze_root):
-        small = staged if fits_broadcast(staged) else None
+        small = staged if fits_broadcast(staged.select("event_id")) else None
         known = bronze.first_seen(files.read_bronze_ids(spark, bronze_root, batch_id), files.BRONZE_ORDER, small)
     stamped = bronze.add_metadata(staged, raw_path, batch_id, ingested_at)
     flagged = bronze.flag_duplicates(stamped, known, files.RAW_ORDER).drop(*files.RAW_ORDER)

@@ -14,7 +14,6 @@ def missing_columns(df: DataFrame, required: tuple[str, ...]) -> str:
     return ",".join(c for c in required if c not in df.columns)
 
 
-
 def check_bronze(bronze: DataFrame) -> DataFrame:
     """Rows, distinct ids, rows that share an id, flagged rows, missing required columns.
 

@@ -94,18 +94,16 @@ def dashboard_kpis(users: DataFrame, segments=(), cities=()) -> DataFrame:
 
 
 def dashboard_leaders(users: DataFrame) -> DataFrame:
-    """Segment with the most volume and city with the most users, alphabetical on a tie."""
-    by_volume = users.filter(F.col("user_segment").isNotNull()).groupBy(F.col("user_segment").alias("leader")).agg(
-        F.coalesce(exact_sum("total_amount_cop"), F.lit(0.0)).alias("score")
+    """Segment with the most volume and city with the most users, alphabetical on a tie; one pass."""
+    named = users.select(
+        "total_amount_cop", F.col("user_segment").alias("segment"), "city"
+    ).unpivot("total_amount_cop", ["segment", "city"], "kind", "leader").filter(F.col("leader").isNotNull())
+    volume = F.coalesce(exact_sum("total_amount_cop"), F.lit(0.0))
+    scores = named.groupBy("kind", "leader").agg(
+        F.when(F.col("kind") == "segment", volume).otherwise(rows().cast("double")).alias("score")
     )
-    by_users = users.filter(F.col("city").isNotNull()).groupBy(F.col("city").alias("leader")).agg(
-        F.count("user_id").cast("double").alias("score")
-    )
-    tops = [
-        ranked(table, "score", "leader", 1).select(F.lit(kind).alias("kind"), "leader", "score")
-        for kind, table in (("segment", by_volume), ("city", by_users))
-    ]
-    return tops[0].unionByName(tops[1])
+    first = F.row_number().over(Window.partitionBy("kind").orderBy(F.desc("score"), "leader")) == 1
+    return scores.withColumn("first", first).filter("first").drop("first")
 
 
 def segment_volume(users: DataFrame) -> DataFrame:
