@@ -10,7 +10,7 @@ SALTS = 256
 
 
 def planned_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate, an upper bound for scans and filters over files."""
+    """The optimizer's size estimate, the figure Spark itself compares with its broadcast limit."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 

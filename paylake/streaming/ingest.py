@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -134,7 +135,7 @@ def start(
     bronze.checked_batch_id(name)
 
     def on_batch(batch: DataFrame, epoch: int) -> None:
-        store_batch(batch, f"{name}-{epoch:08d}", root)
+        store_batch(batch, f"{name}-{_stream_id(batch.sparkSession, checkpoint)}-{epoch:08d}", root)
         if after_batch:
             after_batch(batch.sparkSession)
 
@@ -143,6 +144,12 @@ def start(
     return trigger.start()
 
 
+def _stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """Start of the id that belongs to the checkpoint: a new checkpoint never reuses old batch ids."""
+    text = spark.read.text(f"{checkpoint.rstrip('/')}/metadata", wholetext=True).first().value
+    return json.loads(text)["id"][:8]
+
+
 def progress(query: StreamingQuery) -> dict[str, int]:
     """Batches and messages stored so far, from the query's own progress records."""
     recent = query.recentProgress

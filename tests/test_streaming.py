@@ -179,3 +179,13 @@ def test_log_records_are_messages(spark):
     a, b, c = ingest.parse_records(records).orderBy("in_block").collect()
     assert (a.msg_type, json.loads(a.data), a.in_file, a.in_block) == ("metric", {"value": 1}, "t-0", 5)
     assert json.loads(b.detail)["id"] == "e1" and c.data == "oops"
+
+
+def test_a_new_checkpoint_does_not_overwrite_batches(spark, folder):
+    send(f"{folder}/in", "a", [raw_event("e1")])
+    for checkpoint in ("one", "two"):
+        ingest.start(ingest.read_messages(spark, f"{folder}/in"), f"{folder}/bronze", f"{folder}/{checkpoint}",
+                     "same").awaitTermination()
+    stored = files.read_bronze(spark, f"{folder}/bronze/events")
+    assert stored.select("batch_id").distinct().count() == 2
+    assert sorted(str(r.duplicate_reason) for r in stored.collect()) == ["None", "seen_in_bronze"]
