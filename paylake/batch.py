@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from paylake.config import Settings
 from paylake.operators import bronze
 from paylake.operators.skew import fits_broadcast
-from paylake.session import work_dir
+from paylake.session import pin_utc, work_dir
 from paylake.sources import files
 from paylake.sources.storage import delete, has_files
 from paylake.streaming import refresh
@@ -26,6 +26,7 @@ def ingest(
     duplicate test read one column, and the batch has a known size. Large inputs should be JSON
     lines (``multi_line=False``), which can be split; one array is one task.
     """
+    pin_utc(spark)
     batch_id = batch_id or uuid.uuid4().hex[:8]
     stage = work_dir(spark, "ingest")
     bronze.flatten(files.read_raw(spark, raw_path, multi_line), keep=tuple(files.RAW_ORDER)).write.parquet(stage)

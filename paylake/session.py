@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -13,7 +14,6 @@ SQL_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
@@ -34,15 +34,19 @@ def pin_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@cache
+def _local_scratch() -> str:
+    return tempfile.mkdtemp(prefix="paylake-")
+
+
 def work_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder below the shared folder named by the cluster (spark.checkpoint.dir).
 
-    Only a session that names none, such as a local test, gets a folder of its own.
+    Only a local session that names none, as in tests, gets a folder of its own.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        base = tempfile.mkdtemp(prefix="paylake-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _local_scratch()
     return f"{base.rstrip('/')}/paylake/{purpose}-{uuid.uuid4().hex[:12]}"

@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from paylake import fixed_values as fv
 from paylake.operators import bronze, messages
 from paylake.schemas import CORRUPT, DETAIL, MESSAGE
+from paylake.session import pin_utc
 from paylake.sources.files import BRONZE_ORDER, placed, read_bronze_ids, write_bronze
 from paylake.sources.storage import has_files
 
@@ -28,6 +29,7 @@ def read_messages(
 
     The rate limits of the source are the backpressure; the backlog stays in the source.
     """
+    pin_utc(spark)
     if source == "kafka":
         records = spark.readStream.format("kafka").options(**options).load()
         return parse_records(records).withColumn("received_at", F.current_timestamp())

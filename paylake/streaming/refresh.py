@@ -14,6 +14,7 @@ from paylake.functions.scalars import event_key, rows
 from paylake.operators import gold
 from paylake.operators.silver import build_silver
 from paylake.operators.skew import drop_matching, keep_matching
+from paylake.session import pin_utc
 from paylake.sources import files, snapshots
 from paylake.sources.storage import delete, exists, has_files
 
@@ -40,7 +41,7 @@ def rebuild(
     Silver is written once and read back for the three Gold builds: the written table cuts the
     lineage, so a lost executor never sends Gold back to raw Bronze.
     """
-    stored = files.read_bronze(spark, bronze_root)
+    stored = files.read_bronze(pin_utc(spark), bronze_root)
     silver = build_silver(stored, settings, STORED_ORDER, ip_geo).drop(*STORED_ORDER)
     snapshots.publish(silver.hint("rebalance", "date"), silver_path, ("date",))
     return publish_gold(snapshots.read_latest(spark, silver_path), gold_root, settings)
@@ -101,6 +102,7 @@ def refresh_published(
     published. A run that stopped is finished, or begun again if it had replaced nothing, by the next.
     Returns the batches taken in. The first run builds everything.
     """
+    pin_utc(spark)
     staging, applied = f"{silver_root.rstrip('/')}_staging", f"{silver_root.rstrip('/')}_applied"
     if not has_files(spark, silver_root):
         batches = files.bronze_batches(spark, bronze_root)

@@ -145,3 +145,16 @@ def test_raw_input_that_is_no_json_is_an_error(spark, folder):
         out.write("{oops\n")
     with pytest.raises(Exception, match="not a JSON event"):
         bronze.flatten(files.read_raw(spark, f"{folder}/raw.json", multi_line=False)).collect()
+
+
+@pytest.mark.parametrize("master,allowed", [("local[4]", True), ("yarn", False)])
+def test_without_a_shared_folder_only_local_sessions_work(master, allowed):
+    from types import SimpleNamespace
+
+    session = SimpleNamespace(conf={}, sparkContext=SimpleNamespace(master=master))
+    if allowed:
+        one, two = work_dir(session, "x"), work_dir(session, "x")
+        assert one != two and os.path.dirname(one) == os.path.dirname(two)
+    else:
+        with pytest.raises(ValueError):
+            work_dir(session, "x")
