@@ -46,7 +46,7 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         base = _local_scratch()
     return f"{base.rstrip('/')}/paylake/{purpose}-{uuid.uuid4().hex[:12]}"

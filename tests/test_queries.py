@@ -5,12 +5,15 @@ import os
 import pytest
 
 import __spark_entry__ as contract
+from oracle import all_oracles
+from paylake.registry import gold_queries
+from paylake.registry_layers import layer_queries
 from paylake.plans.metrics import METRICS
 from paylake import fixed_values as fv
 from tests.compare import difference, duck, run_spark, run_sql
 
 FOLDER = os.environ.get("PAYLAKE_TEST_TABLES", "/root/testdata/sf0.001")
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
+QUERIES, SQL = {**gold_queries(), **layer_queries()}, all_oracles()
 # The catalogue is one operator with 96 parameter pairs: every metric and every dimension once here,
 # all pairs in tests/compare.py.
 _pairs = {f"metric_{m}__{list(fv.DIMENSIONS)[i % 6]}" for i, m in enumerate(METRICS)}
@@ -40,6 +43,10 @@ def test_query_equals_sql(spark, con, name):
     assert difference(run_spark(QUERIES[name](spark, FOLDER)), run_sql(con, SQL[name])) is None
 
 
+def test_the_entry_module_registers_all_of_them():
+    assert QUERIES.keys() <= contract.queries().keys() and SQL.keys() <= contract.oracle_sql().keys()
+
+
 def test_entry_has_rows(spark):
     assert contract.entry(spark).count() > 0
 
