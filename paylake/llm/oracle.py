@@ -45,4 +45,69 @@ SELECT doc_id, size, source_size, target,
 FROM placed
 """
 
-ORACLES = {"op5_mixing": MIXING}
+#: The cascade's rules in SQL: all of them must hold, in whatever order they are asked.
+RULES = rf"""
+WITH split AS (
+  SELECT doc_id, coalesce(text, '') AS t, {WORDS} AS w FROM documents),
+measured AS (
+  SELECT doc_id, t, w, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+         len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols,
+         list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ 	-
+]')) AS lines,
+         CASE WHEN len(w) >= 3 THEN list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])
+              ELSE [] END AS windows
+  FROM split),
+placed AS (
+  SELECT row, unnest(windows) AS win, unnest(range(len(windows))) AS at
+  FROM (SELECT row_number() OVER () AS row, * FROM measured)),
+twice AS (SELECT row, win FROM placed GROUP BY ALL HAVING count(*) > 1),
+covered AS (
+  SELECT row, count(DISTINCT at + k) AS n FROM placed JOIN twice USING (row, win), (VALUES (0), (1), (2)) v(k) GROUP BY row),
+base AS (
+  SELECT m.*, coalesce(c.n, 0)::BIGINT AS n_repeat_words, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines
+  FROM (SELECT row_number() OVER () AS row, * FROM measured) m LEFT JOIN covered c USING (row)),
+judged AS (
+  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM base)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND n_symbols <= n_words * 0.5::DOUBLE
+       AND word_chars BETWEEN 2 * n_words AND 12 * n_words AND n_dup_lines <= n_words * 0.05::DOUBLE
+       AND len(regexp_extract_all(t, '!')) <= n_words * 0.25::DOUBLE
+       AND len(regexp_extract_all(t, '\p{{Lu}}')) <= word_chars * 0.4::DOUBLE
+       AND len(list_filter(w, lambda x: regexp_matches(x, '\p{{L}}'))) >= n_words * 0.6::DOUBLE
+       AND len(list_distinct(w)) >= n_words * 0.02::DOUBLE AS kept
+FROM judged
+"""
+
+_CONTROLS = r"\|im_start\|>|\|im_end\|>|\|endoftext\|>|/?s>|</?SYS>>|/?INST\]"
+_ESCAPED = rf"regexp_replace(%s, '([<\[])(\\*(?:{_CONTROLS}))', '\1\\\2', 'g')"
+
+CHATS = rf"""
+WITH rows AS (
+  SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+parts AS (
+  SELECT *, coalesce(role, '') AS r, length({_ESCAPED % "coalesce(role, '')"}) + length({_ESCAPED % "text"})
+            + length('<|im_start|>' || chr(10) || '<|im_end|>' || chr(10)) AS chars FROM rows)
+SELECT conv_id, count(*)::BIGINT AS n_turns,
+       sha256(string_agg(r || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (r = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (r = 'assistant'), '')) AS loss_sha256,
+       sum(chars)::BIGINT AS formatted_chars
+FROM parts GROUP BY conv_id
+"""
+
+SEARCH = """
+WITH vectors AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x::DOUBLE))) = 0),
+pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::BIGINT AS score
+  FROM vectors q JOIN vectors c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM pairs)
+WHERE rank <= 5
+"""
+
+ORACLES = {"op2_quality_rules": RULES, "op3_chat_formatting": CHATS, "op5_mixing": MIXING, "op10_topk_search": SEARCH}
