@@ -47,25 +47,21 @@ FROM placed
 
 #: The cascade's rules in SQL: all of them must hold, in whatever order they are asked.
 RULES = rf"""
-WITH split AS (
-  SELECT doc_id, coalesce(text, '') AS t, {WORDS} AS w FROM documents),
-measured AS (
-  SELECT doc_id, t, w, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+WITH measured AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t, {WORDS} AS w, len(w)::BIGINT AS n_words,
+         length(array_to_string(w, ''))::BIGINT AS word_chars,
          len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols,
-         list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ 	-
-]')) AS lines,
-         CASE WHEN len(w) >= 3 THEN list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])
-              ELSE [] END AS windows
-  FROM split),
+         list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  FROM documents),
 placed AS (
-  SELECT row, unnest(windows) AS win, unnest(range(len(windows))) AS at
-  FROM (SELECT row_number() OVER () AS row, * FROM measured)),
-twice AS (SELECT row, win FROM placed GROUP BY ALL HAVING count(*) > 1),
+  SELECT rid, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS win
+  FROM (SELECT rid, w, unnest(range(1, len(w) - 1)) AS i FROM measured)),
+twice AS (SELECT rid, win FROM placed GROUP BY ALL HAVING count(*) > 1),
 covered AS (
-  SELECT row, count(DISTINCT at + k) AS n FROM placed JOIN twice USING (row, win), (VALUES (0), (1), (2)) v(k) GROUP BY row),
+  SELECT rid, count(DISTINCT i + k) AS n FROM placed JOIN twice USING (rid, win), (VALUES (0), (1), (2)) v(k) GROUP BY rid),
 base AS (
   SELECT m.*, coalesce(c.n, 0)::BIGINT AS n_repeat_words, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines
-  FROM (SELECT row_number() OVER () AS row, * FROM measured) m LEFT JOIN covered c USING (row)),
+  FROM measured m LEFT JOIN covered c USING (rid)),
 judged AS (
   SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM base)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,

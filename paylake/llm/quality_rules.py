@@ -48,9 +48,14 @@ RULES = (
 )
 
 
-def _same_words(a: Column, b: Column) -> Column:
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value), with value computed once a row wherever the optimizer moves the expression."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _same_words(w: Column, a: Column, b: Column) -> Column:
     """Whether the windows at two places hold the same three words."""
-    w, same = F.col("__words"), F.lit(True)
+    same = F.lit(True)
     for k in range(3):
         same = same & (F.get(w, a + k) == F.get(w, b + k))
     return same
@@ -69,47 +74,53 @@ def _places(count: Column) -> Column:
     return F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(none)
 
 
-def _covered(starts: Column) -> Column:
-    """How many words windows of three at these places cover."""
-    return F.size(F.array_distinct(F.flatten(F.transform(starts, lambda p: F.array(p, p + 1, p + 2)))))
+def _by_hash(w: Column, s: Column) -> Column:
+    """The places of windows that occur twice, from the sorted hashes; null if two different windows share a hash."""
+    def pair(j: Column) -> tuple[Column, Column]:
+        return F.get(s, j), F.get(s, j - 1)
 
+    def equal_hash(j: Column) -> Column:
+        a, b = pair(j)
+        return (j > 0) & (_hash(a) == _hash(b))
 
-def _repeated_starts(df: DataFrame) -> DataFrame:
-    """Adds __starts, the places of 3-word windows that occur twice or more in their text.
+    def clash(j: Column) -> Column:
+        a, b = pair(j)
+        return ~_same_words(w, _place(a), _place(b))
 
-    Windows are sorted by hash, so equal ones are neighbours, and compared word by word. Where two different windows
-    share a hash, or a text is too long for the packed place, the windows themselves are sorted.
-    """
-    w = F.col("__words")
-    count = F.greatest(F.size(w) - 2, F.lit(0))
-    packed = F.transform(_places(count), lambda i: F.shiftleft(
-        F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)), PLACE_BITS).bitwiseOR(i.cast("long")))
-    df = df.withColumn("__packed", F.sort_array(packed))
-    s = F.col("__packed")
+    def both(at: Column) -> Column:
+        clean = ~F.exists(at, clash)
+        places = F.flatten(F.transform(at, lambda j: F.array(_place(F.get(s, j)), _place(F.get(s, j - 1)))))
+        return F.when(clean, places)
 
-    def alike(j: Column, other: Column) -> Column:
-        a, b = F.get(s, j), F.get(s, other)
-        return (_hash(a) == _hash(b)) & _same_words(_place(a), _place(b))
+    return _let(F.filter(_places(F.size(s)), equal_hash), both)
 
-    def clash(j: Column) -> Column:
-        a, b = F.get(s, j), F.get(s, j - 1)
-        return (j > 0) & (_hash(a) == _hash(b)) & ~_same_words(_place(a), _place(b))
 
-    n = F.size(s)
-    hashed = F.transform(F.filter(_places(n), lambda j: ((j > 0) & alike(j, j - 1)) | ((j < n - 1) & alike(j, j + 1))),
-                         lambda j: _place(F.get(s, j)))
-    # Words hold no space: the text up to the last space is the window, the rest its place.
+def _by_words(w: Column, count: Column) -> Column:
+    """The same by sorting the windows themselves. Words hold no space: what follows the last one is the place."""
     spelled = F.array_sort(F.transform(_places(count), lambda i: F.concat_ws(
         " ", F.get(w, i), F.get(w, i + 1), F.get(w, i + 2), F.lpad(i.cast("string"), 10, "0"))))
     window = lambda x: F.substring_index(x, " ", 3)
-    by_words = F.transform(
-        F.filter(F.transform(F.array(spelled), lambda t: F.transform(t, lambda x, j: F.struct(
-            x.alias("x"), ((j > 0) & (window(x) == window(F.get(t, j - 1)))
-                           | (j < F.size(t) - 1) & (window(x) == window(F.get(t, j + 1)))).alias("twice"))))[0],
-                 lambda e: e["twice"]),
-        lambda e: F.substring_index(e["x"], " ", -1).cast("int"))
-    exact = (n >= 1 << PLACE_BITS) | F.exists(_places(n), clash)
-    return df.withColumn("__starts", F.when(exact, by_words).otherwise(hashed))
+    place = lambda x: F.substring_index(x, " ", -1).cast("int")
+
+    def twice(t: Column) -> Column:
+        at = F.filter(_places(F.size(t)), lambda j: (j > 0) & (window(F.get(t, j)) == window(F.get(t, j - 1))))
+        return F.flatten(F.transform(at, lambda j: F.array(place(F.get(t, j)), place(F.get(t, j - 1)))))
+
+    return _let(spelled, twice)
+
+
+def _repeat_words(w: Column) -> Column:
+    """How many words are in 3-word windows that occur twice or more.
+
+    Windows are sorted by hash, so equal ones are neighbours, and neighbours are compared word by word. Where two
+    different windows share a hash, or a text is too long for the packed place, the windows themselves are sorted.
+    """
+    count = F.greatest(F.size(w) - 2, F.lit(0))
+    packed = F.sort_array(F.transform(_places(count), lambda i: F.shiftleft(
+        F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)), PLACE_BITS).bitwiseOR(i.cast("long"))))
+    hashed = F.when(count < 1 << PLACE_BITS, _let(packed, lambda s: _by_hash(w, s)))
+    starts = F.coalesce(hashed, _by_words(w, count))
+    return F.size(F.array_distinct(F.flatten(F.transform(starts, lambda p: F.array(p, p + 1, p + 2)))))
 
 
 def measure(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -117,13 +128,13 @@ def measure(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     base = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("__text"))
     base = base.withColumn("__words", words(F.col("__text")))
     # A line of white space only is not counted.
-    base = base.withColumn("__lines", F.filter(F.split("__text", "\n"), lambda x: x.rlike(WORD)))
-    base = _repeated_starts(base).select(
+    lines = F.filter(F.split("__text", "\n"), lambda x: x.rlike(WORD))
+    base = base.select(
         "doc_id", "__text", "__words", F.size("__words").cast("long").alias("n_words"),
         F.length(F.array_join("__words", "")).cast("long").alias("word_chars"),
         F.regexp_count(F.col("__text"), F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
-        (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("long").alias("n_dup_lines"),
-        _covered(F.col("__starts")).cast("long").alias("n_repeat_words"))
+        _let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
+        _repeat_words(F.col("__words")).cast("long").alias("n_repeat_words"))
     return base.withColumn("base_failed", (F.col("n_words") < MIN_WORDS)
                            | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")))
 
@@ -133,7 +144,7 @@ def order_rules(docs: DataFrame, rules: tuple[Rule, ...] = RULES, doc_id: str =
     """The rules by share rejected per second on a sample, best first; a rule that rejects nothing comes last."""
     count = docs.count()
     sample = docs.select(doc_id, text).sample(min(1.0, sample_rows / max(1, count)), seed=7)
-    sample = staged(measure(sample, doc_id, text).filter(~F.col("base_failed")), "rules-sample")
+    sample = staged(measure(sample, doc_id, text), "rules-sample").filter(~F.col("base_failed"))
 
     def timed(condition: Column) -> tuple[float, int]:
         job, took, rejected = sample.agg(F.count_if(~condition).alias("n")), [], 0
