@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paylake.llm import chat_format, mixing, oracle, quality_rules, topk
+from paylake.llm import bpe, chat_format, mixing, oracle, quality_rules, token_count, topk
 from paylake.llm.common import table
 
 
@@ -37,9 +37,22 @@ def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.plan(table(spark, folder, "documents"))
 
 
+def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_count.count_tokens(table(spark, folder, "documents"))
+
+
+def op9_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    encoded = bpe.encode(table(spark, folder, "documents"), keep=["doc_id"])
+    return bpe.decode(encoded).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        _sha256(F.array_join(F.col("ids").cast("array<string>"), " ")).alias("ids_sha256"),
+        _sha256(F.col("decoded")).alias("decoded_sha256"))
+
+
 def op10_topk_search(spark: SparkSession, folder: str) -> DataFrame:
     return topk.search(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
-QUERIES = {f.__name__: f for f in (op2_quality_rules, op3_chat_formatting, op5_mixing, op10_topk_search)}
+QUERIES = {f.__name__: f for f in (op2_quality_rules, op3_chat_formatting, op5_mixing, op7_token_counts, op9_byte_bpe,
+                                    op10_topk_search)}
 ORACLES = oracle.ORACLES
