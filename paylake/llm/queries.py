@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paylake.llm import bpe, chat_format, mixing, oracle, quality_rules, token_count, topk
+from paylake.llm import (bpe, chat_format, mixing, oracle, quality_classifier, quality_rules, token_count, topk,
+                         toxicity)
 from paylake.llm.common import table
 
 
@@ -13,6 +14,14 @@ def _sha256(text: Column) -> Column:
     return F.sha2(text.cast("binary"), 256)
 
 
+def op1_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs, held_out = table(spark, folder, "documents"), quality_classifier.held_out(F.col("doc_id"), 4, 2)
+    model = quality_classifier.train(docs, table(spark, folder, "labels"), ~held_out)
+    return quality_classifier.score(docs.select("doc_id", "text"), model, keep=["doc_id"]).select(
+        "doc_id", held_out.alias("held_out"), "score",
+        (F.col("score") >= quality_classifier.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.assess(table(spark, folder, "documents")).drop("failed_rule")
 
@@ -41,6 +50,14 @@ def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_count.count_tokens(table(spark, folder, "documents"))
 
 
+def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs, held_out = table(spark, folder, "documents"), quality_classifier.held_out(F.col("doc_id"), 5, 0)
+    model = toxicity.train(docs, table(spark, folder, "labels"), ~held_out)
+    return toxicity.score(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op9_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     encoded = bpe.encode(table(spark, folder, "documents"), keep=["doc_id"])
     return bpe.decode(encoded).select(
@@ -53,6 +70,7 @@ def op10_topk_search(spark: SparkSession, folder: str) -> DataFrame:
     return topk.search(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
-QUERIES = {f.__name__: f for f in (op2_quality_rules, op3_chat_formatting, op5_mixing, op7_token_counts, op9_byte_bpe,
-                                    op10_topk_search)}
+QUERIES = {f.__name__: f for f in (
+    op1_quality_classifier, op2_quality_rules, op3_chat_formatting, op5_mixing, op7_token_counts, op8_toxicity, op9_byte_bpe,
+    op10_topk_search)}
 ORACLES = oracle.ORACLES
