@@ -1,7 +1,7 @@
 """Toxicity by the nearest labelled examples.
 
-A bounded sample of labelled documents is the index. Terms are words that are clearly commoner in toxic examples; a
-document is its TF-IDF vector over them, with document frequencies of the whole corpus. The nearest examples by
+A bounded sample of labelled documents is the index. Terms are words that are clearly commoner in toxic examples, each
+counted once for every word it follows, so that copies of an example do not make its words terms; a document is its TF-IDF vector over them, with document frequencies of the whole corpus. The nearest examples by
 exact cosine vote, closer ones with more weight, and the vote is calibrated on the examples themselves, each left out once.
 """
 
@@ -21,10 +21,11 @@ from pyspark.sql import types as T
 from paylake.llm.common import staged
 from paylake.llm.neighbours import Index
 
-#: At most so many toxic and clean examples, drawn by hash; at most so many terms, by chi-square.
+#: At most so many toxic and clean examples, drawn by hash; at most so many terms, by likelihood ratio.
 TOXIC_EXAMPLES, CLEAN_EXAMPLES, TERMS = 3_000, 6_000, 4_000
-#: A term is significant (chi-square at 0.1 %) and so many times as frequent in toxic examples.
-CHI_SQUARE, LIFT = 10.83, 4.0
+#: A term has at least this log-likelihood ratio (about one in a million by chance) and is so many times as frequent in
+#: toxic examples.
+LIKELIHOOD, LIFT = 24.0, 4.0
 K = 10
 #: Added to 1 - cosine before its inverse is taken as a vote's weight.
 SOFTEN = 0.1
@@ -125,18 +126,21 @@ def _calibrate(model: Model, share: dict[int, float], without: dict[int, int]) -
 
 
 def _count_terms(source):
-    """(doc_id, label, text) batches to a row per document and term."""
+    """(doc_id, label, text) batches to a row per document and term; `before` is the word its first use follows."""
     for batch in source:
-        docs, labels, terms, counts = [], [], [], []
+        docs, labels, terms, counts, before = [], [], [], [], []
         for i, text in enumerate(batch.column(2)):
-            found = Counter(tokens(text.as_py() or ""))
+            words = tokens(text.as_py() or "")
+            found = Counter(words)
+            first = dict(zip(reversed(words), reversed([b"", *words[:-1]])))
             docs += [i] * len(found)
             labels += [batch.column(1)[i].as_py()] * len(found)
             terms += found.keys()
             counts += found.values()
+            before += map(first.get, found)
         yield pa.RecordBatch.from_arrays(
             [batch.column(0).take(pa.array(docs, pa.int64())), pa.array(labels, pa.int32()), pa.array(terms, pa.binary()),
-             pa.array(counts, pa.int32())], names=["doc_id", "label", "term", "n"])
+             pa.array(counts, pa.int32()), pa.array(before, pa.binary())], names=["doc_id", "label", "term", "n", "before"])
 
 
 def train(docs: DataFrame, labels: DataFrame, learn_from: Column, doc_id: str = "doc_id", text: str = "text",
@@ -155,7 +159,8 @@ def train(docs: DataFrame, labels: DataFrame, learn_from: Column, doc_id: str =
     texts = (docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).filter(F.col("text").isNotNull())
              .join(F.broadcast(chosen), "doc_id").dropDuplicates(["text"]))
     schema = T.StructType([T.StructField("doc_id", docs.schema[doc_id].dataType), T.StructField("label", T.IntegerType()),
-                           T.StructField("term", T.BinaryType()), T.StructField("n", T.IntegerType())])
+                           T.StructField("term", T.BinaryType()), T.StructField("n", T.IntegerType()),
+                           T.StructField("before", T.BinaryType())])
     counted = staged(texts.select("doc_id", "label", "text").mapInArrow(_count_terms, schema), "toxic-terms")
     drawn_docs = {r.label: r.n for r in counted.groupBy("label").agg(F.count_distinct("doc_id").alias("n")).collect()}
     toxic, clean = drawn_docs.get(1, 0), drawn_docs.get(0, 0)
@@ -163,12 +168,12 @@ def train(docs: DataFrame, labels: DataFrame, learn_from: Column, doc_id: str =
         return Model([], [], [], [], [], unseen=0.5 if not all_labelled else float(toxic > 0))
 
     a, b = F.col("toxic"), F.col("clean")
-    n = float(toxic + clean)
-    chi = n * (a * (clean - b) - b * (toxic - a)) ** 2 / ((a + b) * (n - a - b) * float(toxic) * clean)
-    terms = (counted.groupBy("term").agg(F.sum("label").cast("double").alias("toxic"),
-                                         F.sum(1 - F.col("label")).cast("double").alias("clean"))
-             .filter((a + b < n) & (a * clean >= LIFT * b * toxic)).withColumn("chi", chi).filter(F.col("chi") >= CHI_SQUARE)
-             .orderBy(F.desc("chi"), "term").limit(TERMS))
+    part = lambda count, of: F.when(count > 0, count * F.log(count * (toxic + clean) / ((a + b) * float(of)))).otherwise(0.0)
+    uses = lambda y: F.count_distinct(F.when(F.col("label") == y, F.col("before"))).cast("double")
+    terms = (counted.groupBy("term").agg(uses(1).alias("toxic"), uses(0).alias("clean"))
+             .withColumn("ratio", 2 * (part(a, toxic) + part(b, clean)))
+             .filter((a * clean >= LIFT * b * toxic) & (F.col("ratio") >= LIKELIHOOD))
+             .orderBy(F.desc("ratio"), "term").limit(TERMS))
     vocabulary = sorted(bytes(r.term) for r in terms.select("term").collect())
     place = {t: i for i, t in enumerate(vocabulary)}
     total = max(1, docs.count())
