@@ -106,4 +106,22 @@ SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
 WHERE rank <= 5
 """
 
-ORACLES = {"op2_quality_rules": RULES, "op3_chat_formatting": CHATS, "op5_mixing": MIXING, "op10_topk_search": SEARCH}
+SUBSTRINGS = rf"""
+WITH split AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, doc_id, {WORDS} AS w FROM documents),
+windows AS MATERIALIZED (
+  SELECT rid, i, md5(array_to_string(w[i:i + 34], ' ')) AS win
+  FROM (SELECT rid, w, unnest(range(1, len(w) - 33)) AS i FROM split)),
+twice AS (SELECT win FROM windows GROUP BY win HAVING count(*) > 1),
+starts AS (SELECT rid, i FROM windows SEMI JOIN twice USING (win)),
+gone AS (SELECT DISTINCT rid, i + k AS i FROM starts, range(35) r(k)),
+removed AS (SELECT rid, list(i) AS gone FROM gone GROUP BY rid)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS n_removed,
+       sha256(array_to_string(CASE WHEN gone IS NULL THEN w ELSE
+              list_transform(list_filter(list_zip(w, range(1, len(w) + 1)), lambda x: NOT list_contains(gone, x[2])),
+                             lambda x: x[1]) END, ' ')) AS kept_sha256
+FROM split LEFT JOIN removed USING (rid)
+"""
+
+ORACLES = {"op2_quality_rules": RULES, "op3_chat_formatting": CHATS, "op4_substring_dedup": SUBSTRINGS,
+           "op5_mixing": MIXING, "op10_topk_search": SEARCH}

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paylake.llm import (bpe, chat_format, mixing, oracle, quality_classifier, quality_rules, token_count, topk,
-                         toxicity)
-from paylake.llm.common import table
+from paylake.llm import (bpe, chat_format, mixing, oracle, quality_classifier, quality_rules, substring_dedup, token_count,
+                         topk, toxicity)
+from paylake.llm.common import table, words
 
 
 def _sha256(text: Column) -> Column:
@@ -42,6 +42,12 @@ def op3_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
         F.length("formatted").cast("long").alias("formatted_chars"))
 
 
+def op4_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    cleaned = substring_dedup.dedup(table(spark, folder, "documents").select("doc_id", "text"))
+    return cleaned.select("doc_id", "n_words", "n_removed",
+                          _sha256(F.array_join(words(F.col("text")), " ")).alias("kept_sha256"))
+
+
 def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.plan(table(spark, folder, "documents"))
 
@@ -71,6 +77,6 @@ def op10_topk_search(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_quality_classifier, op2_quality_rules, op3_chat_formatting, op5_mixing, op7_token_counts, op8_toxicity, op9_byte_bpe,
+    op1_quality_classifier, op2_quality_rules, op3_chat_formatting, op4_substring_dedup, op5_mixing, op7_token_counts, op8_toxicity, op9_byte_bpe,
     op10_topk_search)}
 ORACLES = oracle.ORACLES
