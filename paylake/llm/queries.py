@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paylake.llm import (bpe, chat_format, mixing, oracle, quality_classifier, quality_rules, substring_dedup, token_count,
-                         topk, toxicity)
+from paylake.llm import (bpe, chat_format, minhash, mixing, oracle, quality_classifier, quality_rules, substring_dedup,
+                         token_count, topk, toxicity)
 from paylake.llm.common import table, words
 
 
@@ -52,6 +52,10 @@ def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.plan(table(spark, folder, "documents"))
 
 
+def op6_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, folder, "documents"))
+
+
 def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_count.count_tokens(table(spark, folder, "documents"))
 
@@ -77,6 +81,6 @@ def op10_topk_search(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_quality_classifier, op2_quality_rules, op3_chat_formatting, op4_substring_dedup, op5_mixing, op7_token_counts, op8_toxicity, op9_byte_bpe,
-    op10_topk_search)}
+    op1_quality_classifier, op2_quality_rules, op3_chat_formatting, op4_substring_dedup, op5_mixing,
+    op6_minhash_near_dedup, op7_token_counts, op8_toxicity, op9_byte_bpe, op10_topk_search)}
 ORACLES = oracle.ORACLES
