@@ -1,7 +1,7 @@
 """Common table expressions and number helpers for the oracle queries."""
 
 
-def dec(x: str, places: int = 4) -> str:
+def dec(x: str, places: int = 10) -> str:
     return f"CAST({x} AS DECIMAL(28,{places}))"
 
 

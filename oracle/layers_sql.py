@@ -240,8 +240,8 @@ def message_queries() -> dict[str, str]:
             '{{"name":"' || event_type || '","value":' || v || ',"nested":' || props || ',"flag":true,"note":null,"list":[1,2]'
               || CASE WHEN seq % 8 = 1 THEN ',"a":1,"b":2,"c":3,"d":4,"e":5,"f":6' ELSE '' END || '}}' AS raw_data,
             event_type AS data_name, CAST(v AS DOUBLE) AS data_value, 'true' AS data_flag,
-            CASE WHEN seq % 8 = 1 THEN '4' END AS data_d, CAST(NULL AS VARCHAR) AS data_e,
-            CAST(CASE WHEN seq % 8 = 1 THEN 8 ELSE 4 END AS INTEGER) AS fields
+            CASE WHEN seq % 8 = 1 THEN '4' END AS data_d, CASE WHEN seq % 8 = 1 THEN '5' END AS data_e,
+            CAST(CASE WHEN seq % 8 = 1 THEN 10 ELSE 4 END AS INTEGER) AS fields
             FROM msg WHERE NOT legacy""",
         "stream_route_counts": counts,
     }

@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from paylake.config import Settings
 from paylake.operators import bronze
-from paylake.operators.skew import fits_broadcast
 from paylake.session import pin_utc, work_dir
 from paylake.sources import files
 from paylake.sources.storage import delete, has_files
@@ -33,13 +32,12 @@ def ingest(
     staged = spark.read.parquet(stage)
     known = None
     if has_files(spark, bronze_root):
-        small = staged if fits_broadcast(staged.select("event_id")) else None
-        known = bronze.first_seen(files.read_bronze_ids(spark, bronze_root, batch_id), files.BRONZE_ORDER, small)
+        known = bronze.first_seen(files.read_bronze_ids(spark, bronze_root, batch_id), files.BRONZE_ORDER, staged)
     stamped = bronze.add_metadata(staged, raw_path, batch_id, ingested_at)
     flagged = bronze.flag_duplicates(stamped, known, files.RAW_ORDER).drop(*files.RAW_ORDER)
     files.write_bronze(flagged, bronze_root)
     if log_path and has_files(spark, bronze_root):
-        files.write_duplicate_log(files.read_bronze(spark, bronze_root, [batch_id]), log_path)
+        files.write_duplicate_log(files.read_bronze(spark, bronze_root, [batch_id]), log_path, batch_id)
     delete(spark, stage)
     return batch_id
 

@@ -36,7 +36,6 @@ DUPLICATE_LOG_COLUMNS = (
 DEFAULT_SCHEMA_VERSION = "1.0"
 UNKNOWN_MESSAGE = "unknown"
 LEGACY_ROUTE = "fintech_legacy"
-PROMOTED_KEYS = 10
 
 # --- Privacy and SQL guard (fixed values) -------------------------------------------------
 PII_COLUMNS = ("user_name", "user_email", "user_age")

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-# Money is summed as decimal, so a sum does not depend on the order rows arrive in. Four
-# decimals hold both currencies; 28 digits leave room for any amount that is a real amount.
-MONEY = "decimal(28,4)"
+# Money is summed as decimal, so a sum does not depend on the order rows arrive in. Ten decimals keep small
+# amounts; eighteen digits before them leave room for any amount that is a real amount, and a larger one counts as null.
+MONEY = "decimal(28,10)"
+MONEY_LIMIT = 1e18
 RATE = "decimal(18,4)"
 
 
@@ -21,12 +22,12 @@ def event_key(c: str | Column = "event_id") -> Column:
 
 def half_up(c: str | Column, digits: int) -> Column:
     """Round half away from zero. Spare digits first, so that float noise cannot turn a tie."""
-    return F.round(col(c).cast(f"decimal(38,{digits + 5})"), digits).cast("double")
+    return F.round(col(c).try_cast(f"decimal(38,{digits + 5})"), digits).cast("double")
 
 
 def exact_sum(c: str | Column, unit: str = MONEY) -> Column:
     """Order-free sum, returned as double."""
-    return F.sum(col(c).cast(unit)).cast("double")
+    return F.sum(col(c).try_cast(unit)).cast("double")
 
 
 def exact_avg(c: str | Column, unit: str = MONEY) -> Column:
@@ -49,3 +50,8 @@ def when_any(text: Column, fragments) -> Column:
     for fragment in fragments:
         found = found | text.contains(fragment)
     return found
+
+
+def total_of(counted: DataFrame, column: str) -> Column:
+    """The sum of a column as a scalar: each task adds up its rows, and one row of sums meets in one place."""
+    return counted.agg(F.sum(column).alias("total")).scalar()

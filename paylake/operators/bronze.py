@@ -52,13 +52,13 @@ def normalized_ids(events: DataFrame) -> DataFrame:
 def first_seen(history: DataFrame, order_by: list[str], batch: DataFrame | None = None) -> DataFrame:
     """First known appearance of every event id in Bronze.
 
-    ``batch``, when given, must be small enough to broadcast its ids (the caller checked): history
-    rows of other ids are then dropped inside the scan stage and never shuffled.
+    ``batch``, when given, keeps only its ids. Where they are few enough the optimizer broadcasts them, and
+    history rows of other ids are dropped inside the scan stage and never shuffled.
     """
     keyed = history.withColumn("event_key", event_key()).filter(F.col("event_key").isNotNull())
     if batch is not None:
         ids = batch.select(event_key().alias("event_key")).distinct()
-        keyed = keyed.join(F.broadcast(ids), "event_key", "left_semi")
+        keyed = keyed.join(ids, "event_key", "left_semi")
     seen = F.struct(*FIRST_SEEN_COLUMNS)
     return keyed.groupBy("event_key").agg(F.min_by(seen, F.struct(*order_by)).alias("_f")).select("event_key", "_f.*")
 

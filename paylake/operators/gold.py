@@ -6,10 +6,10 @@ large part of all rows reaches the shuffle as one partial row per task.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from paylake.config import Settings
-from paylake.functions.scalars import MONEY, exact_sum, half_up, pct, rows
+from paylake.functions.scalars import MONEY, exact_sum, half_up, pct, rows, total_of
 
 FIRST_SEEN = {  # Gold column <- Silver column
     "user_name": "user_name", "user_email": "user_email", "user_age": "user_age",
@@ -140,8 +140,7 @@ def event_summary(silver: DataFrame) -> DataFrame:
         F.count_if(~F.col("is_failed")).alias("success_count"),
         F.count_if("is_failed").alias("failed_count"),
     )
-    total = F.sum("count").over(Window.partitionBy())  # input: one row per event type
-    return counted.withColumn("pct_of_total", pct(F.col("count"), total, 2))
+    return counted.withColumn("pct_of_total", pct(F.col("count"), total_of(counted, "count"), 2))
 
 
 def gold_run_summary(users: DataFrame) -> DataFrame:

@@ -3,11 +3,17 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from paylake import fixed_values as fv
 
+# Functions that call code of the class path.
+UNSAFE_WORDS = ("reflect", "java_method", "try_reflect")
+
+
 class UnsafeSQL(ValueError):
     """The text is not a single read-only query."""
 
@@ -27,6 +33,49 @@ def check(
     return text
 
 
+def _relations(spark: SparkSession, text: str) -> tuple[set[tuple[str, ...]], set[str]]:
+    """Relations that a query names, in parts, and the names its WITH clauses define, from Spark's own parser."""
+    plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(text).toString()
+    if "ScriptTransformation" in plan or "ScriptInputOutputSchema" in plan:
+        raise UnsafeSQL("a query runs no programs")
+    if re.search(r"UnresolvedTableValuedFunction|UnresolvedTVF", plan):
+        raise UnsafeSQL("a query reads tables only")
+    named = {tuple(p.strip().lower() for p in m.split(",")) for m in re.findall(r"UnresolvedRelation \[([^\]]*)\]", plan)}
+    defined = {n.strip().lower() for m in re.findall(r"(?:CTE|UnresolvedWith) \[([^\]]*)\]", plan) for n in m.split(",")}
+    return named, defined
+
+
+def check_relations(spark: SparkSession, text: str, allowed: Iterable[str]) -> None:
+    """A query reads the allowed names and what it defines itself: no files, no other tables, no programs."""
+    if re.search(r"\b(" + "|".join(UNSAFE_WORDS) + r")\b", text, re.IGNORECASE):
+        raise UnsafeSQL("a query calls no code by name")
+    named, defined = _relations(spark, text)
+    known = {a.lower() for a in allowed}
+    for parts in named:
+        if len(parts) > 1 or parts[0] not in known | defined:
+            raise UnsafeSQL(f"not a table of this query: {'.'.join(parts)}")
+    for name in defined - known:  # a definition holds only in its own part of the text
+        if (name,) in named and spark.catalog.tableExists(name):
+            raise UnsafeSQL(f"a definition hides a table: {name}")
+
+
+@contextmanager
+def _masked_views(spark: SparkSession, tables: dict[str, DataFrame]) -> Iterator[None]:
+    """The tables under their names with personal columns masked; the session's own views come back afterwards."""
+    own = {name: spark.table(name) for name in tables if any(
+        t.isTemporary and t.name.lower() == name.lower() for t in spark.catalog.listTables())}
+    masked = {name: mask_pii(df) for name, df in tables.items()}
+    try:
+        for name, df in masked.items():
+            df.createOrReplaceTempView(name)
+        yield
+    finally:
+        for name in tables:
+            spark.catalog.dropTempView(name)
+        for name, df in own.items():
+            df.createOrReplaceTempView(name)
+
+
 def pii_mentioned(sql: str, pii: tuple[str, ...] = fv.PII_COLUMNS) -> list[str]:
     """Personal columns named in the text."""
     return [c for c in pii if re.search(rf"\b{c}\b", sql, re.IGNORECASE)]
@@ -43,11 +92,23 @@ def mask_pii(df: DataFrame, pii: tuple[str, ...] = fv.PII_COLUMNS) -> DataFrame:
     })
 
 
+def answer(
+    spark: SparkSession, sql: str, tables: dict[str, DataFrame], forbidden: tuple[str, ...] = fv.FORBIDDEN_SQL_WORDS
+) -> DataFrame:
+    """All rows of a checked query over masked tables. Spark resolves a query at once, so the views need not stay."""
+    text = check(sql, forbidden)
+    check_relations(spark, text, tables)
+    with _masked_views(spark, tables):
+        return drop_pii(spark.sql(text))
+
+
 def run(
     spark: SparkSession, sql: str, tables: dict[str, DataFrame], max_rows: int = fv.SQL_ROW_CAP
 ) -> tuple[DataFrame, list[str]]:
     """Result without personal columns and at most ``max_rows`` rows, with the personal columns it named."""
-    text = check(sql)
-    for name, df in tables.items():
-        mask_pii(df).createOrReplaceTempView(name)
-    return drop_pii(spark.sql(text)).limit(max_rows), pii_mentioned(text)
+    return answer(spark, sql, tables).limit(max_rows), pii_mentioned(sql)
+
+
+def is_cut(spark: SparkSession, sql: str, tables: dict[str, DataFrame], max_rows: int = fv.SQL_ROW_CAP) -> bool:
+    """Whether ``run`` leaves rows of the answer out."""
+    return answer(spark, sql, tables).limit(max_rows + 1).count() > max_rows

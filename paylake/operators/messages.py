@@ -7,8 +7,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from paylake import fixed_values as fv
 from paylake.functions.scalars import rows
 
-MAX_PROMOTED_COLUMNS = 1000
-
 
 def is_legacy() -> Column:
     """A message whose ``detail`` is an object, in the nested event shape."""
@@ -30,6 +28,11 @@ def validate(messages: DataFrame, received_at: str | Column) -> DataFrame:
     })
 
 
+def split_valid(validated: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The messages to go on with, and those to set aside."""
+    return validated.filter("is_valid"), validated.filter(~F.col("is_valid"))
+
+
 def classify(messages: DataFrame) -> DataFrame:
     """Message type and Bronze route of each message."""
     kind = F.coalesce("msg_type", F.lit(fv.UNKNOWN_MESSAGE))
@@ -39,20 +42,21 @@ def classify(messages: DataFrame) -> DataFrame:
     })
 
 
-def flatten_generic(messages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Fixed columns, the data as JSON text, and its scalars among the first ten keys as a map.
+def flatten_generic(messages: DataFrame, keep: tuple[str, ...] = (), first_keys: int | None = None) -> DataFrame:
+    """Fixed columns, the data as JSON text, and all its scalars as a map, or those among the ``first_keys`` keys.
 
     A map has room for any key; ``promote`` turns chosen keys into columns.
     """
-    # One parse per message: the map and its first keys are columns of their own.
+    # One parse per message: the map and its keys are columns of their own.
     parsed = messages.withColumn("_data", F.from_json("data", "map<string, variant>")).withColumn(
-        "_first", F.slice(F.map_keys("_data"), 1, fv.PROMOTED_KEYS)
-    )
-    scalars = F.map_filter(
-        F.col("_data"),
-        lambda key, value: F.array_contains("_first", key)
-        & ~F.coalesce(F.schema_of_variant(value).rlike("^(OBJECT|ARRAY)"), F.lit(False)),
+        "_keys", F.map_keys("_data")
     )
+
+    def kept(key: Column, value: Column) -> Column:
+        scalar = ~F.coalesce(F.schema_of_variant(value).rlike("^(OBJECT|ARRAY)"), F.lit(False))
+        return scalar if first_keys is None else scalar & F.array_contains(F.slice("_keys", 1, first_keys), key)
+
+    scalars = F.map_filter(F.col("_data"), kept)
     unknown = F.lit(fv.UNKNOWN_MESSAGE)
     return parsed.select(
         F.coalesce("msg_type", unknown).alias("msg_type"),
@@ -65,15 +69,6 @@ def flatten_generic(messages: DataFrame, keep: tuple[str, ...] = ()) -> DataFram
     )
 
 
-def promoted_keys(flat: DataFrame) -> list[str]:
-    """Keys present in ``data_fields``. A table cannot hold arbitrarily many columns: too many is an error."""
-    keys = flat.select(F.explode(F.map_keys("data_fields")).alias("k")).distinct().limit(MAX_PROMOTED_COLUMNS + 1)
-    found = sorted(row.k for row in keys.collect())
-    if len(found) > MAX_PROMOTED_COLUMNS:
-        raise ValueError("too many distinct data keys for columns: query the data_fields map instead")
-    return found
-
-
 def promote(flat: DataFrame, keys: list[str] | dict[str, str]) -> DataFrame:
     """Add ``data_<key>`` columns; a dict also names their types (unreadable values become null)."""
     types = keys if isinstance(keys, dict) else dict.fromkeys(keys, "string")

@@ -6,16 +6,16 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from paylake import fixed_values as fv
 from paylake.config import Settings
-from paylake.functions.scalars import event_key, half_up, rows
+from paylake.functions.scalars import MONEY_LIMIT, event_key, half_up, rows
 from paylake.operators.skew import lookup
 
 MONEY_COLUMNS = ("amount", "balance_before", "balance_after", "initial_balance")
 
 
 def _number(c: str) -> Column:
-    """Double, or null for text that is no finite number."""
+    """Double, or null for text that is no number, or none that a sum of money can hold."""
     value = F.col(c).cast("string").try_cast("double")
-    return F.when(F.abs(value) < F.lit(float("inf")), value)
+    return F.when(F.abs(value) < F.lit(MONEY_LIMIT), value)
 
 
 def clean_types(events: DataFrame) -> DataFrame:
@@ -26,7 +26,7 @@ def clean_types(events: DataFrame) -> DataFrame:
     present = set(events.columns)
     typed: dict[str, Column] = {c: _number(c) for c in MONEY_COLUMNS if c in present}
     if "installments" in present:
-        typed["installments"] = F.coalesce(_number("installments").cast("int"), F.lit(1))
+        typed["installments"] = F.coalesce(_number("installments").try_cast("int"), F.lit(1))
     if "user_email" in present:
         typed["user_email"] = F.trim(F.lower("user_email"))
     typed["timestamp"] = F.col("timestamp").try_cast("timestamp")
@@ -89,11 +89,11 @@ def resolve_location(events: DataFrame) -> DataFrame:
 
 def locate_public_ips(events: DataFrame, ip_geo: DataFrame, salt_on: list[str], **skew) -> DataFrame:
     """Override city and country by a non-empty ``ip_geo(ip, city, country)`` entry, public addresses only."""
-    geo = ip_geo.select(
-        F.col("ip").alias("_ip"),
-        F.nullif(F.col("city"), F.lit("")).alias("_city"),
-        F.nullif(F.col("country"), F.lit("")).alias("_country"),
-    )
+    place = F.struct(F.nullif(F.col("city"), F.lit("")).alias("city"), F.nullif(F.col("country"), F.lit("")).alias("country"))
+    # One entry per address, whatever the lookup holds: the one with a place, the least of several.
+    geo = ip_geo.groupBy(F.col("ip").alias("_ip")).agg(
+        F.min(F.struct(place["city"].isNull(), place["country"].isNull(), place.alias("place"))).alias("_g")
+    ).select("_ip", F.col("_g.place.city").alias("_city"), F.col("_g.place.country").alias("_country"))
     keyed = events.withColumn("_ip", F.when(~F.col("ip_is_private"), F.col("ip")))
     return lookup(keyed, geo, "_ip", salt_on=salt_on, **skew).withColumns({
         "location_city": F.coalesce("_city", "location_city"),

@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-HEAVY_KEYS = 1000        # size of the salted key list, hence of the broadcast
-HEAVY_ROWS = 1_000_000   # a key with fewer rows fits one task as it is
+HEAVY_ROWS = 1_000_000   # a key with fewer rows fits one task as it is; there are at most rows / HEAVY_ROWS others
 SALTS = 256
 
 
@@ -34,33 +33,25 @@ def lookup(
     heavy_rows: int = HEAVY_ROWS,
     salts: int = SALTS,
     allow_broadcast: bool = True,
-    bounded: bool = False,
 ) -> DataFrame:
     """Left join of ``rows`` to ``table``, which has one row per ``key``.
 
     A table whose checked size is below the session's broadcast limit is broadcast. Otherwise
     both sides are shuffled on (key, salt): rows of the heaviest keys spread over ``salts``
     partitions and only those keys' table rows are copied; rows without a key spread as well
-    (they match nothing). Every other key holds at most 1/HEAVY_KEYS of the rows. The salt is a
-    hash of ``salt_on``, so a recomputed task sends each row to the same place.
+    (they match nothing). Every key with ``heavy_rows`` rows or more is spread; their list, which is
+    broadcast, has at most one key per ``heavy_rows`` rows: 1 MB of list stands for terabytes of rows.
+    The salt is a hash of ``salt_on``, so a recomputed task sends each row to the same place.
     ``weight`` names a column of ``table`` with the row count per key, when it is known; such a
     table was computed, so its size is known only at run time and adaptive execution decides.
-    ``bounded`` says the caller counted the rows and one task can hold them all: a plain join.
     """
-    if bounded:
-        return rows.join(table, key, "left")
     if allow_broadcast and weight is None and fits_broadcast(table):
         return rows.join(F.broadcast(table), key, "left")
     if weight:
         counts = table.select(key, F.col(weight).alias("_n"))
     else:
         counts = rows.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    heavy = (
-        counts.filter(F.col("_n") >= heavy_rows)
-        .orderBy(F.desc("_n"), key)
-        .limit(HEAVY_KEYS)
-        .select(key, F.lit(True).alias("_heavy"))
-    )
+    heavy = counts.filter(F.col("_n") >= heavy_rows).select(key, F.lit(True).alias("_heavy"))
     spread = F.pmod(F.xxhash64(*salt_on), F.lit(salts)).cast("int")
     left = rows.join(F.broadcast(heavy), key, "left").withColumn(
         "_salt", F.when(F.col("_heavy") | F.col(key).isNull(), spread).otherwise(F.lit(0))

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from paylake.functions.scalars import exact_sum, half_up, pct, rows
+from paylake.functions.scalars import exact_sum, half_up, pct, rows, total_of
 from paylake.plans.metrics import (
     failure_pct, inactive, mean_recency, mean_ticket, revenue_per_user, volume, volume_millions,
 )
@@ -24,9 +24,8 @@ def table_by(users: DataFrame, key: str, measures: dict[str, Column], known: boo
 
 
 def _share_of_users(table: DataFrame, name: str) -> DataFrame:
-    """Share of all grouped users, from the group counts: a handful of channels or devices."""
-    total = F.sum("usuarios").over(Window.partitionBy())
-    return table.withColumn(name, pct(F.col("usuarios"), total, 1))
+    """Share of all grouped users, from the group counts."""
+    return table.withColumn(name, pct(F.col("usuarios"), total_of(table, "usuarios"), 1))
 
 
 def inactive_by_segment(users: DataFrame) -> DataFrame:

@@ -16,11 +16,12 @@ COMPARED = {
 
 
 def compare(daily: DataFrame, days: int = 7) -> DataFrame:
-    """One row per period; a period without days is a row of nulls. ``days`` is held within 1..30.
+    """One row per period; a period without days is a row of nulls. ``days`` is a whole number from 1 on.
 
     Only the latest 2 x days rows are ranked: a top-k over the day table, then a window over it.
     """
-    days = max(1, min(int(days), 30))
+    if days != int(days) or days < 1:
+        raise ValueError(f"not a number of days: {days!r}")
     latest = daily.orderBy(F.desc("date")).limit(2 * days)
     rank = F.row_number().over(Window.orderBy(F.desc("date")))
     labelled = latest.withColumn("periodo", F.when(rank <= days, CURRENT).otherwise(PRIOR))

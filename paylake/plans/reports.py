@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from paylake import fixed_values as fv
-from paylake.functions.scalars import exact_avg, exact_sum, half_up, pct, rows
+from paylake.functions.scalars import exact_avg, exact_sum, half_up, pct, rows, total_of
 from paylake.plans.business import ranked, table_by
 from paylake.plans.metrics import failure_pct, inactive, mean_ticket, revenue_per_user, volume_millions
 
@@ -102,8 +102,8 @@ def dashboard_leaders(users: DataFrame) -> DataFrame:
     scores = named.groupBy("kind", "leader").agg(
         F.when(F.col("kind") == "segment", volume).otherwise(rows().cast("double")).alias("score")
     )
-    first = F.row_number().over(Window.partitionBy("kind").orderBy(F.desc("score"), "leader")) == 1
-    return scores.withColumn("first", first).filter("first").drop("first")
+    best = F.struct(-F.col("score"), F.col("leader"))
+    return scores.groupBy("kind").agg(F.min_by("leader", best).alias("leader"), F.min_by("score", best).alias("score"))
 
 
 def segment_volume(users: DataFrame) -> DataFrame:
@@ -115,8 +115,8 @@ def segment_volume(users: DataFrame) -> DataFrame:
 
 def channel_share(users: DataFrame) -> DataFrame:
     table = table_by(users, "preferred_channel", {"usuarios": rows()}, known=True)
-    total = F.sum("usuarios").over(Window.partitionBy())
-    return ranked(table.withColumn("share_pct", pct(F.col("usuarios"), total, 1)), "usuarios", "preferred_channel")
+    share = pct(F.col("usuarios"), total_of(table, "usuarios"), 1)
+    return ranked(table.withColumn("share_pct", share), "usuarios", "preferred_channel")
 
 
 def merchant_users(users: DataFrame, limit: int = 12) -> DataFrame:

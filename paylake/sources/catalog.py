@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from paylake import fixed_values as fv
-from paylake.operators.guard import check, drop_pii
+from paylake.operators.guard import answer, check, drop_pii
 from paylake.sources.files import null_tokens_to_null
 
 REQUIRED_COLUMNS = {
@@ -22,13 +24,18 @@ def publish_table(df: DataFrame, name: str, path: str | None = None) -> None:
 
 
 def query(spark: SparkSession, sql: str, max_rows: int = fv.WAREHOUSE_ROW_CAP) -> DataFrame:
-    """Read-only SQL over catalog tables, without personal columns, at most ``max_rows`` rows."""
-    return drop_pii(spark.sql(check(sql, fv.WAREHOUSE_FORBIDDEN_WORDS))).limit(max_rows)
+    """Read-only SQL over tables of the current database, personal columns masked, at most ``max_rows`` rows."""
+    tables = {t.name: spark.table(t.name) for t in spark.catalog.listTables() if not t.isTemporary
+              and re.search(rf"\b{re.escape(t.name)}\b", sql, re.IGNORECASE)}
+    return answer(spark, sql, tables, fv.WAREHOUSE_FORBIDDEN_WORDS).limit(max_rows)
 
 
 def command(spark: SparkSession, sql: str, max_rows: int = fv.WAREHOUSE_ROW_CAP) -> DataFrame:
     """Like ``query``, also for SHOW, DESCRIBE and EXPLAIN."""
-    return drop_pii(spark.sql(check(sql, fv.WAREHOUSE_FORBIDDEN_WORDS, fv.COMMAND_STARTS))).limit(max_rows)
+    text = check(sql, fv.WAREHOUSE_FORBIDDEN_WORDS, fv.COMMAND_STARTS)
+    if re.match(r"\(*\s*(" + "|".join(fv.QUERY_STARTS) + r")\b", text, re.IGNORECASE):
+        return query(spark, sql, max_rows)
+    return drop_pii(spark.sql(text)).limit(max_rows)
 
 
 def readiness(spark: SparkSession, names: dict[str, str]) -> DataFrame:

@@ -51,13 +51,13 @@ def write_bronze(batch: DataFrame, root: str) -> str:
 
 
 def read_bronze(spark: SparkSession, root: str, batch_ids: list[str] | None = None) -> DataFrame:
-    """Bronze rows with their file and row number; files may differ in columns, damaged ones are skipped.
+    """Bronze rows with their file and row number; files may differ in columns, a damaged one is an error.
 
     ``batch_ids`` lists and reads those batches' folders only.
     """
     if not has_files(spark, root):
         raise FileNotFoundError(f"no Bronze files in {root}")
-    reader = spark.read.option("mergeSchema", True).option("ignoreCorruptFiles", True).option("basePath", root)
+    reader = spark.read.option("mergeSchema", True).option("basePath", root)
     paths = [root] if batch_ids is None else [f"{root}/in_day=*/in_batch=b_{b}" for b in batch_ids]
     return reader.parquet(*paths).select(
         "*",
@@ -72,7 +72,7 @@ def read_bronze_ids(spark: SparkSession, root: str, without_batch: str | None =
     A file without an event_id column reads as rows without an id, which no lookup can match.
     """
     schema = f"{BRONZE_IDS}, in_batch string"
-    rows = spark.read.schema(schema).option("ignoreCorruptFiles", True).parquet(root)
+    rows = spark.read.schema(schema).parquet(root)
     if without_batch is not None:
         rows = rows.filter(F.col("in_batch") != _folder(without_batch))
     return rows.select(
@@ -133,16 +133,17 @@ def register_gold(tables: dict[str, DataFrame]) -> None:
         df.createOrReplaceTempView(name)
 
 
-def write_duplicate_log(flagged: DataFrame, path: str) -> str | None:
-    """CSV of the flagged rows; nothing is written when there are none."""
+def write_duplicate_log(flagged: DataFrame, path: str, batch_id: str | None = None) -> str | None:
+    """CSV of the flagged rows, in a folder of its own for each batch; nothing is written when there are none."""
     log = duplicate_log(flagged)
     if log.isEmpty():
         return None
+    target = f"{path.rstrip('/')}/batch={batch_id}" if batch_id else path
     (
         log.write.mode("overwrite").option("header", True)
-        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(target)
     )
-    return path
+    return target
 
 
 def null_tokens_to_null(df: DataFrame) -> DataFrame:

@@ -11,13 +11,10 @@ from pyspark.sql.streaming import StreamingQuery
 from paylake import fixed_values as fv
 from paylake.operators import bronze, messages
 from paylake.schemas import CORRUPT, DETAIL, MESSAGE
-from paylake.session import pin_utc
+from paylake.session import pin_utc, work_dir
 from paylake.sources.files import BRONZE_ORDER, placed, read_bronze_ids, write_bronze
-from paylake.sources.storage import has_files
+from paylake.sources.storage import delete, has_files
 
-# A micro-batch up to this many rows has its ids broadcast against history, and no key in it is too
-# hot for one task. A larger one is joined with hot keys salted.
-SMALL_BATCH_ROWS = 1_000_000
 STREAM_ORDER = ["in_file", "in_block", "in_row"]
 
 
@@ -81,16 +78,15 @@ def bronze_roots(root: str) -> dict[str, str]:
 def store_batch(batch: DataFrame, batch_id: str, root: str) -> None:
     """Store one micro-batch. Running it again replaces its own folders, so a replay adds nothing."""
     spark, roots = batch.sparkSession, bronze_roots(root)
-    numbered = batch.withColumn("in_row", F.monotonically_increasing_id())
-    classified = messages.classify(numbered).persist()  # read by the count and by both routes
-    try:
-        events, others = _route_sizes(classified)
-        if events:
-            _store_events(classified, batch_id, roots["events"], events, spark)
-        if others:
-            _store_messages(classified, batch_id, roots["messages"])
-    finally:
-        classified.unpersist()
+    stage = work_dir(spark, "micro-batch")  # shared, so a lost executor does not send the batch back to its source
+    messages.classify(batch.withColumn("in_row", F.monotonically_increasing_id())).write.parquet(stage)
+    classified = spark.read.parquet(stage)
+    events, others = _route_sizes(classified)
+    if events:
+        _store_events(classified, batch_id, roots["events"], spark)
+    if others:
+        _store_messages(classified, batch_id, roots["messages"])
+    delete(spark, stage)
 
 
 def _route_sizes(classified: DataFrame) -> tuple[int, int]:
@@ -99,29 +95,38 @@ def _route_sizes(classified: DataFrame) -> tuple[int, int]:
     return row.events, row.others
 
 
-def _store_events(classified: DataFrame, batch_id: str, root: str, size: int, spark: SparkSession) -> None:
+def _store_events(classified: DataFrame, batch_id: str, root: str, spark: SparkSession) -> None:
     raw = classified.filter(F.col("msg_route") == fv.LEGACY_ROUTE).select(
         "source", "detailType", F.from_json("detail", DETAIL).alias("detail"), "received_at", *STREAM_ORDER
     )
     flat = _stamp(bronze.flatten(raw, keep=("received_at", *STREAM_ORDER)), "bus_stream", batch_id)
-    known, small = None, size <= SMALL_BATCH_ROWS
+    known = None
     if has_files(spark, root):
         history = read_bronze_ids(spark, root, without_batch=batch_id)
-        known = bronze.first_seen(history, BRONZE_ORDER, flat if small else None)
-    flagged = bronze.flag_duplicates(flat, known, STREAM_ORDER, bounded=small)
+        known = bronze.first_seen(history, BRONZE_ORDER, flat)
+    flagged = bronze.flag_duplicates(flat, known, STREAM_ORDER)
     write_bronze(flagged.drop(*STREAM_ORDER), root)
 
 
+QUARANTINE = "quarantine"
+
+
+def quarantined(route: Column) -> Column:
+    """The folder of a route. Types are free text: those that are not known share one folder, the type stays a column."""
+    return F.when(route.isin(*fv.MESSAGE_TYPES), route).otherwise(QUARANTINE)
+
+
 def _store_messages(classified: DataFrame, batch_id: str, root: str) -> None:
-    """All other types in one write, a folder per type."""
+    """All other types in one write, a folder per known type and one for the rest."""
     others = classified.filter(F.col("msg_route") != fv.LEGACY_ROUTE)
     at = F.date_format("received_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx")
     valid = messages.validate(others, at)
     flat = messages.flatten_generic(valid, keep=("is_valid", "msg_route", "received_at"))
     stamped = _stamp(flat, F.concat(F.lit("bus_stream_"), F.col("msg_route")), batch_id)
     (
-        placed(stamped).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("msg_route", "in_day", "in_batch").parquet(root)
+        placed(stamped).withColumn("in_route", quarantined(F.col("msg_route")))
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy("in_route", "in_day", "in_batch").parquet(root)
     )
 
 

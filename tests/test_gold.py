@@ -206,8 +206,11 @@ def test_empty_prior_period_is_a_row(spark):
     assert periods.trend(days_frame(spark, [1, 2])).first().trend == "mixed"
 
 
-def test_period_length_is_held_in_range(spark):
-    assert {r.dias_datos for r in periods.compare(days_frame(spark, range(1, 71)), 99).collect()} == {30}
+def test_any_period_length_is_answered_and_none_below_one(spark):
+    assert {r.dias_datos for r in periods.compare(days_frame(spark, range(1, 71)), 35).collect()} == {35}
+    for days in (0, -1, 1.5):
+        with pytest.raises(ValueError):
+            periods.compare(days_frame(spark, [1]), days)
 
 
 def test_no_trend_against_zero(spark):

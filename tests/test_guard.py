@@ -48,3 +48,42 @@ def test_a_limit_in_the_text_can_only_lower_the_cap(spark, tables, limit, expect
 def test_an_alias_does_not_carry_pii_out(spark, tables):
     result, _ = guard.run(spark, "SELECT DISTINCT user_email AS x, concat('-', user_name) AS y FROM gold_user_360", tables)
     assert [tuple(r) for r in result.collect()] == [(None, None)]
+
+
+@pytest.mark.parametrize("sql", [
+    "SELECT TRANSFORM(total) USING 'id -un' AS (x string) FROM gold_user_360",
+    "SELECT java_method('java.lang.System', 'getProperty', 'user.name')", "SELECT `reflect`('java.lang.System', 'nanoTime')",
+    "SELECT user_email AS e FROM parquet.`/tmp/x`", "SELECT user_email AS e FROM default.other", "SELECT * FROM other",
+    "SELECT (SELECT max(user_email) FROM other) AS e FROM gold_user_360", "SELECT * FROM gold_user_360 WHERE EXISTS (SELECT 1 FROM other)",
+])
+def test_only_the_given_tables_are_read_and_nothing_is_run(spark, tables, sql):
+    with pytest.raises(guard.UnsafeSQL):
+        guard.run(spark, sql, tables)
+
+
+def test_definitions_and_subqueries_are_allowed(spark, tables):
+    sql = "WITH x AS (SELECT total FROM gold_user_360) SELECT (SELECT max(total) FROM x) AS m, count(*) AS n FROM x"
+    assert [tuple(r) for r in guard.run(spark, sql, tables)[0].collect()] == [(5.0, 150)]
+
+
+def test_the_callers_view_stays_and_a_cut_is_told(spark, tables):
+    spark.range(3).createOrReplaceTempView("gold_user_360")
+    assert guard.is_cut(spark, "SELECT total FROM gold_user_360", tables)
+    assert not guard.is_cut(spark, "SELECT total FROM gold_user_360 LIMIT 7", tables)
+    assert spark.table("gold_user_360").count() == 3
+    spark.catalog.dropTempView("gold_user_360")
+
+
+def test_the_catalog_masks_personal_columns_under_any_name(spark):
+    from paylake.sources import catalog
+
+    catalog.publish_table(spark.sql("SELECT 'a@b.c' AS user_email, 1 AS n"), "guarded_people")
+    try:
+        rows = catalog.query(spark, "SELECT user_email AS e, n FROM guarded_people").collect()
+        assert [tuple(r) for r in rows] == [(None, 1)]
+        for sql in ("WITH guarded_people AS (SELECT 1 AS n) SELECT * FROM spark_catalog.default.guarded_people",
+                    "SELECT * FROM default.guarded_people"):
+            with pytest.raises(guard.UnsafeSQL):
+                catalog.query(spark, sql)
+    finally:
+        spark.sql("DROP TABLE guarded_people")

@@ -14,15 +14,15 @@ def test_metric_is_flattened_and_nested_parts_stay_in_raw_data(spark):
     row = flat.first()
     assert row.raw_data == data
     assert row.data_fields == {"name": "gmv", "value": "123", "ok": "true", "nothing": None}
-    assert messages.promoted_keys(flat) == ["name", "nothing", "ok", "value"]
     promoted = messages.promote(flat, {"name": "string", "value": "double"}).first()
     assert (promoted.data_name, promoted.data_value) == ("gmv", 123.0)
 
 
-def test_only_the_first_ten_keys_are_promoted(spark):
+def test_every_scalar_key_is_kept_unless_asked_for_the_first(spark):
     data = "{" + ",".join(f'"k{i}":{i}' for i in range(15)) + "}"
-    row = messages.flatten_generic(frame(spark, [{"msg_type": "log", "data": data}])).first()
-    assert sorted(row.data_fields) == sorted(f"k{i}" for i in range(10))
+    df = frame(spark, [{"msg_type": "log", "data": data}])
+    assert sorted(messages.flatten_generic(df).first().data_fields) == sorted(f"k{i}" for i in range(15))
+    assert sorted(messages.flatten_generic(df, first_keys=10).first().data_fields) == sorted(f"k{i}" for i in range(10))
 
 
 def test_defaults_and_unknown_types(spark):

@@ -41,15 +41,23 @@ def test_no_bronze_is_an_error(spark, folder):
         files.read_bronze(spark, f"{folder}/nothing")
 
 
-def test_first_seen_skips_damaged_files_and_files_without_ids(spark, folder):
+def test_files_without_ids_match_nothing(spark, folder):
     root = f"{folder}/b"
     files.write_bronze(batch(spark, ["a"]), root)
     batch(spark, ["z"]).drop("event_id").write.parquet(f"{root}/in_day=2026-01-03/in_batch=b_x")
+    known = bronze.first_seen(files.read_bronze_ids(spark, root), files.BRONZE_ORDER)
+    assert [(r.event_key, r.batch_id) for r in known.collect()] == [("a", "b1")]
+
+
+@pytest.mark.parametrize("read", [files.read_bronze, files.read_bronze_ids])
+def test_a_damaged_file_is_an_error(spark, folder, read):
+    root = f"{folder}/b"
+    files.write_bronze(batch(spark, ["a"]), root)
     os.makedirs(f"{root}/in_day=2026-01-04/in_batch=b_y")
     with open(f"{root}/in_day=2026-01-04/in_batch=b_y/bad.parquet", "w") as out:
         out.write("not parquet")
-    known = bronze.first_seen(files.read_bronze_ids(spark, root), files.BRONZE_ORDER)
-    assert [(r.event_key, r.batch_id) for r in known.collect()] == [("a", "b1")]
+    with pytest.raises(Exception, match="(?i)parquet|footer"):
+        read(spark, root).collect()
 
 
 def test_columns_of_all_files_are_united(spark, folder):
@@ -69,8 +77,10 @@ def test_duplicate_log(spark, folder):
     clean = bronze.flag_duplicates(batch(spark, ["a"]), None, ["seq"])
     assert files.write_duplicate_log(clean, f"{folder}/log") is None and not os.path.exists(f"{folder}/log")
     dirty = bronze.flag_duplicates(batch(spark, ["a", " a"]), None, ["seq"])
-    files.write_duplicate_log(dirty, f"{folder}/log")
-    log = spark.read.option("header", True).csv(f"{folder}/log")
+    for name in ("one", "two"):
+        files.write_duplicate_log(dirty, f"{folder}/log", name)
+    assert sorted(os.listdir(f"{folder}/log")) == ["batch=one", "batch=two"]
+    log = spark.read.option("header", True).csv(f"{folder}/log/batch=one")
     assert log.columns == ["event_id", "batch_id", "ingestion_timestamp", "duplicate_reason",
                            "duplicate_first_seen_batch_id", "duplicate_first_seen_file"]
     assert log.first().event_id == " a"
