@@ -98,16 +98,6 @@ def write_silver(silver: DataFrame, root: str) -> str:
     return root
 
 
-def replace_silver_dates(silver: DataFrame, root: str) -> str:
-    """Replace only the dates present in ``silver``."""
-    (
-        silver.hint("rebalance", "date").write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic").option("compression", "snappy")
-        .partitionBy("date").parquet(root)
-    )
-    return root
-
-
 def read_silver(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.parquet(root)
 

@@ -15,11 +15,11 @@ from paylake.operators import gold
 from paylake.operators.silver import build_silver
 from paylake.operators.skew import drop_matching, keep_matching
 from paylake.session import pin_utc
-from paylake.sources import files, snapshots
-from paylake.sources.storage import delete, exists, has_files
+from paylake.sources import dated, files, snapshots
+from paylake.sources.storage import delete, exists
 
 STORED_ORDER = files.BRONZE_ORDER
-MAX_LISTED_DAYS = 10_000
+GOLD_DONE = "gold_done"
 # Spreads rows that share a missing or hot key; any columns that differ between such rows do.
 _SPREAD = ["timestamp", "event_id", "user_id"]
 
@@ -33,18 +33,25 @@ def build_gold(silver: DataFrame, settings: Settings) -> dict[str, DataFrame]:
 
 
 def rebuild(
-    spark: SparkSession, bronze_root: str, silver_path: str, gold_root: str, settings: Settings,
+    spark: SparkSession, bronze_root: str, silver_root: str, gold_root: str, settings: Settings,
     ip_geo: DataFrame | None = None,
-) -> dict[str, str]:
-    """All of Silver and Gold from all of Bronze, published as new versions.
+) -> list[str]:
+    """All of Silver and Gold from all of Bronze, published as new versions. Returns the batches taken in.
 
     Silver is written once and read back for the three Gold builds: the written table cuts the
     lineage, so a lost executor never sends Gold back to raw Bronze.
     """
-    stored = files.read_bronze(pin_utc(spark), bronze_root)
+    batches = files.bronze_batches(pin_utc(spark), bronze_root)  # listed before Bronze is read: none is missed later
+    stored = files.read_bronze(spark, bronze_root)
     silver = build_silver(stored, settings, STORED_ORDER, ip_geo).drop(*STORED_ORDER)
-    snapshots.publish(silver.hint("rebalance", "date"), silver_path, ("date",))
-    return publish_gold(snapshots.read_latest(spark, silver_path), gold_root, settings)
+    number = dated.publish(silver, silver_root, batches)
+    _publish_all_gold(spark, silver_root, number, gold_root, settings)
+    return sorted(row.batch_id for row in batches.collect())
+
+
+def _publish_all_gold(spark: SparkSession, silver_root: str, number: int, gold_root: str, settings: Settings) -> None:
+    publish_gold(dated.read(spark, silver_root), gold_root, settings)
+    dated.mark(spark, silver_root, number, GOLD_DONE)
 
 
 def publish_gold(silver: DataFrame, gold_root: str, settings: Settings) -> dict[str, str]:
@@ -76,72 +83,66 @@ def merge_users(old: DataFrame, silver: DataFrame, touched: DataFrame, settings:
     return kept.select(*fresh.columns).unionByName(fresh)
 
 
-def merge_days(old: DataFrame, silver: DataFrame, touched: list[dt.date] | None) -> DataFrame:
-    """Recompute only touched dates, reading only their folders; None means all."""
-    if touched is None:
-        return gold.daily_metrics(silver)
+def merge_days(old: DataFrame, silver: DataFrame, touched: list[dt.date]) -> DataFrame:
+    """Recompute only touched dates, reading only their folders."""
     fresh = gold.daily_metrics(silver.filter(F.col("date").isin(touched)))
     return old.filter(~F.col("date").isin(touched)).select(*fresh.columns).unionByName(fresh)
 
 
-def touched_days(*parts: DataFrame) -> list[dt.date | None] | None:
-    """Distinct dates, as a list that prunes folders; None when there are too many to list."""
+def touched_days(*parts: DataFrame) -> list[dt.date | None]:
+    """Distinct dates, as a list that prunes folders; days of the calendar, however many rows there are."""
     days = reduce(DataFrame.unionByName, [p.select("date") for p in parts]).distinct()
-    listed = [row.date for row in days.limit(MAX_LISTED_DAYS + 1).collect()]
-    return listed if len(listed) <= MAX_LISTED_DAYS else None
+    return [row.date for row in days.collect()]
 
 
 def refresh_published(
     spark: SparkSession, bronze_root: str, silver_root: str, gold_root: str, settings: Settings,
     ip_geo: DataFrame | None = None,
 ) -> list[str]:
-    """Bring stored Silver and published Gold up to date with the Bronze batches not yet in them.
+    """Bring published Silver and Gold up to date with the Bronze batches not yet in them.
 
     What changes is first written beside Silver: the rebuilt events, the rows they replace, and the
-    new contents of the touched dates. Only then are those dates' folders replaced and Gold is
-    published. A run that stopped is finished, or begun again if it had replaced nothing, by the next.
-    Returns the batches taken in. The first run builds everything.
+    new contents of the touched dates. Only then are those dates published, with the batches taken in, and Gold
+    after them. A run that stopped is finished, or begun again if it had published nothing, by the next.
+    Returns the batches taken in. The first run, and one on a lake that a batch run made, share one layout.
     """
     pin_utc(spark)
-    staging, applied = f"{silver_root.rstrip('/')}_staging", f"{silver_root.rstrip('/')}_applied"
-    if not has_files(spark, silver_root):
-        batches = files.bronze_batches(spark, bronze_root)
-        silver = build_silver(files.read_bronze(spark, bronze_root), settings, STORED_ORDER, ip_geo)
-        files.write_silver(silver.drop(*STORED_ORDER), silver_root)
-        publish_gold(files.read_silver(spark, silver_root), gold_root, settings)
-        batches.write.mode("overwrite").json(applied)
-        return sorted(row.batch_id for row in batches.collect())
+    staging = f"{silver_root.rstrip('/')}_staging"
+    newest = dated.latest(spark, silver_root)
+    if newest is None:
+        return rebuild(spark, bronze_root, silver_root, gold_root, settings, ip_geo)
     if exists(spark, f"{staging}/dates/_SUCCESS"):
-        _apply(spark, staging, applied, silver_root, gold_root, settings)
-    elif exists(spark, staging):
-        delete(spark, staging)
-    done = spark.read.schema("batch_id string").json(applied)
+        _apply(spark, staging, silver_root, gold_root, settings)
+    else:
+        if exists(spark, staging):
+            delete(spark, staging)
+        if not dated.is_marked(spark, silver_root, newest, GOLD_DONE):
+            _publish_all_gold(spark, silver_root, newest, gold_root, settings)
+    done = dated.applied(spark, silver_root)
     pending = files.bronze_batches(spark, bronze_root).join(done, "batch_id", "left_anti")
     batch_ids = sorted(row.batch_id for row in pending.collect())  # batches since the last refresh
     if batch_ids:
         _stage(spark, bronze_root, batch_ids, silver_root, staging, settings, ip_geo)
-        _apply(spark, staging, applied, silver_root, gold_root, settings)
+        _apply(spark, staging, silver_root, gold_root, settings)
     return batch_ids
 
 
-def _apply(
-    spark: SparkSession, stage: str, applied: str, silver_root: str, gold_root: str, settings: Settings
-) -> None:
-    """Replace the touched dates and publish Gold; doing it twice changes nothing more."""
+def _apply(spark: SparkSession, stage: str, silver_root: str, gold_root: str, settings: Settings) -> None:
+    """Publish the touched dates, then Gold; doing it twice changes nothing more."""
     rebuilt, replaced, dates, batches = (
         spark.read.parquet(f"{stage}/{t}") for t in ("rebuilt", "replaced", "dates", "batches")
     )
-    files.replace_silver_dates(dates, silver_root)
-    silver, old_gold = files.read_silver(spark, silver_root), read_published_gold(spark, gold_root)
-    users, days = touched_keys(replaced, rebuilt, "user_id"), touched_days(replaced, rebuilt)
+    days = touched_days(replaced, rebuilt)
+    number = dated.publish(dates, silver_root, batches, touched=days)
+    silver, old_gold = dated.read(spark, silver_root), read_published_gold(spark, gold_root)
+    users = touched_keys(replaced, rebuilt, "user_id")
     paths = files.gold_paths(gold_root)
     snapshots.publish(merge_users(old_gold["gold_user_360"], silver, users, settings), paths["gold_user_360"])
     snapshots.publish(
-        merge_days(old_gold["gold_daily_metrics"], silver, days and [d for d in days if d]),
-        paths["gold_daily_metrics"],
+        merge_days(old_gold["gold_daily_metrics"], silver, [d for d in days if d]), paths["gold_daily_metrics"],
     )
     snapshots.publish(gold.event_summary(silver), paths["gold_event_summary"])
-    batches.write.mode("append").json(applied)
+    dated.mark(spark, silver_root, number, GOLD_DONE)
     delete(spark, stage)
 
 
@@ -161,12 +162,11 @@ def _stage(
     batch = files.read_bronze(spark, bronze_root, batch_ids)
     new = write(build_silver(batch, settings, STORED_ORDER, ip_geo).drop(*STORED_ORDER), "new")
     ids = write(_event_keys(new), "ids")
-    old = files.read_silver(spark, silver_root).withColumn("_id", event_key())
+    old = dated.read(spark, silver_root).withColumn("_id", event_key())
     known = old.filter(F.col("_id").isNotNull()).select("_id", "date", *_SPREAD)
     days = touched_days(keep_matching(known, ids, "_id", _SPREAD), new)
-    if days is not None:
-        listed = F.col("date").isin([d for d in days if d is not None])
-        old = old.filter(listed | F.col("date").isNull() if None in days else listed)
+    listed = F.col("date").isin([d for d in days if d is not None])
+    old = old.filter(listed | F.col("date").isNull() if None in days else listed)
     # Rows without an id are known by their batch alone: a refresh that runs again replaces them.
     again = F.col("_id").isNull() & F.coalesce(F.col("batch_id").isin(batch_ids), F.lit(False))
     matched = keep_matching(old.filter(F.col("_id").isNotNull()), ids, "_id", _SPREAD)

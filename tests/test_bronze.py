@@ -103,13 +103,13 @@ def test_end_to_end(spark, folder):
     from paylake import batch
     from paylake.config import Settings
     from paylake.plans.answers import for_chart, for_intent
-    from paylake.sources.snapshots import read_latest
+    from paylake.sources import dated
 
     write_raw(f"{folder}/raw.json")
     settings = Settings(as_of=dt.date(2026, 1, 11), fx_rate=0.00025)
     gold = batch.run(spark, folder, settings, f"{folder}/raw.json")
     stored = files.read_bronze(spark, f"{folder}/bronze/events").drop(*files.BRONZE_ORDER)
-    silver = read_latest(spark, f"{folder}/silver/events")
+    silver = dated.read(spark, f"{folder}/silver/events")
     log = spark.read.option("header", True).csv(f"{folder}/logs/duplicates")
     assert len(stored.columns) == 44 and stored.count() == 4
     assert [r.duplicate_reason for r in log.collect()] == ["repeated_in_batch"]

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from paylake.config import Settings
 from paylake.operators import bronze, silver
-from paylake.sources import files
+from paylake.sources import dated, files
 from paylake.streaming import ingest, refresh
 from tests.events import RAW_CASES, raw_event
 
@@ -116,16 +116,15 @@ def test_late_rows_refresh_equals_rebuild(spark, folder, monkeypatch):
             run()
     store(later, "b3", dt.datetime(2026, 2, 3, tzinfo=dt.timezone.utc))
     assert run() == ["b3"]  # b2 is finished first
-    spark.createDataFrame([("b1",), ("b3",)], "batch_id string").write.mode("overwrite").json(f"{folder}/silver_applied")
-    assert run() == ["b2"]  # taken in once more, as if its record had been lost: nothing changes
+    with monkeypatch.context() as lost:  # taken in once more, as if its record had been lost: nothing changes
+        lost.setattr(refresh.dated, "applied", lambda *_: spark.createDataFrame([("b1",), ("b3",)], "batch_id string"))
+        assert run() == ["b2"]
     refreshed = refresh.read_published_gold(spark, f"{folder}/gold")
-    stored_silver = files.read_silver(spark, f"{folder}/silver")
+    stored_silver = dated.read(spark, f"{folder}/silver")
 
     refresh.rebuild(spark, root, f"{folder}/full_silver", f"{folder}/full_gold", SETTINGS)
     full = refresh.read_published_gold(spark, f"{folder}/full_gold")
-    from paylake.sources.snapshots import read_latest
-
-    full_silver = read_latest(spark, f"{folder}/full_silver")
+    full_silver = dated.read(spark, f"{folder}/full_silver")
     columns = sorted(full_silver.columns)
     assert sorted(map(str, stored_silver.select(columns).collect())) == sorted(map(str, full_silver.select(columns).collect()))
     for name, table in full.items():
@@ -189,3 +188,28 @@ def test_a_new_checkpoint_does_not_overwrite_batches(spark, folder):
     stored = files.read_bronze(spark, f"{folder}/bronze/events")
     assert stored.select("batch_id").distinct().count() == 2
     assert sorted(str(r.duplicate_reason) for r in stored.collect()) == ["None", "seen_in_bronze"]
+
+
+def test_a_refresh_follows_a_batch_run_and_a_stopped_first_run_resumes(spark, folder, monkeypatch):
+    from paylake import batch
+
+    def raw(name, *cases):
+        with open(f"{folder}/{name}.json", "w") as out:
+            json.dump([raw_event(*case) for case in cases], out)
+        return f"{folder}/{name}.json"
+
+    roots = f"{folder}/bronze/events", f"{folder}/silver/events", f"{folder}/gold"
+    with monkeypatch.context() as broken:   # Silver is published, Gold is not
+        broken.setattr(refresh.snapshots, "publish", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            batch.run(spark, folder, SETTINGS, raw("one", ("e1", "u1"), ("e2", "u2")))
+    assert refresh.refresh_published(spark, *roots, SETTINGS) == []
+    assert refresh.read_published_gold(spark, roots[2])["gold_user_360"].count() == 2
+    batch.ingest(spark, raw("two", ("e2", "u2"), ("e3", "u3")), roots[0], batch_id="late")
+    assert refresh.refresh_published(spark, *roots, SETTINGS) == ["late"]
+    refreshed = refresh.read_published_gold(spark, roots[2])
+    refresh.rebuild(spark, roots[0], f"{folder}/s", f"{folder}/g", SETTINGS)
+    for name, table in refresh.read_published_gold(spark, f"{folder}/g").items():
+        assert sorted(map(str, refreshed[name].select(table.columns).collect())) == sorted(map(str, table.collect()))
+    before = sorted(map(str, dated.read(spark, roots[1]).collect()))
+    assert dated.expire(spark, roots[1], keep=1) <= 1 and sorted(map(str, dated.read(spark, roots[1]).collect())) == before
