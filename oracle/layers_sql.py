@@ -164,6 +164,8 @@ def bronze_queries() -> dict[str, str]:
             duplicate_reason FROM bronze"""),
         "bronze_repair": f"""WITH {repair} SELECT batch_id, seq, event_id, duplicate_reason IS NOT NULL AS is_duplicate,
             duplicate_reason, duplicate_first_seen_batch_id, duplicate_first_seen_file FROM fixed""",
+        "bronze_repair_roundtrip": f"""WITH {repair} SELECT batch_id, event_id, duplicate_reason IS NOT NULL AS is_duplicate,
+            duplicate_reason, duplicate_first_seen_batch_id FROM fixed""",
         "bronze_repair_summary": f"""WITH {repair} SELECT COUNT(DISTINCT bronze_file) AS files, COUNT(*) AS rows,
             COUNT(DISTINCT idn) AS distinct_event_ids, COUNT(duplicate_reason) AS flagged, TRUE AS dry_run FROM fixed""",
         "raw_event_counts": raw("SELECT event, COUNT(*) AS n FROM flat WHERE batch = 1 GROUP BY event"),
@@ -233,6 +235,8 @@ def message_queries() -> dict[str, str]:
             COALESCE(message_id, 'filled') AS message_id, COALESCE(timestamp, '2024-03-01T00:00:00Z') AS timestamp,
             CASE WHEN NOT legacy AND seq % 7 = 0 THEN '{{"device":"d"}}' ELSE '{{}}' END AS metadata,
             legacy OR COALESCE(msg_type IN ('event', 'metric', 'record', 'log', 'alert'), FALSE) AS is_valid FROM msg""",
+        "message_quarantine": f"""WITH {MESSAGES} SELECT seq, {kind} AS msg_kind FROM msg
+            WHERE NOT (legacy OR COALESCE(msg_type IN ('event', 'metric', 'record', 'log', 'alert'), FALSE))""",
         "message_classify": f"WITH {MESSAGES} SELECT seq, {kind} AS msg_kind, {route} AS msg_route FROM msg",
         "message_stats": f"WITH {MESSAGES} SELECT {kind} AS msg_kind, COUNT(*) AS n FROM msg GROUP BY 1",
         "generic_flatten": f"""WITH {MESSAGES} SELECT seq, COALESCE(msg_type, 'unknown') AS msg_type, 'bench' AS source,
@@ -264,6 +268,8 @@ def stream_queries() -> dict[str, str]:
               (SELECT COUNT(*) FROM gold_daily_metrics) AS rows, '' AS missing_columns
             UNION ALL SELECT 'gold_event_summary', TRUE, (SELECT COUNT(DISTINCT event) FROM silver), 'pct_of_total'
             UNION ALL SELECT 'gold_user_360', FALSE, NULL, 'user_id,user_name,user_email,user_age,user_segment,city,total_events,total_transactions,total_amount_cop,total_amount_usd,avg_ticket,failed_transactions,failure_rate,balance_current,top_merchant,top_category,preferred_channel,preferred_device,last_transaction_date,last_event_date,days_since_last_tx'"""),
+        "catalog_query": users("""SELECT user_segment, CAST(NULL AS VARCHAR) AS e, COUNT(*) AS usuarios,
+            CAST(SUM(total_transactions) AS BIGINT) AS tx FROM gold_user_360 GROUP BY user_segment"""),
         "guarded_sql": users("""SELECT user_segment, COUNT(*) AS usuarios, CAST(SUM(total_transactions) AS BIGINT) AS tx
             FROM gold_user_360 GROUP BY user_segment"""),
     }

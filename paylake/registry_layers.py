@@ -49,6 +49,17 @@ def _stored_bronze(spark: SparkSession, folder: str) -> DataFrame:
     return files.read_bronze(spark, root)
 
 
+def _repair_written(spark: SparkSession, folder: str) -> DataFrame:
+    """Both batches stored without flags, repaired in place and read back."""
+    root = work_dir(spark, "repair_bronze")
+    for batch in (1, 2):
+        rows = tables.bronze_batch(spark, folder, batch).drop("bronze_file")
+        files.write_bronze(rows, root)
+    files.repair_bronze(spark, root, dry_run=False)
+    return files.read_bronze(spark, root).select(
+        "batch_id", "event_id", "is_duplicate", "duplicate_reason", "duplicate_first_seen_batch_id")
+
+
 def _duplicate_log(spark: SparkSession, folder: str) -> DataFrame:
     """The CSV log read back."""
     path = files.write_duplicate_log(_flagged(spark, folder), work_dir(spark, "duplicates"))
@@ -74,6 +85,7 @@ def bronze_queries() -> dict[str, Query]:
             "batch_id", "ingestion_date", "event_id", "user_id", "amount", "is_duplicate", "duplicate_reason")),
         "bronze_repair": _q(lambda s, f: _repaired(s, f).select("batch_id", "seq", "event_id", *AUDIT)),
         "bronze_repair_summary": _q(lambda s, f: bronze.repair_summary(_repaired(s, f))),
+        "bronze_repair_roundtrip": _q(_repair_written),
         "raw_event_counts": _q(lambda s, f: checks.raw_event_counts(tables.raw_events(s, f))),
         "raw_distinct_values": _q(lambda s, f: checks.raw_distinct_values(tables.raw_events(s, f))),
         "null_token_cleanup": _q(_null_tokens),
@@ -250,6 +262,8 @@ def _late_data(spark: SparkSession, folder: str) -> DataFrame:
 def stream_queries() -> dict[str, Query]:
     return {
         "envelope_validate": _q(_validated),
+        "message_quarantine": _q(lambda s, f: msg.split_valid(msg.classify(msg.validate(
+            tables.messages(s, f), "2026-01-01T00:00:00Z")))[1].select("seq", "msg_kind")),
         "message_classify": _q(lambda s, f: msg.classify(tables.messages(s, f)).select(
             "seq", "msg_kind", "msg_route")),
         "message_stats": _q(lambda s, f: msg.stats(tables.messages(s, f))),
@@ -295,7 +309,20 @@ def _export(spark: SparkSession, folder: str) -> DataFrame:
 def _catalog(spark: SparkSession, folder: str) -> DataFrame:
     name = f"gold_event_summary_{uuid.uuid4().hex[:8]}"
     catalog.publish_table(event_summary(spark, folder), name, work_dir(spark, "catalog"))
-    return spark.table(name)
+    published = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # the files stay, and the frame reads them
+    return published
+
+
+def _catalog_query(spark: SparkSession, folder: str) -> DataFrame:
+    """SQL over a published table; an alias of a personal column comes out null."""
+    name = f"gold_user_360_{uuid.uuid4().hex[:8]}"
+    people = users(spark, folder).select("user_id", "user_segment", "user_email", "total_transactions")
+    catalog.publish_table(people, name, work_dir(spark, "catalog"))
+    found = catalog.query(spark, f"""SELECT user_segment, max(user_email) AS e, count(*) AS usuarios,
+        sum(total_transactions) AS tx FROM {name} GROUP BY user_segment""")
+    spark.sql(f"DROP TABLE {name}")
+    return found
 
 
 def _readiness(spark: SparkSession, folder: str) -> DataFrame:
@@ -305,7 +332,11 @@ def _readiness(spark: SparkSession, folder: str) -> DataFrame:
     days, summary = daily(spark, folder), event_summary(spark, folder)
     catalog.publish_table(days, names["gold_daily_metrics"], work_dir(spark, "catalog"))
     catalog.publish_table(summary.drop("pct_of_total"), names["gold_event_summary"], work_dir(spark, "catalog"))
-    return catalog.readiness(spark, names)
+    found = catalog.readiness(spark, names)
+    for table in spark.catalog.listTables():
+        if table.name.endswith(suffix):
+            spark.sql(f"DROP TABLE {table.name}")
+    return found
 
 
 def _guarded(spark: SparkSession, folder: str) -> DataFrame:
@@ -322,6 +353,7 @@ def storage_queries() -> dict[str, Query]:
         "layer_export": _q(_export),
         "catalog_publish": _q(_catalog),
         "catalog_readiness": _q(_readiness),
+        "catalog_query": _q(_catalog_query),
         "guarded_sql": _q(_guarded),
     }
 

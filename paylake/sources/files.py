@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from paylake import fixed_values as fv
-from paylake.operators.bronze import duplicate_log
+from paylake.operators.bronze import duplicate_log, repair_flags, repair_summary
 from paylake.schemas import BRONZE_IDS, CORRUPT, RAW_EVENT
-from paylake.sources.storage import folder_names, has_files
+from paylake.session import work_dir
+from paylake.sources.storage import delete, folder_names, has_files
 
 RAW_ORDER = ["raw_file", "raw_block", "raw_row"]
 BRONZE_ORDER = ["bronze_file", "bronze_row"]
@@ -81,6 +82,23 @@ def read_bronze_ids(spark: SparkSession, root: str, without_batch: str | None =
     )
 
 
+def repair_bronze(spark: SparkSession, root: str, dry_run: bool = True) -> DataFrame:
+    """Recompute the duplicate flags of all of Bronze; unless ``dry_run``, every batch is written anew with them.
+
+    The repaired rows are staged in the shared folder first, with their place, and keep their order in a batch. A run that
+    stopped while writing leaves each batch either old or new, and running again finishes it. Returns the summary.
+    """
+    stage = work_dir(spark, "repair")
+    repair_flags(read_bronze(spark, root), BRONZE_ORDER).write.parquet(stage)
+    staged = spark.read.parquet(stage)
+    summary = spark.createDataFrame(repair_summary(staged, dry_run=dry_run).collect())  # one row
+    if not dry_run:
+        ordered = staged.repartitionByRange(*BRONZE_ORDER).sortWithinPartitions(*BRONZE_ORDER)
+        write_bronze(ordered.drop(*BRONZE_ORDER), root)
+    delete(spark, stage)
+    return summary
+
+
 def bronze_batches(spark: SparkSession, root: str) -> DataFrame:
     """Ids of the stored batches, from the folder names: no file is opened."""
     prefix = "in_batch=b_"
