@@ -92,3 +92,30 @@ def test_currency_and_final_columns(spark):
     out = silver.final_columns(silver.add_usd(df, SETTINGS))
     assert out.columns == ["amount_cop", "bronze_is_duplicate", "amount_usd"]
     assert [r.amount_usd for r in out.collect()] == [0.25, None]
+
+
+def test_numbers_that_no_column_holds_become_null_and_stop_nothing(spark):
+    from paylake.operators import gold
+
+    df = spark.createDataFrame(
+        [(f"e{i}", a, n, "2026-01-01T00:00:00Z") for i, (a, n) in enumerate(
+            [("1e40", "99999999999"), ("1e25", "3"), ("-1e18", "x"), ("1000000000000000000", None)] + [("0.00004", "2")] * 1000)],
+        "event_id string, amount string, installments string, timestamp string")
+    typed = silver.clean_types(df).orderBy("event_id").cache()
+    first = {r.event_id: (r.amount, r.installments) for r in typed.filter("length(event_id) = 2").collect()}
+    assert [first[f"e{i}"] for i in range(4)] == [(None, 1), (None, 3), (None, 1), (None, 1)]
+    small = typed.filter("amount < 1").selectExpr("*", "amount AS amount_cop", "true AS is_transactional", "false AS is_failed",
+                                                  "'u' AS user_id")
+    assert gold.daily_metrics(small).first().total_amount_cop == 0.04
+    assert gold.daily_metrics(typed.selectExpr("*", "amount AS amount_cop", "true AS is_transactional", "false AS is_failed",
+                                               "'u' AS user_id")).first().total_events == 1004
+    typed.unpersist()
+
+
+def test_an_address_listed_twice_does_not_multiply_events(spark):
+    events = spark.createDataFrame([("e1", "8.8.8.8", False, None, None)], "event_id string, ip string, ip_is_private boolean, "
+                                   "location_city string, location_country string")
+    geo = spark.createDataFrame([("8.8.8.8", "", "US"), ("8.8.8.8", "Lima", "Peru"), ("8.8.8.8", "Quito", None)],
+                                "ip string, city string, country string")
+    assert [tuple(r) for r in silver.locate_public_ips(events, geo, ["event_id"]).select("event_id", "location_city", "location_country")
+            .collect()] == [("e1", "Lima", "Peru")]
