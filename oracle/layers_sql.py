@@ -109,13 +109,19 @@ FLAT_COLUMNS = """source, detailType, event_id, event, event_version, event_type
 AUDIT = "is_duplicate, duplicate_reason, duplicate_first_seen_batch_id, duplicate_first_seen_file"
 
 # Gold of both event batches, in the one shape all stored-Gold queries return.
+_MONEY_TEXT = ", ".join(f"CAST(CAST({c} AS DECIMAL(28,4)) AS VARCHAR)"
+                        for c in ("total_amount_usd", "avg_ticket", "failure_rate", "balance_current"))
+_DAY_TEXT = ", ".join(f"strftime(CAST({c} AS TIMESTAMP), '%Y-%m-%d')" for c in ("last_transaction_date", "last_event_date"))
 GOLD_ROWS = f"""
   SELECT 'gold_user_360' AS "table", user_id AS key, total_events AS n, total_amount_cop AS amount,
-         concat_ws('|', top_merchant, top_category, preferred_channel, preferred_device, city) AS label FROM gold_user_360
+         concat_ws('|', top_merchant, top_category, preferred_channel, preferred_device, city) AS label,
+         concat_ws('|', {_MONEY_TEXT}) AS figures,
+         concat_ws('|', user_name, user_email, user_age, user_segment, total_transactions, failed_transactions,
+                   days_since_last_tx, {_DAY_TEXT}) AS facts FROM gold_user_360
   UNION ALL SELECT 'gold_daily_metrics', strftime(date, '%Y-%m-%d'), total_events, total_amount_cop,
-         concat_ws('|', total_transactions, failed_count, unique_users) FROM gold_daily_metrics
+         concat_ws('|', total_transactions, failed_count, unique_users), '', '' FROM gold_daily_metrics
   UNION ALL SELECT 'gold_event_summary', event, count, pct_of_total,
-         concat_ws('|', success_count, failed_count) FROM gold_event_summary"""
+         concat_ws('|', success_count, failed_count), '', '' FROM gold_event_summary"""
 
 
 def raw(select: str) -> str:

@@ -44,7 +44,7 @@ def profile_columns(df: DataFrame, table: str) -> DataFrame:
     number = F.when(F.col("column").isin(numbers), F.col("value").try_cast("double"))
     day = F.when(F.col("column").isin(days), F.to_date(F.col("value").try_cast("timestamp")))
     known = F.when(number.isNotNull(), n)
-    total = F.sum(number.cast(MONEY) * n).cast("double")
+    total = F.sum(number.try_cast(MONEY) * n).cast("double")
     figures = counted.groupBy("column").agg(
         F.sum(n).alias("rows"),
         F.coalesce(F.sum(F.when(F.col("value").isNull(), n)), F.lit(0)).alias("nulls"),

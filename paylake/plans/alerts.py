@@ -37,9 +37,9 @@ def _segment_facts(users: DataFrame) -> DataFrame:
     """
     sums = users.groupBy("user_segment").agg(
         rows().alias("n"),
-        F.sum(F.col("failure_rate").cast(RATE)).alias("failure"), F.count("failure_rate").alias("failure_n"),
-        F.sum(F.col("total_amount_cop").cast(MONEY)).alias("amount"),
-        F.sum(F.col("balance_current").cast(MONEY)).alias("balance"), F.count("balance_current").alias("balance_n"),
+        F.sum(F.col("failure_rate").try_cast(RATE)).alias("failure"), F.count("failure_rate").alias("failure_n"),
+        F.sum(F.col("total_amount_cop").try_cast(MONEY)).alias("amount"),
+        F.sum(F.col("balance_current").try_cast(MONEY)).alias("balance"), F.count("balance_current").alias("balance_n"),
         inactive(30).alias("idle_30"), inactive(60).alias("idle_60"),
     )
 

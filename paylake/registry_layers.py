@@ -187,18 +187,19 @@ def _legacy_lines(spark: SparkSession, folder: str, batch: int) -> DataFrame:
     )
 
 
-def _stream_both(spark: SparkSession, folder: str) -> str:
+def _stream_both(spark: SparkSession, folder: str, base: str, after_batch=None) -> str:
     """Batch 1 in several micro-batches, then batch 2 after a restart from the same checkpoint."""
-    base = work_dir(spark, "stream")
     for batch, parts, per_trigger in ((1, 4, 2), (2, 2, 2)):
         write_message_files(_legacy_lines(spark, folder, batch), f"{base}/in", parts)
         stream = ingest.read_messages(spark, f"{base}/in", per_trigger)
-        ingest.start(stream, f"{base}/bronze", f"{base}/checkpoint", f"bronze_{uuid.uuid4().hex[:8]}").awaitTermination()
+        ingest.start(stream, f"{base}/bronze", f"{base}/checkpoint", f"bronze_{uuid.uuid4().hex[:8]}",
+                     after_batch=after_batch).awaitTermination()
     return base
 
 
 def _stream_bronze(spark: SparkSession, folder: str) -> DataFrame:
-    stored = files.read_bronze(spark, ingest.bronze_roots(f"{_stream_both(spark, folder)}/bronze")["events"])
+    base = _stream_both(spark, folder, work_dir(spark, "stream"))
+    stored = files.read_bronze(spark, ingest.bronze_roots(f"{base}/bronze")["events"])
     epoch = F.substring_index("batch_id", "-", -1).cast("int")
     return stored.select("event_id", "event", "amount", "is_duplicate", "duplicate_reason",
                          F.when(epoch < 2, 1).otherwise(2).alias("arrival"))
@@ -217,31 +218,40 @@ def _stream_routes(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def gold_rows(gold_tables: dict[str, DataFrame]) -> DataFrame:
-    """All three Gold tables in one shape."""
-    def bar(*columns: str):
-        return F.concat_ws("|", *(F.col(c).cast("string") for c in columns))
-
+    """All columns of the three Gold tables in one shape."""
+    def bar(*columns):
+        return F.concat_ws("|", *(F.col(c).cast("string") if isinstance(c, str) else c for c in columns))
+
+    money = [F.col(c).cast("decimal(28,4)").cast("string")
+             for c in ("total_amount_usd", "avg_ticket", "failure_rate", "balance_current")]
+    days = [F.col(c).cast("date").cast("string") for c in ("last_transaction_date", "last_event_date")]
+    none = F.lit("")
     parts = {
         "gold_user_360": ("user_id", "total_events", "total_amount_cop",
-                          bar("top_merchant", "top_category", "preferred_channel", "preferred_device", "city")),
+                          bar("top_merchant", "top_category", "preferred_channel", "preferred_device", "city"), bar(*money),
+                          bar("user_name", "user_email", "user_age", "user_segment", "total_transactions",
+                              "failed_transactions", "days_since_last_tx", *days)),
         "gold_daily_metrics": ("date", "total_events", "total_amount_cop",
-                               bar("total_transactions", "failed_count", "unique_users")),
-        "gold_event_summary": ("event", "count", "pct_of_total", bar("success_count", "failed_count")),
+                               bar("total_transactions", "failed_count", "unique_users"), none, none),
+        "gold_event_summary": ("event", "count", "pct_of_total", bar("success_count", "failed_count"), none, none),
     }
     return reduce(DataFrame.unionByName, [
         gold_tables[name].select(
             F.lit(name).alias("table"), F.col(key).cast("string").alias("key"), F.col(n).alias("n"),
-            F.col(amount).alias("amount"), label.alias("label"),
+            F.col(amount).alias("amount"), label.alias("label"), figures.alias("figures"), facts.alias("facts"),
         )
-        for name, (key, n, amount, label) in parts.items()
+        for name, (key, n, amount, label, figures, facts) in parts.items()
     ])
 
 
 def _stream_gold(spark: SparkSession, folder: str) -> DataFrame:
-    """Stream to Bronze, then the forced refresh of Silver and Gold, read as published."""
-    base = _stream_both(spark, folder)
+    """Stream to Bronze with refreshes of Silver and Gold between batches, then a forced one, read as published."""
+    base = work_dir(spark, "stream_gold")
     root = ingest.bronze_roots(f"{base}/bronze")["events"]
-    refresh.rebuild(spark, root, f"{base}/silver", f"{base}/gold", SETTINGS, tables.ip_geo(spark))
+    refresher = refresh.Refresher(root, f"{base}/silver", f"{base}/gold", SETTINGS, tables.ip_geo(spark), minimum_seconds=5)
+    _stream_both(spark, folder, base, refresher)
+    if not refresher(spark, force=True) or refresher.errors:
+        raise RuntimeError("a refresh failed")
     return gold_rows(refresh.read_published_gold(spark, f"{base}/gold"))
 
 
