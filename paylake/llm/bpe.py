@@ -20,8 +20,12 @@ from pyspark.sql import types as T
 
 #: Above every rank: no pair.
 NONE = 1 << 60
+#: Children of a node of the segment tree.
+FAN = 16
 #: Matches kept with their tokens in a worker, and how long they may be.
-CACHED, CACHED_LENGTH = 400_000, 64
+CACHED, CACHED_LENGTH = 200_000, 64
+#: Texts of characters below this (Latin letters) are split by the faster engine.
+NEAR = 0x250
 #: Characters from which matches are taken one by one, without a list of them.
 LONG_TEXT = 4_000_000
 
@@ -48,47 +52,32 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     whole = ranks.get(piece)
     if whole is not None:
         return [whole]
-    n = len(piece)
-    size = 1
-    while size < n:
-        size *= 2
-    rank = ranks.get
-    tree = [NONE] * (2 * size)
-    for i in range(n - 1):
-        tree[size + i] = rank(piece[i:i + 2], NONE)
-    for i in range(size - 1, 0, -1):
-        left, right = tree[2 * i], tree[2 * i + 1]
-        tree[i] = left if left <= right else right
-
-    def put(i: int, value: int) -> None:
-        i += size
-        tree[i] = value
-        i >>= 1
-        while i:
-            left, right = tree[2 * i], tree[2 * i + 1]
-            value = left if left <= right else right
-            if tree[i] == value:
-                break
-            tree[i] = value
-            i >>= 1
-
+    n, rank = len(piece), ranks.get
+    # levels[0] has the rank of the pair that starts at each byte; a node above has the least of its FAN children.
+    levels = [[rank(piece[i:i + 2], NONE) for i in range(n - 1)] + [NONE]]
+    while len(levels[-1]) > FAN:
+        below = levels[-1]
+        levels.append([min(below[i:i + FAN]) for i in range(0, len(below), FAN)])
+    leaves, top = levels[0], levels[-1]
     after = list(range(1, n + 1))    # start of the next token
     before = list(range(-1, n))      # start of the previous one
-    while (lowest := tree[1]) < NONE:
-        at = 1
-        while at < size:
-            at *= 2
-            if tree[at] != lowest:
-                at += 1
-        at -= size
+    while (lowest := min(top)) < NONE:
+        at = top.index(lowest)       # the leftmost at every level
+        for below in levels[-2::-1]:
+            at = below.index(lowest, at * FAN)
         gone = after[at]
         end = after[at] = after[gone]
         before[end] = at
-        put(gone, NONE)
-        put(at, rank(piece[at:after[end]], NONE) if end < n else NONE)
+        leaves[gone] = NONE
+        leaves[at] = rank(piece[at:after[end]], NONE) if end < n else NONE
         left = before[at]
         if left >= 0:
-            put(left, rank(piece[left:end], NONE))
+            leaves[left] = rank(piece[left:end], NONE)
+        changed = (gone, at, left)
+        for below, above in zip(levels, levels[1:]):
+            changed = {i // FAN for i in changed if i >= 0}
+            for i in changed:
+                above[i] = min(below[i * FAN:(i + 1) * FAN])
     out, at = [], 0
     while at < n:
         out.append(ranks[piece[at:after[at]]])
@@ -97,32 +86,44 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 class _Pieces(dict):
-    """Tokens by match, worked out on first sight."""
+    """Tokens by match, worked out on first sight. When it is full it starts anew, and what is still used comes over."""
 
     def __init__(self, ranks: dict[bytes, int]):
-        self.ranks = ranks
+        self.ranks, self.old = ranks, {}
 
     def __missing__(self, piece: str) -> list[int]:
-        tokens = merge(piece.encode(), self.ranks)
+        tokens = self.old.get(piece) or merge(piece.encode(), self.ranks)
         if len(piece) <= CACHED_LENGTH:
             if len(self) >= CACHED:
+                self.old = dict(self)
                 self.clear()
             self[piece] = tokens
         return tokens
 
 
+def _near_pattern(pattern: str) -> re.Pattern | None:
+    """The pattern for the faster engine, which knows no categories: each as the characters below NEAR that it holds.
+    None for a pattern with other escapes."""
+    held = {c: "".join(re.escape(chr(i)) for i in range(NEAR) if regex.fullmatch(c, chr(i))) for c in (r"\p{L}", r"\p{N}", r"\s")}
+    plain = pattern.replace(r"\S", f"[^{held[chr(92) + 's']}]")
+    for negated in re.findall(r"\[\^[^\]]*\]", pattern):
+        inner = negated
+        for category, characters in held.items():
+            inner = inner.replace(category, characters)
+        plain = plain.replace(negated, inner)
+    for category, characters in held.items():
+        plain = plain.replace(category, f"[{characters}]")
+    return None if r"\p" in plain else re.compile(plain)
+
+
 class Encoder:
     def __init__(self, data: bytes, pattern: str):
         ranks = read_ranks(data)
         self.pieces, self.pattern = _Pieces(ranks), regex.compile(pattern)
-        # The same matches on ASCII, where the categories are short lists, by the faster engine.
-        self.ascii = None
-        if pattern == split_pattern():
-            short = pattern.replace(r"[^\s\p{L}\p{N}]", r"[^\sA-Za-z0-9]").replace(r"\p{L}", "[A-Za-z]").replace(r"\p{N}", "[0-9]")
-            self.ascii = re.compile(short, re.ASCII)
+        self.near, self.far = _near_pattern(pattern), re.compile(f"[^\x00-{chr(NEAR - 1)}]")
 
     def encode(self, text: str) -> np.ndarray:
-        pattern = self.ascii if self.ascii and text.isascii() else self.pattern
+        pattern = self.near if self.near and not self.far.search(text) else self.pattern
         if len(text) < LONG_TEXT:
             found = pattern.findall(text)
         else:
