@@ -77,8 +77,9 @@ def user_tx_metrics(silver: DataFrame, settings: Settings) -> DataFrame:
 def user_modes(silver: DataFrame, settings: Settings) -> DataFrame:
     """Most frequent merchant and category (success transactions), channel and device (all events).
 
-    Counted per (user, attribute, value) first: no task ever holds the distinct values of a user,
-    only running counts. The smallest value wins a tie.
+    Events alike in all four are counted first, so only the counts are spread over the attributes; then per (user,
+    attribute, value): no task ever holds the distinct values of a user, only running counts. The smallest value wins
+    a tie.
     """
     ok = is_success_tx(settings)
     slots = {
@@ -89,11 +90,11 @@ def user_modes(silver: DataFrame, settings: Settings) -> DataFrame:
     }
     values = (
         silver.filter(F.col("user_id").isNotNull())
-        .select("user_id", *(value.alias(name) for name, value in slots.items()))
-        .unpivot("user_id", list(slots), "slot", "value")
+        .groupBy("user_id", *(value.alias(name) for name, value in slots.items())).agg(rows().alias("n"))
+        .unpivot(["user_id", "n"], list(slots), "slot", "value")
         .filter(F.col("value").isNotNull())
     )
-    counted = values.groupBy("user_id", "slot", "value").agg(rows().alias("n"))
+    counted = values.groupBy("user_id", "slot", "value").agg(F.sum("n").alias("n"))
     rank = F.struct(-F.col("n"), F.col("value"))
     return counted.groupBy("user_id").agg(
         *(F.min_by("value", F.when(F.col("slot") == name, rank)).alias(name) for name in slots)
