@@ -342,11 +342,20 @@ def profile_queries() -> dict[str, str]:
         "gold_event_summary": ["event", "count", "success_count", "failed_count", "pct_of_total"],
     }
     pii = {"gold_user_360": "user_age,user_email,user_name"}
+    with_role = lambda role: ",".join(sorted(c for c, roles in USER_ROLES.items() if role in roles.split(",")))
+    listed = {
+        "gold_user_360": (with_role("metrica"), with_role("dimension"), with_role("fecha")),
+        "gold_daily_metrics": (
+            "failed_count,total_amount_cop,total_events,total_transactions,unique_users", "total_events", "date"),
+        "gold_event_summary": ("count,failed_count,pct_of_total,success_count", "event", ""),
+    }
     return {
         "profile_columns": users(" UNION ALL ".join(one(*t) for t in USER_TYPES)),
         "profile_tables": users("").rstrip() + f", {rest} " + " UNION ALL ".join(
             f"""SELECT '{t}' AS "table", (SELECT COUNT(*) FROM {t}) AS rows, CAST({len(c)} AS BIGINT) AS columns,
-            '{",".join(sorted(c))}' AS column_names, '{pii.get(t, "")}' AS pii_columns""" for t, c in names.items()),
+            '{",".join(sorted(c))}' AS column_names, '{pii.get(t, "")}' AS pii_columns,
+            '{listed[t][0]}' AS metric_columns, '{listed[t][1]}' AS dimension_columns, '{listed[t][2]}' AS date_columns"""
+            for t, c in names.items()),
         "metric_extremes": users("").rstrip() + f", {segment_table} " + " UNION ALL ".join(
             extreme(m) for m in ("usuarios", "revenue_por_usuario", "tasa_fallo_pct")),
         "dq_gold": users("").rstrip() + f", {rest} " + " UNION ALL ".join(

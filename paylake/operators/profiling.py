@@ -68,15 +68,18 @@ def profile_columns(df: DataFrame, table: str) -> DataFrame:
 
 
 def profile_tables(tables: dict[str, DataFrame]) -> DataFrame:
-    """Per table: rows, columns and the personal ones among them."""
+    """Per table: rows, columns and which of them are personal, metrics, dimensions or dates, by their roles."""
+    def having(df: DataFrame, role: str) -> Column:
+        return F.lit(",".join(sorted(
+            f.name for f in df.schema.fields if role in column_roles(f.name, f.dataType).split(","))))
+
     parts = [
         df.agg(rows().alias("rows")).select(
             F.lit(name).alias("table"), "rows",
             F.lit(len(df.columns)).cast("long").alias("columns"),
             F.lit(",".join(sorted(df.columns))).alias("column_names"),
-            F.lit(",".join(sorted(
-                f.name for f in df.schema.fields if "pii" in column_roles(f.name, f.dataType).split(",")
-            ))).alias("pii_columns"),
+            *(having(df, role).alias(f"{name}_columns") for name, role in
+              (("pii", "pii"), ("metric", "metrica"), ("dimension", "dimension"), ("date", "fecha"))),
         )
         for name, df in tables.items()
     ]
