@@ -265,10 +265,7 @@ def stream_queries() -> dict[str, str]:
         "stream_late_data": stored_gold(),
         "gold_write_roundtrip": stored_gold(),
         "snapshot_roundtrip": daily("SELECT * FROM gold_daily_metrics"),
-        "layer_export": f"WITH {SILVER}, {GOLD_USERS}, {GOLD_DAILY}, {GOLD_EVENTS} " + """
-            SELECT 'gold/gold_user_360' AS object, TRUE AS ok, (SELECT COUNT(*) FROM gold_user_360) AS rows
-            UNION ALL SELECT 'gold/gold_daily_metrics', TRUE, (SELECT COUNT(*) FROM gold_daily_metrics)
-            UNION ALL SELECT 'gold/gold_event_summary', TRUE, (SELECT COUNT(*) FROM gold_event_summary)""",
+        "layer_export": stored_gold(),
         "catalog_publish": gold_events("SELECT * FROM gold_event_summary"),
         "catalog_readiness": daily("""SELECT 'gold_daily_metrics' AS "table", TRUE AS present,
               (SELECT COUNT(*) FROM gold_daily_metrics) AS rows, '' AS missing_columns

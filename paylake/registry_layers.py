@@ -313,7 +313,10 @@ def _export(spark: SparkSession, folder: str) -> DataFrame:
     paths = files.gold_paths(f"{base}/gold")
     for name, table in _gold_of_events(spark, folder).items():
         snapshots.publish(table, paths[name])
-    return snapshots.export_layer(spark, paths, "gold", f"{base}/target").drop("error")
+    done = snapshots.export_layer(spark, paths, "gold", f"{base}/target", {"gold_daily_metrics": ("date",)})
+    if done.filter("NOT ok").count():
+        raise RuntimeError("an export failed")
+    return gold_rows({name: spark.read.parquet(f"{base}/target/gold/{name}") for name in paths})
 
 
 def _catalog(spark: SparkSession, folder: str) -> DataFrame:

@@ -58,15 +58,22 @@ def expire(spark: SparkSession, path: str, keep: int = 3) -> int:
     return len(present)
 
 
-def export_layer(spark: SparkSession, datasets: dict[str, str], layer: str, target: str) -> DataFrame:
-    """Copy the newest version of each dataset to ``target/layer/name``; one result row per dataset."""
+def export_layer(
+    spark: SparkSession, datasets: dict[str, str], layer: str, target: str, layout: dict[str, tuple[str, ...]] | None = None,
+) -> DataFrame:
+    """Copy the newest version of each dataset to ``target/layer/name``; one result row per dataset.
+
+    ``layout`` names the folder columns of a dataset, as in ``{"events": ("date",)}``.
+    """
     results = []
     for name, path in datasets.items():
         key = f"{layer}/{name}"
         try:
             seen = Observation()
             copy = read_latest(spark, path).observe(seen, F.count(F.lit(1)).alias("rows"))
-            copy.write.mode("overwrite").parquet(f"{target.rstrip('/')}/{key}")
+            writer = copy.write.mode("overwrite")
+            folders = (layout or {}).get(name, ())
+            (writer.partitionBy(*folders) if folders else writer).parquet(f"{target.rstrip('/')}/{key}")
             results.append((key, True, seen.get["rows"], None))
         except Exception as error:  # one dataset failing does not stop the others
             results.append((key, False, None, type(error).__name__))
