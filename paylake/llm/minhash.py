@@ -3,8 +3,8 @@
 A document is its set of 5-word shingles. Documents with equal sets are one class from the start. One permutation spreads the
 shingle hashes; the other, shifted by k places, gives coordinate k of the signature as the least image. Bands of
 coordinates make buckets. Members of a bucket are compared with one pivot at a time, whole sets against whole sets,
-until what is linked has merged; only then are the pairs left between different components compared, so a group of copies
-never becomes all its pairs.
+until what is linked has merged. What is left in a bucket between different components is compared in blocks of members:
+a task holds two blocks, counts all their intersections and returns the links, so pairs never become rows.
 """
 
 from __future__ import annotations
@@ -27,6 +27,8 @@ PERCENT = 75
 BANDS, ROWS = 32, 4
 #: Signature bits (one a coordinate) in which linked documents may differ; more at similarity 0.75: about 1e-7.
 BITS_APART = 36
+#: Members of a bucket in a block, on average.
+BLOCK = 1_500
 #: Shingles whose signatures are worked out together.
 CHUNK = 16_384
 _SHIFT = np.uint64(0x9FB21C651E98DF25)
@@ -105,6 +107,63 @@ def _verified(source):
         yield batch.select(["a", "b"]).take(pa.array(keep, pa.int64()))
 
 
+def _links_between(sets: list[np.ndarray], components: list, blocks: list[int]) -> list[tuple[int, int]]:
+    """The linked pairs of different components, and of different blocks if there are two: places in the lists.
+
+    Intersections are counted through the shingles that two or more of the sets share.
+    """
+    sizes = np.array([len(s) for s in sets])
+    _, column, uses = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    owner, shared = np.repeat(np.arange(len(sets)), sizes), uses[column] > 1
+    owner, column = owner[shared], column[shared]
+    order = np.argsort(column, kind="stable")
+    holders, begins = owner[order], np.searchsorted(column[order], np.arange(len(uses) + 1))
+    rows = np.searchsorted(owner, np.arange(len(sets) + 1))
+    _, kind = np.unique(np.array(components), return_inverse=True)
+    block, two = np.array(blocks), len(set(blocks)) > 1
+    found = []
+    for i in range(len(sets)):
+        columns = column[rows[i]:rows[i + 1]]
+        first, many = begins[columns], begins[columns + 1] - begins[columns]
+        steps = np.repeat(first - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(many.sum()) \
+            if len(columns) else np.empty(0, np.int64)
+        both = np.bincount(holders[steps], minlength=len(sets))
+        linked = 100 * both >= PERCENT * (sizes + sizes[i] - both)
+        linked[:i + 1] = False
+        linked &= kind != kind[i]
+        if two:
+            linked &= block != block[i]
+        found += [(i, int(j)) for j in np.flatnonzero(linked)]
+    return found
+
+
+def _compared(source):
+    """Rows sorted by bucket and pair of blocks to the links inside each."""
+    hashes, now, group = WordHashes(), None, []
+
+    def links() -> list[tuple]:
+        pairs = []
+        if group:
+            ids, components, blocks, texts = zip(*group)
+            sets = [shingles(t, hashes) for t in texts]
+            pairs = [tuple(sorted((ids[i], ids[j]))) for i, j in _links_between(sets, components, blocks)]
+        return pairs
+
+    for batch in source:
+        found = []
+        columns = [batch.column(c).to_pylist() for c in ("bucket", "low", "high", "doc_id", "component", "block", "text")]
+        for bucket, low, high, *member in zip(*columns):
+            if (bucket, low, high) != now:
+                found += links()
+                now, group = (bucket, low, high), []
+            group.append(member)
+        kind = batch.schema.field("doc_id").type
+        yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in found], kind) for i in range(2)], names=["a", "b"])
+    if group:
+        found = links()
+        yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in found], kind) for i in range(2)], names=["a", "b"])
+
+
 class _Search:
     """Buckets, texts and links of one run."""
 
@@ -159,14 +218,27 @@ class _Search:
         return rows.join(pivots, F.col("bucket") == F.col("k")).filter("component <> c") \
             .select(F.col("doc_id").alias("x"), "y")
 
+    def compare_blocks(self, rows: DataFrame) -> None:
+        """Adds the links between different components of the members (bucket, doc_id, component) of each bucket."""
+        sizes = rows.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")) \
+            .withColumnRenamed("bucket", "k")
+        other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+        dealt = (rows.join(sizes, F.col("bucket") == F.col("k"))
+                 .withColumn("block", F.pmod(F.xxhash64("doc_id"), "blocks").cast("int")).withColumn("other", other)
+                 .select("bucket", "doc_id", "component", "block", F.least("block", "other").alias("low"),
+                         F.greatest("block", "other").alias("high")))
+        texts = dealt.join(self.texts, F.col("doc_id") == F.col("id")).drop("id")
+        partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        group = ["bucket", "low", "high"]
+        schema = T.StructType([T.StructField("a", self.kind), T.StructField("b", self.kind)])
+        found = texts.repartition(partitions, *group).sortWithinPartitions(*group).mapInArrow(_compared, schema).distinct()
+        self.links = self.links.union(staged(found, "near-links"))
+
     def run(self) -> DataFrame:
         alone = self.members.withColumn("component", F.col("doc_id"))
         self.verify(self.against_pivots(alone, []))            # the same pivots in all buckets: few pairs a member
         self.verify(self.against_pivots(self.labelled(), ["bucket"]))   # another pivot in every bucket
-        left = self.labelled()
-        other = left.select(F.col("bucket").alias("k"), F.col("doc_id").alias("y"), F.col("component").alias("c"))
-        self.verify(left.join(other, F.col("bucket") == F.col("k")).filter("component < c")
-                    .select(F.col("doc_id").alias("x"), "y"))
+        self.compare_blocks(self.labelled())
         return components(self.links)
 
 
