@@ -22,8 +22,9 @@ from paylake.llm.suffix_automaton import SuffixAutomaton
 from paylake.llm.wordhash import Runs, WordHashes, other_windows, sliding_min
 
 LENGTH, GRAM = 35, 8
-#: Different runs of one gram up to which they form a shard; beyond, each window is counted by itself.
-SHARD_RUNS = 500
+#: Different runs of one gram up to which they form a shard (some 100 MB of automaton in a task); beyond, each window is
+#: counted by itself.
+SHARD_RUNS = 4_000
 #: A run's place is its first word, shifted, and its number of windows.
 SIZE_BITS = 20
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -180,8 +181,8 @@ def repeated_ranges(keyed: DataFrame, length: int = LENGTH) -> DataFrame:
     partitions = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     from_shards = (sized.filter(F.col("runs") <= SHARD_RUNS).repartition(partitions, "gram").sortWithinPartitions("gram")
                    .select("gram", "n", "key", "first", "words").mapInArrow(_shards(length), RANGE))
-    windows = (sized.filter(F.col("runs") > SHARD_RUNS).select("n", "key", "first", "words")
-               .mapInArrow(_windows(length), "one long, two long, n long, key long, begin long"))
+    windows = staged(sized.filter(F.col("runs") > SHARD_RUNS).select("n", "key", "first", "words")
+                     .mapInArrow(_windows(length), "one long, two long, n long, key long, begin long"), "dedup-windows")
     often = windows.groupBy("one", "two").agg(F.sum("n").alias("uses")).filter("uses > 1") \
         .select(F.col("one").alias("o"), F.col("two").alias("t"))
     from_windows = (windows.filter("n = 1").join(often, (F.col("one") == F.col("o")) & (F.col("two") == F.col("t")))
