@@ -1,58 +1,104 @@
-"""Exact cosine neighbours from a block-max inverted index, in numpy."""
+"""Exact cosine neighbours from postings and a block-max bound, in numpy."""
 
 from __future__ import annotations
 
 import numpy as np
 
-#: Examples in a block, and how many of the most promising blocks are scored first (each time twice as many).
-BLOCK, FIRST = 64, 4
+#: Examples in a block, and how many of the most promising examples are scored first.
+BLOCK, FIRST = 64, 64
+#: A term in more than this share of the examples is frequent.
+FREQUENT = 1 / 5
+#: Added to bounds: far more than sums of doubles are off, far less than cosines differ.
+SLACK = 1e-9
+
+
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers start .. start + size - 1 of each range, one after the other."""
+    return np.arange(int(sizes.sum())) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
 
 
 class Index:
-    """Postings of unit vectors by term. Each posting list knows the largest weight it has in every block of examples."""
+    """Unit vectors as postings by term. Frequent terms, whose lists are long and weights small, are columns of a table
+    instead, with the largest weight in each block of examples."""
 
     def __init__(self, vectors: list[dict[int, float]], n_terms: int):
-        self.size = len(vectors)
-        self.blocks = max(1, -(-self.size // BLOCK))
-        postings: list[list[tuple[int, float]]] = [[] for _ in range(n_terms)]
-        for i, vector in enumerate(vectors):
-            for term, weight in vector.items():
-                postings[term].append((i, weight))
-        self.examples = [np.array([i for i, _ in p], np.int64) for p in postings]
-        self.weights = [np.array([w for _, w in p]) for p in postings]
-        self.block_ids, self.block_max = [], []
-        for examples, weights in zip(self.examples, self.weights):
-            ids, first = np.unique(examples // BLOCK, return_index=True)
-            self.block_ids.append(ids)
-            self.block_max.append(np.maximum.reduceat(weights, first) if len(first) else weights)
+        sizes = np.array([len(v) for v in vectors], np.int64)
+        self._lay_out(np.repeat(np.arange(len(vectors)), sizes), np.array([t for v in vectors for t in v], np.int64),
+                      np.array([w for v in vectors for w in v.values()], float), len(vectors), n_terms)
+
+    @classmethod
+    def of(cls, examples: np.ndarray, terms: np.ndarray, weights: np.ndarray, size: int, n_terms: int) -> Index:
+        """The index of `size` vectors from their entries, one per example and term."""
+        index = cls.__new__(cls)
+        index._lay_out(examples, terms, weights, size, n_terms)
+        return index
+
+    def _lay_out(self, examples, terms, weights, size, n_terms):
+        frequent = np.bincount(terms, minlength=n_terms) > FREQUENT * size
+        self.size, self.columns = size, int(frequent.sum())
+        self.column = np.where(frequent, np.cumsum(frequent) - 1, -1)
+        inside = frequent[terms]
+        self.table = np.zeros((size, self.columns))
+        self.table[examples[inside], self.column[terms[inside]]] = weights[inside]
+        self.norm = np.sqrt((self.table ** 2).sum(axis=1))
+        self.block_max = (np.maximum.reduceat(self.table, np.arange(0, size, BLOCK), axis=0) if size
+                          else np.zeros((0, self.columns)))
+        examples, terms, weights = examples[~inside], terms[~inside], weights[~inside]
+        order = np.lexsort((examples, terms))
+        self.examples, self.weights = examples[order].astype(np.int64), weights[order]
+        self.ends = np.searchsorted(terms[order], np.arange(n_terms + 1))
 
     def nearest(self, query: dict[int, float], k: int, but: int = -1) -> list[tuple[int, float]]:
-        """The k examples of highest cosine above 0 other than `but`; ties to the earlier example.
+        """The k examples of highest cosine above 0 other than `but`; ties to the earlier example."""
+        return self.search(np.array(list(query), np.int64), np.array(list(query.values()), float), k, but)
+
+    def search(self, terms: np.ndarray, weights: np.ndarray, k: int, but: int = -1) -> list[tuple[int, float]]:
+        """nearest() of a query given as its terms and their weights.
 
-        Blocks are scored in the order of their bound, the sum of the query's weights times the block maxima. The rest is
-        left out once its bounds are below the kth best cosine.
+        Postings are added up for all examples. What frequent terms can add to an example is bounded by the block maxima
+        and by the lengths of both vectors; it is added up for the examples of highest bound, then for all others
+        whose bound is not below the kth best cosine of these.
         """
-        bound = np.zeros(self.blocks)
-        for term, weight in query.items():
-            bound[self.block_ids[term]] += weight * self.block_max[term]
-        order = np.argsort(-bound, kind="stable")
-        order = order[bound[order] > 0]
-        cosine, done, step = np.zeros(self.size), 0, FIRST
-        best: list[tuple[int, float]] = []
-        while done < len(order):
-            # Bounds and cosines are the same sums in the same order, so a bound is never below a cosine it covers.
-            if len(best) == k and bound[order[done]] < best[-1][1]:
-                break
-            chosen = np.zeros(self.blocks, bool)
-            chosen[order[done:done + step]] = True
-            for term, weight in query.items():
-                examples = self.examples[term]
-                inside = chosen[examples // BLOCK]
-                cosine[examples[inside]] += weight * self.weights[term][inside]
-            done, step = done + step, step * 2
-            if 0 <= but < self.size:
-                cosine[but] = 0
+        if not self.size:
+            return []
+        cosine = self._postings(terms, weights)
+        at = self.column[terms]
+        columns, weight = at[at >= 0], weights[at >= 0]
+        if len(columns):
+            by_block = np.repeat(self.block_max[:, columns] @ weight, BLOCK)[:self.size]
+            bound = cosine + np.minimum(by_block, self.norm * np.sqrt(weight @ weight)) + SLACK
+            left = np.ones(self.size, bool)
+            if self.size > FIRST:
+                first = np.argpartition(-bound, FIRST)[:FIRST]
+                best = self._best(self._whole(cosine[first], first, columns, weight, but), first, k)
+                if len(best) == k:
+                    left = bound >= best[-1][1]
+            found = np.flatnonzero(left)
+            cosine = self._whole(cosine[found], found, columns, weight, but)
+        else:
             found = np.flatnonzero(cosine)
-            found = found[np.lexsort((found, -cosine[found]))[:k]]
-            best = [(int(i), float(cosine[i])) for i in found]
-        return best
+            cosine = np.where(found == but, 0.0, cosine[found])
+        return self._best(cosine, found, k)
+
+    def overlaps(self, terms: np.ndarray) -> np.ndarray:
+        """Sum of the weights that each example has for these terms."""
+        at = self.column[terms]
+        return self._postings(terms, np.ones(len(terms))) + self.table[:, at[at >= 0]].sum(axis=1)
+
+    def _postings(self, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        starts = self.ends[terms]
+        sizes = self.ends[terms + 1] - starts
+        at = _ranges(starts, sizes)
+        return np.bincount(self.examples[at], np.repeat(weights, sizes) * self.weights[at], self.size)
+
+    def _whole(self, cosine: np.ndarray, examples: np.ndarray, columns: np.ndarray, weight: np.ndarray, but: int):
+        cosine = cosine + (self.table[examples[:, None], columns] * weight).sum(axis=1)
+        cosine[examples == but] = 0
+        return cosine
+
+    @staticmethod
+    def _best(cosine: np.ndarray, examples: np.ndarray, k: int) -> list[tuple[int, float]]:
+        least = np.partition(cosine, len(cosine) - k)[len(cosine) - k] if len(cosine) > k else 0.0
+        found = np.flatnonzero((cosine >= least) & (cosine > 0))
+        found = found[np.lexsort((examples[found], -cosine[found]))[:k]]
+        return [(int(examples[i]), float(cosine[i])) for i in found]

@@ -62,7 +62,7 @@ def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs, held_out = table(spark, folder, "documents"), quality_classifier.held_out(F.col("doc_id"), 5, 0)
-    model = toxicity.train(docs, table(spark, folder, "labels"), ~held_out)
+    model = toxicity.train(docs, table(spark, folder, "labels"), ~held_out, all_words=True)
     return toxicity.score(docs, model).select(
         "doc_id", held_out.alias("held_out"), "score",
         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))

@@ -1,38 +1,42 @@
 """Toxicity by the nearest labelled examples.
 
-A bounded sample of labelled documents is the index. Terms are words that are clearly commoner in toxic examples, each
-counted once for every word it follows, so that copies of an example do not make its words terms; a document is its TF-IDF vector over them, with document frequencies of the whole corpus. The nearest examples by
-exact cosine vote, closer ones with more weight, and the vote is calibrated on the examples themselves, each left out once.
+A bounded sample of labelled documents, without near copies, is the index. An example is the TF-IDF vector of all its words,
+with document frequencies of the whole corpus; words that are clearly commoner in toxic examples, the terms, weigh more. The
+nearest examples by exact cosine vote, closer ones with more weight, and the vote is calibrated on the examples themselves,
+each left out once.
 """
 
 from __future__ import annotations
 
 import functools
+import hashlib
 import math
 from collections import Counter
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paylake.llm.common import staged
 from paylake.llm.neighbours import Index
 
-#: At most so many toxic and clean examples, drawn by hash; at most so many terms, by likelihood ratio.
-TOXIC_EXAMPLES, CLEAN_EXAMPLES, TERMS = 3_000, 6_000, 4_000
-#: A term has at least this log-likelihood ratio (about one in a million by chance) and is so many times as frequent in
-#: toxic examples.
-LIKELIHOOD, LIFT = 24.0, 4.0
+#: At most so many toxic and clean examples, drawn by hash.
+TOXIC_EXAMPLES, CLEAN_EXAMPLES = 3_000, 6_000
+#: A term has at least this log-likelihood ratio (about one in a million by chance) and is in so many times as large a
+#: share of the toxic examples. Its weight is multiplied by EMPHASIS.
+LIKELIHOOD, LIFT, EMPHASIS = 24.0, 4.0, 3.0
+#: Examples of a label whose sets of words have this Jaccard similarity are copies of one.
+NEAR_COPY = 0.8
 K = 10
 #: Added to 1 - cosine before its inverse is taken as a vote's weight.
 SOFTEN = 0.1
 THRESHOLD = 0.5
 _PUNCTUATION = bytes(i for i in range(33, 127) if not chr(i).isalnum())
 _SPACED = bytes.maketrans(_PUNCTUATION, b" " * len(_PUNCTUATION))
-#: Vectors whose neighbours a worker remembers.
+#: Texts whose neighbours a worker remembers.
 CACHED = 50_000
 
 
@@ -44,10 +48,13 @@ def tokens(text: str) -> list[bytes]:
 @dataclass
 class Model:
     terms: list[bytes]
-    idf: list[float]
+    words: bytes                                            # of the vectors, with spaces between
+    idf: np.ndarray                                         # of each word, times EMPHASIS for terms
     example_ids: list
     example_labels: list[int]
-    vectors: list[dict[int, float]]
+    examples: np.ndarray                                    # an entry per example and word: its example,
+    places: np.ndarray                                      # its word
+    values: np.ndarray                                      # and its weight
     weights: tuple[float, float, float] = (0.0, 0.0, 0.0)   # bias, vote, closeness
     unseen: float = 0.5                                     # score of a document without neighbours
     _index: Index | None = field(default=None, repr=False)
@@ -57,15 +64,10 @@ class Model:
 
     def index(self) -> Index:
         if self._index is None:
-            self._index = Index(self.vectors, len(self.terms))
-            self._place, self._seen = {t: i for i, t in enumerate(self.terms)}, {}
+            self._place, self._seen = {t: i for i, t in enumerate(self.words.split())}, {}
+            self._index = Index.of(self.examples, self.places, self.values, len(self.example_ids), len(self._place))
         return self._index
 
-    def vector(self, counts: dict[int, int]) -> dict[int, float]:
-        raw = {t: (1 + math.log(n)) * self.idf[t] for t, n in sorted(counts.items())}
-        norm = math.sqrt(sum(w * w for w in raw.values()))
-        return {t: w / norm for t, w in raw.items()} if norm else {}
-
     def vote(self, near: list[tuple[int, float]]) -> tuple[float, float]:
         """Share of toxic among the neighbours, by inverse distance, and the best cosine."""
         share = [1 / (1 - min(1.0, c) + SOFTEN) for _, c in near]
@@ -75,40 +77,53 @@ class Model:
     def judge(self, text: str) -> tuple[float, list[tuple[int, float]]]:
         """Score and neighbours of a text."""
         index = self.index()
-        counts = Counter([t for t in map(self._place.get, tokens(text)) if t is not None])
-        if not counts:
-            return self.unseen, []
-        key = tuple(sorted(counts.items()))
+        key = hashlib.blake2b(text.encode("utf-8", "replace"), digest_size=16).digest()
         if key not in self._seen:
-            if len(self._seen) >= CACHED:
-                self._seen.clear()
-            near = index.nearest(self.vector(counts), K)
+            counts = Counter(map(self._place.get, tokens(text)))
+            counts.pop(None, None)
+            near = []
+            if counts:
+                places = np.fromiter(counts.keys(), np.int64, len(counts))
+                order = np.argsort(places)
+                number = np.fromiter(counts.values(), np.int64, len(counts))[order]
+                places = places[order]
+                near = index.search(places, _unit(number, self.idf[places], np.zeros(len(places), np.int64)), K)
             score = self.unseen
             if near:
                 vote, close = self.vote(near)
                 score = _logistic(self.weights[0] + self.weights[1] * vote + self.weights[2] * close)
+            if len(self._seen) >= CACHED:
+                self._seen.clear()
             self._seen[key] = (score, near)
         return self._seen[key]
 
 
+def _unit(number: np.ndarray, idf: np.ndarray, vector: np.ndarray) -> np.ndarray:
+    """TF-IDF weights of the entries of vectors of length 1; `vector` tells whose each is."""
+    raw = (1 + np.log(number)) * idf
+    return raw / np.sqrt(np.bincount(vector, raw * raw))[vector]
+
+
 def _logistic(x: float) -> float:
     return 1 / (1 + math.exp(-max(-30.0, min(30.0, x))))
 
 
-def _calibrate(model: Model, share: dict[int, float], without: dict[int, int]) -> None:
+def _calibrate(model: Model, share: dict[int, float], without: dict[int, int], prior: float) -> None:
     """Fits the logistic curve on left-one-out votes. share weighs the examples of a label up to all labelled documents;
-    without counts the examples of a label that have no term."""
+    without counts the examples of a label that have no word in the index; prior is the share of toxic labels."""
     index, rows, labels = model.index(), [], []
     alone = dict(without)
-    for i, vector in enumerate(model.vectors):
-        near = index.nearest(vector, K, but=i)
+    ends = np.searchsorted(model.examples, np.arange(len(model.example_ids) + 1))
+    for i in range(len(model.example_ids)):
+        mine = slice(ends[i], ends[i + 1])
+        near = index.search(model.places[mine], model.values[mine], K, but=i)
         if near:
             rows.append((1.0, *model.vote(near)))
             labels.append(model.example_labels[i])
         else:
             alone[model.example_labels[i]] = alone.get(model.example_labels[i], 0) + 1
     toxic, clean = (alone.get(y, 0) * share.get(y, 1.0) for y in (1, 0))
-    model.unseen = (toxic + 0.5) / (toxic + clean + 1.0)
+    model.unseen = (toxic + prior) / (toxic + clean + 1.0)
     if not rows:
         return
     x, y = np.array(rows), np.array(labels, float)
@@ -125,30 +140,45 @@ def _calibrate(model: Model, share: dict[int, float], without: dict[int, int]) -
     model.weights = tuple(beta.tolist())
 
 
-def _count_terms(source):
-    """(doc_id, label, text) batches to a row per document and term; `before` is the word its first use follows."""
+def _bags(source):
+    """(doc_id, label, text) batches to a row per document with its words and how often it has each."""
     for batch in source:
-        docs, labels, terms, counts, before = [], [], [], [], []
-        for i, text in enumerate(batch.column(2)):
-            words = tokens(text.as_py() or "")
-            found = Counter(words)
-            first = dict(zip(reversed(words), reversed([b"", *words[:-1]])))
-            docs += [i] * len(found)
-            labels += [batch.column(1)[i].as_py()] * len(found)
-            terms += found.keys()
-            counts += found.values()
-            before += map(first.get, found)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0).take(pa.array(docs, pa.int64())), pa.array(labels, pa.int32()), pa.array(terms, pa.binary()),
-             pa.array(counts, pa.int32()), pa.array(before, pa.binary())], names=["doc_id", "label", "term", "n", "before"])
+        found = [Counter(tokens(text.as_py() or "")) for text in batch.column(2)]
+        words = pa.array([list(c) for c in found], pa.list_(pa.binary()))
+        numbers = pa.array([list(c.values()) for c in found], pa.list_(pa.int32()))
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(3), words, numbers],
+                                         names=["doc_id", "label", "at", "words", "numbers"])
+
+
+def _without_copies(examples: np.ndarray, places: np.ndarray, labels: np.ndarray, n_words: int) -> np.ndarray:
+    """Which examples stay: all but those that are a near copy of an earlier one that stays and has the same label."""
+    size = len(labels)
+    index = Index.of(examples, places, np.ones(len(places)), size, n_words)
+    length = np.bincount(examples, minlength=size)
+    ends = np.searchsorted(examples, np.arange(size + 1))
+    stays = np.zeros(size, bool)
+    for i in range(size):
+        common = index.overlaps(places[ends[i]:ends[i + 1]])
+        copy = stays & (labels == labels[i]) & (common >= NEAR_COPY * (length + length[i] - common)) & (common > 0)
+        stays[i] = not copy.any()
+    return stays
+
+
+def _likelihood(a: np.ndarray, b: np.ndarray, toxic: int, clean: int) -> np.ndarray:
+    """Log-likelihood ratio of words in `a` of the toxic and `b` of the clean examples."""
+    part = lambda count, of: np.where(count > 0, count * np.log(np.maximum(count, 1) * (toxic + clean) / ((a + b) * float(of))), 0.0)
+    return 2 * (part(a, toxic) + part(b, clean))
 
 
 def train(docs: DataFrame, labels: DataFrame, learn_from: Column, doc_id: str = "doc_id", text: str = "text",
-          label: str = "toxic") -> Model:
+          label: str = "toxic", all_words: bool = False) -> Model:
     """The model from labelled documents for which learn_from (a condition on doc_id) holds.
 
-    Only the sample of examples is bounded; document frequencies are counted over all documents. Labels other than 0
-    and 1, and rows with nulls, are left out. Without toxic examples there are no terms, and every score is the same.
+    With all_words every word of the examples is in the vectors; otherwise only the terms are, and a text without one
+    has no evidence. Words that no example has are in no vector and do not count for its length. Only the sample of
+    examples is bounded; document frequencies are counted over all documents. Labels other than 0 and 1, and rows with
+    nulls, are left out. Without examples of both labels every score is the same. The driver holds the entries of all
+    examples.
     """
     known = (labels.select(F.col(doc_id).alias("doc_id"), F.col(label).cast("int").alias("label"))
              .filter(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & learn_from)
@@ -157,45 +187,60 @@ def train(docs: DataFrame, labels: DataFrame, learn_from: Column, doc_id: str =
     drawn = lambda y, n: known.filter(F.col("label") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
     chosen = drawn(1, TOXIC_EXAMPLES).union(drawn(0, CLEAN_EXAMPLES))
     texts = (docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).filter(F.col("text").isNotNull())
-             .join(F.broadcast(chosen), "doc_id").dropDuplicates(["text"]))
+             .join(F.broadcast(chosen), "doc_id"))
     schema = T.StructType([T.StructField("doc_id", docs.schema[doc_id].dataType), T.StructField("label", T.IntegerType()),
-                           T.StructField("term", T.BinaryType()), T.StructField("n", T.IntegerType()),
-                           T.StructField("before", T.BinaryType())])
-    counted = staged(texts.select("doc_id", "label", "text").mapInArrow(_count_terms, schema), "toxic-terms")
-    drawn_docs = {r.label: r.n for r in counted.groupBy("label").agg(F.count_distinct("doc_id").alias("n")).collect()}
-    toxic, clean = drawn_docs.get(1, 0), drawn_docs.get(0, 0)
-    if not toxic or not clean:
-        return Model([], [], [], [], [], unseen=0.5 if not all_labelled else float(toxic > 0))
-
-    a, b = F.col("toxic"), F.col("clean")
-    part = lambda count, of: F.when(count > 0, count * F.log(count * (toxic + clean) / ((a + b) * float(of)))).otherwise(0.0)
-    uses = lambda y: F.count_distinct(F.when(F.col("label") == y, F.col("before"))).cast("double")
-    terms = (counted.groupBy("term").agg(uses(1).alias("toxic"), uses(0).alias("clean"))
-             .withColumn("ratio", 2 * (part(a, toxic) + part(b, clean)))
-             .filter((a * clean >= LIFT * b * toxic) & (F.col("ratio") >= LIKELIHOOD))
-             .orderBy(F.desc("ratio"), "term").limit(TERMS))
-    vocabulary = sorted(bytes(r.term) for r in terms.select("term").collect())
-    place = {t: i for i, t in enumerate(vocabulary)}
-    total = max(1, docs.count())
-    frequency = {r.term: r.n for r in document_frequencies(docs, text, vocabulary).collect()}
-    idf = [math.log((1 + total) / (1 + frequency.get(i, 0))) + 1 for i in range(len(vocabulary))]
-    postings = counted.join(F.broadcast(terms.select("term")), "term").collect() if vocabulary else []
-    examples: dict = {}
-    for r in postings:
-        examples.setdefault((r.doc_id, r.label), {})[place[bytes(r.term)]] = r.n
-    order = sorted(examples)
-    model = Model(vocabulary, idf, [d for d, _ in order], [y for _, y in order], [])
-    model.vectors = [model.vector(examples[key]) for key in order]
-    share = {y: all_labelled.get(y, 0) / drawn_docs[y] for y in drawn_docs}
-    without = {y: drawn_docs[y] - model.example_labels.count(y) for y in drawn_docs}
-    _calibrate(model, share, without)
+                           T.StructField("at", T.LongType()), T.StructField("words", T.ArrayType(T.BinaryType())),
+                           T.StructField("numbers", T.ArrayType(T.IntegerType()))])
+    bags = texts.select("doc_id", "label", "text", F.xxhash64("text").alias("at")).mapInArrow(_bags, schema).toArrow()
+    bags = bags.sort_by([("doc_id", "ascending"), ("at", "ascending")]).combine_chunks()
+    ids, example_labels = bags["doc_id"].to_pylist(), bags["label"].to_numpy().astype(np.int64)
+    if len(set(example_labels.tolist())) < 2:
+        return Model([], b"", np.zeros(0), [], [], *[np.zeros(0, np.int64)] * 2, np.zeros(0),
+                     unseen=0.5 if not all_labelled else float(example_labels.any()))
+
+    lists = bags["words"].combine_chunks()
+    lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
+    coded = lists.flatten().dictionary_encode()
+    ranked = pc.sort_indices(coded.dictionary)
+    vocabulary = coded.dictionary.take(ranked).to_pylist()
+    rank = np.empty(len(vocabulary), np.int64)
+    rank[ranked.to_numpy()] = np.arange(len(vocabulary))
+    places = rank[coded.indices.to_numpy()]
+    examples = np.repeat(np.arange(len(ids)), pc.list_value_length(lists).to_numpy())
+    numbers = pc.list_flatten(bags["numbers"]).to_numpy()
+    order = np.lexsort((places, examples))
+    places, examples, numbers = places[order], examples[order], numbers[order]
+
+    stays = _without_copies(examples, places, example_labels, len(vocabulary))
+    toxic, clean = (int((stays & (example_labels == y)).sum()) for y in (1, 0))
+    a, b = (np.bincount(places[(stays & (example_labels == y))[examples]], minlength=len(vocabulary)) for y in (1, 0))
+    is_term = (a + b > 0) & (a * clean >= LIFT * b * toxic)
+    is_term[is_term] = _likelihood(a[is_term], b[is_term], toxic, clean) >= LIKELIHOOD
+
+    used = (a + b > 0) if all_words else is_term
+    entry = stays[examples] & used[places]
+    examples, places, numbers = examples[entry], (np.cumsum(used) - 1)[places[entry]], numbers[entry]
+    indexed, examples = np.unique(examples, return_inverse=True)
+    terms = [vocabulary[i] for i in np.flatnonzero(is_term)]
+    words = [vocabulary[i] for i in np.flatnonzero(used)]
+    total, frequency = max(1, docs.count()), np.zeros(len(words))
+    counted = document_frequencies(docs, text, words).toArrow()
+    frequency[counted["term"].to_numpy()] = counted["n"].to_numpy()
+    idf = (np.log((1 + total) / (1 + frequency)) + 1) * np.where(is_term[used], EMPHASIS, 1.0)
+    model = Model(terms, b" ".join(words), idf, [ids[i] for i in indexed], example_labels[indexed].tolist(),
+                  examples.astype(np.int32), places.astype(np.int32), _unit(numbers, idf[places], examples))
+    share = {y: all_labelled.get(y, 0) / n for y, n in ((1, toxic), (0, clean)) if n}
+    without = {y: n - model.example_labels.count(y) for y, n in ((1, toxic), (0, clean))}
+    _calibrate(model, share, without, all_labelled.get(1, 0) / sum(all_labelled.values()))
     return model
 
 
 def document_frequencies(docs: DataFrame, text: str, vocabulary: list[bytes]) -> DataFrame:
     """term (its place in the vocabulary) and n, the documents of the whole table that hold it."""
+    joined = b" ".join(vocabulary)
+
     def counts(source):
-        place, total = {t: i for i, t in enumerate(vocabulary)}, Counter()
+        place, total = {t: i for i, t in enumerate(joined.split())}, Counter()
         for batch in source:
             for value in batch.column(0):
                 total.update({t for t in map(place.get, tokens(value.as_py() or "")) if t is not None})
@@ -215,7 +260,7 @@ def _loaded(data: bytes) -> Model:
 def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, score and evidence of each row: the nearest examples with their cosine and label.
 
-    A null or empty text, and one without any term of the model, has no evidence and scores as such examples do. Repeated
+    A null or empty text, and one without any word of the model, has no evidence and scores as such examples do. Repeated
     rows are scored each; a null id stays null; other columns are not read.
     """
     import pickle

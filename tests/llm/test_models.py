@@ -121,6 +121,38 @@ def test_toxicity_evidence_and_copies(spark):
     assert out[1].score < 0.5 and out[1].evidence == [] and out[2].score == out[3].score == out[1].score
 
 
+def test_all_words_find_the_nearest_examples(spark):
+    pick = random.Random(7)
+    pool = ["".join(pick.choices("abcdefgh", k=4)) for _ in range(300)]
+    rows = [(i, " ".join(pick.choices(pool, k=25) + (["so", "vile"] if i % 4 == 0 else []))) for i in range(200)]
+    rows += [(1000 + i, rows[4][1] + f" x{i}") for i in range(30)]    # near copies of a toxic example
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 4 == 0 or i >= 1000)) for i, _ in rows], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels, F.lit(True), all_words=True)
+    assert set(model.example_ids) == set(range(200))       # clean ones too, copies once
+    assert set(model.terms) == {b"so", b"vile"}            # always after the same word, yet terms
+    counts, frequency = {}, {}
+    for i, t in rows:
+        counts[i] = {w: t.split().count(w) for w in t.split()}
+        for w in counts[i]:
+            frequency[w] = frequency.get(w, 0) + 1
+
+    def vector(count):
+        raw = {w: (1 + np.log(n)) * (np.log((1 + len(rows)) / (1 + frequency[w])) + 1) * (3 if w in ("so", "vile") else 1)
+               for w, n in count.items() if w in known}
+        return {w: x / sum(y * y for y in raw.values()) ** 0.5 for w, x in raw.items()}
+
+    known = {w for i in range(200) for w in counts[i]}
+    vectors = {i: vector(counts[i]) for i in range(200)}
+    for r in toxicity.score(docs.filter("doc_id < 40 OR doc_id >= 1000"), model).collect():
+        query = vector(counts[r.doc_id])
+        cosine = sorted((round(sum(x * v.get(w, 0) for w, x in query.items()), 9) for v in vectors.values()), reverse=True)
+        assert [round(e.cosine, 9) for e in r.evidence] == cosine[:10]
+        assert all(round(sum(x * vectors[int(e.doc_id)].get(w, 0) for w, x in query.items()), 9) == round(e.cosine, 9) for e in r.evidence)
+    empty = toxicity.score(spark.createDataFrame([(1, None), (2, ""), (3, "zzzz")], "doc_id long, text string"), model).collect()
+    assert len({r.score for r in empty}) == 1 and empty[0].score < 0.5 and not any(r.evidence for r in empty)
+
+
 # --- exact search ---
 
 def plain_search(rows, k):
