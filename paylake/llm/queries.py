@@ -37,9 +37,8 @@ def op3_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     turns = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     learned = back.withColumn("learned", F.array_join("loss_texts", ""))
     return learned.select(
-        "conv_id", F.size("turns").cast("long").alias("n_turns"), _sha256(turns).alias("turns_sha256"),
-        F.length("learned").cast("long").alias("loss_chars"), _sha256(F.col("learned")).alias("loss_sha256"),
-        F.length("formatted").cast("long").alias("formatted_chars"))
+        "conv_id", "n_turns", _sha256(turns).alias("turns_sha256"),
+        "loss_chars", _sha256(F.col("learned")).alias("loss_sha256"), "formatted_chars")
 
 
 def op4_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
