@@ -13,10 +13,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paylake.llm import crf
+from paylake.llm.common import staged
 
 #: The model is fitted on at most so many labelled documents, cut into segments of so many lines, of which at most so
-#: many are used; both are drawn by hash.
-TRAIN_DOCS, SEGMENT_LINES, TRAIN_SEGMENTS = 4_000, 30, 2_500
+#: many are used; both are drawn by hash. A document gives at most DOC_SEGMENTS of them, a label at most LABEL_SHARE.
+TRAIN_DOCS, SEGMENT_LINES, TRAIN_SEGMENTS, DOC_SEGMENTS, LABEL_SHARE = 4_000, 30, 2_500, 25, 0.75
 THRESHOLD = 0.7
 #: Characters of text that are turned into features at a time.
 CHUNK = 2_000_000
@@ -28,29 +29,33 @@ def held_out(doc_id: Column, parts: int, part: int) -> Column:
 
 
 def _segments(source):
-    """(label, text) batches to (order, label, features): segments of a document's lines, features in one list."""
+    """(label, text, id) batches to (place, label, text_key, features): segments of a document's lines, features in one
+    list. The place is the hash of the id and the segment's number; those with the least places are kept."""
     import xxhash
 
     for batch in source:
-        order, labels, rows = [], [], []
-        for label, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+        places, labels, keys, rows = [], [], [], []
+        for label, text, name in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
             lines = crf.lines_of(text.as_py() or "")
             features = crf.line_features(lines)
-            for at in range(0, len(lines), SEGMENT_LINES):
-                part = features[at:at + SEGMENT_LINES]
-                order.append(xxhash.xxh3_64_intdigest("\n".join(lines[at:at + SEGMENT_LINES]).encode("utf-8", "replace")) >> 1)
+            drawn = sorted((xxhash.xxh3_64_intdigest(f"{at // SEGMENT_LINES} {name}".encode("utf-8", "replace")) >> 1, at)
+                           for at in range(0, len(lines), SEGMENT_LINES))[:DOC_SEGMENTS]
+            for place, at in drawn:
+                places.append(place)
                 labels.append(label)
-                rows.append(part.ravel().tolist())
+                keys.append(xxhash.xxh3_128_digest("\n".join(lines[at:at + SEGMENT_LINES]).encode("utf-8", "replace")))
+                rows.append(features[at:at + SEGMENT_LINES].ravel().tolist())
         yield pa.RecordBatch.from_arrays(
-            [pa.array(order, pa.int64()), pa.array(labels, pa.int32()), pa.array(rows, pa.list_(pa.float64()))],
-            names=["place", "label", "features"])
+            [pa.array(places, pa.int64()), pa.array(labels, pa.int32()), pa.array(keys, pa.binary()),
+             pa.array(rows, pa.list_(pa.float64()))], names=["place", "label", "text_key", "features"])
 
 
 def train(docs: DataFrame, labels: DataFrame, learn_from: Column, doc_id: str = "doc_id", text: str = "text",
           label: str = "quality") -> crf.Model:
     """The model from labelled documents for which learn_from (a condition on doc_id) holds.
 
-    Both steps of the sample are drawn by hash, so they do not depend on the order of rows. Without documents of both
+    Both steps of the sample are drawn by hash, so they do not depend on the order of rows. Segments of the same text and
+    label count once. Without documents of both
     labels every score is 0.5. Labels other than 0 and 1, and rows with nulls, are left out.
     """
     known = (labels.select(F.col(doc_id).alias("doc_id"), F.col(label).cast("int").alias("label"))
@@ -58,8 +63,13 @@ def train(docs: DataFrame, labels: DataFrame, learn_from: Column, doc_id: str =
              .groupBy("doc_id").agg(F.max("label").alias("label"))
              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAIN_DOCS))
     texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(F.broadcast(known), "doc_id")
-    parts = texts.select("label", "text").mapInArrow(_segments, "place long, label int, features array<double>")
-    sample = parts.orderBy("place", "label", "features").limit(TRAIN_SEGMENTS).collect()
+    parts = texts.select("label", "text", F.col("doc_id").cast("string").alias("name")).mapInArrow(
+        _segments, "place long, label int, text_key binary, features array<double>")
+    once = staged(parts.groupBy("label", "text_key").agg(F.min(F.struct("place", "features")).alias("s"))
+                  .select("label", "text_key", "s.place", "s.features"), "quality-segments")
+    order = ["place", "label", "text_key"]
+    of = lambda y: once.filter(F.col("label") == y).orderBy(*order).limit(int(TRAIN_SEGMENTS * LABEL_SHARE))
+    sample = of(0).union(of(1)).orderBy(*order).limit(TRAIN_SEGMENTS).collect()
     return crf.fit([np.array(r.features).reshape(-1, len(crf.FEATURES)) for r in sample], [r.label for r in sample])
 
 

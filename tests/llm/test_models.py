@@ -72,6 +72,19 @@ def test_held_out_quality(spark):
     assert accuracy(spark, "op1_quality_classifier", "quality", 4, 2) > 0.95
 
 
+def test_copies_and_long_documents_do_not_fill_the_sample(spark, monkeypatch):
+    taken = []
+    monkeypatch.setattr(quality_classifier, "TRAIN_SEGMENTS", 100)
+    monkeypatch.setattr(quality_classifier.crf, "fit", lambda segments, labels: taken.extend(zip(labels, segments)))
+    long = "\n".join(f"line {i} of a long text" for i in range(30_000))          # 1,000 segments
+    rows = [(0, long)] + [(1 + i, "one text, many times") for i in range(300)] + [(1000 + i, f"text {'x' * i} alone") for i in range(90)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = docs.select("doc_id", (F.col("doc_id") < 1000).cast("int").alias("quality"))
+    quality_classifier.train(docs, labels, F.lit(True))
+    assert len(taken) == 100 and sum(y == 1 for y, _ in taken) in (25, 26)
+    assert sum(y == 1 and len(x) == 1 for y, x in taken) <= 1
+
+
 # --- toxicity ---
 
 def test_held_out_toxicity(spark):
