@@ -128,7 +128,8 @@ NEAR = rf"""
 WITH RECURSIVE split AS MATERIALIZED (
   SELECT row_number() OVER () AS rid, doc_id,
          regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                            '[^ 	-]+') AS w FROM documents),
+                            '[^ 	-
+]+') AS w FROM documents),
 grams AS MATERIALIZED (
   SELECT DISTINCT rid, md5(array_to_string(w[i:i + 4], ' ')) AS g
   FROM (SELECT rid, w, unnest(range(1, greatest(len(w) - 3, least(len(w), 1) + 1))) AS i FROM split)),
@@ -144,5 +145,63 @@ FROM split s JOIN reach r ON r.x = s.rid JOIN split t ON t.rid = r.y LEFT JOIN s
 GROUP BY s.rid, s.doc_id
 """
 
+_LEAK_WORDS = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+               r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
+
+#: Windows of items are looked up at every place of every document, one length after another.
+LEAKS = rf"""
+WITH docs AS MATERIALIZED (SELECT row_number() OVER () AS rid, doc_id, {_LEAK_WORDS} AS w FROM documents),
+items AS (SELECT coalesce(item_id::VARCHAR, '') AS item, {_LEAK_WORDS} AS w FROM benchmark),
+windows AS MATERIALIZED (
+  SELECT DISTINCT item, n, array_to_string(w[i:i + n - 1], ' ') AS win
+  FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS i FROM (SELECT *, least(len(w), 10) AS n FROM items WHERE len(w) > 0))),
+lengths AS (SELECT DISTINCT n FROM windows),
+places AS (SELECT rid, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM docs, lengths WHERE len(w) >= n),
+starts AS MATERIALIZED (
+  SELECT p.rid, p.i, p.n, v.item FROM places p JOIN windows v ON v.n = p.n AND v.win = array_to_string(p.w[p.i:p.i + p.n - 1], ' ')),
+hit AS (SELECT rid, count(DISTINCT i + k) AS n_hit FROM (SELECT rid, i, unnest(range(n)) AS k FROM starts) GROUP BY rid),
+named AS (SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS found
+          FROM (SELECT DISTINCT rid, item FROM starts) GROUP BY rid)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(found, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hit USING (rid) LEFT JOIN named USING (rid)
+"""
+
+#: Every order is applied to the counts per set of failed filters.
+AUDIT = rf"""
+WITH texts AS MATERIALIZED (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, {WORDS} AS w FROM documents),
+firsts AS (SELECT t, min(doc_id) AS first FROM texts GROUP BY t),
+known AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+judged AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(k.toxic, 0) AS toxic,
+         [len(w) < 200, 100 * len(list_distinct(w)) < 50 * len(w),
+          100 * len(regexp_extract_all(t, '[A-Z]')) > 3 * length(t), regexp_matches(t, '[#$%&*|]'),
+          coalesce(x.doc_id > first, false)] AS fails
+  FROM texts x JOIN firsts USING (t) LEFT JOIN known k ON k.doc_id = x.doc_id),
+counted AS MATERIALIZED (
+  SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM judged GROUP BY part, fails),
+f AS (SELECT unnest(range(1, 6)) AS i),
+orders AS MATERIALIZED (
+  SELECT [a.i, b.i, c.i, d.i, e.i] AS o, 'ABCDE'[a.i] || 'ABCDE'[b.i] || 'ABCDE'[c.i] || 'ABCDE'[d.i] || 'ABCDE'[e.i] AS filter_order
+  FROM f a, f b, f c, f d, f e WHERE len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5),
+steps AS (SELECT *, unnest(range(1, 6)) AS step FROM orders),
+applied AS (
+  SELECT part, filter_order, step, o[step] AS f, n, good, toxic, fails[o[step]] AS fails_it,
+         len(list_filter(o[1:step - 1], lambda x: fails[x])) > 0 AS gone,
+         len(list_filter(fails, lambda x: x)) = 1 AND fails[o[step]] AS alone
+  FROM steps, counted),
+found AS (
+  SELECT part, filter_order, step, f, coalesce(sum(n) FILTER (NOT gone AND NOT fails_it), 0)::BIGINT AS kept,
+         coalesce(sum(n) FILTER (NOT gone AND fails_it), 0)::BIGINT AS removed,
+         coalesce(sum(n) FILTER (gone AND fails_it), 0)::BIGINT AS redundant,
+         coalesce(sum(n) FILTER (alone), 0)::BIGINT AS unique_fails,
+         coalesce(sum(good) FILTER (NOT gone AND fails_it), 0)::BIGINT AS good_lost,
+         coalesce(sum(toxic) FILTER (NOT gone AND fails_it), 0)::BIGINT AS toxic_lost
+  FROM applied GROUP BY ALL)
+SELECT * EXCLUDE (f), (sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shapley FROM found
+"""
+
 ORACLES = {"op2_quality_rules": RULES, "op3_chat_formatting": CHATS, "op4_substring_dedup": SUBSTRINGS,
-           "op5_mixing": MIXING, "op6_minhash_near_dedup": NEAR, "op10_topk_search": SEARCH}
+           "op5_mixing": MIXING, "op6_minhash_near_dedup": NEAR, "op10_topk_search": SEARCH,
+           "op12_benchmark_decontamination": LEAKS, "op13_filter_audit": AUDIT}

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paylake.llm import (bpe, chat_format, minhash, mixing, oracle, quality_classifier, quality_rules, substring_dedup,
-                         token_count, topk, toxicity)
+from paylake.llm import (bpe, chat_format, decontamination, filter_audit, minhash, mixing, oracle, quality_classifier,
+                         quality_rules, substring_dedup, token_count, topk, toxicity, whitening)
 from paylake.llm.common import table, words
 
 
@@ -79,7 +79,24 @@ def op10_topk_search(spark: SparkSession, folder: str) -> DataFrame:
     return topk.search(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op11_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    return whitening.whiten(vectors, whitening.fit(vectors))
+
+
+def op12_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontamination.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items",
+                        _sha256(F.array_join("items", ",")).alias("items_sha256"), "contaminated")
+
+
+def op13_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    failed = filter_audit.failures(table(spark, folder, "documents"))
+    return filter_audit.audit(failed, table(spark, folder, "labels"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality_classifier, op2_quality_rules, op3_chat_formatting, op4_substring_dedup, op5_mixing,
-    op6_minhash_near_dedup, op7_token_counts, op8_toxicity, op9_byte_bpe, op10_topk_search)}
+    op6_minhash_near_dedup, op7_token_counts, op8_toxicity, op9_byte_bpe, op10_topk_search, op11_embedding_whitening,
+    op12_benchmark_decontamination, op13_filter_audit)}
 ORACLES = oracle.ORACLES
