@@ -8,9 +8,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from paylake.config import Settings
+from paylake.functions.scalars import event_key
 from paylake.operators import bronze
 from paylake.session import pin_utc, work_dir
-from paylake.sources import files
+from paylake.sources import files, id_index
 from paylake.sources.storage import delete, has_files
 from paylake.streaming import refresh
 
@@ -30,12 +31,12 @@ def ingest(
     stage = work_dir(spark, "ingest")
     bronze.flatten(files.read_raw(spark, raw_path, multi_line), keep=tuple(files.RAW_ORDER)).write.parquet(stage)
     staged = spark.read.parquet(stage)
-    known = None
-    if has_files(spark, bronze_root):
-        known = bronze.first_seen(files.read_bronze_ids(spark, bronze_root, batch_id), files.BRONZE_ORDER, staged)
+    id_index.begin(spark, bronze_root, batch_id)
+    entries = id_index.lookup(spark, bronze_root, staged.select(event_key().alias("event_key")), without_batch=batch_id)
     stamped = bronze.add_metadata(staged, raw_path, batch_id, ingested_at)
-    flagged = bronze.flag_duplicates(stamped, known, files.RAW_ORDER).drop(*files.RAW_ORDER)
+    flagged = bronze.flag_duplicates(stamped, id_index.first_seen(entries), files.RAW_ORDER).drop(*files.RAW_ORDER)
     files.write_bronze(flagged, bronze_root)
+    id_index.finish(spark, bronze_root, batch_id)
     if log_path and has_files(spark, bronze_root):
         files.write_duplicate_log(files.read_bronze(spark, bronze_root, [batch_id]), log_path, batch_id)
     delete(spark, stage)

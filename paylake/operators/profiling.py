@@ -26,35 +26,43 @@ def _is_day(dtype: T.DataType) -> bool:
     return isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType))
 
 
+def _day_of(f: T.StructField) -> Column | None:
+    """The date in a column of dates, or of texts whose name says that they are."""
+    if _is_day(f.dataType):
+        return F.to_date(F.col(f"`{f.name}`"))
+    if isinstance(f.dataType, T.StringType) and "fecha" in column_roles(f.name, f.dataType).split(","):
+        return F.to_date(F.col(f"`{f.name}`").try_cast("timestamp"))
+    return None
+
+
 def profile_columns(df: DataFrame, table: str) -> DataFrame:
-    """One row per column: type, roles, nulls, distinct values, numeric range and mean, date range.
+    """One row per column: type, roles, nulls, distinct values, numeric range and mean, date range (of dates, and of
+    texts in columns named after dates).
 
-    One pass over the table: its (column, value) pairs are counted, combined inside each task first,
-    and every figure follows from the counted pairs. No task holds the values of a column.
+    Counts, ranges and means are one aggregate without groups. Distinct values are counted from 96 bits of hash per (column, value),
+    in the column's own type, combined inside each task before they move; no task holds the values of a column.
     """
     fields = df.schema.fields
-    numbers = [f.name for f in fields if isinstance(f.dataType, T.NumericType)]
-    days = [f.name for f in fields if _is_day(f.dataType)]
-    counted = (
-        df.select(*(F.col(f"`{f.name}`").cast("string").alias(f.name) for f in fields))
-        .unpivot([], [f.name for f in fields], "column", "value")
-        .groupBy("column", "value").agg(rows().alias("n"))
-    )
-    n = F.col("n")
-    number = F.when(F.col("column").isin(numbers), F.col("value").try_cast("double"))
-    day = F.when(F.col("column").isin(days), F.to_date(F.col("value").try_cast("timestamp")))
-    known = F.when(number.isNotNull(), n)
-    total = F.sum(number.try_cast(MONEY) * n).cast("double")
-    figures = counted.groupBy("column").agg(
-        F.sum(n).alias("rows"),
-        F.coalesce(F.sum(F.when(F.col("value").isNull(), n)), F.lit(0)).alias("nulls"),
-        F.count("value").alias("distinct"),
-        F.min(number).alias("min"),
-        F.max(number).alias("max"),
-        half_up(F.try_divide(total, F.sum(known)), 4).alias("mean"),
-        F.min(day).alias("min_date"),
-        F.max(day).alias("max_date"),
-    )
+    none = F.lit(None)
+    figures, hashes = [], []
+    for f in fields:
+        value = F.col(f"`{f.name}`")
+        number = value.cast("double") if isinstance(f.dataType, T.NumericType) else None
+        day = _day_of(f)
+        mean = F.try_divide(F.sum(number.try_cast(MONEY)).cast("double"), F.count(number)) if number is not None else none
+        figures.append(F.struct(
+            F.lit(f.name).alias("column"), rows().alias("rows"), F.count_if(value.isNull()).alias("nulls"),
+            (F.min(number) if number is not None else none).cast("double").alias("min"),
+            (F.max(number) if number is not None else none).cast("double").alias("max"),
+            half_up(mean, 4).cast("double").alias("mean"),
+            (F.min(day) if day is not None else none).cast("date").alias("min_date"),
+            (F.max(day) if day is not None else none).cast("date").alias("max_date")))
+        comparable = value.cast("string") if isinstance(f.dataType, (T.MapType, T.VariantType)) else value
+        hashes.append(F.when(value.isNotNull(), F.struct(
+            F.lit(f.name).alias("column"), F.xxhash64(comparable).alias("h"), F.hash(comparable).alias("g"))))
+    measured = df.agg(F.array(*figures).alias("c")).select(F.explode("c").alias("c")).select("c.*")
+    distinct = (df.select(F.explode(F.array_compact(F.array(*hashes))).alias("v")).select("v.*").distinct()
+                .groupBy("column").agg(rows().alias("distinct")))
     columns = df.sparkSession.range(1).select(F.explode(F.array(*(
         F.struct(
             F.lit(table).alias("table"), F.lit(f.name).alias("column"), F.lit(f.dataType.simpleString()).alias("type"),
@@ -62,9 +70,11 @@ def profile_columns(df: DataFrame, table: str) -> DataFrame:
         ) for f in fields
     ))).alias("c")).select("c.*")
     zero = F.lit(0).cast("long")
-    return columns.join(figures, "column", "left").withColumns({
-        "rows": F.coalesce("rows", zero), "nulls": F.coalesce("nulls", zero), "distinct": F.coalesce("distinct", zero),
-    }).withColumn("nulls_pct", F.coalesce(pct(F.col("nulls"), F.col("rows"), 2), F.lit(0.0)))
+    return (
+        columns.join(measured, "column").join(distinct, "column", "left")
+        .withColumn("distinct", F.coalesce("distinct", zero))
+        .withColumn("nulls_pct", F.coalesce(pct(F.col("nulls"), F.col("rows"), 2), F.lit(0.0)))
+    )
 
 
 def profile_tables(tables: dict[str, DataFrame]) -> DataFrame:

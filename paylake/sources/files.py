@@ -12,9 +12,20 @@ from paylake.sources.storage import delete, folder_names, has_files
 
 RAW_ORDER = ["raw_file", "raw_block", "raw_row"]
 BRONZE_ORDER = ["bronze_file", "bronze_row"]
+AUDIT = ("is_duplicate", "duplicate_reason", "duplicate_first_seen_batch_id", "duplicate_first_seen_file")
 _PLACE = ("in_day", "in_batch")  # folder columns of Bronze; the data columns stay in the files
 
 
+def in_folder(batch_id: str | Column) -> Column:
+    """Folder value of the batch id in a column."""
+    return _folder(F.col(batch_id) if isinstance(batch_id, str) else batch_id)
+
+
+def batch_folder(path: Column) -> Column:
+    """Folder of a stored file: its batch's place, which stays when the batch is written again."""
+    return F.regexp_replace(path, "/[^/]*$", "")
+
+
 def _folder(batch_id: str | Column) -> Column:
     """Folder value of a batch. The prefix keeps an id of digits from being read back as a number."""
     return F.concat(F.lit("b_"), F.lit(batch_id) if isinstance(batch_id, str) else batch_id)
@@ -78,23 +89,30 @@ def read_bronze_ids(spark: SparkSession, root: str, without_batch: str | None =
         rows = rows.filter(F.col("in_batch") != _folder(without_batch))
     return rows.select(
         "event_id", "batch_id", "ingestion_timestamp", "source_file",
-        F.col("_metadata.file_path").alias("bronze_file"), F.col("_metadata.row_index").alias("bronze_row"),
+        batch_folder(F.col("_metadata.file_path")).alias("bronze_file"), F.col("_metadata.row_index").alias("bronze_row"),
     )
 
 
 def repair_bronze(spark: SparkSession, root: str, dry_run: bool = True) -> DataFrame:
-    """Recompute the duplicate flags of all of Bronze; unless ``dry_run``, every batch is written anew with them.
+    """Recompute the duplicate flags of all of Bronze; unless ``dry_run``, batches whose flags change are written anew.
 
-    The repaired rows are staged in the shared folder first, with their place, and keep their order in a batch. A run that
-    stopped while writing leaves each batch either old or new, and running again finishes it. Returns the summary.
+    A first copy is named by its batch's folder, which stays when the batch is written again. The repaired rows are staged in the
+    shared folder first, with their place, and keep their order in a batch. A run that stopped while writing leaves each
+    batch either old or new, and running again finishes it. Returns the summary.
     """
     stage = work_dir(spark, "repair")
-    repair_flags(read_bronze(spark, root), BRONZE_ORDER).write.parquet(stage)
+    stored = read_bronze(spark, root).withColumn("_folder", batch_folder(F.col("bronze_file")))
+    was = {f"_was_{c}": F.col(c) if c in stored.columns else F.lit("?") for c in AUDIT}
+    repair_flags(stored.withColumns(was), BRONZE_ORDER, "_folder").write.parquet(stage)
     staged = spark.read.parquet(stage)
     summary = spark.createDataFrame(repair_summary(staged, dry_run=dry_run).collect())  # one row
     if not dry_run:
-        ordered = staged.repartitionByRange(*BRONZE_ORDER).sortWithinPartitions(*BRONZE_ORDER)
-        write_bronze(ordered.drop(*BRONZE_ORDER), root)
+        same = F.lit(True)
+        for c in AUDIT:
+            same = same & F.col(f"_was_{c}").cast("string").eqNullSafe(F.col(c).cast("string"))
+        changed = staged.filter(~same).select("batch_id").distinct()
+        ordered = staged.join(changed, "batch_id", "left_semi").repartitionByRange(*BRONZE_ORDER).sortWithinPartitions(*BRONZE_ORDER)
+        write_bronze(ordered.drop(*BRONZE_ORDER, "_folder", *was), root)
     delete(spark, stage)
     return summary
 

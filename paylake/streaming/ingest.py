@@ -9,11 +9,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from paylake import fixed_values as fv
+from paylake.functions.scalars import event_key
 from paylake.operators import bronze, messages
 from paylake.schemas import CORRUPT, DETAIL, MESSAGE
 from paylake.session import pin_utc, work_dir
-from paylake.sources.files import BRONZE_ORDER, placed, read_bronze_ids, write_bronze
-from paylake.sources.storage import delete, has_files
+from paylake.sources import id_index
+from paylake.sources.files import placed, write_bronze
+from paylake.sources.storage import delete
 
 STREAM_ORDER = ["in_file", "in_block", "in_row"]
 
@@ -100,12 +102,15 @@ def _store_events(classified: DataFrame, batch_id: str, root: str, spark: SparkS
         "source", "detailType", F.from_json("detail", DETAIL).alias("detail"), "received_at", *STREAM_ORDER
     )
     flat = _stamp(bronze.flatten(raw, keep=("received_at", *STREAM_ORDER)), "bus_stream", batch_id)
-    known = None
-    if has_files(spark, root):
-        history = read_bronze_ids(spark, root, without_batch=batch_id)
-        known = bronze.first_seen(history, BRONZE_ORDER, flat)
-    flagged = bronze.flag_duplicates(flat, known, STREAM_ORDER)
+    staged = work_dir(spark, "micro-batch-events")
+    flat.write.parquet(staged)
+    flat = spark.read.parquet(staged)
+    id_index.begin(spark, root, batch_id)
+    entries = id_index.lookup(spark, root, flat.select(event_key().alias("event_key")), without_batch=batch_id)
+    flagged = bronze.flag_duplicates(flat, id_index.first_seen(entries), STREAM_ORDER)
     write_bronze(flagged.drop(*STREAM_ORDER), root)
+    id_index.finish(spark, root, batch_id)
+    delete(spark, staged)
 
 
 QUARANTINE = "quarantine"

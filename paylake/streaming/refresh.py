@@ -8,15 +8,17 @@ from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from paylake.config import Settings
-from paylake.functions.scalars import event_key, rows
+from paylake.functions.scalars import event_key
 from paylake.operators import gold
 from paylake.operators.silver import build_silver
 from paylake.operators.skew import drop_matching, keep_matching
 from paylake.session import pin_utc
-from paylake.sources import dated, files, snapshots
+from paylake.sources import dated, files, id_index, snapshots
 from paylake.sources.storage import delete, exists
+from paylake.streaming import partials
 
 STORED_ORDER = files.BRONZE_ORDER
 GOLD_DONE = "gold_done"
@@ -41,8 +43,9 @@ def rebuild(
     Silver is written once and read back for the three Gold builds: the written table cuts the
     lineage, so a lost executor never sends Gold back to raw Bronze.
     """
-    batches = files.bronze_batches(pin_utc(spark), bronze_root)  # listed before Bronze is read: none is missed later
-    stored = files.read_bronze(spark, bronze_root)
+    id_index.ensure(pin_utc(spark), bronze_root)
+    batches = id_index.batches(spark, bronze_root)  # listed before Bronze is read: none is missed later
+    stored = files.read_bronze(spark, bronze_root, sorted(row.batch_id for row in batches.collect()))
     silver = build_silver(stored, settings, STORED_ORDER, ip_geo).drop(*STORED_ORDER)
     number = dated.publish(silver, silver_root, batches)
     _publish_all_gold(spark, silver_root, number, gold_root, settings)
@@ -50,10 +53,16 @@ def rebuild(
 
 
 def _publish_all_gold(spark: SparkSession, silver_root: str, number: int, gold_root: str, settings: Settings) -> None:
-    publish_gold(dated.read(spark, silver_root), gold_root, settings)
+    silver = dated.read(spark, silver_root)
+    publish_gold(silver, gold_root, settings)
+    partials.rebuild(silver, partials_root(gold_root), number, settings)
     dated.mark(spark, silver_root, number, GOLD_DONE)
 
 
+def partials_root(gold_root: str) -> str:
+    return f"{gold_root.rstrip('/')}/_partials"
+
+
 def publish_gold(silver: DataFrame, gold_root: str, settings: Settings) -> dict[str, str]:
     paths = files.gold_paths(gold_root)
     for name, table in build_gold(silver, settings).items():
@@ -75,18 +84,10 @@ def touched_keys(old_rows: DataFrame, new_rows: DataFrame, key: str) -> DataFram
     return both.filter(F.col(key).isNotNull()).distinct()
 
 
-def merge_users(old: DataFrame, silver: DataFrame, touched: DataFrame, settings: Settings) -> DataFrame:
-    """Recompute only touched users; for the others only recency moves, from their last transaction."""
-    known = silver.filter(F.col("user_id").isNotNull())
-    fresh = gold.user_360(keep_matching(known, touched, "user_id", _SPREAD), settings)
+def merge_users(old: DataFrame, fresh: DataFrame, touched: DataFrame, settings: Settings) -> DataFrame:
+    """Touched users as they are now; for the others only recency moves, from their last transaction."""
     kept = gold.failure_and_recency(old.join(touched, "user_id", "left_anti"), settings)
-    return kept.select(*fresh.columns).unionByName(fresh)
-
-
-def merge_days(old: DataFrame, silver: DataFrame, touched: list[dt.date]) -> DataFrame:
-    """Recompute only touched dates, reading only their folders."""
-    fresh = gold.daily_metrics(silver.filter(F.col("date").isin(touched)))
-    return old.filter(~F.col("date").isin(touched)).select(*fresh.columns).unionByName(fresh)
+    return kept.unionByName(fresh.select(*kept.columns))
 
 
 def touched_days(*parts: DataFrame) -> list[dt.date | None]:
@@ -101,7 +102,7 @@ def refresh_published(
 ) -> list[str]:
     """Bring published Silver and Gold up to date with the Bronze batches not yet in them.
 
-    What changes is first written beside Silver: the rebuilt events, the rows they replace, and the
+    A batch that is being written is left for the next refresh, so a refresh may run beside ingest. What changes is first written beside Silver: the rebuilt events, the rows they replace, and the
     new contents of the touched dates. Only then are those dates published, with the batches taken in, and Gold
     after them. A run that stopped is finished, or begun again if it had published nothing, by the next.
     Returns the batches taken in. The first run, and one on a lake that a batch run made, share one layout.
@@ -118,8 +119,8 @@ def refresh_published(
             delete(spark, staging)
         if not dated.is_marked(spark, silver_root, newest, GOLD_DONE):
             _publish_all_gold(spark, silver_root, newest, gold_root, settings)
-    done = dated.applied(spark, silver_root)
-    pending = files.bronze_batches(spark, bronze_root).join(done, "batch_id", "left_anti")
+    id_index.ensure(spark, bronze_root)
+    pending = id_index.batches(spark, bronze_root).join(dated.applied(spark, silver_root), "batch_id", "left_anti")
     batch_ids = sorted(row.batch_id for row in pending.collect())  # batches since the last refresh
     if batch_ids:
         _stage(spark, bronze_root, batch_ids, silver_root, staging, settings, ip_geo)
@@ -128,20 +129,29 @@ def refresh_published(
 
 
 def _apply(spark: SparkSession, stage: str, silver_root: str, gold_root: str, settings: Settings) -> None:
-    """Publish the touched dates, then Gold; doing it twice changes nothing more."""
-    rebuilt, replaced, dates, batches = (
-        spark.read.parquet(f"{stage}/{t}") for t in ("rebuilt", "replaced", "dates", "batches")
+    """Publish the touched dates, then Gold; doing it twice changes nothing more.
+
+    Gold follows from the rows that went and came, through the partial tables: neither Silver nor Bronze is read.
+    """
+    rebuilt, replaced, dates, batches, target = (
+        spark.read.parquet(f"{stage}/{t}") for t in ("rebuilt", "replaced", "dates", "batches", "target")
     )
-    days = touched_days(replaced, rebuilt)
-    number = dated.publish(dates, silver_root, batches, touched=days)
-    silver, old_gold = dated.read(spark, silver_root), read_published_gold(spark, gold_root)
+    number, root = target.first().number, partials_root(gold_root)
+    if dated.latest(spark, silver_root) < number:
+        dated.publish(dates, silver_root, batches, touched_days(replaced, rebuilt), number=number)
+    rows = partials.signed(replaced, rebuilt)
+    silver = dated.read(spark, silver_root)
+    if partials.follows(spark, root, number):
+        partials.apply(spark, root, rows, silver, number, settings)
+    else:
+        partials.rebuild(silver, root, number, settings)
+    old, paths = read_published_gold(spark, gold_root), files.gold_paths(gold_root)
     users = touched_keys(replaced, rebuilt, "user_id")
-    paths = files.gold_paths(gold_root)
-    snapshots.publish(merge_users(old_gold["gold_user_360"], silver, users, settings), paths["gold_user_360"])
-    snapshots.publish(
-        merge_days(old_gold["gold_daily_metrics"], silver, [d for d in days if d]), paths["gold_daily_metrics"],
-    )
-    snapshots.publish(gold.event_summary(silver), paths["gold_event_summary"])
+    fresh = partials.user_360(spark, root, settings, users)
+    snapshots.publish(merge_users(old["gold_user_360"], fresh, users, settings), paths["gold_user_360"])
+    days = [d for d in touched_days(replaced, rebuilt) if d]
+    snapshots.publish(partials.daily_metrics(spark, root, old["gold_daily_metrics"], days), paths["gold_daily_metrics"])
+    snapshots.publish(partials.event_summary(spark, root), paths["gold_event_summary"])
     dated.mark(spark, silver_root, number, GOLD_DONE)
     delete(spark, stage)
 
@@ -150,8 +160,8 @@ def _stage(
     spark: SparkSession, bronze_root: str, batch_ids: list[str], silver_root: str, stage: str, settings: Settings,
     ip_geo: DataFrame | None,
 ) -> None:
-    """What new batches change in Silver. Reads them, the ids in Bronze, the ids and dates in Silver, and
-    all columns only of the touched dates. Staged tables have a known size, so the new ids are
+    """What new batches change in Silver. Reads them, the index entries of their ids, and the dates these name:
+    neither the ids of Silver nor those of Bronze. Staged tables have a known size, so the new ids are
     broadcast exactly when they are few.
     """
     def write(df: DataFrame, name: str) -> DataFrame:
@@ -159,26 +169,25 @@ def _stage(
         return spark.read.parquet(f"{stage}/{name}")
 
     write(spark.createDataFrame([(b,) for b in batch_ids], "batch_id string"), "batches")
+    write(spark.createDataFrame([(dated.latest(spark, silver_root) + 1,)], "number long"), "target")
     batch = files.read_bronze(spark, bronze_root, batch_ids)
     new = write(build_silver(batch, settings, STORED_ORDER, ip_geo).drop(*STORED_ORDER), "new")
     ids = write(_event_keys(new), "ids")
-    old = dated.read(spark, silver_root).withColumn("_id", event_key())
-    known = old.filter(F.col("_id").isNotNull()).select("_id", "date", *_SPREAD)
-    days = touched_days(keep_matching(known, ids, "_id", _SPREAD), new)
-    listed = F.col("date").isin([d for d in days if d is not None])
-    old = old.filter(listed | F.col("date").isNull() if None in days else listed)
+    entries = write(id_index.lookup(spark, bronze_root, ids.withColumnRenamed("_id", "event_key")), "entries")
+    days = touched_days(entries.select(F.explode("dates").alias("date")), new)
+    old = dated.read(spark, silver_root, only=days, schema=new.schema).withColumn("_id", event_key())
     # Rows without an id are known by their batch alone: a refresh that runs again replaces them.
     again = F.col("_id").isNull() & F.coalesce(F.col("batch_id").isin(batch_ids), F.lit(False))
     matched = keep_matching(old.filter(F.col("_id").isNotNull()), ids, "_id", _SPREAD)
     replaced = write(matched.unionByName(old.filter(again)).drop("_id"), "replaced")
-    rebuilt = write(_rebuilt(new, replaced, files.read_bronze_ids(spark, bronze_root), ids), "rebuilt")
+    rebuilt = write(_rebuilt(new, replaced, entries), "rebuilt")
     kept = drop_matching(old.filter(~again), ids, "_id", _SPREAD).drop("_id")
     write(kept.unionByName(rebuilt), "dates")
 
 
-def _rebuilt(new: DataFrame, replaced: DataFrame, stored_ids: DataFrame, ids: DataFrame) -> DataFrame:
+def _rebuilt(new: DataFrame, replaced: DataFrame, entries: DataFrame) -> DataFrame:
     """Silver rows of the new batches' events: the earlier canonical row stays unless there is a better
-    one now, with the number of copies counted again over Bronze.
+    one now, with the number of copies added up over the batches that hold the id.
     """
     columns = [c for c in new.columns if c != "bronze_duplicate_count"]
     at = F.col("ingestion_timestamp").try_cast("timestamp")
@@ -188,10 +197,7 @@ def _rebuilt(new: DataFrame, replaced: DataFrame, stored_ids: DataFrame, ids: Da
         both.withColumn("_id", event_key()).filter(F.col("_id").isNotNull()).groupBy("_id")
         .agg(F.min_by(F.struct(*columns), order).alias("_row"))
     )
-    copies = (
-        keep_matching(stored_ids.withColumn("_id", event_key()), ids, "_id", STORED_ORDER)
-        .groupBy("_id").agg(rows().alias("bronze_duplicate_count"))
-    )
+    copies = entries.groupBy(F.col("event_key").alias("_id")).agg(F.sum("n").alias("bronze_duplicate_count"))
     with_id = best.join(copies, "_id", "left").select("_row.*", "bronze_duplicate_count")
     return with_id.unionByName(new.filter(event_key().isNull()))
 
@@ -203,10 +209,9 @@ def refresh_due(last: dt.datetime | None, now: dt.datetime, minimum_seconds: int
 
 @dataclass
 class Refresher:
-    """Bring Silver and Gold up to date after micro-batches, as the stream's ``after_batch``.
+    """Bring Silver and Gold up to date, after micro-batches as the stream's ``after_batch`` or as a job of its own (``start``).
 
-    It runs inside the batch, so two refreshes never overlap. A failed refresh is counted and does
-    not stop the stream; the next batch tries again.
+    Either way two refreshes never overlap. A failed refresh is counted and does not stop the stream; the next one tries again.
     """
 
     bronze_root: str
@@ -233,3 +238,14 @@ class Refresher:
             return False
         self.last_run, self.runs = now, self.runs + 1
         return True
+
+    def start(self, spark: SparkSession, checkpoint: str, every: str = "1 minute", name: str = "refresh") -> StreamingQuery:
+        """A query of its own that refreshes at an interval, so a long refresh does not hold up ingest.
+
+        Its batches are ticks, not data: what is new follows from the index of batches and the newest publication.
+        """
+        ticks = spark.readStream.format("rate").option("rowsPerSecond", 1).option("numPartitions", 1).load()
+        return (
+            ticks.writeStream.queryName(name).option("checkpointLocation", checkpoint).trigger(processingTime=every)
+            .foreachBatch(lambda batch, _: self(batch.sparkSession, force=True) and None).start()
+        )

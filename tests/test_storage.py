@@ -1,12 +1,15 @@
 import json
 import os
 
+from glob import glob
+
 import pytest
+from pyspark.sql import functions as F
 
 from paylake import fixed_values as fv
 from paylake.operators import bronze
 from paylake.session import work_dir
-from paylake.sources import catalog, files, snapshots
+from paylake.sources import catalog, commits, dated, files, id_index, snapshots, storage
 from tests.events import write_raw
 
 
@@ -98,12 +101,177 @@ def test_snapshots(spark, folder):
 
     delete(spark, second)
     assert snapshots.resolve_latest(spark, path) == first
-    with open(f"{path}/_manifest/part-broken.json", "w") as out:
-        out.write("{broken\n" + json.dumps({"output_path": None}) + "\n")
     assert snapshots.read_latest(spark, path).count() == 3
     snapshots.publish(spark.range(1), path)
     assert snapshots.expire(spark, path, keep=1) == 1
     assert snapshots.read_latest(spark, path).count() == 1
+    with open(f"{path}/_commits/c_0000000009.json", "w") as out:   # never an older version in place of one that cannot be read
+        out.write("{broken\n")
+    with pytest.raises(ValueError, match="unreadable"):
+        snapshots.read_latest(spark, path)
+
+
+def test_old_versions_go_with_new_ones(spark, folder):
+    path = f"{folder}/t"
+    for n in range(1, 7):
+        snapshots.publish(spark.range(n), path)
+    assert len(os.listdir(f"{path}/_versions")) == snapshots.KEEP == snapshots.history(spark, path).count()
+    assert snapshots.read_latest(spark, path).count() == 6
+
+
+def test_two_writers_cannot_both_win(spark, folder, monkeypatch):
+    """The second one publishes between the first one's start and its commit."""
+    path = f"{folder}/t"
+    snapshots.publish(spark.range(1), path)
+    real, turns = commits.commit, []
+
+    def other_first(session, root, *rest):
+        if not turns:
+            turns.append(1)
+            snapshots.publish(spark.range(2), path)
+        return real(session, root, *rest)
+
+    with monkeypatch.context() as patched:
+        patched.setattr(commits, "commit", other_first)
+        with pytest.raises(commits.Conflict):
+            snapshots.publish(spark.range(3), path)
+    assert snapshots.read_latest(spark, path).count() == 2 and len(os.listdir(f"{path}/_versions")) == 2
+    snapshots.publish(spark.range(3), path)
+    assert snapshots.read_latest(spark, path).count() == 3
+    assert not storage.create_new(spark, f"{path}/_commits/c_0000000003.json", "late")
+
+
+def days(spark, *rows):
+    return spark.createDataFrame(list(rows), "date date, n int")
+
+
+def test_publications_keep_untouched_days_and_go_when_old(spark, folder):
+    import datetime as dt
+
+    root, one, two = f"{folder}/d", dt.date(2026, 1, 1), dt.date(2026, 1, 2)
+    taken = lambda n: spark.createDataFrame([(f"b{n}",)], "batch_id string")
+    dated.publish(days(spark, (one, 1), (two, 1), (None, 1)), root, taken(0))
+    for n in range(1, 20):
+        dated.publish(days(spark, (two, n)), root, taken(n), touched=[two])
+    got = sorted((str(r.date), r.n) for r in dated.read(spark, root).collect())
+    assert got == [("2026-01-01", 1), ("2026-01-02", 19), ("None", 1)]
+    assert sorted(r.batch_id for r in dated.applied(spark, root).collect()) == sorted(f"b{n}" for n in range(20))
+    assert len(os.listdir(f"{root}/applied")) <= dated.MERGED + 1 + dated.KEEP
+    assert len([n for n in os.listdir(f"{root}/manifests")]) == dated.KEEP == len(commits.numbers(spark, root))
+    assert len(os.listdir(f"{root}/data")) <= dated.KEEP + 1
+    assert [r.n for r in dated.read(spark, root, only=[two]).collect()] == [19]
+    assert dated.read(spark, root, only=[], schema="n int, date date").collect() == []
+    dated.publish(days(spark), root, taken(20), touched=[one])
+    assert sorted(str(r.date) for r in dated.read(spark, root).collect()) == ["2026-01-02", "None"]
+
+
+def test_a_publication_that_lost_changes_nothing(spark, folder, monkeypatch):
+    import datetime as dt
+
+    root, day, none = f"{folder}/d", dt.date(2026, 1, 1), spark.createDataFrame([], "batch_id string")
+    dated.publish(days(spark, (day, 1)), root, none)
+    real, turns = commits.commit, []
+
+    def other_first(session, base, *rest):
+        if not turns:
+            turns.append(1)
+            dated.publish(days(spark, (day, 2)), root, none, touched=[day])
+        return real(session, base, *rest)
+
+    with monkeypatch.context() as patched:
+        patched.setattr(commits, "commit", other_first)
+        with pytest.raises(commits.Conflict):
+            dated.publish(days(spark, (day, 3)), root, none, touched=[day])
+    assert [r.n for r in dated.read(spark, root).collect()] == [2]
+
+
+# --- The index of ids --------------------------------------------------------------------------------
+
+
+def indexed(spark, root, ids, batch_id, day="2026-01-01"):
+    id_index.begin(spark, root, batch_id)
+    files.write_bronze(batch(spark, ids, batch_id, day).withColumn("timestamp", F.lit("2026-01-05T10:00:00Z")), root)
+    id_index.finish(spark, root, batch_id)
+
+
+def asked(spark, root, ids, **kwargs):
+    found = id_index.lookup(spark, root, spark.createDataFrame([(i,) for i in ids], "event_key string"), **kwargs)
+    return sorted((r.event_key, r.batch_id, r.n, [str(d) for d in r.dates]) for r in found.collect())
+
+
+def test_the_index_knows_first_places_copies_and_dates(spark, folder):
+    root = f"{folder}/b"
+    assert asked(spark, root, ["a"]) == []
+    indexed(spark, root, ["a", " a ", "b", None, " "], "b1")
+    indexed(spark, root, ["a", "c"], "b2", "2026-01-02")
+    assert asked(spark, root, ["a", "c", "z"]) == [
+        ("a", "b1", 2, ["2026-01-05"]), ("a", "b2", 1, ["2026-01-05"]), ("c", "b2", 1, ["2026-01-05"])]
+    assert asked(spark, root, ["a"], without_batch="b1") == [("a", "b2", 1, ["2026-01-05"])]
+    entries = id_index.lookup(spark, root, spark.createDataFrame([("a",)], "event_key string"))
+    seen = id_index.first_seen(entries).first()
+    assert seen.batch_id == "b1" and seen.bronze_file.endswith("/in_day=2026-01-01/in_batch=b_b1")
+    same = bronze.first_seen(files.read_bronze_ids(spark, root), files.BRONZE_ORDER).filter("event_key = 'a'").first()
+    assert seen.asDict() == same.asDict()
+
+
+def test_a_lookup_opens_matching_buckets_only(spark, folder, monkeypatch):
+    root = f"{folder}/b"
+    indexed(spark, root, [f"e{i}" for i in range(300)], "b1")
+    opened, real = [], id_index._read
+
+    def watched(session, base, number, columns, wanted):
+        df = real(session, base, number, columns, wanted)
+        opened.append((columns, sorted({f.split("bucket=")[1].split("/")[0] for f in df.inputFiles()}, key=int)))
+        return df
+
+    monkeypatch.setattr(id_index, "_read", watched)
+    assert [r[0] for r in asked(spark, root, ["e7"])] == ["e7"]
+    bucket = spark.sql(f"SELECT pmod(xxhash64('e7'), {id_index.FIRST_BUCKETS})").first()[0]
+    assert [files_of for _, files_of in opened] == [[str(bucket)]] * 2 and opened[0][0] == "hash long"
+    opened.clear()
+    assert asked(spark, root, ["new-id"]) == [] and opened[1][1] == []   # no entry is read for an unknown id
+
+
+def test_the_index_finishes_what_stopped_and_merges(spark, folder, monkeypatch):
+    root = f"{folder}/b"
+    indexed(spark, root, ["a"], "b1")
+    id_index.begin(spark, root, "b2")                       # stopped after Bronze was written
+    files.write_bronze(batch(spark, ["a", "x"], "b2"), root)
+    id_index.begin(spark, root, "gone")                     # stopped before
+    assert [r[:2] for r in asked(spark, root, ["x"])] == [("x", "b2")]
+    indexed(spark, root, ["y"], "b3")
+    files.write_bronze(batch(spark, ["by-hand"], "b4"), root)
+    id_index.ensure(spark, root)
+    everything = asked(spark, root, ["a", "x", "y", "by-hand"])
+    assert [r[:2] for r in everything] == [("a", "b1"), ("a", "b2"), ("by-hand", "b4"), ("x", "b2"), ("y", "b3")]
+    with monkeypatch.context() as stopped:                  # entries are there twice when a merge stops
+        stopped.setattr(id_index, "delete", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            id_index.merge(spark, root)
+    assert asked(spark, root, ["a", "x", "y", "by-hand"]) == everything
+    id_index.merge(spark, root)
+    assert asked(spark, root, ["a", "x", "y", "by-hand"]) == everything
+    assert all(len(glob(f"{p}/in_batch=*")) == 1 for p in glob(f"{root}_ids/rows_16/bucket=*"))
+    monkeypatch.setattr(id_index, "MERGE_AFTER", 0)
+    monkeypatch.setattr(id_index, "BUCKET_ENTRIES", 0.1)   # as if the index had outgrown its buckets
+    indexed(spark, root, ["z", "a"], "b5")
+    assert [r[:2] for r in asked(spark, root, ["a", "z"])] == [("a", "b1"), ("a", "b2"), ("a", "b5"), ("z", "b5")]
+    assert id_index.buckets(spark, root) > 16 and not os.path.exists(f"{root}_ids/rows_16")
+
+
+def test_repair_names_folders_that_exist_and_leaves_untouched_batches(spark, folder):
+    root = f"{folder}/b"
+    for n, ids in enumerate((["a", "b"], ["c"], ["a", "d", "d"]), 1):
+        files.write_bronze(bronze.flag_duplicates(batch(spark, ids, f"b{n}", f"2026-01-0{n}"), None, ["seq"]).drop("seq"), root)
+    stamp = lambda n: {p: os.stat(p).st_mtime_ns for p in glob(f"{root}/in_day=2026-01-0{n}/*/*.parquet")}
+    before = [stamp(n) for n in (1, 2, 3)]
+    files.repair_bronze(spark, root, dry_run=False)
+    assert [stamp(n) for n in (1, 2)] == before[:2] and stamp(3) != before[2]
+    rows = files.read_bronze(spark, root).collect()
+    named = {r.duplicate_first_seen_file for r in rows} - {None}
+    assert named and all(os.path.isdir(n.removeprefix("file:")) for n in named)
+    assert sorted((r.event_id, r.duplicate_reason) for r in rows if r.is_duplicate) == [
+        ("a", "seen_in_bronze"), ("d", "repeated_in_batch")]
 
 
 def test_replacing_a_table_while_it_is_read(spark, folder):
