@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from paylake.llm.common import staged
 from paylake.llm.components import components
 from paylake.llm.wordhash import Runs, WordHashes, mix
+from paylake.operators.skew import lookup
 
 SHINGLE = 5
 #: Links need 100 * intersection >= PERCENT * union.
@@ -29,6 +30,10 @@ BANDS, ROWS = 32, 4
 BITS_APART = 36
 #: Members of a bucket in a block, on average.
 BLOCK = 1_500
+#: Shingles of a block, on average: two blocks are in one task.
+BLOCK_SHINGLES = 2_000_000
+#: A key in at least this share of the rows, and in this many, is spread over several tasks.
+HEAVY_SHARE, HEAVY_PAIRS = 1_000, 5_000
 #: Shingles whose signatures are worked out together.
 CHUNK = 16_384
 _SHIFT = np.uint64(0x9FB21C651E98DF25)
@@ -68,7 +73,7 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def _signed(source):
-    """(doc_id, text) batches to doc_id, n_shingles, set_key, bands and two longs of signature bits."""
+    """(doc_id, text, text_key) batches to doc_id, text_key, n_shingles, set_key, bands and two longs of signature bits."""
     hashes = WordHashes()
     weights = mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * _SHIFT) | np.uint64(1)
     for batch in source:
@@ -87,9 +92,9 @@ def _signed(source):
         lists = pa.ListArray.from_arrays(pa.array(np.arange(len(full) + 1, dtype=np.int32) * BANDS),
                                          pa.array(bands.view(np.int64).ravel()))
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.binary()), lists.take(take),
+            [batch.column(0), batch.column(2), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.binary()), lists.take(take),
              pa.array(bits[:, 0].copy()).take(take), pa.array(bits[:, 1].copy()).take(take)],
-            names=["doc_id", "n_shingles", "set_key", "bands", "bits_a", "bits_b"])
+            names=["doc_id", "text_key", "n_shingles", "set_key", "bands", "bits_a", "bits_b"])
 
 
 def _verified(source):
@@ -151,13 +156,13 @@ def _compared(source):
 
     for batch in source:
         found = []
-        columns = [batch.column(c).to_pylist() for c in ("bucket", "low", "high", "doc_id", "component", "block", "text")]
+        columns = [batch.column(c).to_pylist() for c in ("bucket", "low", "high", "node", "component", "block", "text")]
         for bucket, low, high, *member in zip(*columns):
             if (bucket, low, high) != now:
                 found += links()
                 now, group = (bucket, low, high), []
             group.append(member)
-        kind = batch.schema.field("doc_id").type
+        kind = batch.schema.field("node").type
         yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in found], kind) for i in range(2)], names=["a", "b"])
     if group:
         found = links()
@@ -165,20 +170,23 @@ def _compared(source):
 
 
 class _Search:
-    """Buckets, texts and links of one run."""
+    """Buckets, texts and links of one run. Nodes are classes, named by the hash of their set."""
 
-    def __init__(self, signed: DataFrame, docs: DataFrame):
-        """signed: rows of _signed, one per class. docs: doc_id and text."""
-        banded = signed.select("doc_id", F.explode("bands").alias("bucket"))
-        shared = banded.groupBy("bucket").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")) \
+    def __init__(self, classes: DataFrame, docs: DataFrame):
+        """classes: node, n, bands, bits, and the id and text_key of a row that has the set, `rows` times. docs: id, text_key, text."""
+        banded = classes.select("node", "n", F.explode("bands").alias("bucket"))
+        shared = banded.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")) \
             .filter("low < high").select(F.col("bucket").alias("k"))
-        self.members = staged(banded.join(shared, F.col("bucket") == F.col("k")).select("bucket", "doc_id"), "near-members")
-        ids = self.members.select(F.col("doc_id").alias("i")).distinct()
-        self.marks = staged(signed.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "bits_a", "bits_b")
-                            .join(ids, F.col("id") == F.col("i")).drop("i"), "near-marks")
-        self.texts = staged(docs.join(ids, F.col("doc_id") == F.col("i")).select(F.col("doc_id").alias("id"), "text")
-                            .dropDuplicates(["id"]), "near-texts")
-        self.kind = docs.schema["doc_id"].dataType
+        self.members = staged(banded.join(shared, F.col("bucket") == F.col("k")).select("bucket", "node", "n"), "near-members")
+        nodes = self.members.select(F.col("node").alias("i")).distinct()
+        self.marks = staged(classes.drop("bands").join(nodes, F.col("node") == F.col("i")).drop("i"), "near-marks")
+        # One text per class. Only where its very row is repeated is there more than one to choose from.
+        wanted = self.marks.select("node", "rows", F.col("id").alias("i"), F.col("text_key").alias("k"))
+        found = wanted.join(docs, (F.col("id") == F.col("i")) & (F.col("text_key") == F.col("k"))).select("node", "rows", "text")
+        self.texts = staged(found.filter("rows = 1").select("node", "text"), "near-texts")
+        repeated = wanted.filter("rows > 1").join(docs, (F.col("id") == F.col("i")) & (F.col("text_key") == F.col("k")))
+        if not wanted.filter("rows > 1").isEmpty():
+            self.texts = self.texts.union(staged(repeated.groupBy("node").agg(F.min("text").alias("text")), "near-texts"))
         self.tried: DataFrame | None = None
         self.links: DataFrame | None = None
 
@@ -188,54 +196,57 @@ class _Search:
         if self.tried is not None:
             pairs = pairs.join(self.tried, ["a", "b"], "left_anti")
         # Sizes and signature bits that rule a link out spare the comparison of whole sets.
-        mark = lambda side: self.marks.select(*[F.col(c).alias(f"{side}_{c}") for c in self.marks.columns])
+        mark = lambda side: self.marks.select(*[F.col(c).alias(f"{side}_{c}") for c in ("node", "n", "bits_a", "bits_b")])
         apart = (F.bit_count(F.col("l_bits_a").bitwiseXOR(F.col("r_bits_a")))
                  + F.bit_count(F.col("l_bits_b").bitwiseXOR(F.col("r_bits_b"))))
         sized = 100 * F.least("l_n", "r_n") >= PERCENT * F.greatest("l_n", "r_n")
-        likely = staged(pairs.join(mark("l"), F.col("a") == F.col("l_id")).join(mark("r"), F.col("b") == F.col("r_id"))
+        likely = staged(pairs.join(mark("l"), F.col("a") == F.col("l_node")).join(mark("r"), F.col("b") == F.col("r_node"))
                         .filter(sized & (apart <= BITS_APART)).select("a", "b"), "near-pairs")
         self.tried = likely if self.tried is None else self.tried.union(likely)
-        texts = (likely.join(self.texts.withColumnRenamed("text", "text_a"), F.col("a") == F.col("id")).drop("id")
-                 .join(self.texts.withColumnRenamed("text", "text_b"), F.col("b") == F.col("id")).drop("id"))
-        schema = T.StructType([T.StructField("a", self.kind), T.StructField("b", self.kind)])
-        found = staged(texts.sortWithinPartitions("b").mapInArrow(_verified, schema), "near-links")
+        heavy = max(HEAVY_PAIRS, likely.count() // HEAVY_SHARE)   # a pivot in very many pairs is spread over tasks
+        texts = likely
+        for side, other in (("a", "b"), ("b", "a")):
+            table = self.texts.select(F.col("node").alias(side), F.col("text").alias(f"text_{side}"))
+            texts = lookup(texts, table, side, salt_on=[other], heavy_rows=heavy)
+        schema = T.StructType([T.StructField("a", T.BinaryType()), T.StructField("b", T.BinaryType())])
+        found = staged(texts.sortWithinPartitions("b").select("a", "b", "text_a", "text_b").mapInArrow(_verified, schema), "near-links")
         self.links = found if self.links is None else self.links.union(found)
 
     def labelled(self) -> DataFrame:
-        """bucket, doc_id and component of members of buckets that hold more than one component."""
-        found = components(self.links)
-        rows = self.members.join(found, F.col("doc_id") == F.col("node"), "left").select(
-            "bucket", "doc_id", F.coalesce("component", "doc_id").alias("component"))
+        """bucket, node, n and component of members of buckets that hold more than one component."""
+        found = components(self.links).select(F.col("node").alias("i"), "component")
+        rows = self.members.join(found, F.col("node") == F.col("i"), "left").select(
+            "bucket", "node", "n", F.coalesce("component", "node").alias("component"))
         rows = staged(rows, "near-labels")
         mixed = rows.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")) \
             .filter("low < high").select(F.col("bucket").alias("k"))
         return staged(rows.join(mixed, F.col("bucket") == F.col("k")).drop("k"), "near-mixed")
 
     def against_pivots(self, rows: DataFrame, seed: list[str]) -> DataFrame:
-        """Each member with its bucket's pivot, the one whose id hashes lowest, unless they are in one component."""
-        pivots = rows.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("doc_id", *seed), "doc_id", "component")).alias("p"))
-        pivots = pivots.select(F.col("bucket").alias("k"), F.col("p.doc_id").alias("y"), F.col("p.component").alias("c"))
+        """Each member with its bucket's pivot, the one whose node hashes lowest, unless they are in one component."""
+        pivots = rows.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("node", *seed), "node", "component")).alias("p"))
+        pivots = pivots.select(F.col("bucket").alias("k"), F.col("p.node").alias("y"), F.col("p.component").alias("c"))
         return rows.join(pivots, F.col("bucket") == F.col("k")).filter("component <> c") \
-            .select(F.col("doc_id").alias("x"), "y")
+            .select(F.col("node").alias("x"), "y")
 
     def compare_blocks(self, rows: DataFrame) -> None:
-        """Adds the links between different components of the members (bucket, doc_id, component) of each bucket."""
-        sizes = rows.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")) \
-            .withColumnRenamed("bucket", "k")
+        """Adds the links between different components of the members (bucket, node, n, component) of each bucket."""
+        blocks = F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int")
+        sizes = rows.groupBy("bucket").agg(blocks.alias("blocks")).withColumnRenamed("bucket", "k")
         other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
         dealt = (rows.join(sizes, F.col("bucket") == F.col("k"))
-                 .withColumn("block", F.pmod(F.xxhash64("doc_id"), "blocks").cast("int")).withColumn("other", other)
-                 .select("bucket", "doc_id", "component", "block", F.least("block", "other").alias("low"),
+                 .withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int")).withColumn("other", other)
+                 .select("bucket", "node", "component", "block", F.least("block", "other").alias("low"),
                          F.greatest("block", "other").alias("high")))
-        texts = dealt.join(self.texts, F.col("doc_id") == F.col("id")).drop("id")
+        texts = dealt.join(self.texts, "node")
         partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         group = ["bucket", "low", "high"]
-        schema = T.StructType([T.StructField("a", self.kind), T.StructField("b", self.kind)])
+        schema = T.StructType([T.StructField("a", T.BinaryType()), T.StructField("b", T.BinaryType())])
         found = texts.repartition(partitions, *group).sortWithinPartitions(*group).mapInArrow(_compared, schema).distinct()
         self.links = self.links.union(staged(found, "near-links"))
 
     def run(self) -> DataFrame:
-        alone = self.members.withColumn("component", F.col("doc_id"))
+        alone = self.members.withColumn("component", F.col("node"))
         self.verify(self.against_pivots(alone, []))            # the same pivots in all buckets: few pairs a member
         self.verify(self.against_pivots(self.labelled(), ["bucket"]))   # another pivot in every bucket
         self.compare_blocks(self.labelled())
@@ -246,28 +257,46 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     """doc_id, n_shingles, component_id, kept for each row.
 
     component_id is the least id that links lead to, kept whether it is the row's own. A null, empty or blank text has
-    no shingles and no links. Rows that share an id are one document. Rows with a null id are not linked: their
-    component_id is null and they are kept. Other columns are not read; an empty table gives an empty result.
+    no shingles and no links. Rows that share an id are one document: what any of its texts is linked with, and all of its
+    texts are linked with each other. Rows with a null id are not linked: their component_id is null and they are kept. Very
+    long texts are compared whole. Other columns are not read; an empty table gives an empty result.
     """
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    schema = T.StructType([T.StructField("doc_id", docs.schema[doc_id].dataType), T.StructField("n_shingles", T.LongType()),
+    rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
+    keyed = rows.withColumn("text_key", F.unhex(F.md5(F.coalesce("text", F.lit("")))))
+    schema = T.StructType([T.StructField("doc_id", docs.schema[doc_id].dataType), T.StructField("text_key", T.BinaryType()),
+                           T.StructField("n_shingles", T.LongType()),
                            T.StructField("set_key", T.BinaryType()), T.StructField("bands", T.ArrayType(T.LongType())),
                            T.StructField("bits_a", T.LongType()), T.StructField("bits_b", T.LongType())])
-    signed = staged(rows.mapInArrow(_signed, schema), "near-signatures")
+    signed = staged(keyed.select("id", "text", "text_key").mapInArrow(_signed, schema), "near-signatures")
     linkable = signed.filter("doc_id IS NOT NULL AND set_key IS NOT NULL")
-    classes = linkable.groupBy("set_key").agg(F.min("doc_id").alias("first")).withColumnRenamed("set_key", "k")
-    classed = linkable.join(classes, F.col("set_key") == F.col("k"))
-    firsts = classed.filter("doc_id = first").drop("first", "k").dropDuplicates(["doc_id", "set_key"])
-    search = _Search(firsts, rows)
+    # A class: the rows with one set. Its signature and its representative's id and text, the least, come from one aggregate.
+    copies = linkable.groupBy("set_key", "doc_id", "text_key").agg(F.count("*").alias("rows"), F.first("n_shingles").alias("n"),
+                                                                  F.first("bits_a").alias("bits_a"), F.first("bits_b").alias("bits_b"))
+    copies = staged(copies, "near-copies")
+    least = copies.groupBy(F.col("set_key").alias("node")).agg(
+        F.min(F.struct(F.col("doc_id").alias("id"), "text_key", "rows")).alias("f"), F.first("n").alias("n"),
+        F.first("bits_a").alias("bits_a"), F.first("bits_b").alias("bits_b")).select("node", "n", "bits_a", "bits_b", "f.*")
+    least = staged(least, "near-classes")
+    bands = linkable.select("set_key", "doc_id", "text_key", "bands")
+    mine = [F.col("set_key") == F.col("node"), F.col("doc_id") == F.col("id"), bands["text_key"] == least["text_key"]]
+    banded = bands.join(least, mine).drop(bands["text_key"]).select(*least.columns, "bands")
+    banded = banded.filter("rows = 1").unionByName(
+        banded.filter("rows > 1").groupBy(*least.columns).agg(F.first("bands").alias("bands")))
+    search = _Search(staged(banded, "near-banded"), keyed)
     # An id given to several texts links their classes.
-    same_id = classed.filter("doc_id <> first").select(F.col("doc_id").alias("a"), F.col("first").alias("b"))
-    ids = linkable.groupBy("doc_id").agg(F.min("set_key").alias("low"), F.max("set_key").alias("high")) \
-        .filter("low < high").select(F.col("doc_id").alias("i"))
-    search.links = staged(same_id.join(ids, F.col("a") == F.col("i")).select("a", "b").distinct(), "near-links")
-    found = search.run()
-    member = signed.join(classes, F.col("set_key") == F.col("k"), "left")
-    named = member.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("first", "doc_id")).alias("first"))
-    whole = named.join(found, F.col("first") == F.col("node"), "left")
-    component = F.coalesce("component", "first")
+    several = copies.groupBy("doc_id").agg(F.min("set_key").alias("low"), F.max("set_key").alias("high")) \
+        .filter("low < high").select(F.col("doc_id").alias("i"), "low")
+    same_id = copies.select("doc_id", "set_key").distinct().join(several, F.col("doc_id") == F.col("i")).filter("set_key <> low")
+    search.links = staged(same_id.select(F.col("set_key").alias("a"), F.col("low").alias("b")).distinct(), "near-links")
+    found = search.run().select(F.col("node").alias("i"), "component")
+    placed = least.select("node", "id").join(found, F.col("node") == F.col("i"), "left") \
+        .select("node", "id", F.coalesce("component", "node").alias("component"))
+    placed = staged(placed, "near-placed")
+    names = placed.groupBy("component").agg(F.min("id").alias("name"))
+    class_of = staged(placed.join(names, "component").select(F.col("node").alias("k"), "name"), "near-names")
+    heavy = max(HEAVY_PAIRS, signed.count() // HEAVY_SHARE)
+    whole = lookup(signed.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("set_key")).alias("k")),
+                   class_of, "k", salt_on=["doc_id"], heavy_rows=heavy)
+    component = F.coalesce("name", "doc_id")
     return whole.select("doc_id", "n_shingles", component.alias("component_id"),
                         F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))

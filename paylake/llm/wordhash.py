@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
-CACHED = 500_000
+CACHED = 150_000
 _BASE = 0x9E3779B97F4A7C15
 _OTHER = 0xC2B2AE3D27D4EB4F
 
