@@ -22,9 +22,9 @@ from paylake.llm.suffix_automaton import SuffixAutomaton
 from paylake.llm.wordhash import Runs, WordHashes, other_windows, sliding_min
 
 LENGTH, GRAM = 35, 8
-#: Different runs of one gram up to which they form a shard (some 100 MB of automaton in a task); beyond, each window is
-#: counted by itself.
-SHARD_RUNS = 4_000
+#: Different runs of one gram, and bytes of their words, up to which they form a shard (some 100 MB of automaton in a task); beyond
+#: either, each window is counted by itself.
+SHARD_RUNS, SHARD_BYTES = 4_000, 4_000_000
 #: A run's place is its first word, shifted, and its number of windows.
 SIZE_BITS = 20
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -143,10 +143,13 @@ def _windows(length: int):
     return batches
 
 
-def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """Rows with a key of id and text: rows alike in both have the same words, so one key serves them."""
-    return docs.withColumn("key", F.xxhash64(F.col(doc_id), F.col(text))) \
-        .withColumn("__text", F.coalesce(F.col(text), F.lit("")))
+def _keyed(docs: DataFrame, doc_id: str, text: str, kept: list[str]) -> DataFrame:
+    """key, __text and the other kept columns in row. The key is one of id and text: rows alike in both have the same
+    words, so one key serves them."""
+    others = [F.col(f"`{c}`") for c in kept if c != text]
+    row = F.struct(*others) if others else F.struct(F.lit(1).alias("one"))
+    return docs.select(F.xxhash64(F.col(f"`{doc_id}`"), F.col(f"`{text}`")).alias("key"),
+                       F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("__text"), row.alias("row"))
 
 
 RANGE = "key long, begin long, end long"
@@ -176,12 +179,13 @@ def repeated_ranges(keyed: DataFrame, length: int = LENGTH) -> DataFrame:
     spelled = staged(distinct_rows.join(wanted, F.col("key") == F.col("k")).select("key", "__text", "runs")
                      .mapInArrow(_contexts(length), "gram long, n long, key long, first long, words binary")
                      .dropDuplicates(["key", "first", "gram"]), "dedup-contexts")
-    counts = spelled.groupBy("gram").agg(F.count("*").alias("runs")).select(F.col("gram").alias("g"), "runs")
+    counts = spelled.groupBy("gram").agg(F.count("*").alias("runs"), F.sum(F.length("words")).alias("bytes")).select(
+        F.col("gram").alias("g"), ((F.col("runs") <= SHARD_RUNS) & (F.col("bytes") <= SHARD_BYTES)).alias("shard"))
     sized = spelled.join(counts, F.col("gram") == F.col("g")).drop("g")
     partitions = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    from_shards = (sized.filter(F.col("runs") <= SHARD_RUNS).repartition(partitions, "gram").sortWithinPartitions("gram")
+    from_shards = (sized.filter("shard").repartition(partitions, "gram").sortWithinPartitions("gram")
                    .select("gram", "n", "key", "first", "words").mapInArrow(_shards(length), RANGE))
-    windows = staged(sized.filter(F.col("runs") > SHARD_RUNS).select("n", "key", "first", "words")
+    windows = staged(sized.filter("NOT shard").select("n", "key", "first", "words")
                      .mapInArrow(_windows(length), "one long, two long, n long, key long, begin long"), "dedup-windows")
     often = windows.groupBy("one", "two").agg(F.sum("n").alias("uses")).filter("uses > 1") \
         .select(F.col("one").alias("o"), F.col("two").alias("t"))
@@ -219,11 +223,10 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: i
     Every word goes that a window covers whose words also start elsewhere, in the same document or another; windows
     are judged on the input, so all copies go. The rest of the text stays as it is. A null text has no words and comes
     back empty; a text of fewer than `length` words is never changed; repeated rows are copies of each other. Rows are
-    told apart by a 64-bit hash of id and text. Columns of docs named n_words or n_removed are replaced.
+    told apart by a 64-bit hash of id and text. A very long text is taken whole, an empty table gives an empty result. Columns of docs named n_words or n_removed are replaced.
     """
     kept = [c for c in docs.columns if c not in ("n_words", "n_removed")]
-    row = F.struct(*[F.col(c) for c in kept if c != text]) if len(kept) > 1 else F.struct(F.lit(1).alias("one"))
-    keyed = _keyed(docs, doc_id, text).select("key", "__text", row.alias("row"))
+    keyed = _keyed(docs, doc_id, text, kept)
     ranges = staged(repeated_ranges(keyed, length), "dedup-ranges")
     by_key = ranges.groupBy("key").agg(F.collect_list(F.struct("begin", "end")).alias("ranges")).withColumnRenamed("key", "k")
     joined = keyed.join(by_key, F.col("key") == F.col("k"), "left").select("__text", "row", "ranges")
