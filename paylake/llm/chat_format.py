@@ -55,44 +55,44 @@ def fold(events: DataFrame) -> DataFrame:
 
 
 def render(messages: DataFrame, loss_role: str = LOSS_ROLE) -> DataFrame:
-    """conv_id, formatted, loss, n_turns, formatted_chars, loss_chars: the messages of each conversation in the order of
-    `message`. The counts are sums over messages, taken before texts are joined.
+    """conv_id, formatted and loss: the messages of each conversation in the order of `message`.
 
     loss lists the spans of the loss_role's texts: turn (from 0), start (code point in formatted), begin (code point
     in that turn) and length.
     """
     head = F.concat(F.lit(START), _escape_role(F.col("role")), F.lit("\n"))
     parts = messages.select("conv_id", "message", (F.col("role") == loss_role).alias("loss"), head.alias("head"),
-                            escape(F.col("text")).alias("body"), F.length("text").cast("long").alias("said"))
+                            escape(F.col("text")).alias("body"))
     before = Window.partitionBy("conv_id").orderBy("message").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.select(
         "conv_id", "message", "loss", F.concat("head", "body", F.lit(END + "\n")).alias("block"),
-        F.length("head").cast("long").alias("begin"), F.length("body").cast("long").alias("length"), "said",
+        F.length("head").cast("long").alias("begin"), F.length("body").cast("long").alias("length"),
     ).withColumn("start", F.coalesce(F.sum(F.length("block")).over(before), F.lit(0)) + F.col("begin"))
     turns = parts.groupBy("conv_id").agg(F.sort_array(F.collect_list(
-        F.struct("message", "block", "loss", "start", "begin", "length"))).alias("turns"),
-        F.count("*").alias("n_turns"), F.sum(F.length("block")).cast("long").alias("formatted_chars"),
-        F.sum(F.when(F.col("loss"), F.col("said")).otherwise(0)).alias("loss_chars"))
+        F.struct("message", "block", "loss", "start", "begin", "length"))).alias("turns"))
     spans = F.filter(F.transform("turns", lambda t, i: F.struct(
         t["loss"].alias("loss"), F.struct(i.alias("turn"), t["start"].alias("start"), t["begin"].alias("begin"),
                                           t["length"].alias("length")).alias("span"))), lambda x: x["loss"])
     return turns.select("conv_id", F.array_join(F.transform("turns", lambda t: t["block"]), "").alias("formatted"),
-                        F.transform(spans, lambda x: x["span"]).alias("loss"), "n_turns", "formatted_chars", "loss_chars")
+                        F.transform(spans, lambda x: x["span"]).alias("loss"))
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
-    """conv_id, formatted, turns (role, text) and loss_texts, parsed from what render() returned, and its counts."""
+    """conv_id, formatted, turns (role, text) and loss_texts, parsed from what render() returned, and n_turns,
+    formatted_chars and loss_chars, counted on what was parsed."""
     blocks = formatted.withColumn("__blocks", F.split("formatted", r"\Q" + END + "\n" + r"\E"))
     role_end = lambda b: F.locate("\n", b)
     one = lambda b: F.struct(
         _unescape_role(F.substring(b, F.lit(len(START) + 1), role_end(b) - len(START) - 1)).alias("role"),
         unescape(F.substring(b, role_end(b) + 1, F.length(b))).alias("text"))
-    return blocks.select(
+    parsed = blocks.select(
         "conv_id", "formatted",
         F.transform(F.slice("__blocks", 1, F.size("__blocks") - 1), one).alias("turns"),
         F.transform("loss", lambda s: unescape(F.substring(
-            F.get("__blocks", s["turn"]), (s["begin"] + 1).cast("int"), s["length"].cast("int")))).alias("loss_texts"),
-        "n_turns", "formatted_chars", "loss_chars")
+            F.get("__blocks", s["turn"]), (s["begin"] + 1).cast("int"), s["length"].cast("int")))).alias("loss_texts"))
+    said = F.aggregate("loss_texts", F.lit(0).cast("long"), lambda total, t: total + F.length(t))
+    return parsed.select("*", F.size("turns").cast("long").alias("n_turns"),
+                         F.length("formatted").cast("long").alias("formatted_chars"), said.alias("loss_chars"))
 
 
 def event_log(rows: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role: str = "role",
