@@ -162,11 +162,7 @@ def encode(docs: DataFrame, text: str = "text", output: str = "ids", path: str |
         encoder = _encoder(data, pattern)
         for batch in source:
             ids = [encoder.encode(t.as_py() or "") for t in batch.column(text)]
-            offsets = np.zeros(len(ids) + 1, np.int32)
-            np.cumsum([len(x) for x in ids], out=offsets[1:])
-            flat = np.concatenate(ids) if ids else np.empty(0, np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), lists], names=[*kept, output])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), _lists(ids)], names=[*kept, output])
 
     return docs.select(text, *carried).mapInArrow(batches, schema)
 
@@ -186,3 +182,31 @@ def decode(rows: DataFrame, ids: str = "ids", output: str = "decoded", path: str
                                              names=[*kept, output])
 
     return rows.select(*kept).mapInArrow(batches, schema)
+
+
+def round_trip(docs: DataFrame, text: str = "text", ids: str = "ids", decoded: str = "decoded", path: str | None = None,
+               pattern: str | None = None, keep: list[str] | None = None) -> DataFrame:
+    """encode() and decode() in one pass: the rows of docs with the token ids and the bytes they stand for. The bytes come from
+    the ids and the vocabulary alone, as in decode()."""
+    data = open(path or tokenizer_file(), "rb").read()
+    pattern = pattern or split_pattern()
+    kept = [c for c in (docs.columns if keep is None else keep) if c not in (ids, decoded)]
+    schema = T.StructType([docs.schema[c] for c in kept] + [
+        T.StructField(ids, T.ArrayType(T.IntegerType(), False), False), T.StructField(decoded, T.BinaryType(), False)])
+
+    def batches(source):
+        encoder, token = _encoder(data, pattern), _tokens(data).__getitem__
+        for batch in source:
+            found = [encoder.encode(t.as_py() or "") for t in batch.column(text)]
+            texts = [b"".join(map(token, x.tolist())) for x in found]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), _lists(found), pa.array(texts, pa.binary())],
+                                             names=[*kept, ids, decoded])
+
+    return docs.select(text, *[c for c in kept if c != text]).mapInArrow(batches, schema)
+
+
+def _lists(found: list[np.ndarray]) -> pa.ListArray:
+    offsets = np.zeros(len(found) + 1, np.int32)
+    np.cumsum([len(x) for x in found], out=offsets[1:])
+    flat = np.concatenate(found) if found else np.empty(0, np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))

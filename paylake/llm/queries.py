@@ -68,8 +68,7 @@ def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op9_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
-    encoded = bpe.encode(table(spark, folder, "documents"), keep=["doc_id"])
-    return bpe.decode(encoded).select(
+    return bpe.round_trip(table(spark, folder, "documents"), keep=["doc_id"]).select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         _sha256(F.array_join(F.col("ids").cast("array<string>"), " ")).alias("ids_sha256"),
         _sha256(F.col("decoded")).alias("decoded_sha256"))
