@@ -29,12 +29,23 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, that with the least id, and one row of each id. Rows with a null
-    id stay."""
+    """One document of each group of near-duplicates, that with the least id. Rows of one id are one document: each of its
+    texts stays once, in the row least in all columns. Rows with a null id stay."""
     found = minhash.near_duplicates(docs)
     ids = found.filter(F.col("kept") & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("__id")).distinct()
-    one = docs.join(ids, docs["doc_id"] == F.col("__id"), "left_semi").dropDuplicates(["doc_id"])
-    return one.unionByName(docs.filter(F.col("doc_id").isNull()))
+    key = F.unhex(F.md5(F.coalesce("text", F.lit(""))))
+    keys = docs.select(F.col("doc_id").alias("__id"), key.alias("__key")).join(ids, "__id", "left_semi") \
+        .groupBy("__id", "__key").agg(F.count("*").alias("__rows"))
+    keys = staged(keys, "pipeline-kept")
+    texts = docs.withColumn("__key", key)
+    mine = lambda rows: (texts["doc_id"] == rows["__id"]) & (texts["__key"] == rows["__key"])
+    once, often = keys.filter("__rows = 1"), keys.filter("__rows > 1")
+    kept = texts.join(once, mine(once), "left_semi").drop("__key")
+    if not often.isEmpty():
+        row = F.struct(*[F.col(c) for c in docs.columns])
+        again = texts.join(often, mine(often), "left_semi").groupBy("doc_id", "__key").agg(F.min(row).alias("__row"))
+        kept = kept.unionByName(again.select("__row.*"))
+    return kept.unionByName(docs.filter(F.col("doc_id").isNull()))
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,9 +61,9 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with their token ids and whether these decode to the text."""
-    decoded = bpe.decode(bpe.encode(docs, output="ids"), ids="ids", output="__bytes")
-    return decoded.select(*docs.columns, "ids", F.size("ids").cast("long").alias("n_tokens"),
+    """The documents with their token ids and whether these decode to the text (null: empty)."""
+    decoded = bpe.round_trip(docs, decoded="__bytes")
+    return decoded.select(*[c for c in docs.columns if c != "ids"], "ids", F.size("ids").cast("long").alias("n_tokens"),
                           (F.col("__bytes") == F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("decodes"))
 
 
