@@ -1,13 +1,16 @@
-"""Exact cosine neighbours from postings and a block-max bound, in numpy."""
+"""Exact cosine neighbours from a block-max inverted index, in numpy."""
 
 from __future__ import annotations
 
 import numpy as np
 
-#: Examples in a block, and how many of the most promising examples are scored first.
-BLOCK, FIRST = 64, 64
-#: A term in more than this share of the examples is frequent.
-FREQUENT = 1 / 5
+#: Examples in a block, and how many of the most promising blocks are scored before others are ruled out.
+BLOCK, FIRST = 64, 4
+#: Examples around which the others are gathered, so that a block holds examples that are alike and its bounds are low elsewhere.
+SEEDS = 32
+#: A term in more than the one share of the examples is frequent: its list is a column of a table. One in less than the other is
+#: rare: its list is too short to be cut into blocks.
+FREQUENT, RARE = 1 / 10, 1 / 100
 #: Added to bounds: far more than sums of doubles are off, far less than cosines differ.
 SLACK = 1e-9
 
@@ -18,8 +21,7 @@ def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 
 class Index:
-    """Unit vectors as postings by term. Frequent terms, whose lists are long and weights small, are columns of a table
-    instead, with the largest weight in each block of examples."""
+    """Unit vectors as postings by term, cut into blocks of examples; every part of a list knows its largest weight."""
 
     def __init__(self, vectors: list[dict[int, float]], n_terms: int):
         sizes = np.array([len(v) for v in vectors], np.int64)
@@ -28,77 +30,127 @@ class Index:
 
     @classmethod
     def of(cls, examples: np.ndarray, terms: np.ndarray, weights: np.ndarray, size: int, n_terms: int) -> Index:
-        """The index of `size` vectors from their entries, one per example and term."""
+        """The index of `size` vectors from their entries, one per example and term; weights are positive."""
         index = cls.__new__(cls)
         index._lay_out(examples, terms, weights, size, n_terms)
         return index
 
     def _lay_out(self, examples, terms, weights, size, n_terms):
+        self.size, self.blocks = size, -(-size // BLOCK)
+        self.origin = self._alike(examples, terms, weights, size, n_terms)
+        self.place = np.empty(size, np.int64)
+        self.place[self.origin] = np.arange(size)
+        examples = self.place[np.asarray(examples, np.int64)]
         frequent = np.bincount(terms, minlength=n_terms) > FREQUENT * size
-        self.size, self.columns = size, int(frequent.sum())
-        self.column = np.where(frequent, np.cumsum(frequent) - 1, -1)
-        inside = frequent[terms]
-        self.table = np.zeros((size, self.columns))
+        self.column, inside = np.where(frequent, np.cumsum(frequent) - 1, -1), frequent[terms]
+        self.table = np.zeros((self.blocks * BLOCK, int(frequent.sum())))
         self.table[examples[inside], self.column[terms[inside]]] = weights[inside]
-        self.norm = np.sqrt((self.table ** 2).sum(axis=1))
-        self.block_max = (np.maximum.reduceat(self.table, np.arange(0, size, BLOCK), axis=0) if size
-                          else np.zeros((0, self.columns)))
         examples, terms, weights = examples[~inside], terms[~inside], weights[~inside]
         order = np.lexsort((examples, terms))
-        self.examples, self.weights = examples[order].astype(np.int64), weights[order]
-        self.ends = np.searchsorted(terms[order], np.arange(n_terms + 1))
+        self.examples, self.weights, terms = examples[order], np.asarray(weights, float)[order], np.asarray(terms, np.int64)[order]
+        self.ends = np.searchsorted(terms, np.arange(n_terms + 1))
+        # Lists that are neither frequent nor rare: where each block begins in them, and its largest weight.
+        cut = np.flatnonzero(np.diff(self.ends) >= max(2, RARE * size))
+        self.cut = np.full(n_terms, -1)
+        self.cut[cut] = np.arange(len(cut))
+        inside = self.cut[terms] >= 0
+        part = self.cut[terms[inside]] * max(1, self.blocks) + self.examples[inside] // BLOCK
+        self.largest = np.zeros(len(cut) * max(1, self.blocks))
+        starts = np.flatnonzero(np.diff(part, prepend=-1))
+        if len(part):
+            self.largest[part[starts]] = np.maximum.reduceat(self.weights[inside], starts)
+        self.largest = self.largest.reshape(len(cut), max(1, self.blocks))
+        counts = np.bincount(part, minlength=self.largest.size).reshape(self.largest.shape)
+        self.begins = self.ends[cut][:, None] + np.concatenate([np.zeros((len(cut), 1), np.int64), np.cumsum(counts, axis=1)], axis=1)
+
+    @staticmethod
+    def _alike(examples, terms, weights, size, n_terms) -> np.ndarray:
+        """The examples ordered by the seed that each is most like."""
+        if size <= BLOCK:
+            return np.arange(size)
+        nearest, best = np.zeros(size, np.int64), np.full(size, -1.0)
+        for number, seed in enumerate(np.linspace(0, size - 1, SEEDS).astype(np.int64)):
+            vector = np.zeros(n_terms)
+            mine = examples == seed
+            vector[terms[mine]] = weights[mine]
+            cosine = np.bincount(examples, vector[terms] * weights, size)
+            nearest[cosine > best] = number
+            best = np.maximum(best, cosine)
+        return np.argsort(nearest, kind="stable")
 
     def nearest(self, query: dict[int, float], k: int, but: int = -1) -> list[tuple[int, float]]:
         """The k examples of highest cosine above 0 other than `but`; ties to the earlier example."""
         return self.search(np.array(list(query), np.int64), np.array(list(query.values()), float), k, but)
 
     def search(self, terms: np.ndarray, weights: np.ndarray, k: int, but: int = -1) -> list[tuple[int, float]]:
-        """nearest() of a query given as its terms and their weights.
+        """nearest() of a query given as its terms and their weights."""
+        return self.search_all([(terms, weights)], k, but)[0]
 
-        Postings are added up for all examples. What frequent terms can add to an example is bounded by the block maxima
-        and by the lengths of both vectors; it is added up for the examples of highest bound, then for all others
-        whose bound is not below the kth best cosine of these.
-        """
+    def search_all(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int, but: int = -1) -> list[list[tuple[int, float]]]:
+        """search() of several queries; what frequent terms add to every example is one product of two matrices."""
         if not self.size:
-            return []
-        cosine = self._postings(terms, weights)
-        at = self.column[terms]
-        columns, weight = at[at >= 0], weights[at >= 0]
-        if len(columns):
-            by_block = np.repeat(self.block_max[:, columns] @ weight, BLOCK)[:self.size]
-            bound = cosine + np.minimum(by_block, self.norm * np.sqrt(weight @ weight)) + SLACK
-            left = np.ones(self.size, bool)
-            if self.size > FIRST:
-                first = np.argpartition(-bound, FIRST)[:FIRST]
-                best = self._best(self._whole(cosine[first], first, columns, weight, but), first, k)
-                if len(best) == k:
-                    left = bound >= best[-1][1]
-            found = np.flatnonzero(left)
-            cosine = self._whole(cosine[found], found, columns, weight, but)
-        else:
-            found = np.flatnonzero(cosine)
-            cosine = np.where(found == but, 0.0, cosine[found])
-        return self._best(cosine, found, k)
+            return [[] for _ in queries]
+        rows = np.zeros((self.table.shape[1], len(queries)))
+        for i, (terms, weights) in enumerate(queries):
+            column = self.column[terms]
+            rows[column[column >= 0], i] = weights[column >= 0]
+        frequent = np.ascontiguousarray((self.table @ rows).T)
+        return [self._search(terms, weights, cosine, k, but) for (terms, weights), cosine in zip(queries, frequent)]
+
+    def _search(self, terms: np.ndarray, weights: np.ndarray, cosine: np.ndarray, k: int, but: int) -> list[tuple[int, float]]:
+        """The nearest, from what the frequent terms add to each example.
+
+        A block is bounded by the most that these add in it and the most that the other words can. The blocks of
+        highest bound are scored; then all others whose bound is not below the kth best cosine of these.
+        """
+        cut = self.cut[terms]
+        rare, cut, weight = (cut < 0) & (self.column[terms] < 0), cut[cut >= 0], weights[cut >= 0]
+        starts = self.ends[terms[rare]]
+        whole = cosine[:self.size] + self._listed(starts, self.ends[terms[rare] + 1] - starts, weights[rare])
+        cosine[:self.size] = whole
+        bound = cosine.reshape(self.blocks, BLOCK).max(axis=1) + weight @ self.largest[cut] + SLACK
+        chosen = np.ones(self.blocks, bool)
+        if self.blocks > FIRST:
+            chosen[:] = False
+            chosen[np.argpartition(-bound, FIRST)[:FIRST]] = True
+        whole += self._of_lists(cut, weight, chosen)
+        found = self._best(whole, self._of_blocks(chosen), k, but)
+        left = ~chosen & (bound >= (found[-1][1] if len(found) == k else 0.0))
+        if left.any():
+            whole += self._of_lists(cut, weight, left)
+            found = self._best(whole, self._of_blocks(chosen | left), k, but)
+        return found
+
+    def _of_lists(self, cut: np.ndarray, weight: np.ndarray, blocks: np.ndarray) -> np.ndarray:
+        """What the cut lists add to the examples of some blocks. Blocks next to each other are one range of a list."""
+        edges = np.flatnonzero(np.diff(np.concatenate([[False], blocks, [False]])))
+        starts = self.begins[cut][:, edges[::2]]
+        sizes = self.begins[cut][:, edges[1::2]] - starts
+        return self._listed(starts.ravel(), sizes.ravel(), np.repeat(weight, len(edges) // 2))
+
+    def _of_blocks(self, blocks: np.ndarray) -> np.ndarray:
+        found = (np.flatnonzero(blocks)[:, None] * BLOCK + np.arange(BLOCK)).ravel()
+        return found[found < self.size]
 
     def overlaps(self, terms: np.ndarray) -> np.ndarray:
         """Sum of the weights that each example has for these terms."""
-        at = self.column[terms]
-        return self._postings(terms, np.ones(len(terms))) + self.table[:, at[at >= 0]].sum(axis=1)
+        column, starts = self.column[terms], self.ends[terms]
+        listed = self._listed(starts, self.ends[terms + 1] - starts, np.ones(len(terms)))
+        return (listed + self.table[:self.size, column[column >= 0]].sum(axis=1))[self.place]
 
-    def _postings(self, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
-        starts = self.ends[terms]
-        sizes = self.ends[terms + 1] - starts
+    def _listed(self, starts: np.ndarray, sizes: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        """What ranges of the lists add to each example, with the query's weight for each range."""
         at = _ranges(starts, sizes)
-        return np.bincount(self.examples[at], np.repeat(weights, sizes) * self.weights[at], self.size)
-
-    def _whole(self, cosine: np.ndarray, examples: np.ndarray, columns: np.ndarray, weight: np.ndarray, but: int):
-        cosine = cosine + (self.table[examples[:, None], columns] * weight).sum(axis=1)
-        cosine[examples == but] = 0
-        return cosine
-
-    @staticmethod
-    def _best(cosine: np.ndarray, examples: np.ndarray, k: int) -> list[tuple[int, float]]:
-        least = np.partition(cosine, len(cosine) - k)[len(cosine) - k] if len(cosine) > k else 0.0
-        found = np.flatnonzero((cosine >= least) & (cosine > 0))
-        found = found[np.lexsort((examples[found], -cosine[found]))[:k]]
-        return [(int(examples[i]), float(cosine[i])) for i in found]
+        return np.bincount(self.examples[at], np.repeat(weight, sizes) * self.weights[at], self.size)
+
+    def _best(self, cosine: np.ndarray, among: np.ndarray, k: int, but: int) -> list[tuple[int, float]]:
+        """The k highest cosines above 0 among some examples, whose cosines are whole. They are ranked rounded, so that ties do
+        not depend on the order of additions."""
+        mine = np.round(cosine[among], 12)
+        if but >= 0:
+            mine = np.where(among == self.place[but], 0.0, mine)
+        least = np.partition(mine, len(mine) - k)[len(mine) - k] if len(mine) > k else 0.0
+        best = np.flatnonzero((mine >= least) & (mine > 0))
+        found = among[best]
+        found = found[np.lexsort((self.origin[found], -mine[best]))[:k]]
+        return [(int(self.origin[i]), float(cosine[i])) for i in found]

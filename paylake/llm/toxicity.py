@@ -13,6 +13,7 @@ import hashlib
 import math
 from collections import Counter
 from dataclasses import dataclass, field
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -36,8 +37,8 @@ SOFTEN = 0.1
 THRESHOLD = 0.5
 _PUNCTUATION = bytes(i for i in range(33, 127) if not chr(i).isalnum())
 _SPACED = bytes.maketrans(_PUNCTUATION, b" " * len(_PUNCTUATION))
-#: Texts whose neighbours a worker remembers.
-CACHED = 50_000
+#: Texts whose neighbours a worker remembers, texts searched together, and rows taken up at a time.
+CACHED, GROUP, ROWS = 50_000, 32, 512
 
 
 def tokens(text: str) -> list[bytes]:
@@ -76,26 +77,38 @@ class Model:
 
     def judge(self, text: str) -> tuple[float, list[tuple[int, float]]]:
         """Score and neighbours of a text."""
+        return self.judge_all([text])[0]
+
+    def judge_all(self, texts: list[str]) -> list[tuple[float, list[tuple[int, float]]]]:
+        """judge() of several texts, searched in groups; a text that comes again is not searched again."""
         index = self.index()
-        key = hashlib.blake2b(text.encode("utf-8", "replace"), digest_size=16).digest()
-        if key not in self._seen:
-            counts = Counter(map(self._place.get, tokens(text)))
-            counts.pop(None, None)
-            near = []
-            if counts:
-                places = np.fromiter(counts.keys(), np.int64, len(counts))
-                order = np.argsort(places)
-                number = np.fromiter(counts.values(), np.int64, len(counts))[order]
-                places = places[order]
-                near = index.search(places, _unit(number, self.idf[places], np.zeros(len(places), np.int64)), K)
-            score = self.unseen
-            if near:
-                vote, close = self.vote(near)
-                score = _logistic(self.weights[0] + self.weights[1] * vote + self.weights[2] * close)
-            if len(self._seen) >= CACHED:
-                self._seen.clear()
-            self._seen[key] = (score, near)
-        return self._seen[key]
+        keys = [hashlib.blake2b(text.encode("utf-8", "replace"), digest_size=16).digest() for text in texts]
+        if len(self._seen) + len(texts) > CACHED:
+            self._seen.clear()
+        new = {key: text for key, text in zip(keys, texts) if key not in self._seen}
+        todo = list(new.items())
+        for at in range(0, len(todo), GROUP):
+            group = todo[at:at + GROUP]
+            queries = [self._query(text) for _, text in group]
+            for (key, _), near in zip(group, index.search_all(queries, K)):
+                score = self.unseen
+                if near:
+                    vote, close = self.vote(near)
+                    score = _logistic(self.weights[0] + self.weights[1] * vote + self.weights[2] * close)
+                self._seen[key] = (score, near)
+        return [self._seen[key] for key in keys]
+
+    def _query(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """The places of a text's words in the vocabulary, in order, and their weights."""
+        counts = Counter(tokens(text))
+        places = np.fromiter(map(self._place.get, counts, repeat(-1)), np.int64, len(counts))
+        number = np.fromiter(counts.values(), np.int64, len(counts))[places >= 0]
+        places = places[places >= 0]
+        if not len(places):
+            return places, np.zeros(0)
+        order = np.argsort(places)
+        places = places[order]
+        return places, _unit(number[order], self.idf[places], np.zeros(len(places), np.int64))
 
 
 def _unit(number: np.ndarray, idf: np.ndarray, vector: np.ndarray) -> np.ndarray:
@@ -171,12 +184,12 @@ def _likelihood(a: np.ndarray, b: np.ndarray, toxic: int, clean: int) -> np.ndar
 
 
 def train(docs: DataFrame, labels: DataFrame, learn_from: Column, doc_id: str = "doc_id", text: str = "text",
-          label: str = "toxic", all_words: bool = False) -> Model:
+          label: str = "toxic", emphasis: float = EMPHASIS) -> Model:
     """The model from labelled documents for which learn_from (a condition on doc_id) holds.
 
-    With all_words every word of the examples is in the vectors; otherwise only the terms are, and a text without one
-    has no evidence. Words that no example has are in no vector and do not count for its length. Only the sample of
-    examples is bounded; document frequencies are counted over all documents. Labels other than 0 and 1, and rows with
+    Every word of the examples is in the vectors; terms weigh `emphasis` times. Words that no example has are in no vector and do
+    not count for its length. Only the sample of examples is bounded; document frequencies are counted over all documents.
+    Repeated labels of an id count once (toxic if any says so), an empty table has no examples. Labels other than 0 and 1, and rows with
     nulls, are left out. Without examples of both labels every score is the same. The driver holds the entries of all
     examples.
     """
@@ -217,7 +230,7 @@ def train(docs: DataFrame, labels: DataFrame, learn_from: Column, doc_id: str =
     is_term = (a + b > 0) & (a * clean >= LIFT * b * toxic)
     is_term[is_term] = _likelihood(a[is_term], b[is_term], toxic, clean) >= LIKELIHOOD
 
-    used = (a + b > 0) if all_words else is_term
+    used = a + b > 0
     entry = stays[examples] & used[places]
     examples, places, numbers = examples[entry], (np.cumsum(used) - 1)[places[entry]], numbers[entry]
     indexed, examples = np.unique(examples, return_inverse=True)
@@ -226,7 +239,7 @@ def train(docs: DataFrame, labels: DataFrame, learn_from: Column, doc_id: str =
     total, frequency = max(1, docs.count()), np.zeros(len(words))
     counted = document_frequencies(docs, text, words).toArrow()
     frequency[counted["term"].to_numpy()] = counted["n"].to_numpy()
-    idf = (np.log((1 + total) / (1 + frequency)) + 1) * np.where(is_term[used], EMPHASIS, 1.0)
+    idf = (np.log((1 + total) / (1 + frequency)) + 1) * np.where(is_term[used], emphasis, 1.0)
     model = Model(terms, b" ".join(words), idf, [ids[i] for i in indexed], example_labels[indexed].tolist(),
                   examples.astype(np.int32), places.astype(np.int32), _unit(numbers, idf[places], examples))
     share = {y: all_labelled.get(y, 0) / n for y, n in ((1, toxic), (0, clean)) if n}
@@ -243,7 +256,7 @@ def document_frequencies(docs: DataFrame, text: str, vocabulary: list[bytes]) ->
         place, total = {t: i for i, t in enumerate(joined.split())}, Counter()
         for batch in source:
             for value in batch.column(0):
-                total.update({t for t in map(place.get, tokens(value.as_py() or "")) if t is not None})
+                total.update(filter(None.__ne__, map(place.get, set(tokens(value.as_py() or "")))))
         yield pa.RecordBatch.from_arrays([pa.array(list(total.keys()), pa.int32()), pa.array(list(total.values()), pa.int64())],
                                          names=["term", "n"])
 
@@ -261,7 +274,8 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
     """doc_id, score and evidence of each row: the nearest examples with their cosine and label.
 
     A null or empty text, and one without any word of the model, has no evidence and scores as such examples do. Repeated
-    rows are scored each; a null id stays null; other columns are not read.
+    rows are scored each; a null id stays null; other columns are not read; very long texts are taken whole; an empty table
+    gives an empty result.
     """
     import pickle
 
@@ -275,7 +289,9 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
     def batches(source):
         known = _loaded(data)
         for batch in source:
-            judged = [known.judge(value.as_py() or "") for value in batch.column(1)]
+            judged = []
+            for at in range(0, batch.num_rows, ROWS):
+                judged += known.judge_all([value.as_py() or "" for value in batch.column(1).slice(at, ROWS)])
             evidence = [[{"doc_id": str(known.example_ids[i]), "cosine": c, "toxic": known.example_labels[i]} for i, c in found]
                         for _, found in judged]
             kinds = pa.list_(pa.struct([("doc_id", pa.string()), ("cosine", pa.float64()), ("toxic", pa.int32())]))

@@ -91,7 +91,8 @@ def test_held_out_toxicity(spark):
     assert accuracy(spark, "op8_toxicity", "toxic", 5, 0) > 0.9
 
 
-def test_neighbours_equal_brute_force():
+@pytest.mark.parametrize("block,frequent,rare", [(64, 1 / 10, 1 / 100), (7, 1 / 8, 1 / 20), (16, 1.0, 0.0), (500, 0.0, 1.0)])
+def test_neighbours_equal_brute_force(monkeypatch, block, frequent, rare):
     pick = random.Random(5)
     vectors = []
     for _ in range(500):
@@ -99,6 +100,8 @@ def test_neighbours_equal_brute_force():
         norm = sum(w * w for w in raw.values()) ** 0.5
         vectors.append({t: w / norm for t, w in raw.items()})
     vectors += vectors[:20]   # ties
+    for name, value in {"BLOCK": block, "RARE": rare, "FREQUENT": frequent}.items():
+        monkeypatch.setattr(neighbours, name, value)
     index = neighbours.Index(vectors, 31)
     for i in range(0, 520, 7):
         query = dict(sorted(vectors[i].items()))
@@ -106,6 +109,9 @@ def test_neighbours_equal_brute_force():
         expected = sorted((j for j in range(520) if cosine[j] > 0 and j != i), key=lambda j: (-round(cosine[j], 12), j))[:10]
         got = index.nearest(query, 10, but=i)
         assert [round(c, 12) for _, c in got] == [round(cosine[j], 12) for j in expected]
+    together = index.search_all([(np.array(sorted(v)), np.array([v[t] for t in sorted(v)])) for v in vectors[:50]], 10)
+    plain = lambda found: [(j, round(c, 9)) for j, c in found]
+    assert list(map(plain, together)) == [plain(index.nearest(dict(sorted(v.items())), 10)) for v in vectors[:50]]
     assert index.nearest({30: 1.0}, 10) == [] and neighbours.Index([], 0).nearest({}, 3) == []
 
 
@@ -131,7 +137,14 @@ def test_toxicity_evidence_and_copies(spark):
     out = toxicity.score(probe, model).collect()
     assert len(out) == 5 and out[0] == out[4]
     assert out[0].score > 0.9 and len(out[0].evidence) == 10 and all(e.toxic for e in out[0].evidence)
-    assert out[1].score < 0.5 and out[1].evidence == [] and out[2].score == out[3].score == out[1].score
+    assert sum(e.cosine > 0.8 for e in out[1].evidence) == 1       # 40 copies are one example
+    assert out[2].evidence == out[3].evidence == [] and out[2].score == out[3].score < 0.5
+    nothing = spark.createDataFrame([], "doc_id long, text string")
+    assert toxicity.score(nothing, model).collect() == []
+    blank = toxicity.train(nothing, spark.createDataFrame(labels, "doc_id long, toxic int"), F.lit(True))
+    assert len({r.score for r in toxicity.score(probe, blank).collect()}) == 1
+    long = spark.createDataFrame([(1, "so Vile, and foul! " * 50_000)], "doc_id long, text string")
+    assert toxicity.score(long, model).first().score > 0.5
 
 
 def test_all_words_find_the_nearest_examples(spark):
@@ -141,7 +154,7 @@ def test_all_words_find_the_nearest_examples(spark):
     rows += [(1000 + i, rows[4][1] + f" x{i}") for i in range(30)]    # near copies of a toxic example
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     labels = spark.createDataFrame([(i, int(i % 4 == 0 or i >= 1000)) for i, _ in rows], "doc_id long, toxic int")
-    model = toxicity.train(docs, labels, F.lit(True), all_words=True)
+    model = toxicity.train(docs, labels, F.lit(True))
     assert set(model.example_ids) == set(range(200))       # clean ones too, copies once
     assert set(model.terms) == {b"so", b"vile"}            # always after the same word, yet terms
     counts, frequency = {}, {}
