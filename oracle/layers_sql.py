@@ -141,7 +141,8 @@ def stored_gold() -> str:
 
 
 def bronze_queries() -> dict[str, str]:
-    flagged2 = bronze(f"SELECT seq, event_id, batch_id, {AUDIT} FROM bronze WHERE batch = 2")
+    flagged = bronze(f"SELECT seq, event_id, batch_id, {AUDIT} FROM bronze")
+    place = "'in_day=2024-02-0' || right({0}, 1) || '/in_batch=b_' || {0}"   # a batch's folder
     repair = BATCHES + """,
       k AS (SELECT *, NULLIF(TRIM(event_id), '') AS idn, 'b' || batch AS batch_id,
               'batch_b' || batch || '.parquet' AS bronze_file FROM flat),
@@ -160,18 +161,20 @@ def bronze_queries() -> dict[str, str]:
             '2024-02-0' || MIN(batch) || 'T00:00:00+00:00' AS ingestion_timestamp,
             'events_' || MIN(batch) || '.json' AS source_file, 'batch_b' || MIN(batch) || '.parquet' AS bronze_file
             FROM bronze WHERE idn IS NOT NULL GROUP BY idn"""),
-        "bronze_duplicates": flagged2,
+        "bronze_duplicates": flagged,
         "duplicate_log": bronze("""SELECT event_id, event, user_id, timestamp, batch_id, ingestion_timestamp,
             duplicate_reason, duplicate_first_seen_batch_id, duplicate_first_seen_file FROM bronze
-            WHERE batch = 2 AND is_duplicate"""),
+            WHERE is_duplicate"""),
         "bronze_scan": bronze(f"""SELECT {FLAT_COLUMNS}, ingestion_timestamp, source_file, batch_id, ingestion_date,
-            is_duplicate, duplicate_reason, duplicate_first_seen_batch_id FROM bronze"""),
+            is_duplicate, duplicate_reason, duplicate_first_seen_batch_id,
+            {place.format("duplicate_first_seen_batch_id")} AS duplicate_first_seen_file FROM bronze"""),
         "bronze_write_roundtrip": bronze("""SELECT batch_id, ingestion_date, event_id, user_id, amount, is_duplicate,
             duplicate_reason FROM bronze"""),
         "bronze_repair": f"""WITH {repair} SELECT batch_id, seq, event_id, duplicate_reason IS NOT NULL AS is_duplicate,
             duplicate_reason, duplicate_first_seen_batch_id, duplicate_first_seen_file FROM fixed""",
         "bronze_repair_roundtrip": f"""WITH {repair} SELECT batch_id, event_id, duplicate_reason IS NOT NULL AS is_duplicate,
-            duplicate_reason, duplicate_first_seen_batch_id FROM fixed""",
+            duplicate_reason, duplicate_first_seen_batch_id,
+            {place.format("duplicate_first_seen_batch_id")} AS duplicate_first_seen_file FROM fixed""",
         "bronze_repair_summary": f"""WITH {repair} SELECT COUNT(DISTINCT bronze_file) AS files, COUNT(*) AS rows,
             COUNT(DISTINCT idn) AS distinct_event_ids, COUNT(duplicate_reason) AS flagged, TRUE AS dry_run FROM fixed""",
         "raw_event_counts": raw("SELECT event, COUNT(*) AS n FROM flat WHERE batch = 1 GROUP BY event"),

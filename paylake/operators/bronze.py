@@ -12,6 +12,7 @@ from paylake import fixed_values as fv
 from paylake.functions.scalars import event_key, rows
 from paylake.operators.skew import lookup
 from paylake.schemas import FLAT_PATHS
+from paylake.session import staged
 
 FIRST_SEEN_COLUMNS = ("batch_id", "ingestion_timestamp", "source_file", "bronze_file")
 
@@ -67,7 +68,8 @@ def flag_duplicates(batch: DataFrame, known: DataFrame | None, order_by: list[st
     """Flag missing, repeated and already stored ids; every row stays.
 
     ``order_by`` orders the batch and must be unique in it. Copies are counted per id before any
-    row moves; only ids that are repeated or known are then looked up, with hot ids salted.
+    row moves; only ids that are repeated or known are written to the shared folder and looked up there: few, they are
+    broadcast and no row moves; many, hot ids are salted.
     """
     if "event_id" not in batch.columns:
         raise ValueError("cannot flag duplicates: no event_id column")
@@ -85,8 +87,8 @@ def flag_duplicates(batch: DataFrame, known: DataFrame | None, order_by: list[st
             F.col("batch_id").alias("_batch"), F.col("bronze_file").alias("_file"),
         )
         audit = audit.join(stored, "_id", "left").withColumn("_seen", F.coalesce("_seen", F.lit(False)))
-    audit = audit.filter(F.col("_seen") | (F.col("_n") > 1))
-    found = lookup(keyed, audit, "_id", salt_on=order_by, weight="_n", **skew)
+    audit = staged(audit.filter(F.col("_seen") | (F.col("_n") > 1)), "bronze-audit")
+    found = lookup(keyed, audit, "_id", salt_on=order_by, weight="_n", written=True, **skew)
     reason = (
         F.when(F.col("_seen"), fv.SEEN_IN_BRONZE)
         .when(F.col("_first_at") != F.col("_at"), fv.REPEATED_IN_BATCH)
@@ -117,7 +119,7 @@ def repair_flags(bronze: DataFrame, order_by: list[str], file: str = "bronze_fil
         .agg(rows().alias("_n"), F.min("_at").alias("_first_at"), F.min_by(first, "_at").alias("_first"))
         .filter(F.col("_n") > 1)
     )
-    found = lookup(keyed, audit, "_id", salt_on=order_by, weight="_n", **skew)
+    found = lookup(keyed, staged(audit, "bronze-audit"), "_id", salt_on=order_by, weight="_n", written=True, **skew)
     later = F.coalesce(F.col("_first_at") != F.col("_at"), F.lit(False))
     same_batch = F.col("batch_id").eqNullSafe(F.col("_first.batch"))
     reason = (

@@ -163,7 +163,7 @@ class Resolved:
         known = set().union(*below) | self.after.keys() | self.source.keys()
         for i in ids:   # columns that a step makes without naming an expression for each
             if i not in known:
-                self.after[i] = used | set().union(*below)
+                self.after[i] = used if short == "Generate" else used | set().union(*below)
         return ids
 
     def _made(self, expression) -> set[int]:
@@ -250,6 +250,9 @@ class Answer:
     def __iter__(self):
         return iter((self.rows, self.personal))
 
+    def __getitem__(self, i: int):
+        return (self.rows, self.personal)[i]
+
 
 def capped(df: DataFrame, max_rows: int, personal: Iterable[str] = ()) -> Answer:
     return Answer(df.limit(max_rows), list(personal), df, max_rows)

@@ -8,6 +8,7 @@ from paylake import fixed_values as fv
 from paylake.config import Settings
 from paylake.functions.scalars import MONEY_LIMIT, event_key, half_up, rows
 from paylake.operators.skew import lookup
+from paylake.session import staged
 
 MONEY_COLUMNS = ("amount", "balance_before", "balance_after", "initial_balance")
 
@@ -37,9 +38,9 @@ def deduplicate(events: DataFrame, order_by: list[str]) -> DataFrame:
     """One canonical row per event id, with the number of copies; rows without an id all stay.
 
     Canonical: not flagged before flagged, then earliest ingestion (unknown last), then
-    ``order_by``, the row's place in Bronze, which must be unique. Done as an aggregate, so copies of
-    one id collapse inside each map task and never meet in one sort. A row without an id is a group
-    of its own, keyed by its place: a recomputed task sends it to the same partition.
+    ``order_by``, the row's place in Bronze, which must be unique. A narrow pass over ids and places finds the ids that have
+    copies, which combine inside each map task, and writes them to the shared folder. Whole rows are then only compared with that
+    table: where it is small no row moves, otherwise hot ids are salted.
     """
     if "event_id" not in events.columns:
         raise ValueError("cannot deduplicate: no event_id column")
@@ -49,17 +50,18 @@ def deduplicate(events: DataFrame, order_by: list[str]) -> DataFrame:
         if "ingestion_timestamp" in events.columns
         else F.lit(None).cast("timestamp")
     )
-    order = F.struct(flagged, ingested.isNull(), ingested, *order_by)
-    keyed = events.select(
-        F.struct(*events.columns).alias("_row"),
-        order.alias("_order"),
-        event_key().alias("_id"),
-        F.when(event_key().isNull(), F.struct(*order_by)).alias("_orphan"),
+    keyed = events.withColumns({
+        "_id": event_key(), "_order": F.struct(flagged.alias("flagged"), ingested.isNull().alias("late"), ingested.alias("at"), *order_by),
+    })
+    copies = (
+        keyed.filter(F.col("_id").isNotNull()).groupBy("_id")
+        .agg(rows().alias("_n"), F.min("_order").alias("_first")).filter(F.col("_n") > 1)
     )
+    found = lookup(keyed, staged(copies, "silver-copies"), "_id", salt_on=order_by, weight="_n", written=True)
     return (
-        keyed.groupBy("_id", "_orphan")
-        .agg(F.min_by("_row", "_order").alias("_row"), rows().alias("bronze_duplicate_count"))
-        .select("_row.*", "bronze_duplicate_count")
+        found.filter(F.col("_first").isNull() | (F.col("_first") == F.col("_order")))
+        .withColumn("bronze_duplicate_count", F.coalesce("_n", F.lit(1).cast("long")))
+        .select(*events.columns, "bronze_duplicate_count")
     )
 
 

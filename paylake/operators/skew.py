@@ -33,6 +33,7 @@ def lookup(
     heavy_rows: int = HEAVY_ROWS,
     salts: int = SALTS,
     allow_broadcast: bool = True,
+    written: bool = False,
 ) -> DataFrame:
     """Left join of ``rows`` to ``table``, which has one row per ``key``.
 
@@ -42,10 +43,10 @@ def lookup(
     (they match nothing). Every key with ``heavy_rows`` rows or more is spread; their list, which is
     broadcast, has at most one key per ``heavy_rows`` rows: 1 MB of list stands for terabytes of rows.
     The salt is a hash of ``salt_on``, so a recomputed task sends each row to the same place.
-    ``weight`` names a column of ``table`` with the row count per key, when it is known; such a
-    table was computed, so its size is known only at run time and adaptive execution decides.
+    ``weight`` names a column of ``table`` with the row count per key, when it is known; the size of such a computed
+    table is known only at run time and adaptive execution decides, unless the table was ``written`` before.
     """
-    if allow_broadcast and weight is None and fits_broadcast(table):
+    if allow_broadcast and (weight is None or written) and fits_broadcast(table):
         return rows.join(F.broadcast(table), key, "left")
     if weight:
         counts = table.select(key, F.col(weight).alias("_n"))

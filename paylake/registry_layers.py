@@ -12,7 +12,7 @@ from paylake.functions import text
 from paylake.operators import bronze, checks, guard, messages as msg, profiling, silver
 from paylake.plans import business
 from paylake.registry import Query, daily, event_summary, plain, users
-from paylake.session import pin_utc, work_dir
+from paylake.session import pin_utc, staged, work_dir
 from paylake.sources import catalog, files, snapshots, tables
 from paylake.sources.questions import questions
 from paylake.sources.tables import TABLES_SETTINGS as SETTINGS
@@ -29,14 +29,9 @@ def _q(build) -> Query:
 # --- Bronze ------------------------------------------------------------------------------------
 
 
-def _flagged(spark: SparkSession, folder: str) -> DataFrame:
-    one, two = (tables.bronze_batch(spark, folder, b) for b in (1, 2))
-    return bronze.flag_duplicates(two, bronze.first_seen(one, STORED), tables.RAW_ORDER)
-
-
 def _repaired(spark: SparkSession, folder: str) -> DataFrame:
     stored = tables.bronze_batch(spark, folder, 1).unionByName(tables.bronze_batch(spark, folder, 2))
-    return bronze.repair_flags(stored, STORED)
+    return bronze.repair_flags(staged(stored, "bronze"), STORED)
 
 
 def _stored_bronze(spark: SparkSession, folder: str) -> DataFrame:
@@ -57,12 +52,13 @@ def _repair_written(spark: SparkSession, folder: str) -> DataFrame:
         files.write_bronze(rows, root)
     files.repair_bronze(spark, root, dry_run=False)
     return files.read_bronze(spark, root).select(
-        "batch_id", "event_id", "is_duplicate", "duplicate_reason", "duplicate_first_seen_batch_id")
+        "batch_id", "event_id", "is_duplicate", "duplicate_reason", "duplicate_first_seen_batch_id",
+        F.regexp_extract("duplicate_first_seen_file", "in_day=.*$", 0).alias("duplicate_first_seen_file"))
 
 
 def _duplicate_log(spark: SparkSession, folder: str) -> DataFrame:
     """The CSV log read back."""
-    path = files.write_duplicate_log(_flagged(spark, folder), work_dir(spark, "duplicates"))
+    path = files.write_duplicate_log(tables.bronze_all(spark, folder), work_dir(spark, "duplicates"))
     schema = ", ".join(f"{c} string" for c in fv.DUPLICATE_LOG_COLUMNS)
     return spark.read.schema(schema).option("header", True).option(
         "ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
@@ -77,10 +73,10 @@ def bronze_queries() -> dict[str, Query]:
         "event_id_normalize": _q(lambda s, f: bronze.normalized_ids(one(s, f))),
         "bronze_first_seen": _q(lambda s, f: bronze.first_seen(
             one(s, f).unionByName(tables.bronze_batch(s, f, 2)), STORED)),
-        "bronze_duplicates": _q(lambda s, f: _flagged(s, f).select("seq", "event_id", "batch_id", *AUDIT)),
+        "bronze_duplicates": _q(lambda s, f: tables.bronze_all(s, f).select("seq", "event_id", "batch_id", *AUDIT)),
         "duplicate_log": _q(_duplicate_log),
-        "bronze_scan": _q(lambda s, f: _stored_bronze(s, f).drop(
-            "duplicate_first_seen_file", "bronze_file", "bronze_row")),
+        "bronze_scan": _q(lambda s, f: _stored_bronze(s, f).drop("bronze_file", "bronze_row").withColumn(
+            "duplicate_first_seen_file", F.regexp_extract("duplicate_first_seen_file", "in_day=.*$", 0))),
         "bronze_write_roundtrip": _q(lambda s, f: _stored_bronze(s, f).select(
             "batch_id", "ingestion_date", "event_id", "user_id", "amount", "is_duplicate", "duplicate_reason")),
         "bronze_repair": _q(lambda s, f: _repaired(s, f).select("batch_id", "seq", "event_id", *AUDIT)),
@@ -355,8 +351,7 @@ def _readiness(spark: SparkSession, folder: str) -> DataFrame:
 def _guarded(spark: SparkSession, folder: str) -> DataFrame:
     sql = """SELECT user_segment, max(user_email) AS user_email, count(*) AS usuarios, sum(total_transactions) AS tx
              FROM gold_user_360 GROUP BY user_segment"""
-    result, _ = guard.run(spark, sql, {"gold_user_360": users(spark, folder)})
-    return result
+    return guard.run(spark, sql, {"gold_user_360": users(spark, folder)}).rows
 
 
 def storage_queries() -> dict[str, Query]:

@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from functools import cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SQL_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -50,3 +50,11 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         base = _local_scratch()
     return f"{base.rstrip('/')}/paylake/{purpose}-{uuid.uuid4().hex[:12]}"
+
+
+def staged(df: DataFrame, purpose: str) -> DataFrame:
+    """Written once to the shared folder and read back: later steps neither compute it again nor depend on the executors that
+    made it, and its size is known when they are planned."""
+    path = work_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

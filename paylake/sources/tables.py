@@ -10,6 +10,7 @@ from paylake.config import Settings
 from paylake.operators.bronze import add_metadata, first_seen, flag_duplicates, flatten
 from paylake.operators.silver import add_usd, build_silver, event_flags
 from paylake.operators.skew import lookup
+from paylake.session import staged
 
 TABLES_SETTINGS = Settings(as_of=dt.date(2001, 8, 2))
 
@@ -185,17 +186,22 @@ def bronze_batch(spark: SparkSession, folder: str, batch: int) -> DataFrame:
     return add_metadata(flat, source, batch_id, at).withColumn("bronze_file", F.lit(f"batch_{batch_id}.parquet"))
 
 
+def bronze_written(spark: SparkSession, folder: str, batch: int) -> DataFrame:
+    """A batch derived once from the tables and written: flags, history and rows all read that."""
+    return staged(bronze_batch(spark, folder, batch), f"batch-{batch}")
+
+
 def bronze_all(spark: SparkSession, folder: str) -> DataFrame:
     """Both batches as stored: the second flagged against the first."""
-    one, two = bronze_batch(spark, folder, 1), bronze_batch(spark, folder, 2)
+    one, two = bronze_written(spark, folder, 1), bronze_written(spark, folder, 2)
     place = ["bronze_file", "seq"]
-    flagged = flag_duplicates(two, first_seen(one, place), RAW_ORDER)
+    flagged = flag_duplicates(two, first_seen(one, place, two), RAW_ORDER)
     return flag_duplicates(one, None, RAW_ORDER).unionByName(flagged)
 
 
 def silver_events(spark: SparkSession, folder: str, settings: Settings = TABLES_SETTINGS) -> DataFrame:
     """Silver built from both batches through every step."""
-    bronze = bronze_all(spark, folder)
+    bronze = staged(bronze_all(spark, folder), "bronze")
     return build_silver(bronze, settings, ["bronze_file", "seq"], ip_geo(spark)).drop("bronze_file", "seq")
 
 

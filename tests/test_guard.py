@@ -87,3 +87,96 @@ def test_the_catalog_masks_personal_columns_under_any_name(spark):
                 catalog.query(spark, sql)
     finally:
         spark.sql("DROP TABLE guarded_people")
+
+
+HIDDEN = [
+    "SELECT user_email AS e FROM IDENTIFIER('secret')", "SELECT user_email AS e FROM IDENTIFIER('sec'||'ret')",
+    "SELECT user_email AS e FROM IDENTIFIER('parquet.`/tmp/x`')",
+    "SELECT IDENTIFIER('ref'||'lect')('java.lang.System','getProperty','user.name')", "SELECT IDENTIFIER('user_'||'email') FROM gold_user_360",
+    "SELECT * FROM range(5)", "SELECT * FROM explode(array(1))", "SELECT system.builtin.upper('a')", "SELECT shout('a')",
+    "FROM secret SELECT user_email", "SELECT (SELECT max(user_email) FROM IDENTIFIER('secret')) AS e", "TABLE secret",
+]
+
+
+@pytest.fixture
+def secret(spark):
+    spark.createDataFrame([("a@b.c",)], "user_email string").createOrReplaceTempView("secret")
+    spark.udf.register("shout", lambda x: x)
+    yield
+    spark.catalog.dropTempView("secret")
+    spark.sql("DROP TEMPORARY FUNCTION shout")
+
+
+@pytest.mark.parametrize("sql", HIDDEN)
+def test_names_made_at_run_time_and_foreign_functions_are_refused(spark, tables, secret, sql):
+    from paylake.sources import catalog
+
+    for ask in (lambda: guard.run(spark, sql, tables), lambda: catalog.query(spark, sql), lambda: catalog.command(spark, sql),
+                lambda: catalog.command(spark, f"EXPLAIN {sql}"), lambda: catalog.command(spark, f"DESCRIBE {sql}")):
+        with pytest.raises(guard.UnsafeSQL):
+            ask()
+
+
+@pytest.mark.parametrize("sql", [
+    "SHOW FUNCTIONS", "SHOW TABLES IN default", "DESCRIBE secret", "DESCRIBE EXTENDED secret", "DESC FUNCTION upper", "SHOW VIEWS",
+    "EXPLAIN SELECT * FROM secret", "EXPLAIN SELECT * FROM parquet.`/tmp/x`", "SHOW CREATE TABLE secret", "DESCRIBE parquet.`/tmp/x`"])
+def test_commands_answer_for_stored_tables_only(spark, secret, sql):
+    from paylake.sources import catalog
+
+    with pytest.raises(guard.UnsafeSQL):
+        catalog.command(spark, sql)
+
+
+def test_commands_on_a_stored_table(spark, secret):
+    from paylake.sources import catalog
+
+    catalog.publish_table(spark.sql("SELECT 'a@b.c' AS user_email, 1 AS n"), "told_people")
+    try:
+        names = [r.tableName for r in catalog.command(spark, "show tables").collect()]
+        assert "told_people" in names and "secret" not in names
+        described = [tuple(r) for r in catalog.command(spark, "DESCRIBE TABLE told_people").collect()]
+        assert described == [("user_email", "string"), ("n", "int")]
+        assert "told_people" in catalog.command(spark, "EXPLAIN SELECT n FROM told_people").first().plan
+        answer = catalog.ask(spark, "SELECT n, user_email AS e FROM told_people", max_rows=1)
+        assert answer.personal == ["user_email"] and not answer.cut and [tuple(r) for r in answer.rows.collect()] == [(1, None)]
+        spark.range(1).createOrReplaceTempView("told_people")        # a view of that name hides nothing and shows nothing
+        assert catalog.query(spark, "SELECT n FROM told_people").first().n == 1
+    finally:
+        spark.catalog.dropTempView("told_people")
+        spark.sql("DROP TABLE told_people")
+
+
+@pytest.mark.parametrize("sql,expected", [
+    ("SELECT user_id, upper(user_email) AS x, total * 2 AS y FROM gold_user_360", {"user_id": {"user_id"}, "x": {"user_email"}, "y": {"total"}}),
+    ("SELECT * FROM gold_user_360", {c: {c} for c in ("user_id", "total")} | {c: {c} for c in ("user_name", "user_email", "user_age")}),
+    ("SELECT total AS a FROM gold_user_360 UNION ALL SELECT user_age FROM gold_user_360", {"a": {"total", "user_age"}}),
+    ("WITH x AS (SELECT user_name AS n, total FROM gold_user_360), y AS (SELECT concat(n, '!') AS m FROM x) SELECT m AS q, 1 AS one FROM y",
+     {"q": {"user_name"}, "one": set()}),
+    ("SELECT user_id, (SELECT max(user_age) FROM gold_user_360) AS m FROM gold_user_360", {"user_id": {"user_id"}, "m": {"user_age"}}),
+    ("SELECT a.total, b.user_name AS w FROM gold_user_360 a JOIN gold_user_360 b USING (user_id)", {"total": {"total"}, "w": {"user_name"}}),
+    ("SELECT user_id, max(user_email) OVER (PARTITION BY user_id ORDER BY total) AS e FROM gold_user_360",
+     {"user_id": {"user_id"}, "e": {"user_email", "user_id", "total"}}),
+    ("SELECT count(*) AS n, any_value(user_age) AS v FROM gold_user_360 GROUP BY user_id HAVING count(*) > 1 ORDER BY n LIMIT 3",
+     {"n": set(), "v": {"user_age"}}),
+    ("SELECT c FROM gold_user_360 LATERAL VIEW explode(array(user_name, user_id)) t AS c", {"c": {"user_name", "user_id"}}),
+    ("SELECT c.x FROM VALUES (1), (2) AS c(x) WHERE c.x IN (SELECT total FROM gold_user_360)", {"x": set()}),
+    ("SELECT user_segment FROM (SELECT user_name AS user_segment FROM gold_user_360 EXCEPT SELECT user_id FROM gold_user_360)",
+     {"user_segment": {"user_name", "user_id"}}),
+])
+def test_every_output_is_traced_to_its_columns(spark, tables, sql, expected):
+    text = guard.check(sql)
+    guard.check_relations(spark, text, tables)
+    with guard._masked_views(spark, tables):
+        found = guard.Resolved(spark.sql(text), tables).columns()
+    assert found == expected
+    personal = set().union(*expected.values()) & {"user_name", "user_email", "user_age"}
+    assert set(guard.run(spark, sql, tables).personal) >= personal
+
+
+def test_an_answer_tells_that_it_was_cut(spark, tables):
+    answer = guard.run(spark, "SELECT total FROM gold_user_360", tables)
+    rows, personal = answer
+    assert answer.cut and rows.count() == 100 and personal == []
+    assert not guard.run(spark, "SELECT sum(total) AS t FROM gold_user_360", tables).cut
+    shown = guard.for_chart(spark.range(51).orderBy("id"))
+    assert shown.cut and shown.rows.count() == 50 and not guard.for_chart(spark.range(50)).cut

@@ -52,3 +52,18 @@ def test_broken_rules_are_counted(spark):
     assert got == {"segment_named": 1, "segment_revenue_positive": 1, "segment_failure_in_range": 1,
                    "day_failed_within_transactions": 1, "day_has_users": 1, "day_volume_not_negative": 1,
                    "event_parts_add_up": 1}
+
+
+def test_dates_in_texts_and_exact_distinct_values(spark):
+    rows = [("2026-01-05T10:00:00Z", "a", 0.0, [1]), ("2025-12-31", "a", -0.0, [1]), ("soon", "2026-01-01", 1.0, None), (None, None, None, [2])]
+    got = profile(spark.createDataFrame(rows, "fecha_alta string, note string, x double, tags array<int>"))
+    made = got["fecha_alta"]
+    assert (made.min_date, made.max_date, made.distinct) == (dt.date(2025, 12, 31), dt.date(2026, 1, 5), 3)
+    assert got["note"].min_date is None and got["x"].distinct == 2 and (got["tags"].distinct, got["tags"].nulls) == (2, 1)
+
+
+def test_a_profile_moves_hashes_only(spark):
+    df = spark.createDataFrame([("a", 1.5, 1, None, True)], SCHEMA)
+    plan = profiling.profile_columns(df, "t")._jdf.queryExecution().optimizedPlan().toString()
+    keys = [line for line in plan.splitlines() if "Aggregate [column" in line and ", h#" in line]
+    assert keys and not any("user_id" in line for line in keys)
