@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+import hashlib
+import json
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from paylake import fixed_values as fv
 from paylake.operators.bronze import duplicate_log, repair_flags, repair_summary
 from paylake.schemas import BRONZE_IDS, CORRUPT, RAW_EVENT
 from paylake.session import work_dir
-from paylake.sources.storage import delete, folder_names, has_files
+from paylake.sources.storage import create_new, delete, file_names, folder_names, has_files, read_text
 
 RAW_ORDER = ["raw_file", "raw_block", "raw_row"]
 BRONZE_ORDER = ["bronze_file", "bronze_row"]
@@ -54,7 +57,9 @@ def read_raw(spark: SparkSession, path: str, multi_line: bool = True) -> DataFra
 
 
 def write_bronze(batch: DataFrame, root: str) -> str:
-    """Add one batch. A batch has a folder of its own below its day, so writing it again replaces it."""
+    """Add one batch. A batch has a folder of its own below its day, so writing it again replaces it. Its columns go into
+    the schema log first, so that no reader needs a file to know them."""
+    _record_schema(batch, root)
     (
         placed(batch).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .option("compression", "snappy").partitionBy(*_PLACE).parquet(root)
@@ -62,14 +67,40 @@ def write_bronze(batch: DataFrame, root: str) -> str:
     return root
 
 
+def _schema_log(root: str) -> str:
+    return f"{root.rstrip('/')}_schema"
+
+
+def _record_schema(batch: DataFrame, root: str) -> None:
+    """One small file per different schema, however many batches have it."""
+    spark, text = batch.sparkSession, batch.schema.json()
+    name, known = hashlib.sha256(text.encode()).hexdigest()[:16], file_names(batch.sparkSession, f"{_schema_log(root)}/s_*.json")
+    if not any(n.endswith(f"_{name}.json") for n in known):
+        create_new(spark, f"{_schema_log(root)}/s_{len(known):06d}_{name}.json", text)
+
+
+def stored_schema(spark: SparkSession, root: str) -> T.StructType | None:
+    """All columns of Bronze, in the order they first appeared; None without a log. A column of two types is an error."""
+    fields: dict[str, T.StructField] = {}
+    for name in sorted(file_names(spark, f"{_schema_log(root)}/s_*.json")):
+        for f in T.StructType.fromJson(json.loads(read_text(spark, f"{_schema_log(root)}/{name}"))).fields:
+            if fields.setdefault(f.name, f).dataType != f.dataType:
+                raise ValueError(f"column {f.name} is {fields[f.name].dataType.simpleString()} and {f.dataType.simpleString()}")
+    return T.StructType([T.StructField(f.name, f.dataType) for f in fields.values()]) if fields else None
+
+
 def read_bronze(spark: SparkSession, root: str, batch_ids: list[str] | None = None) -> DataFrame:
-    """Bronze rows with their file and row number; files may differ in columns, a damaged one is an error.
+    """Bronze rows with their file and row number; files may differ in columns, a damaged one is an error when it is read.
 
-    ``batch_ids`` lists and reads those batches' folders only.
+    ``batch_ids`` lists and reads those batches' folders only. Columns come from the schema log; only a dataset without
+    one, not written by ``write_bronze``, is asked for the footers of its files.
     """
     if not has_files(spark, root):
         raise FileNotFoundError(f"no Bronze files in {root}")
-    reader = spark.read.option("mergeSchema", True).option("basePath", root)
+    schema = stored_schema(spark, root)
+    reader = spark.read.option("basePath", root)
+    reader = reader.option("mergeSchema", True) if schema is None else reader.schema(
+        T.StructType([*schema.fields, *(T.StructField(c, T.StringType()) for c in _PLACE)]))
     paths = [root] if batch_ids is None else [f"{root}/in_day=*/in_batch=b_{b}" for b in batch_ids]
     return reader.parquet(*paths).select(
         "*",

@@ -20,7 +20,7 @@ def raw_event(event_id="evt-1", user="user_1", event="PAYMENT_MADE", status="SUC
             "payload": {
                 "userId": user, "name": "Ana", "age": 30, "email": " ANA@Mail.Test ", "city": city,
                 "segment": "premium", "timestamp": timestamp, "accountId": "acc", "amount": amount, "currency": "COP",
-                "merchant": "Rappi", "category": "food", "paymentMethod": "card", "installments": 1,
+                "merchant": "Kiosk 7", "category": "food", "paymentMethod": "card", "installments": 1,
                 "balanceBefore": 500000.0, "balanceAfter": 400000.0, "location": {"city": city, "country": "Colombia"},
             },
             "metadata": {"device": "mobile", "os": "ios", "ip": "192.168.1.1", "channel": "app"},
@@ -46,7 +46,7 @@ def silver_frame(spark, rows):
     base = dict(event_id="evt-1", user_id="user_1", user_name="Ana", user_email="a@b.c", user_age=30,
                 user_segment="premium", location_city="Bogota", timestamp=dt.datetime(2026, 1, 1, 10),
                 event="PAYMENT_MADE", is_failed=False, is_transactional=True, amount_cop=100000.0, amount_usd=25.0,
-                balance_after=400000.0, merchant="Rappi", category="food", channel="app", device="mobile")
+                balance_after=400000.0, merchant="Kiosk 7", category="food", channel="app", device="mobile")
     full = []
     for row in rows:
         r = {**base, **row}

@@ -8,24 +8,25 @@ from paylake.plans import alerts, business, metrics, periods, reports
 from tests.events import silver_frame
 
 SETTINGS = Settings(as_of=dt.date(2026, 1, 31))
-FAILED = dict(event="PAYMENT_FAILED", is_failed=True, amount_cop=50000.0)
+FAILED = dict(event="PAYMENT_FAILED", is_failed=True, amount_cop=18400.25)
 
 
 def user(spark, rows, user_id="user_1"):
     return gold.user_360(silver_frame(spark, rows), SETTINGS).filter(f"user_id = '{user_id}'").first()
 
 
-def test_one_success_one_failure(spark):
-    silver = silver_frame(spark, [{}, {"event_id": "evt-2", **FAILED}])
+def test_two_successes_and_a_failure(spark):
+    silver = silver_frame(spark, [dict(amount_cop=37250.5), dict(event_id="x-7", amount_cop=1200.0, merchant="Stall"),
+                                  {"event_id": "x-9", **FAILED}])
     row = gold.user_360(silver, SETTINGS).first()
-    assert (row.total_events, row.total_transactions, row.total_amount_cop, row.failed_transactions) == (2, 1, 100000, 1)
-    assert (row.failure_rate, row.top_merchant, row.days_since_last_tx) == (0.5, "Rappi", 30)
+    assert (row.total_events, row.total_transactions, row.total_amount_cop, row.failed_transactions) == (3, 2, 38450.5, 1)
+    assert (row.failure_rate, row.top_merchant, row.days_since_last_tx) == (0.3333, "Kiosk 7", 30)
     day = gold.daily_metrics(silver).first()
     assert (day.total_events, day.total_transactions, day.total_amount_cop, day.failed_count, day.unique_users) == \
-        (2, 2, 150000.0, 1, 1)
+        (3, 3, 56850.75, 1, 1)
     summary = {r.event: (r["count"], r.success_count, r.failed_count, r.pct_of_total)
                for r in gold.event_summary(silver).collect()}
-    assert summary == {"PAYMENT_MADE": (1, 1, 0, 50.0), "PAYMENT_FAILED": (1, 0, 1, 50.0)}
+    assert summary == {"PAYMENT_MADE": (2, 2, 0, 66.67), "PAYMENT_FAILED": (1, 0, 1, 33.33)}
 
 
 def test_only_failures(spark):

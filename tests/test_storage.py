@@ -70,6 +70,25 @@ def test_columns_of_all_files_are_united(spark, folder):
     assert {r.event_id: r.extra for r in stored.collect()} == {"a": None, "b": "x"}
 
 
+def test_no_footer_is_opened_to_plan_a_read(spark, folder):
+    """Planning does not notice a damaged file, reading does; the log has one entry per schema, not per batch."""
+    root = f"{folder}/b"
+    for n in range(5):
+        files.write_bronze(batch(spark, ["a"], f"b{n}"), root)
+    files.write_bronze(batch(spark, ["b"], "b9").selectExpr("*", "1.5D AS extra"), root)
+    assert len(os.listdir(f"{folder}/b_schema")) <= 4          # with the file system's checksum files
+    os.makedirs(f"{root}/in_day=2026-01-04/in_batch=b_y")
+    with open(f"{root}/in_day=2026-01-04/in_batch=b_y/bad.parquet", "w") as out:
+        out.write("not parquet")
+    planned = files.read_bronze(spark, root)
+    assert planned.columns[-3:] == ["extra", "bronze_file", "bronze_row"] and "Scan" in planned._jdf.queryExecution().executedPlan().toString()
+    with pytest.raises(Exception, match="(?i)parquet|footer"):
+        planned.collect()
+    with pytest.raises(ValueError, match="extra"):
+        files.write_bronze(batch(spark, ["c"], "b10").selectExpr("*", "'x' AS extra"), root)
+        files.read_bronze(spark, root)
+
+
 def test_raw_order_follows_the_array(spark, folder):
     write_raw(f"{folder}/raw.json", [(f"e{i}",) for i in range(20)])
     raw = files.read_raw(spark, f"{folder}/raw.json").orderBy(*files.RAW_ORDER)
