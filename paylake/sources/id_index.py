@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from paylake.functions.scalars import event_key
 from paylake.schemas import BRONZE_IDS
 from paylake.sources.files import batch_folder, bronze_batches, in_folder
-from paylake.sources.storage import delete, exists, folder_names, has_files
+from paylake.sources.storage import create_new, delete, exists, folder_names, has_files
 
 #: Buckets of a new index, and entries per bucket above which a merge doubles them.
 FIRST_BUCKETS, BUCKET_ENTRIES = 16, 5_000_000
@@ -44,11 +44,16 @@ def _rows(bronze_root: str, number: int) -> str:
     return f"{root_of(bronze_root)}/rows_{number}"
 
 
-def _mark(spark: SparkSession, bronze_root: str, kind: str, batches: DataFrame) -> None:
-    """Folders that note batches, made by the tasks that hold their names."""
-    named = batches.select(F.lit("").alias("value"), in_folder("batch_id").alias("in_batch"))
-    named.write.mode("append").option("partitionOverwriteMode", "dynamic").partitionBy("in_batch").text(
-        f"{root_of(bronze_root)}/{kind}")
+def _mark(spark: SparkSession, bronze_root: str, kind: str, batch_ids: list[str]) -> None:
+    """Note batches: an empty file each, or for very many a folder each, made by tasks."""
+    base = f"{root_of(bronze_root)}/{kind}"
+    if len(batch_ids) <= 100:
+        for batch_id in batch_ids:
+            create_new(spark, f"{base}/in_batch=b_{batch_id}", "")
+    else:
+        named = spark.createDataFrame([(b,) for b in batch_ids], "batch_id string")
+        named.select(F.lit("").alias("value"), in_folder("batch_id").alias("in_batch")).write.mode("append") \
+            .option("partitionOverwriteMode", "dynamic").partitionBy("in_batch").text(base)
 
 
 def _marked(spark: SparkSession, bronze_root: str, kind: str) -> set[str]:
@@ -108,7 +113,7 @@ def ensure(spark: SparkSession, bronze_root: str) -> None:
     missing = sorted(stored - _marked(spark, bronze_root, "batches") - _marked(spark, bronze_root, "open"))
     if missing:
         _add(spark, bronze_root, None if len(missing) == len(stored) else missing)
-        _mark(spark, bronze_root, "batches", spark.createDataFrame([(b,) for b in missing], "batch_id string"))
+        _mark(spark, bronze_root, "batches", missing)
 
 
 def begin(spark: SparkSession, bronze_root: str, batch_id: str) -> None:
@@ -124,14 +129,14 @@ def begin(spark: SparkSession, bronze_root: str, batch_id: str) -> None:
             finish(spark, bronze_root, other)
         else:
             delete(spark, f"{root_of(bronze_root)}/open/in_batch=b_{other}")
-    _mark(spark, bronze_root, "open", spark.createDataFrame([(batch_id,)], "batch_id string"))
+    _mark(spark, bronze_root, "open", [batch_id])
 
 
 def finish(spark: SparkSession, bronze_root: str, batch_id: str) -> None:
     """After a batch is in Bronze: take it into the index."""
     if folder_names(spark, f"{bronze_root}/in_day=*/in_batch=b_{batch_id}"):
         _add(spark, bronze_root, [batch_id])
-        _mark(spark, bronze_root, "batches", spark.createDataFrame([(batch_id,)], "batch_id string"))
+        _mark(spark, bronze_root, "batches", [batch_id])
     delete(spark, f"{root_of(bronze_root)}/open/in_batch=b_{batch_id}")
     if len(set(folder_names(spark, f"{_rows(bronze_root, buckets(spark, bronze_root))}/bucket=*/in_batch=*"))) > MERGE_AFTER:
         merge(spark, bronze_root)
@@ -143,6 +148,8 @@ def lookup(spark: SparkSession, bronze_root: str, ids: DataFrame, without_batch:
     The lists of buckets are no longer than the number of buckets. ``without_batch`` leaves one batch out.
     """
     number = buckets(spark, bronze_root)
+    if not exists(spark, _rows(bronze_root, number)):
+        return spark.createDataFrame([], _ENTRY).drop("hash")
     wanted = ids.select("event_key", hash_of().alias("hash")).filter(F.col("event_key").isNotNull()).distinct()
     asked = [row.bucket for row in wanted.select(bucket_of(number).alias("bucket")).distinct().collect()]
     hashes = _read(spark, bronze_root, number, "hash long", sorted(asked))
