@@ -150,7 +150,8 @@ def encode(docs: DataFrame, text: str = "text", output: str = "ids", path: str |
     """The rows of docs with `output`, the token ids of the text; `keep` names the columns to keep (all if not given).
 
     A null or empty text has no tokens. Special tokens are not known: their strings are ordinary text. A column that
-    is already named as the output is replaced. `path` is read on the driver; its bytes travel with the tasks.
+    is already named as the output is replaced. Repeated rows are encoded each, very long texts whole; an empty table gives an
+    empty result. `path` is read on the driver; its bytes travel with the tasks.
     """
     data = open(path or tokenizer_file(), "rb").read()
     pattern = pattern or split_pattern()

@@ -56,7 +56,7 @@ def train(docs: DataFrame, labels: DataFrame, learn_from: Column, doc_id: str =
 
     Both steps of the sample are drawn by hash, so they do not depend on the order of rows. Segments of the same text and
     label count once. Without documents of both
-    labels every score is 0.5. Labels other than 0 and 1, and rows with nulls, are left out.
+    labels, as of an empty table, every score of a text with words is 0.5. Labels other than 0 and 1, and rows with nulls, are left out.
     """
     known = (labels.select(F.col(doc_id).alias("doc_id"), F.col(label).cast("int").alias("label"))
              .filter(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & learn_from)
@@ -89,8 +89,11 @@ def _scores(model: crf.Model, texts: list[str]) -> list[float]:
 
 def score(docs: DataFrame, model: crf.Model, text: str = "text", output: str = "score",
           keep: list[str] | None = None) -> DataFrame:
-    """The rows of docs with `output`, between 0 and 1; `keep` names the columns to keep (all if not given). A text without a line that holds a word (null, empty, white
-    space) scores 0. Repeated rows are scored each; a column already named as the output is replaced."""
+    """The rows of docs with `output`, between 0 and 1; `keep` names the columns to keep (all if not given).
+
+    A text without a line that holds a word (null, empty, white space) scores 0. Repeated rows are scored each; a column
+    already named as the output is replaced; a very long text is scored whole; an empty table gives an empty result.
+    """
     kept = [c for c in (docs.columns if keep is None else keep) if c != output]
     schema = T.StructType([docs.schema[c] for c in kept] + [T.StructField(output, T.DoubleType(), False)])
 

@@ -125,7 +125,8 @@ def search(vectors: DataFrame, is_query: Column, k: int = K, vec_id: str = "vec_
     Vectors that are null or hold a null or non-finite component, and rows with a null id, take no part. A shorter vector
     counts as padded by zeros. Components beyond a long stop at its ends, and so do scores. An id given twice is
     one query (its smallest vector) and two candidates, neither of them for itself. is_query is a condition on the
-    columns of `vectors`. No row pairs are made: a task holds one block of vectors and one of queries.
+    columns of `vectors`; other columns are not read. A vector of any length is used whole; an empty table, or one without
+    queries, gives an empty result. No row pairs are made: a task holds one block of vectors and one of queries.
     """
     candidates = integer_vectors(vectors, vec_id, embedding)
     queries = integer_vectors(vectors.filter(is_query), vec_id, embedding).groupBy("vec_id").agg(F.min("v").alias("v"))

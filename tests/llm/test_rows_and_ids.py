@@ -2,11 +2,13 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from paylake.llm import bpe, minhash, substring_dedup
+from paylake.llm import bpe, minhash, quality_classifier, substring_dedup, topk
+from paylake.llm.wordhash import WordHashes
 
 PICK = random.Random(31)
 
@@ -105,3 +107,30 @@ def test_round_trip_is_encode_and_decode(spark):
     assert bpe.decode(spark.createDataFrame([(None,), ([],)], "ids array<int>")).collect()[0].decoded == b""
     with pytest.raises(Exception, match="IndexError|out of range"):
         bpe.decode(spark.createDataFrame([([10 ** 8],)], "ids array<int>")).collect()
+
+
+def test_very_long_texts_are_cut_into_matches_one_by_one(monkeypatch):
+    encoder = bpe.Encoder(open(bpe.tokenizer_file(), "rb").read(), bpe.split_pattern())
+    value = "Hello  world's é\n\t 123 " * 50
+    expected = encoder.encode(value).tolist()
+    monkeypatch.setattr(bpe, "LONG_TEXT", 10)
+    assert encoder.encode(value).tolist() == expected
+
+
+def test_runs_longer_than_a_place_holds_are_cut(monkeypatch):
+    words = [b"w"] * 400 + [b"x%d" % i for i in range(100)]
+    monkeypatch.setattr(substring_dedup, "SIZE_BITS", 5)
+    _, _, first, size, twice = substring_dedup.runs_of(words, WordHashes())
+    assert size.max() < 32 and size.sum() == len(words) - 34 and twice.any()
+    assert (np.concatenate([[0], np.cumsum(size)])[:-1] == first).all()
+
+
+def test_the_classifier_on_nothing(spark):
+    docs = spark.createDataFrame([], "doc_id long, text string, score double")
+    labels = spark.createDataFrame([(1, 1), (2, None)], "doc_id long, quality int")
+    model = quality_classifier.train(docs, labels, ~quality_classifier.held_out(F.col("doc_id"), 4, 2))
+    assert quality_classifier.score(docs, model).collect() == []
+    some = spark.createDataFrame([(1, "a few words"), (1, "a few words"), (2, None), (None, " \n "), (3, "long line\n" * 30_000)],
+                                 "doc_id long, text string")
+    assert sorted(r.score for r in quality_classifier.score(some, model).collect()) == [0.0, 0.0, 0.5, 0.5, 0.5]
+    assert topk.search(spark.createDataFrame([], "vec_id long, embedding array<float>"), F.lit(True)).collect() == []
