@@ -10,15 +10,15 @@ from tests import test_bronze, test_gold, test_guard, test_silver
 MUTANTS = [
     ("guard off", guard, "check", "if found:", "if False:",
      lambda spark: test_guard.test_blocked("SELECT 1 FROM (DROP TABLE gold_user_360)")),
-    ("cap inverted", guard, "run", ".limit(max_rows)", ".offset(max_rows)",
+    ("cap inverted", guard, "capped", "df.limit(max_rows)", "df.offset(max_rows)",
      lambda spark: _capped(spark)),
     ("missing id not flagged", bronze, "flag_duplicates",
      '        .when(F.col("_id").isNull(), fv.MISSING_EVENT_ID)\n', "",
      lambda spark: test_bronze.test_flags_follow_history_and_batch_order(spark)),
-    ("last duplicate kept", silver, "deduplicate", "F.min_by", "F.max_by",
+    ("last duplicate kept", silver, "deduplicate", 'F.min("_order")', 'F.max("_order")',
      lambda spark: test_silver.test_canonical_row_is_the_first_unflagged(spark)),
     ("failures not in the denominator", gold, "failure_and_recency", "done + failed", "done",
-     lambda spark: test_gold.test_one_success_one_failure(spark)),
+     lambda spark: test_gold.test_two_successes_and_a_failure(spark)),
 ]
 
 
