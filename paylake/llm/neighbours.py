@@ -84,10 +84,12 @@ class Index:
 
     def search(self, terms: np.ndarray, weights: np.ndarray, k: int, but: int = -1) -> list[tuple[int, float]]:
         """nearest() of a query given as its terms and their weights."""
-        return self.search_all([(terms, weights)], k, but)[0]
+        return self.search_all([(terms, weights)], k, [but])[0]
 
-    def search_all(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int, but: int = -1) -> list[list[tuple[int, float]]]:
-        """search() of several queries; what frequent terms add to every example is one product of two matrices."""
+    def search_all(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int,
+                   but: list[int] | None = None) -> list[list[tuple[int, float]]]:
+        """search() of several queries; what frequent terms add to every example is one product of two matrices. `but` has an
+        example to leave out for each query, or -1."""
         if not self.size:
             return [[] for _ in queries]
         rows = np.zeros((self.table.shape[1], len(queries)))
@@ -95,7 +97,8 @@ class Index:
             column = self.column[terms]
             rows[column[column >= 0], i] = weights[column >= 0]
         frequent = np.ascontiguousarray((self.table @ rows).T)
-        return [self._search(terms, weights, cosine, k, but) for (terms, weights), cosine in zip(queries, frequent)]
+        return [self._search(terms, weights, cosine, k, one)
+                for (terms, weights), cosine, one in zip(queries, frequent, but or [-1] * len(queries))]
 
     def _search(self, terms: np.ndarray, weights: np.ndarray, cosine: np.ndarray, k: int, but: int) -> list[tuple[int, float]]:
         """The nearest, from what the frequent terms add to each example.
@@ -118,7 +121,9 @@ class Index:
         left = ~chosen & (bound >= (found[-1][1] if len(found) == k else 0.0))
         if left.any():
             whole += self._of_lists(cut, weight, left)
-            found = self._best(whole, self._of_blocks(chosen | left), k, but)
+            # What is known of an example of any other block is below the kth best.
+            enough = len(found) == k
+            found = self._best(whole, np.flatnonzero(whole >= found[-1][1] - SLACK) if enough else self._of_blocks(chosen | left), k, but)
         return found
 
     def _of_lists(self, cut: np.ndarray, weight: np.ndarray, blocks: np.ndarray) -> np.ndarray:

@@ -125,16 +125,17 @@ def _calibrate(model: Model, share: dict[int, float], without: dict[int, int], p
     """Fits the logistic curve on left-one-out votes. share weighs the examples of a label up to all labelled documents;
     without counts the examples of a label that have no word in the index; prior is the share of toxic labels."""
     index, rows, labels = model.index(), [], []
-    alone = dict(without)
-    ends = np.searchsorted(model.examples, np.arange(len(model.example_ids) + 1))
-    for i in range(len(model.example_ids)):
-        mine = slice(ends[i], ends[i + 1])
-        near = index.search(model.places[mine], model.values[mine], K, but=i)
-        if near:
-            rows.append((1.0, *model.vote(near)))
-            labels.append(model.example_labels[i])
-        else:
-            alone[model.example_labels[i]] = alone.get(model.example_labels[i], 0) + 1
+    alone, size = dict(without), len(model.example_ids)
+    ends = np.searchsorted(model.examples, np.arange(size + 1))
+    own = lambda i: (model.places[ends[i]:ends[i + 1]], model.values[ends[i]:ends[i + 1]])
+    for at in range(0, size, GROUP):
+        group = range(at, min(at + GROUP, size))
+        for i, near in zip(group, index.search_all([own(i) for i in group], K, list(group))):
+            if near:
+                rows.append((1.0, *model.vote(near)))
+                labels.append(model.example_labels[i])
+            else:
+                alone[model.example_labels[i]] = alone.get(model.example_labels[i], 0) + 1
     toxic, clean = (alone.get(y, 0) * share.get(y, 1.0) for y in (1, 0))
     model.unseen = (toxic + prior) / (toxic + clean + 1.0)
     if not rows:
@@ -253,12 +254,16 @@ def document_frequencies(docs: DataFrame, text: str, vocabulary: list[bytes]) ->
     joined = b" ".join(vocabulary)
 
     def counts(source):
-        place, total = {t: i for i, t in enumerate(joined.split())}, Counter()
+        place = {t: i for i, t in enumerate(joined.split())}
+        total = np.zeros(len(place) + 1, np.int64)   # the last counts words that are not in the vocabulary
         for batch in source:
-            for value in batch.column(0):
-                total.update(filter(None.__ne__, map(place.get, set(tokens(value.as_py() or "")))))
-        yield pa.RecordBatch.from_arrays([pa.array(list(total.keys()), pa.int32()), pa.array(list(total.values()), pa.int64())],
-                                         names=["term", "n"])
+            for at in range(0, batch.num_rows, ROWS):
+                found: list[int] = []
+                for value in batch.column(0).slice(at, ROWS):
+                    found.extend(map(place.get, set(tokens(value.as_py() or "")), repeat(len(place))))
+                total += np.bincount(found, minlength=len(total)) if found else 0
+        held = np.flatnonzero(total[:-1])
+        yield pa.RecordBatch.from_arrays([pa.array(held.astype(np.int32)), pa.array(total[held])], names=["term", "n"])
 
     return docs.select(text).mapInArrow(counts, "term int, n long").groupBy("term").agg(F.sum("n").alias("n"))
 
@@ -288,14 +293,18 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
 
     def batches(source):
         known = _loaded(data)
+        names, labels = np.array(list(map(str, known.example_ids)), object), np.array(known.example_labels, np.int32)
         for batch in source:
             judged = []
             for at in range(0, batch.num_rows, ROWS):
                 judged += known.judge_all([value.as_py() or "" for value in batch.column(1).slice(at, ROWS)])
-            evidence = [[{"doc_id": str(known.example_ids[i]), "cosine": c, "toxic": known.example_labels[i]} for i, c in found]
-                        for _, found in judged]
-            kinds = pa.list_(pa.struct([("doc_id", pa.string()), ("cosine", pa.float64()), ("toxic", pa.int32())]))
+            ends = np.zeros(len(judged) + 1, np.int32)
+            np.cumsum([len(near) for _, near in judged], out=ends[1:])
+            near = [one for _, found in judged for one in found]
+            who = np.array([i for i, _ in near], np.int64)
+            flat = pa.StructArray.from_arrays([pa.array(names[who], pa.string()), pa.array([c for _, c in near], pa.float64()),
+                                               pa.array(labels[who], pa.int32())], names=["doc_id", "cosine", "toxic"])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([s for s, _ in judged], pa.float64()),
-                                              pa.array(evidence, kinds)], names=["doc_id", "score", "evidence"])
+                                              pa.ListArray.from_arrays(pa.array(ends), flat)], names=["doc_id", "score", "evidence"])
 
     return docs.select(docs[doc_id], docs[text]).mapInArrow(batches, schema)
