@@ -5,9 +5,8 @@ them at once. The batches taken in are recorded with it, so both are there or ne
 same publication one wins. The writer deletes what no kept publication names.
 
     data/version=v_<n>_<id>/date=<day>/   rows of a day
-    manifests/<id>/                       folder -> version of a publication
     applied/<id>/                         batches taken in; merged into one after MERGED publications
-    _commits/c_<n>.json                   names the manifest and the records of batches of publication n
+    _commits/c_<n>.json                   publication n: version by folder (an entry a day or bucket), records of batches
 """
 
 from __future__ import annotations
@@ -33,11 +32,7 @@ def latest(spark: SparkSession, root: str) -> int | None:
 
 def _folders(spark: SparkSession, root: str, number: int | None) -> dict[str, str]:
     """Version by folder: one entry a day of the calendar, or a bucket."""
-    if number is None:
-        return {}
-    entry = commits.read(spark, root, number)
-    lines = spark.read.schema("folder string, version string").json(f"{root.rstrip('/')}/manifests/{entry['manifest']}")
-    return {row.folder: row.version for row in lines.collect()}
+    return {} if number is None else commits.read(spark, root, number)["folders"]
 
 
 def _folder(by: str, value) -> str:
@@ -45,12 +40,12 @@ def _folder(by: str, value) -> str:
 
 
 def publish(
-    df: DataFrame, root: str, batches: DataFrame, touched: list | None = None, by: str = "date",
+    df: DataFrame, root: str, batches: DataFrame | None, touched: list | None = None, by: str = "date",
     number: int | None = None, keep: int = KEEP,
 ) -> int:
     """Write the rows of ``df`` by folder and publish them: all folders, or the ``touched`` ones beside the others.
 
-    ``batches`` (batch_id) are recorded as taken in. Returns the publication's number. What an attempt that stopped or
+    ``batches`` (batch_id), if any, are recorded as taken in. Returns the publication's number. What an attempt that stopped or
     lost against another writer has left goes with the next publication.
     """
     spark, base = df.sparkSession, root.rstrip("/")
@@ -67,14 +62,14 @@ def publish(
     for value in touched or []:
         folders.pop(_folder(by, value), None)
     folders |= dict.fromkeys(folder_names(spark, f"{data}/{by}=*"), version)
-    entries = spark.createDataFrame(sorted(folders.items()), "folder string, version string")
-    entries.coalesce(1).write.mode("overwrite").json(f"{base}/manifests/{name}")
     records = [] if before is None else commits.read(spark, base, before)["applied"]
-    added = batches.select("batch_id")
-    if len(records) >= MERGED:
-        records, added = [], added.union(_records(spark, base, records)).distinct()
-    added.coalesce(1).write.mode("overwrite").json(f"{base}/applied/{name}")
-    commits.commit(spark, base, before, {"manifest": name, "applied": [*records, name]}, number)
+    if batches is not None:
+        added = batches.select("batch_id")
+        if len(records) >= MERGED:
+            records, added = [], added.union(_records(spark, base, records)).distinct()
+        added.coalesce(1).write.mode("overwrite").json(f"{base}/applied/{name}")
+        records = [*records, name]
+    commits.commit(spark, base, before, {"folders": folders, "applied": records}, number)
     expire(spark, base, keep)
     return number
 
@@ -88,7 +83,8 @@ def applied(spark: SparkSession, root: str) -> DataFrame:
     newest = latest(spark, root)
     if newest is None:
         return spark.createDataFrame([], _BATCHES)
-    return _records(spark, root, commits.read(spark, root, newest)["applied"]).distinct()
+    records = commits.read(spark, root, newest)["applied"]
+    return _records(spark, root, records).distinct() if records else spark.createDataFrame([], _BATCHES)
 
 
 def read(
@@ -134,15 +130,15 @@ def expire(spark: SparkSession, root: str, keep: int = KEEP) -> int:
         return 0
     kept, newest = numbers[:max(keep, 1)], numbers[0]
     entries = [commits.read(spark, base, n) for n in kept]
-    used = {version for n in kept for version in _folders(spark, base, n).values()}
+    used = {version for e in entries for version in e["folders"].values()}
     for n in numbers[len(kept):]:
         commits.forget(spark, base, n)
     old = [name for name in folder_names(spark, f"{base}/data/version=*")
            if name.removeprefix("version=") not in used and int(name.split("_")[1]) <= newest]
     for name in old:
         delete(spark, f"{base}/data/{name}")
-    for kind, names in (("manifests", {e["manifest"] for e in entries}), ("applied", {a for e in entries for a in e["applied"]})):
-        for name in folder_names(spark, f"{base}/{kind}/*"):
-            if name not in names and int(name.split("_")[0]) <= newest:
-                delete(spark, f"{base}/{kind}/{name}")
+    records = {name for e in entries for name in e["applied"]}
+    for name in folder_names(spark, f"{base}/applied/*"):
+        if name not in records and int(name.split("_")[0]) <= newest:
+            delete(spark, f"{base}/applied/{name}")
     return len(old)

@@ -204,8 +204,7 @@ def _by(name: str) -> str:
 
 def _publish(table: DataFrame, root: str, name: str, number: int, touched: list | None = None) -> None:
     whole = table.withColumn("part", F.lit(0)) if _by(name) == "part" else table
-    none = table.sparkSession.createDataFrame([], "batch_id string")
-    dated.publish(whole, path_of(root, name), none, touched, by=_by(name), number=number)
+    dated.publish(whole, path_of(root, name), None, touched, by=_by(name), number=number)
 
 
 def read(spark: SparkSession, root: str, name: str, folders: list | None = None, number: int | None = None) -> DataFrame:

@@ -176,7 +176,7 @@ def test_publications_keep_untouched_days_and_go_when_old(spark, folder):
     assert got == [("2026-01-01", 1), ("2026-01-02", 19), ("None", 1)]
     assert sorted(r.batch_id for r in dated.applied(spark, root).collect()) == sorted(f"b{n}" for n in range(20))
     assert len(os.listdir(f"{root}/applied")) <= dated.MERGED + 1 + dated.KEEP
-    assert len([n for n in os.listdir(f"{root}/manifests")]) == dated.KEEP == len(commits.numbers(spark, root))
+    assert len(commits.numbers(spark, root)) == dated.KEEP
     assert len(os.listdir(f"{root}/data")) <= dated.KEEP + 1
     assert [r.n for r in dated.read(spark, root, only=[two]).collect()] == [19]
     assert dated.read(spark, root, only=[], schema="n int, date date").collect() == []
