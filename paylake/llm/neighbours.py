@@ -139,9 +139,10 @@ class Index:
 
     def overlaps(self, terms: np.ndarray) -> np.ndarray:
         """Sum of the weights that each example has for these terms."""
-        column, starts = self.column[terms], self.ends[terms]
+        column, starts, row = self.column[terms], self.ends[terms], np.zeros(self.table.shape[1])
+        row[column[column >= 0]] = 1.0
         listed = self._listed(starts, self.ends[terms + 1] - starts, np.ones(len(terms)))
-        return (listed + self.table[:self.size, column[column >= 0]].sum(axis=1))[self.place]
+        return (listed + (self.table @ row)[:self.size])[self.place]
 
     def _listed(self, starts: np.ndarray, sizes: np.ndarray, weight: np.ndarray) -> np.ndarray:
         """What ranges of the lists add to each example, with the query's weight for each range."""
