@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from paylake.llm import bpe, minhash, mixing, quality_classifier, substring_dedup
 from paylake.llm.common import staged, table
+from paylake.session import bounded_batches
 
 
 def _recounted(docs: DataFrame) -> DataFrame:
@@ -31,6 +32,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates, that with the least id. Rows of one id are one document: each of its
     texts stays once, in the row least in all columns. Rows with a null id stay."""
+    bounded_batches(spark)
     found = minhash.near_duplicates(docs)
     ids = found.filter(F.col("kept") & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("__id")).distinct()
     key = F.unhex(F.md5(F.coalesce("text", F.lit(""))))
@@ -50,6 +52,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages that occur more than once; documents of which no word is left go."""
+    bounded_batches(spark)
     cleaned = substring_dedup.dedup(docs)
     left = cleaned.filter((F.col("n_words") == 0) | (F.col("n_removed") < F.col("n_words")))
     return _recounted(left.select(*docs.columns))
@@ -62,6 +65,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with their token ids and whether these decode to the text (null: empty)."""
+    bounded_batches(spark)
     decoded = bpe.round_trip(docs, decoded="__bytes")
     return decoded.select(*[c for c in docs.columns if c != "ids"], "ids", F.size("ids").cast("long").alias("n_tokens"),
                           (F.col("__bytes") == F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("decodes"))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from paylake.session import work_dir
+from paylake.session import bounded_batches, work_dir
 
 #: A word is a run of characters other than space and the controls 0x09 to 0x0D. bytes.split() cuts at the same six.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -14,7 +14,7 @@ WORD_SQL = r"'[^\x20\x09-\x0D]+'"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return bounded_batches(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
 def words(text: Column) -> Column:

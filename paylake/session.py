@@ -34,6 +34,19 @@ def pin_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+#: Bytes of rows that Spark hands to a Python worker at once, where the session does not say. Spark's own limit of 10,000 rows is
+#: 25 MB of texts of 2 KB, held several times over by the executor and by each of its workers.
+BATCH_BYTES = 4 << 20
+
+
+def bounded_batches(spark: SparkSession, most: int = BATCH_BYTES) -> SparkSession:
+    """Rows go to Python workers in batches bounded by bytes, so a worker's memory does not follow the length of the texts. A limit
+    that the session was given stays."""
+    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is None:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(most))
+    return spark
+
+
 @cache
 def _local_scratch() -> str:
     return tempfile.mkdtemp(prefix="paylake-")

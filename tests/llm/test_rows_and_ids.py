@@ -3,12 +3,14 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from paylake.llm import bpe, minhash, quality_classifier, substring_dedup, topk
 from paylake.llm.wordhash import WordHashes
+from paylake.session import BATCH_BYTES, bounded_batches
 
 PICK = random.Random(31)
 
@@ -134,3 +136,25 @@ def test_the_classifier_on_nothing(spark):
                                  "doc_id long, text string")
     assert sorted(r.score for r in quality_classifier.score(some, model).collect()) == [0.0, 0.0, 0.5, 0.5, 0.5]
     assert topk.search(spark.createDataFrame([], "vec_id long, embedding array<float>"), F.lit(True)).collect() == []
+
+
+def test_python_workers_get_batches_bounded_by_bytes(spark):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    docs = spark.range(0, 60, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("word "), 40_000).alias("text"))
+
+    def sizes(source):
+        for batch in source:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["bytes"])
+
+    before = spark.conf.get(name, None)
+    try:
+        spark.conf.unset(name)
+        assert corpus_pipeline.encode(spark, docs, "").columns[-2:] == ["n_tokens", "decodes"]
+        found = [r.bytes for r in docs.mapInArrow(sizes, "bytes long").collect()]
+        assert sum(found) > 12_000_000 and max(found) < BATCH_BYTES + 1_000_000   # a row of 200 kB may go over
+        spark.conf.set(name, "1000000")
+        assert bounded_batches(spark).conf.get(name) == "1000000"   # a limit that was given stays
+    finally:
+        spark.conf.unset(name)
+        if before is not None:
+            spark.conf.set(name, before)
