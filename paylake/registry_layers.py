@@ -58,7 +58,8 @@ def _repair_written(spark: SparkSession, folder: str) -> DataFrame:
 
 def _duplicate_log(spark: SparkSession, folder: str) -> DataFrame:
     """The CSV log read back."""
-    path = files.write_duplicate_log(tables.bronze_all(spark, folder), work_dir(spark, "duplicates"))
+    path = files.write_duplicate_log(
+        tables.bronze_all(spark, folder, fv.DUPLICATE_LOG_COLUMNS), work_dir(spark, "duplicates"))
     schema = ", ".join(f"{c} string" for c in fv.DUPLICATE_LOG_COLUMNS)
     return spark.read.schema(schema).option("header", True).option(
         "ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
@@ -73,7 +74,8 @@ def bronze_queries() -> dict[str, Query]:
         "event_id_normalize": _q(lambda s, f: bronze.normalized_ids(one(s, f))),
         "bronze_first_seen": _q(lambda s, f: bronze.first_seen(
             one(s, f).unionByName(tables.bronze_batch(s, f, 2)), STORED)),
-        "bronze_duplicates": _q(lambda s, f: tables.bronze_all(s, f).select("seq", "event_id", "batch_id", *AUDIT)),
+        "bronze_duplicates": _q(lambda s, f: tables.bronze_all(s, f, ["seq", "event_id", "batch_id"]).select(
+            "seq", "event_id", "batch_id", *AUDIT)),
         "duplicate_log": _q(_duplicate_log),
         "bronze_scan": _q(lambda s, f: _stored_bronze(s, f).drop("bronze_file", "bronze_row").withColumn(
             "duplicate_first_seen_file", F.regexp_extract("duplicate_first_seen_file", "in_day=.*$", 0))),
@@ -85,7 +87,7 @@ def bronze_queries() -> dict[str, Query]:
         "raw_event_counts": _q(lambda s, f: checks.raw_event_counts(tables.raw_events(s, f))),
         "raw_distinct_values": _q(lambda s, f: checks.raw_distinct_values(tables.raw_events(s, f))),
         "null_token_cleanup": _q(_null_tokens),
-        "dq_bronze": _q(lambda s, f: checks.check_bronze(tables.bronze_all(s, f))),
+        "dq_bronze": _q(lambda s, f: checks.check_bronze(tables.bronze_all(s, f, fv.BRONZE_REQUIRED))),
     }
 
 

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from paylake.config import Settings
-from paylake.operators.bronze import add_metadata, first_seen, flag_duplicates, flatten
+from paylake.operators.bronze import FIRST_SEEN_COLUMNS, add_metadata, first_seen, flag_duplicates, flatten
 from paylake.operators.silver import add_usd, build_silver, event_flags
 from paylake.operators.skew import lookup
 from paylake.session import staged
@@ -186,15 +187,22 @@ def bronze_batch(spark: SparkSession, folder: str, batch: int) -> DataFrame:
     return add_metadata(flat, source, batch_id, at).withColumn("bronze_file", F.lit(f"batch_{batch_id}.parquet"))
 
 
-def bronze_written(spark: SparkSession, folder: str, batch: int) -> DataFrame:
-    """A batch derived once from the tables and written: flags, history and rows all read that."""
-    return staged(bronze_batch(spark, folder, batch), f"batch-{batch}")
+def bronze_written(spark: SparkSession, folder: str, batch: int, columns: Iterable[str] | None = None) -> DataFrame:
+    """A batch derived once from the tables and written: flags, history and rows all read that. With ``columns`` only those that
+    it has of them, as a written table keeps the optimizer from leaving out what nobody reads."""
+    found = bronze_batch(spark, folder, batch)
+    if columns is not None:
+        found = found.select(*[c for c in found.columns if c in set(columns)])
+    return staged(found, f"batch-{batch}")
 
 
-def bronze_all(spark: SparkSession, folder: str) -> DataFrame:
-    """Both batches as stored: the second flagged against the first."""
-    one, two = bronze_written(spark, folder, 1), bronze_written(spark, folder, 2)
+def bronze_all(spark: SparkSession, folder: str, columns: Iterable[str] | None = None) -> DataFrame:
+    """Both batches as stored: the second flagged against the first. ``columns``, when given, are those that the caller reads
+    besides the flags; those that the flags follow from come with them."""
     place = ["bronze_file", "seq"]
+    if columns is not None:
+        columns = {*columns, "event_id", *FIRST_SEEN_COLUMNS, *place}
+    one, two = (bronze_written(spark, folder, batch, columns) for batch in (1, 2))
     flagged = flag_duplicates(two, first_seen(one, place, two), RAW_ORDER)
     return flag_duplicates(one, None, RAW_ORDER).unionByName(flagged)
 

@@ -1,8 +1,9 @@
 import pytest
 from pyspark.sql import functions as F
 
-from paylake.operators import bronze
-from paylake.sources import files
+from paylake import fixed_values as fv
+from paylake.operators import bronze, checks
+from paylake.sources import files, tables
 from tests.events import raw_event, write_raw
 
 HISTORY = "event_id string, batch_id string, ingestion_timestamp string, source_file string, bronze_file string, seq int"
@@ -131,3 +132,20 @@ def test_end_to_end(spark, folder):
     assert sorted(map(str, again["gold_user_360"].collect())) == sorted(map(str, gold["gold_user_360"].collect()))
     kept = batch.run(spark, folder, settings, f"{folder}/raw.json", from_silver=True)
     assert kept["gold_user_360"].count() == 2 and files.read_bronze(spark, f"{folder}/bronze/events").count() == 8
+
+
+def test_both_batches_are_written_with_the_columns_that_are_read(spark, folder):
+    events = [(n, n % 7, ("signup", "purchase", "click", "view", "error")[n % 5], n / 8, '{"k": %d}' % n) for n in range(300)]
+    spark.createDataFrame(events, "event_id long, user_id long, event_type string, value double, props string").withColumn(
+        "ts", F.lit("2024-01-05 10:00:00").cast("timestamp")).write.parquet(f"{folder}/events.parquet")
+    spark.createDataFrame([(k, f"name{k}", k % 2, 1.5, "seg") for k in range(6)], "c_custkey long, c_name string, "
+                          "c_nationkey int, c_acctbal double, c_mktsegment string").write.parquet(f"{folder}/customer.parquet")
+    spark.createDataFrame([(0, "A"), (1, "B")], "n_nationkey int, n_name string").write.parquet(f"{folder}/nation.parquet")
+    whole, narrow = tables.bronze_all(spark, folder), tables.bronze_all(spark, folder, fv.BRONZE_REQUIRED)
+    flags = ["duplicate_reason", "duplicate_first_seen_batch_id", "duplicate_first_seen_file", "is_duplicate"]
+    assert sorted(narrow.columns) == sorted(
+        ["event_id", "ingestion_timestamp", "batch_id", "source_file", "bronze_file", "seq", *flags])
+    rows = sorted(map(str, narrow.collect()))
+    assert rows == sorted(map(str, whole.select(*narrow.columns).collect())) and len(rows) > 300
+    assert checks.check_bronze(narrow).collect() == checks.check_bronze(whole).collect()
+    assert checks.check_bronze(narrow).first().missing_columns == ""
