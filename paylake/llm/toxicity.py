@@ -37,13 +37,45 @@ SOFTEN = 0.1
 THRESHOLD = 0.5
 _PUNCTUATION = bytes(i for i in range(33, 127) if not chr(i).isalnum())
 _SPACED = bytes.maketrans(_PUNCTUATION, b" " * len(_PUNCTUATION))
-#: Texts whose neighbours a worker remembers, texts searched together, and rows taken up at a time.
-CACHED, GROUP, ROWS = 50_000, 32, 512
+#: Texts whose neighbours a worker remembers, texts searched together, and rows and characters taken up at a time.
+CACHED, GROUP, ROWS, CHARS = 50_000, 32, 512, 2_000_000
+
+
+def _spaced(text: str) -> bytes:
+    return text.lower().encode("utf-8", "replace").translate(_SPACED)
 
 
 def tokens(text: str) -> list[bytes]:
     """Lower-case words without ASCII punctuation."""
-    return text.lower().encode("utf-8", "replace").translate(_SPACED).split()
+    return _spaced(text).split()
+
+
+def _entries(texts: list[str], place: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The entries of texts, ordered by text and place: the number of the text, the place of one of its tokens(), and how often it
+    has that. Words without a place have no entry. Each different word of the texts is looked up once."""
+    lists = pc.ascii_split_whitespace(pa.array(map(_spaced, texts), pa.large_binary(), size=len(texts)).cast(pa.large_string()))
+    coded = lists.flatten().dictionary_encode()
+    words = pa.LargeListArray.from_arrays([0, len(coded.dictionary)], coded.dictionary.cast(pa.large_binary()))
+    different = pc.binary_join(words, pa.scalar(b"\n", pa.large_binary()))[0].as_py().split(b"\n")   # far faster than a value at a time
+    found = np.fromiter(map(place.get, different, repeat(-1)), np.int64, len(different))
+    places = found[coded.indices.to_numpy()]
+    owner = np.repeat(np.arange(len(texts)), pc.list_value_length(lists).to_numpy())[places >= 0]
+    keys, number = np.unique(owner * max(1, len(place)) + places[places >= 0], return_counts=True)
+    owner, places = np.divmod(keys, max(1, len(place)))
+    return owner, places, number
+
+
+def _portions(column: pa.Array):
+    """The texts of a column, a null as an empty one, in lists of at most ROWS, and of CHARS characters but for the last text."""
+    texts, size = [], 0
+    for value in column:
+        texts.append(value.as_py() or "")
+        size += len(texts[-1])
+        if len(texts) == ROWS or size >= CHARS:
+            yield texts
+            texts, size = [], 0
+    if texts:
+        yield texts
 
 
 @dataclass
@@ -87,10 +119,10 @@ class Model:
             self._seen.clear()
         new = {key: text for key, text in zip(keys, texts) if key not in self._seen}
         todo = list(new.items())
+        queries = self._queries([text for _, text in todo])
         for at in range(0, len(todo), GROUP):
             group = todo[at:at + GROUP]
-            queries = [self._query(text) for _, text in group]
-            for (key, _), near in zip(group, index.search_all(queries, K)):
+            for (key, _), near in zip(group, index.search_all(queries[at:at + GROUP], K)):
                 score = self.unseen
                 if near:
                     vote, close = self.vote(near)
@@ -98,17 +130,12 @@ class Model:
                 self._seen[key] = (score, near)
         return [self._seen[key] for key in keys]
 
-    def _query(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """The places of a text's words in the vocabulary, in order, and their weights."""
-        counts = Counter(tokens(text))
-        places = np.fromiter(map(self._place.get, counts, repeat(-1)), np.int64, len(counts))
-        number = np.fromiter(counts.values(), np.int64, len(counts))[places >= 0]
-        places = places[places >= 0]
-        if not len(places):
-            return places, np.zeros(0)
-        order = np.argsort(places)
-        places = places[order]
-        return places, _unit(number[order], self.idf[places], np.zeros(len(places), np.int64))
+    def _queries(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each text the places of its words in the vocabulary, in order, and their weights."""
+        owner, places, number = _entries(texts, self._place)
+        weights = _unit(number, self.idf[places], owner)
+        ends = np.searchsorted(owner, np.arange(len(texts) + 1))
+        return [(places[a:b], weights[a:b]) for a, b in zip(ends[:-1], ends[1:])]
 
 
 def _unit(number: np.ndarray, idf: np.ndarray, vector: np.ndarray) -> np.ndarray:
@@ -255,14 +282,11 @@ def document_frequencies(docs: DataFrame, text: str, vocabulary: list[bytes]) ->
 
     def counts(source):
         place = {t: i for i, t in enumerate(joined.split())}
-        total = np.zeros(len(place) + 1, np.int64)   # the last counts words that are not in the vocabulary
+        total = np.zeros(len(place), np.int64)
         for batch in source:
-            for at in range(0, batch.num_rows, ROWS):
-                found: list[int] = []
-                for value in batch.column(0).slice(at, ROWS):
-                    found.extend(map(place.get, set(tokens(value.as_py() or "")), repeat(len(place))))
-                total += np.bincount(found, minlength=len(total)) if found else 0
-        held = np.flatnonzero(total[:-1])
+            for texts in _portions(batch.column(0)):
+                total += np.bincount(_entries(texts, place)[1], minlength=len(total))
+        held = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(held.astype(np.int32)), pa.array(total[held])], names=["term", "n"])
 
     return docs.select(text).mapInArrow(counts, "term int, n long").groupBy("term").agg(F.sum("n").alias("n"))
@@ -296,8 +320,8 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
         names, labels = np.array(list(map(str, known.example_ids)), object), np.array(known.example_labels, np.int32)
         for batch in source:
             judged = []
-            for at in range(0, batch.num_rows, ROWS):
-                judged += known.judge_all([value.as_py() or "" for value in batch.column(1).slice(at, ROWS)])
+            for texts in _portions(batch.column(1)):
+                judged += known.judge_all(texts)
             ends = np.zeros(len(judged) + 1, np.int32)
             np.cumsum([len(near) for _, near in judged], out=ends[1:])
             near = [one for _, found in judged for one in found]

@@ -2,8 +2,10 @@
 
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -278,3 +280,21 @@ def test_the_pipeline_stage_by_stage(spark, tmp_path):
     empty = spark.createDataFrame([], docs.schema)
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, FOLDER).count() == 0, name
+
+
+def test_entries_are_the_counts_of_the_words_of_each_text():
+    texts = ["", "İstanbul CAFÉ\x0b\x1cfoo!!bar   x\ud800y", "!!!", "a a, a.b\nA", " ", "b c", "none of these"]
+    place = {word: i for i, word in enumerate(sorted({w for t in texts[:6] for w in toxicity.tokens(t)}))}
+    for known in (place, {}):
+        owner, places, number = toxicity._entries(texts, known)
+        found = [dict(zip(places[owner == i].tolist(), number[owner == i].tolist())) for i in range(len(texts))]
+        assert found == [{known[w]: n for w, n in Counter(toxicity.tokens(t)).items() if w in known} for t in texts]
+        assert sorted(zip(owner.tolist(), places.tolist())) == list(zip(owner.tolist(), places.tolist()))
+    assert len(toxicity._entries([], place)[0]) == 0
+
+
+def test_texts_are_taken_up_in_portions_bounded_by_characters(monkeypatch):
+    monkeypatch.setattr(toxicity, "CHARS", 10)
+    monkeypatch.setattr(toxicity, "ROWS", 3)
+    column = pa.array(["a", None, "b", "c" * 30, "d" * 9, "e"])
+    assert list(toxicity._portions(column)) == [["a", "", "b"], ["c" * 30], ["d" * 9, "e"]]
