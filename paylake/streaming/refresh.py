@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -224,7 +225,7 @@ class Refresher:
     runs: int = 0
     errors: int = 0
 
-    def __call__(self, spark: SparkSession, force: bool = False) -> bool:
+    def __call__(self, spark: SparkSession, force: bool = False, stopped: Callable[[], bool] = lambda: False) -> bool:
         now = dt.datetime.now(dt.timezone.utc)
         if not refresh_due(self.last_run, now, self.minimum_seconds, force):
             return False
@@ -233,6 +234,8 @@ class Refresher:
                 spark, self.bronze_root, self.silver_root, self.gold_root, self.settings, self.ip_geo
             )
         except Exception as error:
+            if stopped():   # cut short, not failed
+                return False
             self.errors += 1
             logging.getLogger(__name__).warning("refresh failed: %s", error)
             return False
@@ -245,7 +248,13 @@ class Refresher:
         Its batches are ticks, not data: what is new follows from the index of batches and the newest publication.
         """
         ticks = spark.readStream.format("rate").option("rowsPerSecond", 1).option("numPartitions", 1).load()
-        return (
+        query = None
+
+        def tick(batch: DataFrame, _: int) -> None:
+            self(batch.sparkSession, force=True, stopped=lambda: query is not None and not query.isActive)
+
+        query = (
             ticks.writeStream.queryName(name).option("checkpointLocation", checkpoint).trigger(processingTime=every)
-            .foreachBatch(lambda batch, _: self(batch.sparkSession, force=True) and None).start()
+            .foreachBatch(tick).start()
         )
+        return query

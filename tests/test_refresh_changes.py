@@ -129,3 +129,13 @@ def test_a_refresh_of_its_own_runs_beside_ingest(spark, folder):
         query.stop()
     assert refresher.runs >= 1 and refresher.errors == 0
     assert refresh.read_published_gold(spark, roots[2])["gold_user_360"].count() == 1
+
+
+def test_a_refresh_cut_short_by_a_stop_is_not_counted_as_failed(monkeypatch):
+    def fails(*_):
+        raise RuntimeError("cancelled")
+
+    monkeypatch.setattr(refresh, "refresh_published", fails)
+    refresher = refresh.Refresher("b", "s", "g", SETTINGS)
+    assert not refresher(None, force=True, stopped=lambda: True) and refresher.errors == refresher.runs == 0
+    assert not refresher(None, force=True) and refresher.errors == 1
