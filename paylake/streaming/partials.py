@@ -23,7 +23,7 @@ from pyspark.sql.window import Window
 from paylake.config import Settings
 from paylake.functions.scalars import MONEY, half_up, pct, total_of
 from paylake.operators import gold
-from paylake.operators.skew import keep_matching
+from paylake.operators.skew import keep_matching, lookup
 from paylake.session import work_dir
 from paylake.sources import dated
 from paylake.sources.storage import delete
@@ -122,15 +122,28 @@ def merged(name: str, old: DataFrame, change: DataFrame) -> DataFrame:
     return both.groupBy(*keys).agg(*(F.sum(c).cast(kinds[c]).alias(c) for c in sums)).filter("n > 0")
 
 
-def _candidates(rows: DataFrame, settings: Settings, only: DataFrame | None = None) -> DataFrame:
-    """user_id, slot, late, at, event_id, value, n: every known value of the ordered attributes with its place in time."""
-    parts = [F.when(has, F.struct(F.lit(name).alias("slot"), value.cast("string").alias("value")))
-             for name, (_, value, has) in _ordered(settings).items()]
+def _candidates(rows: DataFrame, settings: Settings, borders: DataFrame | None = None) -> DataFrame:
+    """user_id, slot, late, at, event_id, value, n: every known value of the ordered attributes with its place in time.
+
+    Values beyond a user's ``borders`` are left out while they are columns of their row, before each becomes a row of its own.
+    """
+    ends = _ordered(settings)
     spread = rows.filter(F.col("user_id").isNotNull()).select(
-        "user_id", F.col("timestamp").isNull().alias("late"), F.col("timestamp").alias("at"), "event_id", "sign",
-        F.explode(F.array_compact(F.array(*parts))).alias("c")).select("*", "c.*").drop("c")
+        *_SPREAD, "sign", *(F.when(has, value.cast("string")).alias(f"v_{name}") for name, (_, value, has) in ends.items()))
+    if borders is not None:
+        spread = lookup(spread, borders, "user_id", _SPREAD)
+    late, parts = F.col("timestamp").isNull(), []
+    for name, (end, _, _) in ends.items():
+        value = F.col(f"v_{name}")
+        wanted = value.isNotNull()
+        if borders is not None:
+            place, border = F.struct(late.alias("late"), F.col("timestamp").alias("at"), "event_id", value.alias("value")), F.col(f"border.{name}")
+            wanted &= border.isNull() | (place <= border if end == _FIRST else place >= border)
+        parts.append(F.when(wanted, F.struct(F.lit(name).alias("slot"), value.alias("value"))))
+    each = spread.select("user_id", late.alias("late"), F.col("timestamp").alias("at"), "event_id", "sign",
+                         F.explode(F.array_compact(F.array(*parts))).alias("c")).select("*", "c.*").drop("c")
     keys = ["user_id", "slot", *_ORDER]
-    return spread.groupBy(*keys).agg(F.sum("sign").alias("n")).filter("n <> 0").select(*keys, "n")
+    return each.groupBy(*keys).agg(F.sum("sign").alias("n")).filter("n <> 0").select(*keys, "n")
 
 
 def first_kept(silver: DataFrame, settings: Settings) -> DataFrame:
@@ -162,27 +175,28 @@ def _best(rows: DataFrame, settings: Settings) -> DataFrame:
     return out.drop("part", "rank")
 
 
-def next_kept(old: DataFrame, old_sums: DataFrame, change: DataFrame, sums: DataFrame, settings: Settings) -> tuple[DataFrame, DataFrame]:
-    """The kept candidates of the touched users after the change, and the users whose kept ones ran out.
+def kept_borders(old: DataFrame, old_sums: DataFrame, settings: Settings) -> DataFrame:
+    """user_id and, for each attribute that has values beyond the kept ones, the worst kept one: the border of what is known."""
+    ends, place, mine = _ordered(settings), F.struct(*_ORDER), lambda name, c: F.when(F.col("slot") == name, c)
+    held = old.groupBy("user_id").agg(
+        *(F.sum(mine(n, F.col("n"))).alias(f"held_{n}") for n in ends),
+        *((F.max if end == _FIRST else F.min)(mine(n, place)).alias(f"worst_{n}") for n, (end, _, _) in ends.items()))
+    return held.join(old_sums.select("user_id", *(f"known_{n}" for n in ends)), "user_id").select("user_id", F.struct(
+        *(F.when(F.col(f"known_{n}") > F.col(f"held_{n}"), F.col(f"worst_{n}")).alias(n) for n in ends)).alias("border"))
 
-    old, old_sums: their rows before; change: signed candidates; sums: their user_sums after.
-    """
-    ends, place = _ordered(settings), F.struct(*_ORDER)
-    known = lambda df: df.select("user_id", F.explode(F.array(*[
-        F.struct(F.lit(n).alias("slot"), F.col(f"known_{n}").alias("known")) for n in ends])).alias("k")).select("user_id", "k.*")
-    last = [n for n, (e, _, _) in ends.items() if e == _LAST]
-    # Where old rows beyond the kept exist, the worst kept one is the border of what is known.
-    borders = (old.groupBy("user_id", "slot").agg(F.sum("n").alias("held"), F.min(place).alias("low"), F.max(place).alias("high"))
-               .join(known(old_sums), ["user_id", "slot"]).filter("known > held")
-               .select("user_id", "slot", F.when(F.col("slot").isin(last), F.col("low")).otherwise(F.col("high")).alias("border")))
+
+def next_kept(old: DataFrame, change: DataFrame) -> DataFrame:
+    """The candidates of the touched users after the change, of which the best stay; change: signed candidates inside the borders."""
     keys = ["user_id", "slot", *_ORDER]
-    both = old.select(*keys, "n").unionByName(change).groupBy(*keys).agg(F.sum("n").alias("n")).filter("n > 0")
-    placed = both.join(borders, ["user_id", "slot"], "left")
-    inside = F.col("border").isNull() | F.when(F.col("slot").isin(last), place >= F.col("border")).otherwise(place <= F.col("border"))
-    kept = _best(placed.filter(inside).drop("border"), settings)
+    return old.select(*keys, "n").unionByName(change).groupBy(*keys).agg(F.sum("n").alias("n")).filter("n > 0")
+
+
+def ran_out(kept: DataFrame, sums: DataFrame, settings: Settings) -> DataFrame:
+    """Users who have known values of an attribute, by their user_sums after the change, and none of them kept."""
+    known = sums.select("user_id", F.explode(F.array(*[
+        F.struct(F.lit(n).alias("slot"), F.col(f"known_{n}").alias("known")) for n in _ordered(settings)])).alias("k")).select("user_id", "k.*")
     have = kept.select("user_id", "slot").distinct()
-    out_of = known(sums).filter("known > 0").join(have, ["user_id", "slot"], "left_anti").select("user_id").distinct()
-    return kept.withColumn("bucket", _bucket()), out_of
+    return known.filter("known > 0").join(have, ["user_id", "slot"], "left_anti").select("user_id").distinct()
 
 
 def refilled(silver: DataFrame, users: DataFrame, settings: Settings) -> DataFrame:
@@ -230,27 +244,33 @@ def apply(spark: SparkSession, root: str, rows: DataFrame, silver: DataFrame, nu
     stay, so a run that stopped can be finished. ``silver`` is read for users whose candidates ran out only.
     """
     new = changes(rows, settings)
-    folders = {"part": [0], "date": [r.date for r in new["day_users"].select("date").distinct().collect()],
-               "bucket": [r.bucket for r in new["user_sums"].select("bucket").distinct().collect()]}
+    users = rows.filter(F.col("user_id").isNotNull())
+    folders = {"part": [0], "date": [r.date for r in users.filter(F.col("date").isNotNull()).select("date").distinct().collect()],
+               "bucket": [r.bucket for r in users.select(_bucket().alias("bucket")).distinct().collect()]}
     old = lambda name: read(spark, root, name, folders[_by(name)], number - 1)
     todo = [name for name in TABLES if dated.latest(spark, path_of(root, name)) != number]
+    stage = work_dir(spark, "partials")
+
+    def written(table: DataFrame, name: str) -> DataFrame:
+        table.write.parquet(f"{stage}/{name}")
+        return spark.read.schema(table.schema).parquet(f"{stage}/{name}")
+
     if "user_kept" in todo:
+        new["user_sums"] = written(new["user_sums"], "user_sums")
         users = new["user_sums"].select("user_id")
         touched = lambda name: old(name).join(users, "user_id", "left_semi")
-        old_sums = touched("user_sums")
-        kept, out_of = next_kept(touched("user_kept"), old_sums, _candidates(rows, settings),
-                                 merged("user_sums", old_sums, new["user_sums"]), settings)
-        stage = work_dir(spark, "partials")
-        out_of.write.parquet(f"{stage}/out_of")
-        out_of = spark.read.schema("user_id string").parquet(f"{stage}/out_of")
+        borders = written(kept_borders(touched("user_kept"), touched("user_sums"), settings), "borders")
+        known = written(next_kept(touched("user_kept"), _candidates(rows, settings, borders)), "known")
+        kept = written(_best(known, settings).withColumn("bucket", _bucket()), "kept")
+        out_of = written(ran_out(kept, merged("user_sums", touched("user_sums"), new["user_sums"]), settings), "out_of")
         if not out_of.isEmpty():
             kept = kept.join(out_of, "user_id", "left_anti").unionByName(refilled(silver, out_of, settings).select(*kept.columns))
         others = old("user_kept").join(users, "user_id", "left_anti").select(*kept.columns)
         _publish(others.unionByName(kept), root, "user_kept", number, folders["bucket"])
-        delete(spark, stage)
     for name, change in new.items():
         if name in todo:
             _publish(merged(name, old(name), change), root, name, number, folders[_by(name)])
+    delete(spark, stage)
 
 
 # --- Gold from the partial tables ----------------------------------------------------------------------

@@ -15,7 +15,7 @@ from paylake.config import Settings
 from paylake.functions.scalars import event_key
 from paylake.operators import gold
 from paylake.operators.silver import build_silver
-from paylake.operators.skew import drop_matching, keep_matching
+from paylake.operators.skew import drop_matching, keep_matching, lookup
 from paylake.session import pin_utc
 from paylake.sources import dated, files, id_index, snapshots
 from paylake.sources.storage import delete, exists
@@ -103,8 +103,8 @@ def refresh_published(
 ) -> list[str]:
     """Bring published Silver and Gold up to date with the Bronze batches not yet in them.
 
-    A batch that is being written is left for the next refresh, so a refresh may run beside ingest. What changes is first written beside Silver: the rebuilt events, the rows they replace, and the
-    new contents of the touched dates. Only then are those dates published, with the batches taken in, and Gold
+    A batch that is being written is left for the next refresh, so a refresh may run beside ingest. What changes is first written beside Silver: the new events, the rows they replace, and the
+    other rows of the touched dates. Only then are those dates published, with the batches taken in, and Gold
     after them. A run that stopped is finished, or begun again if it had published nothing, by the next.
     Returns the batches taken in. The first run, and one on a lake that a batch run made, share one layout.
     """
@@ -113,7 +113,7 @@ def refresh_published(
     newest = dated.latest(spark, silver_root)
     if newest is None:
         return rebuild(spark, bronze_root, silver_root, gold_root, settings, ip_geo)
-    if exists(spark, f"{staging}/dates/_SUCCESS"):
+    if exists(spark, f"{staging}/kept/_SUCCESS"):
         _apply(spark, staging, silver_root, gold_root, settings)
     else:
         if exists(spark, staging):
@@ -134,12 +134,13 @@ def _apply(spark: SparkSession, stage: str, silver_root: str, gold_root: str, se
 
     Gold follows from the rows that went and came, through the partial tables: neither Silver nor Bronze is read.
     """
-    rebuilt, replaced, dates, batches, target = (
-        spark.read.parquet(f"{stage}/{t}") for t in ("rebuilt", "replaced", "dates", "batches", "target")
+    new, contested, replaced, kept, batches, target = (
+        spark.read.parquet(f"{stage}/{t}") for t in ("new", "contested", "replaced", "kept", "batches", "target")
     )
-    number, root = target.first().number, partials_root(gold_root)
+    rebuilt = new.filter(~F.col("_held")).drop("_held").unionByName(contested)
+    number, root, days = target.first().number, partials_root(gold_root), touched_days(replaced, rebuilt)
     if dated.latest(spark, silver_root) < number:
-        dated.publish(dates, silver_root, batches, touched_days(replaced, rebuilt), number=number)
+        dated.publish(kept.unionByName(rebuilt), silver_root, batches, days, number=number)
     rows = partials.signed(replaced, rebuilt)
     silver = dated.read(spark, silver_root)
     if partials.follows(spark, root, number):
@@ -147,10 +148,11 @@ def _apply(spark: SparkSession, stage: str, silver_root: str, gold_root: str, se
     else:
         partials.rebuild(silver, root, number, settings)
     old, paths = read_published_gold(spark, gold_root), files.gold_paths(gold_root)
-    users = touched_keys(replaced, rebuilt, "user_id")
+    touched_keys(replaced, rebuilt, "user_id").write.mode("overwrite").parquet(f"{stage}/users")
+    users = spark.read.parquet(f"{stage}/users")
     fresh = partials.user_360(spark, root, settings, users)
     snapshots.publish(merge_users(old["gold_user_360"], fresh, users, settings), paths["gold_user_360"])
-    days = [d for d in touched_days(replaced, rebuilt) if d]
+    days = [d for d in days if d]
     snapshots.publish(partials.daily_metrics(spark, root, old["gold_daily_metrics"], days), paths["gold_daily_metrics"])
     snapshots.publish(partials.event_summary(spark, root), paths["gold_event_summary"])
     dated.mark(spark, silver_root, number, GOLD_DONE)
@@ -162,7 +164,8 @@ def _stage(
     ip_geo: DataFrame | None,
 ) -> None:
     """What new batches change in Silver. Reads them, the index entries of their ids, and the dates these name:
-    neither the ids of Silver nor those of Bronze. Staged tables have a known size, so the new ids are
+    neither the ids of Silver nor those of Bronze. A narrow pass finds the ids that Silver holds already (``held``); whole rows
+    are only compared with those, and new rows of other ids stay as they are. Staged tables have a known size, so ids are
     broadcast exactly when they are few.
     """
     def write(df: DataFrame, name: str) -> DataFrame:
@@ -172,22 +175,26 @@ def _stage(
     write(spark.createDataFrame([(b,) for b in batch_ids], "batch_id string"), "batches")
     write(spark.createDataFrame([(dated.latest(spark, silver_root) + 1,)], "number long"), "target")
     batch = files.read_bronze(spark, bronze_root, batch_ids)
-    new = write(build_silver(batch, settings, STORED_ORDER, ip_geo).drop(*STORED_ORDER), "new")
-    ids = write(_event_keys(new), "ids")
+    ids = write(_event_keys(batch), "ids")
     entries = write(id_index.lookup(spark, bronze_root, ids.withColumnRenamed("_id", "event_key")), "entries")
-    days = touched_days(entries.select(F.explode("dates").alias("date")), new)
-    old = dated.read(spark, silver_root, only=days, schema=new.schema).withColumn("_id", event_key())
+    dated_rows = batch.filter(event_key().isNull()).select(F.to_date(F.col("timestamp").try_cast("timestamp")).alias("date"))
+    days = touched_days(entries.select(F.explode("dates").alias("date")), dated_rows)
+    built = build_silver(batch, settings, STORED_ORDER, ip_geo).drop(*STORED_ORDER)
+    old = dated.read(spark, silver_root, only=days, schema=built.schema).withColumn("_id", event_key())
+    held = write(old.select("_id").join(ids, "_id", "left_semi").distinct(), "held")
     # Rows without an id are known by their batch alone: a refresh that runs again replaces them.
     again = F.col("_id").isNull() & F.coalesce(F.col("batch_id").isin(batch_ids), F.lit(False))
-    matched = keep_matching(old.filter(F.col("_id").isNotNull()), ids, "_id", _SPREAD)
+    matched = keep_matching(old.filter(F.col("_id").isNotNull()), held, "_id", _SPREAD)
     replaced = write(matched.unionByName(old.filter(again)).drop("_id"), "replaced")
-    rebuilt = write(_rebuilt(new, replaced, entries), "rebuilt")
-    kept = drop_matching(old.filter(~again), ids, "_id", _SPREAD).drop("_id")
-    write(kept.unionByName(rebuilt), "dates")
+    marked = lookup(built.withColumn("_id", event_key()), held.withColumn("_held", F.lit(True)), "_id", _SPREAD)
+    new = write(marked.withColumn("_held", F.coalesce("_held", F.lit(False))).drop("_id"), "new")
+    copies = entries.join(held.withColumnRenamed("_id", "event_key"), "event_key", "left_semi")
+    write(_rebuilt(new.filter("_held").drop("_held"), replaced, copies), "contested")
+    write(drop_matching(old.filter(~again), held, "_id", _SPREAD).drop("_id"), "kept")
 
 
 def _rebuilt(new: DataFrame, replaced: DataFrame, entries: DataFrame) -> DataFrame:
-    """Silver rows of the new batches' events: the earlier canonical row stays unless there is a better
+    """Silver rows of events that are new and were there before: the earlier canonical row stays unless there is a better
     one now, with the number of copies added up over the batches that hold the id.
     """
     columns = [c for c in new.columns if c != "bronze_duplicate_count"]
@@ -199,8 +206,7 @@ def _rebuilt(new: DataFrame, replaced: DataFrame, entries: DataFrame) -> DataFra
         .agg(F.min_by(F.struct(*columns), order).alias("_row"))
     )
     copies = entries.groupBy(F.col("event_key").alias("_id")).agg(F.sum("n").alias("bronze_duplicate_count"))
-    with_id = best.join(copies, "_id", "left").select("_row.*", "bronze_duplicate_count")
-    return with_id.unionByName(new.filter(event_key().isNull()))
+    return best.join(copies, "_id", "left").select("_row.*", "bronze_duplicate_count")
 
 
 def refresh_due(last: dt.datetime | None, now: dt.datetime, minimum_seconds: int = 60, force: bool = False) -> bool:

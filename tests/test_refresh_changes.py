@@ -103,6 +103,30 @@ def test_a_refresh_reads_only_what_a_batch_touches(spark, folder, monkeypatch):
     assert published(spark, roots[2]) == published(spark, f"{folder}/g")
 
 
+def test_whole_rows_meet_only_known_ids_and_only_candidates_inside_the_borders_become_rows(spark, folder, monkeypatch):
+    roots = f"{folder}/bronze", f"{folder}/silver", f"{folder}/gold"
+    store(spark, folder, [raw_event(f"e{i}", f"u{i % 2}", timestamp=f"2026-01-0{i % 8 + 1}T10:00:00Z") for i in range(16)], "b1", 1)
+    refresh.refresh_published(spark, *roots, SETTINGS)
+    late = [raw_event(f"n{i}", "u0", "USER_REGISTERED", timestamp="2026-01-03T12:00:00Z") for i in range(30)]
+    store(spark, folder, [*late, raw_event("e2", "u0", timestamp="2026-01-03T10:00:00Z")], "b2", 2)
+    compared, candidates = [], []
+    keep, drop, spread = refresh.keep_matching, refresh.drop_matching, partials._candidates
+    monkeypatch.setattr(refresh, "keep_matching", lambda rows, keys, *a: compared.append(keys.count()) or keep(rows, keys, *a))
+    monkeypatch.setattr(refresh, "drop_matching", lambda rows, keys, *a: compared.append(keys.count()) or drop(rows, keys, *a))
+
+    def counted(*args):
+        candidates.append(spread(*args).count())
+        return spread(*args)
+
+    monkeypatch.setattr(partials, "_candidates", counted)
+    assert refresh.refresh_published(spark, *roots, SETTINGS) == ["b2"]
+    assert compared == [1, 1]      # of 31 ids of the batch Silver holds one
+    assert candidates == [0]       # none of the 31 rows is earlier than the first one kept, or later than the last
+    monkeypatch.undo()
+    refresh.rebuild(spark, roots[0], f"{folder}/s", f"{folder}/g", SETTINGS)
+    assert published(spark, roots[2]) == published(spark, f"{folder}/g")
+
+
 def test_a_batch_being_written_waits_for_the_next_refresh(spark, folder):
     roots = f"{folder}/bronze", f"{folder}/silver", f"{folder}/gold"
     store(spark, folder, [raw_event("e1", "u1")], "b1", 1)
