@@ -186,8 +186,9 @@ def _stage(
     again = F.col("_id").isNull() & F.coalesce(F.col("batch_id").isin(batch_ids), F.lit(False))
     matched = keep_matching(old.filter(F.col("_id").isNotNull()), held, "_id", _SPREAD)
     replaced = write(matched.unionByName(old.filter(again)).drop("_id"), "replaced")
-    marked = lookup(built.withColumn("_id", event_key()), held.withColumn("_held", F.lit(True)), "_id", _SPREAD)
-    new = write(marked.withColumn("_held", F.coalesce("_held", F.lit(False))).drop("_id"), "new")
+    once = held.withColumns({"_held": F.lit(True), "_n": F.lit(1)})   # a batch's Silver has an id once
+    marked = lookup(built.withColumn("_id", event_key()), once, "_id", _SPREAD, weight="_n", written=True)
+    new = write(marked.withColumn("_held", F.coalesce("_held", F.lit(False))).drop("_id", "_n"), "new")
     copies = entries.join(held.withColumnRenamed("_id", "event_key"), "event_key", "left_semi")
     write(_rebuilt(new.filter("_held").drop("_held"), replaced, copies), "contested")
     write(drop_matching(old.filter(~again), held, "_id", _SPREAD).drop("_id"), "kept")
